@@ -30,7 +30,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "parcelspark") -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = SparkSession.builder.master(master).appName(app_name)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.driver.memory", os.environ.get("PARCELSPARK_DRIVER_MEM", "16g"))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
