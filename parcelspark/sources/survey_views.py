@@ -154,8 +154,8 @@ SELECT
   '"}}' AS person_type,
   CASE WHEN o.o_orderkey % 41 = 0 THEN NULL
        WHEN o.o_orderkey % 37 = 0 THEN ''
-       WHEN o.o_orderkey % 19 = 0 THEN '"' || replace(occ.doc, '"', chr(92) || '"') || '"'
-       ELSE occ.doc END AS occupancy,
+       WHEN o.o_orderkey % 19 = 0 THEN '"' || replace(o.doc, '"', chr(92) || '"') || '"'
+       ELSE o.doc END AS occupancy,
   cast(o.o_orderkey % 20 + 1 AS string) AS shop_apt_unit_number,
   CASE o.o_orderkey % 3 WHEN 0 THEN 'individual' WHEN 1 THEN 'corporate' ELSE 'government_agency' END AS type,
   CASE o.o_orderkey % 3 WHEN 1 THEN ' Biz ' || cast(o.o_orderkey AS string) || ' ' WHEN 2 THEN '   ' ELSE NULL END
@@ -194,9 +194,8 @@ SELECT
        WHEN 1 THEN 'a+b' || cast(o.o_orderkey AS string) || '@x.org'
        WHEN 2 THEN ' p' || cast(o.o_orderkey AS string) || '@mail.gm ' ELSE NULL END AS email,
   cast(o.o_orderdate AS {ts}) AS submitted_date
-FROM {orders} o
-JOIN (
-  SELECT o2.o_orderkey AS okey,
+FROM (
+  SELECT o2.*,
     '{{"rent_annual_amount":"' ||
        CASE WHEN o2.o_orderkey % 13 = 0 THEN 'n/a' WHEN o2.o_orderkey % 43 = 0 THEN '10000000.01'
             ELSE cast(cast(o2.o_totalprice AS decimal(15,2)) AS string) END ||
@@ -221,7 +220,7 @@ JOIN (
             WHEN 3 THEN 'mobile_money' ELSE 'in_kind' END ||
     '"}}' AS doc
   FROM {orders} o2
-) occ ON occ.okey = o.o_orderkey
+) o
 """
 
 SYNC_HISTORY_SQL = r"""
@@ -248,15 +247,14 @@ LINKS_SQL = r"""
 SELECT
   'uuid:' || cast(o.o_orderkey AS string) AS uuid,
   cast(o.o_orderdate AS date) AS survey_date,
-  u.building_image_url,
-  u.address_plus_code_url,
-  CASE WHEN o.o_orderkey % 11 = 0 OR u.building_image_url IS NULL THEN NULL
-       ELSE '<img src="' || u.building_image_url || '" width="100%" height="100%" />' END AS building_image_url_html,
-  CASE WHEN o.o_orderkey % 13 = 0 OR u.address_plus_code_url IS NULL THEN NULL
-       ELSE '<img src=''' || u.address_plus_code_url || ''' />' END AS address_plus_code_url_html
-FROM {orders} o
-JOIN (
-  SELECT o2.o_orderkey AS okey,
+  o.building_image_url,
+  o.address_plus_code_url,
+  CASE WHEN o.o_orderkey % 11 = 0 OR o.building_image_url IS NULL THEN NULL
+       ELSE '<img src="' || o.building_image_url || '" width="100%" height="100%" />' END AS building_image_url_html,
+  CASE WHEN o.o_orderkey % 13 = 0 OR o.address_plus_code_url IS NULL THEN NULL
+       ELSE '<img src=''' || o.address_plus_code_url || ''' />' END AS address_plus_code_url_html
+FROM (
+  SELECT o2.o_orderkey, o2.o_orderdate,
     CASE o2.o_orderkey % 5 WHEN 0 THEN NULL
       WHEN 1 THEN 'https://survey-media.s3.eu-west-1.amazonaws.com/building-images/uuid%253A' ||
                   cast(o2.o_orderkey AS string) || '-bld+' || cast(o2.o_orderkey % 7 AS string) ||
@@ -276,7 +274,7 @@ JOIN (
       ELSE 'https://survey-media.s3.eu-west-1.amazonaws.com/address-plus-code-images/a%2Fb-' ||
            cast(o2.o_orderkey AS string) || '.jpg?Expires=1704074400' END AS address_plus_code_url
   FROM {orders} o2
-) u ON u.okey = o.o_orderkey
+) o
 """
 
 INCOMING_SQL = r"""
