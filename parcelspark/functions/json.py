@@ -27,13 +27,13 @@ def json_object_only(c: Column) -> Column:
 
 
 def top_level_value_by_name(c: Column, *needles: str) -> Column:
-    """First top-level non-blank text field whose name contains every needle (case-insensitive)."""
+    """First top-level non-empty text field whose name contains every needle (case-insensitive)."""
     entries = F.map_entries(F.from_json(c, "map<string,string>"))
 
     def keep(e):
         k = F.lower(e["key"])
-        ok = F.trim(e["value"]) != ""
+        ok = e["value"] != ""
         for n in needles:
             ok = ok & k.contains(n.lower())
         return ok
-    return F.filter(entries, keep)[0]["value"]
+    return F.get(F.filter(entries, keep), 0)["value"]
