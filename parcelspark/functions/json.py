@@ -37,3 +37,23 @@ def top_level_value_by_name(c: Column, *needles: str) -> Column:
             ok = ok & k.contains(n.lower())
         return ok
     return F.get(F.filter(entries, keep), 0)["value"]
+
+
+def parse_object(c: Column, schema: str) -> Column:
+    """Parse a JSON object once into a struct of the listed fields (all text).
+
+    Field text equals what ``get_json_object`` returns for ``$.<field>`` (strings
+    unescaped, numbers normalised, objects as JSON text, JSON null as NULL), but
+    the document is parsed once instead of once per field.
+    """
+    return F.from_json(c, schema)
+
+
+def unwrap_text(c: Column) -> Column:
+    """Like :func:`json_unwrap` with a single ``from_json`` of a one-field wrapper."""
+    return F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string")["v"]
+
+
+def point_coordinate(point_json: Column, index: int) -> Column:
+    """``$.coordinates[index]`` of a GeoJSON point given as JSON text."""
+    return F.get(F.from_json(point_json, "coordinates array<string>")["coordinates"], index)

@@ -29,10 +29,23 @@ from parcelspark import constants as K
 from parcelspark.functions import casts as C
 from parcelspark.functions import labels as L
 from parcelspark.functions import text as T
-from parcelspark.functions.json import jget, json_unwrap
+from parcelspark.functions.json import parse_object, point_coordinate, unwrap_text
 
 DEFAULT_AS_OF = dt.date(2024, 6, 30)
 
+# Fields read from each JSON document (each document is parsed once).
+LOC_FIELDS = ("address_plus_code string, street_label string, town_label string, district_label string, "
+              "centroid_gps string, address_plus_code_image string")
+DESC_FIELDS = ("property_name string, building_type string, number_of_shops_apts_units string, "
+               "building__geopoint string, building_image string")
+END_FIELDS = ("meeting_date string, amount_paid string, receipt_number string, payment_plan_frequency string, "
+              "payment_plan_amount string, payment_Plan_start_date string, payment_Plan_end_date string, "
+              "follow_up_status string")
+SYS_FIELDS = "surveyDate string, submissionDate string, submitterName string, formVersion string, reviewState string"
+OCC_FIELDS = ("rent_annual_amount string, rent_currency_unit string, property_use string, occupancy_basis string, "
+              "occupancy_start_date string, payment_frequency string, currency_unit string, rent_payment_method string")
+PTYPE_FIELDS = "property_basis string, where_owner_landlord string"
+
 UNIFIED_COLUMNS = [
     "uuid", "person_uuid", "go_to_odk", "basis", "type", "business_name", "first_name", "last_name",
     "tax_registered", "tin", "mobile_1", "mobile_2", "address_plus_code", "street", "town", "district",
@@ -65,47 +78,56 @@ def point_text(v: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(v.cast("string"), r"0+$", ""), r"\.$", "")
 
 
-def geo_columns(loc: Column, desc: Column) -> tuple[Column, Column]:
-    """Latitude / longitude: building point first, then the centroid, each coordinate on its own."""
-    lat = F.coalesce(C.coord_in_range(jget(desc, "$.building__geopoint.coordinates[1]"), K.LAT_MIN, K.LAT_MAX),
-                     C.coord_in_range(jget(loc, "$.centroid_gps.coordinates[1]"), K.LAT_MIN, K.LAT_MAX))
-    lon = F.coalesce(C.coord_in_range(jget(desc, "$.building__geopoint.coordinates[0]"), K.LON_MIN, K.LON_MAX),
-                     C.coord_in_range(jget(loc, "$.centroid_gps.coordinates[0]"), K.LON_MIN, K.LON_MAX))
+def geo_columns(building_point: Column, centroid: Column) -> tuple[Column, Column]:
+    """Latitude / longitude: building point first, then the centroid, each coordinate on its own.
+
+    Arguments are GeoJSON point texts; GeoJSON order is [lon, lat].
+    """
+    lat = F.coalesce(C.coord_in_range(point_coordinate(building_point, 1), K.LAT_MIN, K.LAT_MAX),
+                     C.coord_in_range(point_coordinate(centroid, 1), K.LAT_MIN, K.LAT_MAX))
+    lon = F.coalesce(C.coord_in_range(point_coordinate(building_point, 0), K.LON_MIN, K.LON_MAX),
+                     C.coord_in_range(point_coordinate(centroid, 0), K.LON_MIN, K.LON_MAX))
     return lat, lon
 
 
 def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str = K.DEFAULT_FORM_URL,
                     map_template: str = K.STATIC_MAP_TEMPLATE) -> DataFrame:
     """All property-level output columns, one row per property (narrow; no shuffle)."""
-    loc, desc = F.col("property_location"), F.col("property_description")
-    end, sysj = F.col("end_json"), F.col("system_json")
-    lat, lon = geo_columns(loc, desc)
-    survey = jget(sysj, "$.surveyDate")
-    review = jget(sysj, "$.reviewState")
-    apc = T.blank_to_default(jget(loc, "$.address_plus_code"))
+    loc, desc = F.col("_loc"), F.col("_desc")
+    end, sysj = F.col("_end"), F.col("_sys")
+    lat, lon = geo_columns(desc["building__geopoint"], loc["centroid_gps"])
+    survey = sysj["surveyDate"]
+    review = sysj["reviewState"]
+    apc = T.blank_to_default(loc["address_plus_code"])
     pre, post = map_template.split("{}")
+    properties = properties.select(
+        "uuid", "building_image_url", "address_plus_code_url",
+        parse_object(F.col("property_location"), LOC_FIELDS).alias("_loc"),
+        parse_object(F.col("property_description"), DESC_FIELDS).alias("_desc"),
+        parse_object(F.col("end_json"), END_FIELDS).alias("_end"),
+        parse_object(F.col("system_json"), SYS_FIELDS).alias("_sys"))
     base = properties.select(
         F.col("uuid"),
         apc.alias("address_plus_code"),
-        T.blank_to_default(jget(loc, "$.street_label")).alias("_street"),
-        T.blank_to_default(jget(loc, "$.town_label")).alias("_town"),
-        T.blank_to_default(jget(loc, "$.district_label")).alias("_district"),
-        T.blank_to_default(jget(desc, "$.property_name")).alias("property_name"),
-        T.blank_to_default(jget(desc, "$.building_type")).alias("_building_type"),
-        C.units_in_range(jget(desc, "$.number_of_shops_apts_units")).alias("number_of_units"),
+        T.blank_to_default(loc["street_label"]).alias("_street"),
+        T.blank_to_default(loc["town_label"]).alias("_town"),
+        T.blank_to_default(loc["district_label"]).alias("_district"),
+        T.blank_to_default(desc["property_name"]).alias("property_name"),
+        T.blank_to_default(desc["building_type"]).alias("_building_type"),
+        C.units_in_range(desc["number_of_shops_apts_units"]).alias("number_of_units"),
         lat.alias("latitude"), lon.alias("longitude"),
-        C.strict_date(jget(end, "$.meeting_date")).alias("meeting_date"),
-        C.amount_paid(jget(end, "$.amount_paid")).alias("ap"),
-        F.trim(jget(end, "$.receipt_number")).alias("receipt_number"),
-        T.pg_initcap(jget(end, "$.payment_plan_frequency")).alias("payment_plan_frequency"),
-        C.plan_amount(jget(end, "$.payment_plan_amount")).alias("payment_plan_amount"),
-        C.strict_date(jget(end, "$.payment_Plan_start_date")).alias("payment_plan_start_date"),
-        C.strict_date(jget(end, "$.payment_Plan_end_date")).alias("payment_plan_end_date"),
-        L.label(jget(end, "$.follow_up_status"), K.FOLLOW_UP_LABELS, fallback=K.FOLLOW_UP_DEFAULT)
+        C.strict_date(end["meeting_date"]).alias("meeting_date"),
+        C.amount_paid(end["amount_paid"]).alias("ap"),
+        F.trim(end["receipt_number"]).alias("receipt_number"),
+        T.pg_initcap(end["payment_plan_frequency"]).alias("payment_plan_frequency"),
+        C.plan_amount(end["payment_plan_amount"]).alias("payment_plan_amount"),
+        C.strict_date(end["payment_Plan_start_date"]).alias("payment_plan_start_date"),
+        C.strict_date(end["payment_Plan_end_date"]).alias("payment_plan_end_date"),
+        L.label(end["follow_up_status"], K.FOLLOW_UP_LABELS, fallback=K.FOLLOW_UP_DEFAULT)
         .alias("follow_up_status"),
-        T.pg_initcap(jget(sysj, "$.submitterName")).alias("submitter_name"),
-        C.prefix_timestamp(jget(sysj, "$.submissionDate")).alias("submission_date"),
-        F.coalesce(jget(sysj, "$.formVersion"), F.lit(K.FORM_VERSION_DEFAULT)).alias("form_version"),
+        T.pg_initcap(sysj["submitterName"]).alias("submitter_name"),
+        C.prefix_timestamp(sysj["submissionDate"]).alias("submission_date"),
+        F.coalesce(sysj["formVersion"], F.lit(K.FORM_VERSION_DEFAULT)).alias("form_version"),
         F.when(T.matches(survey, K.DATE_RE), survey.try_cast("date")).otherwise(C.as_date(as_of))
         .alias("survey_date"),
         L.label(review, K.REVIEW_STATE_LABELS, fallback=K.REVIEW_STATE_DEFAULT).alias("review_state"),
@@ -133,18 +155,30 @@ def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str =
     ).drop("_street", "_town", "_district", "_building_type")
 
 
+def parsed_occupancy(c: Column) -> Column:
+    """Occupancy object (stored as JSON or as JSON text inside a string) parsed once."""
+    return parse_object(unwrap_text(c), OCC_FIELDS)
+
+
+def parsed_person_type(c: Column) -> Column:
+    return parse_object(unwrap_text(c), PTYPE_FIELDS)
+
+
 def _measure_inputs(occ: Column, ptype: Column):
-    return (C.rent_amount(jget(occ, "$.rent_annual_amount")),
-            L.norm_currency(jget(occ, "$.rent_currency_unit")),
-            L.norm_property_use(jget(occ, "$.property_use")),
-            L.norm_basis(jget(ptype, "$.property_basis")))
+    """occ / ptype are parsed structs."""
+    return (C.rent_amount(occ["rent_annual_amount"]),
+            L.norm_currency(occ["rent_currency_unit"]),
+            L.norm_property_use(occ["property_use"]),
+            L.norm_basis(ptype["property_basis"]))
 
 
 def person_measures(persons: DataFrame) -> DataFrame:
     """Key, rent in GMD, income type and basis per person: the inputs of the per-property totals."""
-    rent, currency, use, basis = _measure_inputs(json_unwrap(F.col("occupancy")), json_unwrap(F.col("person_type")))
+    rent, currency, use, basis = _measure_inputs(F.col("_occ"), F.col("_ptype"))
     return (persons
             .where(valid_person_key(F.col("uuid")))
+            .select("uuid", parsed_occupancy(F.col("occupancy")).alias("_occ"),
+                    parsed_person_type(F.col("person_type")).alias("_ptype"))
             .select(prop_key(F.col("uuid")).alias("prop_uuid"),
                     F.col("uuid").alias("person_uuid"),
                     rent.alias("annual_rent"), currency.alias("rent_currency_raw"),
@@ -159,8 +193,8 @@ def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """All person-level output columns plus the measures (narrow; no shuffle)."""
     occ, ptype = F.col("_occ"), F.col("_ptype")
     src = (persons.where(valid_person_key(F.col("uuid")))
-           .withColumn("_occ", json_unwrap(F.col("occupancy")))
-           .withColumn("_ptype", json_unwrap(F.col("person_type"))))
+           .withColumn("_occ", parsed_occupancy(F.col("occupancy")))
+           .withColumn("_ptype", parsed_person_type(F.col("person_type"))))
     rent, currency, use, basis = _measure_inputs(occ, ptype)
     tin, dob = F.col("tin"), F.col("individual_dob")
     first, gender, mob1 = F.col("individual_first_name"), F.col("individual_gender"), F.col("mobile_1")
@@ -180,7 +214,7 @@ def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         T.clean_by_pattern(mob1, K.MOBILE_RE).alias("mobile_1"),
         T.clean_by_pattern(F.col("mobile_2"), K.MOBILE_RE).alias("mobile_2"),
         F.when(T.matches(F.col("email"), K.EMAIL_RE), F.lower(F.trim(F.col("email")))).alias("email"),
-        L.label(jget(occ, "$.occupancy_basis"), K.OCCUPANCY_BASIS_LABELS).alias("occupancy_basis"),
+        L.label(occ["occupancy_basis"], K.OCCUPANCY_BASIS_LABELS).alias("occupancy_basis"),
         L.label(gender, K.GENDER_LABELS, compare_lower=True).alias("gender"),
         L.label(F.col("individual_id_type"), K.ID_TYPE_LABELS).alias("id_type"),
         T.clean_by_pattern(F.col("individual_nin"), K.NIN_RE).alias("nin"),
@@ -191,13 +225,13 @@ def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         T.pg_initcap(F.col("residence_permit_country")).alias("residence_permit_country"),
         C.dob_valid(dob, as_of).alias("dob"),
         C.age_from_text(dob, as_of).alias("age"),
-        L.label(jget(ptype, "$.where_owner_landlord"), K.PRESENCE_LABELS).alias("occupant_or_remote"),
-        C.strict_date(jget(occ, "$.occupancy_start_date")).alias("occupancy_start_date"),
+        L.label(ptype["where_owner_landlord"], K.PRESENCE_LABELS).alias("occupant_or_remote"),
+        C.strict_date(occ["occupancy_start_date"]).alias("occupancy_start_date"),
         F.lit(None).cast("string").alias("occupancy_duration"),
-        L.label(jget(occ, "$.property_use"), K.PROPERTY_USE_LABELS).alias("property_use"),
-        L.label(jget(occ, "$.payment_frequency"), K.PAYMENT_FREQUENCY_LABELS).alias("payment_frequency"),
-        L.label(jget(occ, "$.currency_unit"), K.CURRENCY_LABELS, default="upper").alias("currency_unit"),
-        L.label(jget(occ, "$.rent_payment_method"), K.PAYMENT_METHOD_LABELS)
+        L.label(occ["property_use"], K.PROPERTY_USE_LABELS).alias("property_use"),
+        L.label(occ["payment_frequency"], K.PAYMENT_FREQUENCY_LABELS).alias("payment_frequency"),
+        L.label(occ["currency_unit"], K.CURRENCY_LABELS, default="upper").alias("currency_unit"),
+        L.label(occ["rent_payment_method"], K.PAYMENT_METHOD_LABELS)
         .alias("occupancy_rent_payment_method"),
         F.col("shop_apt_unit_number").alias("shop_unit"),
         F.when(tin.rlike(T.rx(K.TIN_RE)), F.lit(K.TIN_STATUS[0]))
