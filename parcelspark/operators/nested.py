@@ -116,3 +116,61 @@ def person_index(df: DataFrame, group: str, order: str, out: str = "person_index
     return (local.join(offsets, [group, "_slice"], "inner")
             .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
             .drop("_slice", "_local", "_offset"))
+
+
+# Person keys read by the nested-input variant of the unified dataset: it asks for
+# these names, which the nested builder does not write, so they come out NULL
+# unless a caller maps them to the stored names (pass ``key_map={}``).
+NESTED_VARIANT_KEY_MAP = {
+    "individual_gender": "gender", "individual_id_type": "id_type", "individual_nin": "nin",
+    "individual_drivers_licence": "drivers_license", "individual_passport_number": "passport",
+    "individual_residence_permit_number": "residence_permit", "individual_dob": "date_of_birth",
+}
+_PERSON_INPUTS = [
+    "uuid", "occupancy", "person_type", "type", "business_name", "individual_first_name", "individual_last_name",
+    "tax_registered", "tin", "mobile_1", "mobile_2", "email", "individual_gender", "individual_id_type",
+    "individual_nin", "individual_drivers_licence", "individual_passport_number", "passport_country",
+    "individual_residence_permit_number", "residence_permit_country", "individual_dob", "shop_apt_unit_number",
+]
+
+
+def unified_from_nested(nested: DataFrame, as_of=None, key_map: dict[str, str] | None = None,
+                        limit: int | None = None) -> DataFrame:
+    """The 82-column unified dataset computed from the nested table.
+
+    Differences from the flagship: survey date falls back to the submission date;
+    occupancy / person_type count only when stored as JSON objects; person keys
+    are looked up through ``key_map``; a property whose list is empty keeps one
+    placeholder row (NULL person) that joins the per-property totals with zero
+    rent; the building image HTML is a fixed placeholder and there is no
+    plus-code image HTML.
+    """
+    from parcelspark import constants as K
+    from parcelspark.operators import unified as U
+
+    as_of = as_of or U.DEFAULT_AS_OF
+    key_map = NESTED_VARIANT_KEY_MAP if key_map is None else key_map
+    base = nested.where(F.col("person_details").isNotNull())
+    stored_keys = set(base.schema["person_details"].dataType.elementType.fieldNames())
+    rows = unnest_persons(base, keep_placeholder=True)
+
+    def pick(col):
+        k = "UUID" if col == "uuid" else key_map.get(col, col)
+        return (F.col("person")[k] if k in stored_keys else F.lit(None).cast("string")).alias(col)
+
+    persons_like = rows.select(F.col("uuid").alias("prop_uuid"), *[pick(c) for c in _PERSON_INPUTS])
+    pf = U.person_fields(persons_like, as_of, json_mode="object", keep_placeholders=True)
+    totals = U.property_totals(U.person_measures(persons_like, json_mode="object", keep_placeholders=True))
+    props = (U.property_fields(base.dropDuplicates(["uuid"]), as_of, survey_mode="chain")
+             .withColumn("building_image_url_html", F.lit(K.NESTED_BUILDING_IMAGE_HTML)))
+    return U.assemble(pf, props, totals, NESTED_UNIFIED_COLUMNS, as_of, None, limit)
+
+
+def _nested_columns():
+    from parcelspark.operators.unified import UNIFIED_COLUMNS
+    cols = [c for c in UNIFIED_COLUMNS if c not in ("building_image_url_html", "address_plus_code_url_html",
+                                                     "property", "value")]
+    return cols + ["building_image_url_html", "property", "value"]
+
+
+NESTED_UNIFIED_COLUMNS = _nested_columns()

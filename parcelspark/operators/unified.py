@@ -91,8 +91,13 @@ def geo_columns(building_point: Column, centroid: Column) -> tuple[Column, Colum
 
 
 def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str = K.DEFAULT_FORM_URL,
-                    map_template: str = K.STATIC_MAP_TEMPLATE) -> DataFrame:
-    """All property-level output columns, one row per property (narrow; no shuffle)."""
+                    map_template: str = K.STATIC_MAP_TEMPLATE, survey_mode: str = "strict") -> DataFrame:
+    """All property-level output columns, one row per property (narrow; no shuffle).
+
+    ``survey_mode="strict"``: survey date only from an exact ``yyyy-mm-dd`` surveyDate,
+    else ``as_of``; ``"chain"``: leading date of surveyDate, then of submissionDate,
+    then ``as_of``.
+    """
     loc, desc = F.col("_loc"), F.col("_desc")
     end, sysj = F.col("_end"), F.col("_sys")
     lat, lon = geo_columns(desc["building__geopoint"], loc["centroid_gps"])
@@ -128,7 +133,9 @@ def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str =
         T.pg_initcap(sysj["submitterName"]).alias("submitter_name"),
         C.prefix_timestamp(sysj["submissionDate"]).alias("submission_date"),
         F.coalesce(sysj["formVersion"], F.lit(K.FORM_VERSION_DEFAULT)).alias("form_version"),
-        F.when(T.matches(survey, K.DATE_RE), survey.try_cast("date")).otherwise(C.as_date(as_of))
+        (F.when(T.matches(survey, K.DATE_RE), survey.try_cast("date")).otherwise(C.as_date(as_of))
+         if survey_mode == "strict" else
+         F.coalesce(C.prefix_date(survey), C.prefix_date(sysj["submissionDate"]), C.as_date(as_of)))
         .alias("survey_date"),
         L.label(review, K.REVIEW_STATE_LABELS, fallback=K.REVIEW_STATE_DEFAULT).alias("review_state"),
         F.when(F.lower(F.coalesce(review, F.lit(""))) == "rejected", F.lit(K.REJECTED_FLAG[0]))
@@ -172,34 +179,55 @@ def _measure_inputs(occ: Column, ptype: Column):
             L.norm_basis(ptype["property_basis"]))
 
 
-def person_measures(persons: DataFrame) -> DataFrame:
+def _person_source(persons: DataFrame, json_mode: str, keep_placeholders: bool) -> DataFrame:
+    """Persons with their property key and parsed occupancy / person_type.
+
+    ``json_mode="reparse"`` accepts objects stored as JSON or as JSON text inside a
+    string (the flagship); ``"object"`` reads fields only from real JSON objects
+    (the nested-input variant).  A ``prop_uuid`` column, when present, is the key;
+    otherwise it is derived from the person UUID and rows without one are dropped
+    unless ``keep_placeholders``.
+    """
+    src = persons if keep_placeholders else persons.where(valid_person_key(F.col("uuid")))
+    if "prop_uuid" not in src.columns:
+        src = src.withColumn("prop_uuid", prop_key(F.col("uuid")))
+    if json_mode == "reparse":
+        occ, ptype = parsed_occupancy(F.col("occupancy")), parsed_person_type(F.col("person_type"))
+    elif json_mode == "object":
+        occ, ptype = parse_object(F.col("occupancy"), OCC_FIELDS), parse_object(F.col("person_type"), PTYPE_FIELDS)
+    else:
+        raise ValueError(f"unknown json_mode {json_mode!r}")
+    return src.withColumn("_occ", occ).withColumn("_ptype", ptype)
+
+
+def _with_gmd(df: DataFrame) -> DataFrame:
+    return (df.withColumn("annual_rent_gmd",
+                          F.coalesce((F.col("annual_rent") * L.rate_for(F.col("rent_currency_raw"))).cast(C.DEC_GMD),
+                                     F.lit(0).cast(C.DEC_GMD)))
+            .withColumn("income_type", L.income_type(F.col("property_use_raw"), F.col("person_basis_raw"))))
+
+
+def person_measures(persons: DataFrame, json_mode: str = "reparse", keep_placeholders: bool = False) -> DataFrame:
     """Key, rent in GMD, income type and basis per person: the inputs of the per-property totals."""
     rent, currency, use, basis = _measure_inputs(F.col("_occ"), F.col("_ptype"))
-    return (persons
-            .where(valid_person_key(F.col("uuid")))
-            .select("uuid", parsed_occupancy(F.col("occupancy")).alias("_occ"),
-                    parsed_person_type(F.col("person_type")).alias("_ptype"))
-            .select(prop_key(F.col("uuid")).alias("prop_uuid"),
-                    F.col("uuid").alias("person_uuid"),
-                    rent.alias("annual_rent"), currency.alias("rent_currency_raw"),
-                    use.alias("property_use_raw"), basis.alias("person_basis_raw"))
-            .withColumn("annual_rent_gmd",
-                        F.coalesce((F.col("annual_rent") * L.rate_for(F.col("rent_currency_raw"))).cast(C.DEC_GMD),
-                                   F.lit(0).cast(C.DEC_GMD)))
-            .withColumn("income_type", L.income_type(F.col("property_use_raw"), F.col("person_basis_raw"))))
+    src = _person_source(persons.select("uuid", "occupancy", "person_type",
+                                        *(["prop_uuid"] if "prop_uuid" in persons.columns else [])),
+                         json_mode, keep_placeholders)
+    return _with_gmd(src.select("prop_uuid", F.col("uuid").alias("person_uuid"),
+                                rent.alias("annual_rent"), currency.alias("rent_currency_raw"),
+                                use.alias("property_use_raw"), basis.alias("person_basis_raw")))
 
 
-def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF, json_mode: str = "reparse",
+                  keep_placeholders: bool = False) -> DataFrame:
     """All person-level output columns plus the measures (narrow; no shuffle)."""
     occ, ptype = F.col("_occ"), F.col("_ptype")
-    src = (persons.where(valid_person_key(F.col("uuid")))
-           .withColumn("_occ", parsed_occupancy(F.col("occupancy")))
-           .withColumn("_ptype", parsed_person_type(F.col("person_type"))))
+    src = _person_source(persons, json_mode, keep_placeholders)
     rent, currency, use, basis = _measure_inputs(occ, ptype)
     tin, dob = F.col("tin"), F.col("individual_dob")
     first, gender, mob1 = F.col("individual_first_name"), F.col("individual_gender"), F.col("mobile_1")
     out = src.select(
-        prop_key(F.col("uuid")).alias("prop_uuid"),
+        "prop_uuid",
         F.col("uuid").alias("person_uuid"),
         basis.alias("person_basis_raw"),
         use.alias("property_use_raw"),
@@ -244,11 +272,7 @@ def person_fields(persons: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
          + F.when(T.matches(mob1, K.MOBILE_RE), K.QUALITY_POINTS["mobile_1"]).otherwise(0)
          + F.when(T.matches(tin, K.TIN_RE), K.QUALITY_POINTS["tin"]).otherwise(0)).alias("_q_person"),
     )
-    return (out
-            .withColumn("annual_rent_gmd",
-                        F.coalesce((F.col("annual_rent") * L.rate_for(F.col("rent_currency_raw"))).cast(C.DEC_GMD),
-                                   F.lit(0).cast(C.DEC_GMD)))
-            .withColumn("income_type", L.income_type(F.col("property_use_raw"), F.col("person_basis_raw")))
+    return (_with_gmd(out)
             .withColumn("basis", L.label(F.col("person_basis_raw"), K.BASIS_LABELS))
             .withColumn("rent_currency", L.label(F.col("rent_currency_raw"), K.CURRENCY_LABELS, default="upper")))
 
@@ -277,6 +301,35 @@ def property_totals(measures: DataFrame, tax_rates: dict | None = None) -> DataF
     )
 
 
+def assemble(pf: DataFrame, props_fields: DataFrame, totals: DataFrame, columns: list[str], as_of,
+             processed_at=None, limit: int | None = None) -> DataFrame:
+    """Join person rows to their property's columns and totals; add the money texts and the score."""
+    processed = processed_at if processed_at is not None else as_of
+    props = props_fields.join(totals, F.col("uuid") == F.col("prop_uuid"), "inner").drop("prop_uuid")
+    j = pf.join(props, pf["prop_uuid"] == props["uuid"], "inner")
+    geo_ok = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    computed = {
+        "ctl_formatted": F.concat(F.lit("GMD "), T.money_text(F.col("ctl"))),
+        "rtl_formatted": F.concat(F.lit("GMD "), T.money_text(F.col("rtl"))),
+        "btl_formatted": F.concat(F.lit("GMD "), T.money_text(F.col("btl"))),
+        "total_building_rent_formatted": F.concat(F.lit("GMD "), T.money_text(F.col("total_building_rent"))),
+        "business_tax_liability": F.col("btl"),
+        "residential_tax_liability": F.col("rtl"),
+        "commercial_tl": F.col("ctl"),
+        "sum_owner": F.when(F.col("_has_owner") > 0, F.lit(K.OWNER_FLAG[0])).otherwise(F.lit(K.OWNER_FLAG[1])),
+        "data_quality_score": (F.col("_q_person")
+                               + F.when(geo_ok, K.QUALITY_POINTS["geo"]).otherwise(0)
+                               + F.when(F.col("annual_rent_gmd") > 0, K.QUALITY_POINTS["rent"]).otherwise(0))
+        .cast("int"),
+        "processed_at": C.as_ts(processed),
+        "tax_year": F.year(C.as_date(as_of)),
+    }
+    out = j.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in columns])
+    if limit is not None:
+        out = out.orderBy(F.col("uuid").asc_nulls_last(), F.col("person_uuid").asc_nulls_last()).limit(limit)
+    return out
+
+
 def unified_dataset(properties: DataFrame, persons: DataFrame, as_of=DEFAULT_AS_OF, processed_at=None,
                     limit: int | None = None, form_url: str = K.DEFAULT_FORM_URL,
                     tax_rates: dict | None = None) -> DataFrame:
@@ -285,33 +338,7 @@ def unified_dataset(properties: DataFrame, persons: DataFrame, as_of=DEFAULT_AS_
     ``limit`` reproduces the original's ``ORDER BY uuid, person_uuid LIMIT n``
     (a top-N, no global sort); the default returns every row, unordered.
     """
-    as_of_date = as_of
-    processed = processed_at if processed_at is not None else as_of
-    pf = person_fields(persons, as_of_date)
+    pf = person_fields(persons, as_of)
     totals = property_totals(person_measures(persons), tax_rates)
-    props = (property_fields(properties, as_of_date, form_url=form_url)
-             .join(totals, F.col("uuid") == F.col("prop_uuid"), "inner").drop("prop_uuid"))
-    j = pf.join(props, pf["prop_uuid"] == props["uuid"], "inner")
-    geo_ok = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    quality = (F.col("_q_person")
-               + F.when(geo_ok, K.QUALITY_POINTS["geo"]).otherwise(0)
-               + F.when(F.col("annual_rent_gmd") > 0, K.QUALITY_POINTS["rent"]).otherwise(0)).cast("int")
-    out = j.select(
-        *[F.col(c) for c in UNIFIED_COLUMNS[:UNIFIED_COLUMNS.index("ctl_formatted")]],
-        F.concat(F.lit("GMD "), T.money_text(F.col("ctl"))).alias("ctl_formatted"),
-        F.concat(F.lit("GMD "), T.money_text(F.col("rtl"))).alias("rtl_formatted"),
-        F.concat(F.lit("GMD "), T.money_text(F.col("btl"))).alias("btl_formatted"),
-        F.concat(F.lit("GMD "), T.money_text(F.col("total_building_rent"))).alias("total_building_rent_formatted"),
-        F.col("btl").alias("business_tax_liability"),
-        F.col("rtl").alias("residential_tax_liability"),
-        F.col("ctl").alias("commercial_tl"),
-        F.when(F.col("_has_owner") > 0, F.lit(K.OWNER_FLAG[0])).otherwise(F.lit(K.OWNER_FLAG[1])).alias("sum_owner"),
-        *[F.col(c) for c in UNIFIED_COLUMNS[UNIFIED_COLUMNS.index("tin_status"):UNIFIED_COLUMNS.index("data_quality_score")]],
-        quality.alias("data_quality_score"),
-        C.as_ts(processed).alias("processed_at"),
-        F.year(C.as_date(as_of_date)).alias("tax_year"),
-        *[F.col(c) for c in UNIFIED_COLUMNS[UNIFIED_COLUMNS.index("address_plus_code_url_htm"):]],
-    )
-    if limit is not None:
-        out = out.orderBy(F.col("uuid").asc_nulls_last(), F.col("person_uuid").asc_nulls_last()).limit(limit)
-    return out
+    props = property_fields(properties, as_of, form_url=form_url)
+    return assemble(pf, props, totals, UNIFIED_COLUMNS, as_of, processed_at, limit)

@@ -109,6 +109,10 @@ def strict_date(s: str) -> str:
     return guarded(s, K.DATE_RE, "DATE")
 
 
+def prefix_date(s: str) -> str:
+    return f"(CASE WHEN {m(s, K.DATE_PREFIX_RE)} THEN TRY_CAST(substr({s}, 1, 10) AS DATE) END)"
+
+
 def prefix_ts(s: str) -> str:
     return f"(CASE WHEN {m(s, K.DATE_PREFIX_RE)} THEN TRY_CAST({s} AS TIMESTAMP) END)"
 

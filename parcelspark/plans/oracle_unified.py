@@ -15,7 +15,7 @@ AS_OF = "2024-06-30"
 
 
 def prop_exprs(as_of: str = AS_OF, form_url: str = K.DEFAULT_FORM_URL,
-               map_template: str = K.STATIC_MAP_TEMPLATE) -> dict[str, str]:
+               map_template: str = K.STATIC_MAP_TEMPLATE, survey_mode: str = "strict") -> dict[str, str]:
     pl, pd, en, sy = "property_location", "property_description", "end_json", "system_json"
     lat = (f"coalesce({D.coord(D.jx(pd, '$.building__geopoint.coordinates[1]'), K.LAT_MIN, K.LAT_MAX)}, "
            f"{D.coord(D.jx(pl, '$.centroid_gps.coordinates[1]'), K.LAT_MIN, K.LAT_MAX)})")
@@ -51,7 +51,10 @@ def prop_exprs(as_of: str = AS_OF, form_url: str = K.DEFAULT_FORM_URL,
         "submitter_name": D.initcap(D.jx(sy, "$.submitterName")),
         "submission_date": D.prefix_ts(D.jx(sy, "$.submissionDate")),
         "form_version": f"coalesce({D.jx(sy, '$.formVersion')}, {D.q(K.FORM_VERSION_DEFAULT)})",
-        "survey_date": f"(CASE WHEN {D.m(survey, K.DATE_RE)} THEN TRY_CAST({survey} AS DATE) ELSE DATE '{as_of}' END)",
+        "survey_date": (f"(CASE WHEN {D.m(survey, K.DATE_RE)} THEN TRY_CAST({survey} AS DATE) ELSE DATE '{as_of}' END)"
+                        if survey_mode == "strict" else
+                        f"coalesce({D.prefix_date(survey)}, {D.prefix_date(D.jx(sy, '$.submissionDate'))}, "
+                        f"DATE '{as_of}')"),
         "review_state": D.label(review, K.REVIEW_STATE_LABELS, fallback=K.REVIEW_STATE_DEFAULT),
         "rejected": f"(CASE WHEN lower(coalesce({review}, '')) = 'rejected' THEN 'EXCLUDE' ELSE 'INCLUDE' END)",
         "building_image_url_html": D.img_html("building_image_url"),
@@ -64,17 +67,28 @@ def prop_exprs(as_of: str = AS_OF, form_url: str = K.DEFAULT_FORM_URL,
     }
 
 
-def person_base_sql() -> str:
-    """Persons with a valid key, unwrapped JSON fields and the tax measures (``pg``)."""
+def person_base_sql(mode: str = "flagship") -> str:
+    """Persons with a valid key, unwrapped JSON fields and the tax measures (``pg``).
+
+    ``mode="nested"``: every property with its persons (a NULL person for none), JSON
+    fields read only from objects.
+    """
     occ, pt = "occ", "pt"
     rent = D.rent(D.jx(occ, "$.rent_annual_amount"))
     cur = D.normalize(D.jx(occ, "$.rent_currency_unit"), K.CURRENCY_SYNONYMS, K.CURRENCY_DEFAULT)
     use = D.normalize(D.jx(occ, "$.property_use"), K.PROPERTY_USE_SYNONYMS, K.PROPERTY_USE_DEFAULT)
     basis = D.normalize(D.jx(pt, "$.property_basis"), K.BASIS_SYNONYMS, K.BASIS_DEFAULT)
-    return f"""
+    if mode == "nested":
+        pp = """
+pp AS (SELECT x.*, x.occupancy AS occ, x.person_type AS pt, pr0.uuid AS prop_uuid
+       FROM properties pr0 LEFT JOIN (SELECT * FROM persons WHERE uuid IS NOT NULL AND uuid <> '') x
+         ON split_part(x.uuid, '_', 1) = pr0.uuid),"""
+    else:
+        pp = f"""
 pp AS (SELECT p.*, {D.unwrap('p.occupancy')} AS occ, {D.unwrap('p.person_type')} AS pt,
               split_part(p.uuid, '_', 1) AS prop_uuid
-       FROM persons p WHERE p.uuid IS NOT NULL AND p.uuid <> ''),
+       FROM persons p WHERE p.uuid IS NOT NULL AND p.uuid <> ''),"""
+    return pp + f"""
 pm AS (SELECT pp.*, {rent} AS annual_rent, {cur} AS rent_currency_raw, {use} AS property_use_raw,
               {basis} AS person_basis_raw FROM pp),
 pg AS (SELECT pm.*,
@@ -84,9 +98,13 @@ pg AS (SELECT pm.*,
        FROM pm)"""
 
 
-def person_exprs(as_of: str = AS_OF) -> dict[str, str]:
+def person_exprs(as_of: str = AS_OF, nulls: frozenset = frozenset()) -> dict[str, str]:
+    """``nulls``: person columns the variant cannot see (read as NULL)."""
     occ, pt = "occ", "pt"
-    dob = "individual_dob"
+
+    def c(name):
+        return "CAST(NULL AS VARCHAR)" if name in nulls else name
+    dob = c("individual_dob")
     dob_d = f"TRY_CAST({dob} AS DATE)"
     tin = "tin"
     return {
@@ -102,13 +120,13 @@ def person_exprs(as_of: str = AS_OF) -> dict[str, str]:
         "mobile_2": D.clean_pattern("mobile_2", K.MOBILE_RE),
         "email": f"(CASE WHEN {D.m('email', K.EMAIL_RE)} THEN lower(trim(email)) END)",
         "occupancy_basis": D.label(D.jx(occ, "$.occupancy_basis"), K.OCCUPANCY_BASIS_LABELS),
-        "gender": D.label("individual_gender", K.GENDER_LABELS, lower=True),
-        "id_type": D.label("individual_id_type", K.ID_TYPE_LABELS),
-        "nin": D.clean_pattern("individual_nin", K.NIN_RE),
-        "drivers_license": "trim(individual_drivers_licence)",
-        "passport": "trim(individual_passport_number)",
+        "gender": D.label(c("individual_gender"), K.GENDER_LABELS, lower=True),
+        "id_type": D.label(c("individual_id_type"), K.ID_TYPE_LABELS),
+        "nin": D.clean_pattern(c("individual_nin"), K.NIN_RE),
+        "drivers_license": f"trim({c('individual_drivers_licence')})",
+        "passport": f"trim({c('individual_passport_number')})",
         "passport_country": D.initcap("passport_country"),
-        "residence_permit": "trim(individual_residence_permit_number)",
+        "residence_permit": f"trim({c('individual_residence_permit_number')})",
         "residence_permit_country": D.initcap("residence_permit_country"),
         "dob": (f"(CASE WHEN {D.m(dob, K.DATE_RE)} AND {dob_d} <= DATE '{as_of}' AND {dob_d} >= DATE '{K.DOB_MIN}' "
                 f"THEN {dob_d} END)"),
@@ -128,7 +146,7 @@ def person_exprs(as_of: str = AS_OF) -> dict[str, str]:
                        f"WHEN length(trim(coalesce({tin}, ''))) > 0 THEN 'TIN Provided (Needs Validation)' "
                        f"ELSE 'No TIN' END)"),
         "_q_person": (f"((CASE WHEN individual_first_name IS NOT NULL THEN 10 ELSE 0 END) + "
-                      f"(CASE WHEN individual_gender IS NOT NULL THEN 10 ELSE 0 END) + "
+                      f"(CASE WHEN {c('individual_gender')} IS NOT NULL THEN 10 ELSE 0 END) + "
                       f"(CASE WHEN {dob_d} IS NOT NULL THEN 15 ELSE 0 END) + "
                       f"(CASE WHEN {D.m('mobile_1', K.MOBILE_RE)} THEN 15 ELSE 0 END) + "
                       f"(CASE WHEN {D.m(tin, K.TIN_RE)} THEN 20 ELSE 0 END))"),
@@ -194,3 +212,48 @@ pr AS (SELECT {prop_sel} FROM properties)
 SELECT {', '.join(cols)}
 FROM pg2 JOIN pr ON pr.uuid = pg2.prop_uuid
 WINDOW w AS (PARTITION BY pr.uuid){tail}""")
+
+
+NESTED_NULLS = frozenset({"individual_gender", "individual_id_type", "individual_nin", "individual_drivers_licence",
+                          "individual_passport_number", "individual_residence_permit_number", "individual_dob"})
+
+
+def nested_unified_sql(as_of: str = AS_OF) -> str:
+    """The nested-input variant: all properties, placeholder rows, object-only JSON, other key names."""
+    from parcelspark.operators.nested import NESTED_UNIFIED_COLUMNS
+    pe = person_exprs(as_of, NESTED_NULLS)
+    pr = prop_exprs(as_of, survey_mode="chain")
+    pr["building_image_url_html"] = D.q(K.NESTED_BUILDING_IMAGE_HTML)
+    pr.pop("address_plus_code_url_html")
+    person_sel = ",\n       ".join(f"{v} AS {k}" for k, v in pe.items())
+    prop_sel = ",\n       ".join(f"{v} AS {k}" for k, v in pr.items())
+    me = measure_exprs()
+    fmt = {"ctl_formatted": "ctl", "rtl_formatted": "rtl", "btl_formatted": "btl",
+           "total_building_rent_formatted": "total_building_rent"}
+    alias = {"business_tax_liability": "btl", "residential_tax_liability": "rtl", "commercial_tl": "ctl"}
+    cols = []
+    for c in NESTED_UNIFIED_COLUMNS:
+        if c in me:
+            cols.append(f"{me[c]} AS {c}")
+        elif c in fmt:
+            cols.append(f"'GMD ' || {D.money(me[fmt[c]])} AS {c}")
+        elif c in alias:
+            cols.append(f"{me[alias[c]]} AS {c}")
+        elif c == "data_quality_score":
+            cols.append("CAST(pg2._q_person + (CASE WHEN pr.latitude IS NOT NULL AND pr.longitude IS NOT NULL "
+                        "THEN 10 ELSE 0 END) + (CASE WHEN pg2.annual_rent_gmd > 0 THEN 20 ELSE 0 END) AS INTEGER) "
+                        "AS data_quality_score")
+        elif c == "processed_at":
+            cols.append(f"TIMESTAMP '{as_of} 00:00:00' AS processed_at")
+        elif c == "tax_year":
+            cols.append(f"CAST(year(DATE '{as_of}') AS INTEGER) AS tax_year")
+        elif c in pe:
+            cols.append(f"pg2.{c} AS {c}")
+        else:
+            cols.append(f"pr.{c} AS {c}")
+    return (D.with_views("properties", "persons") + "," + person_base_sql("nested") + f""",
+pg2 AS (SELECT prop_uuid, person_basis_raw, income_type, {person_sel} FROM pg),
+pr AS (SELECT {prop_sel} FROM properties)
+SELECT {', '.join(cols)}
+FROM pg2 JOIN pr ON pr.uuid = pg2.prop_uuid
+WINDOW w AS (PARTITION BY pr.uuid)""")

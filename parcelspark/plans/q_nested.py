@@ -9,6 +9,8 @@ from parcelspark.operators import nested as N
 from parcelspark.operators import quality as Q
 from parcelspark.operators.unified import prop_key, valid_person_key
 from parcelspark.plans import duck as D
+from parcelspark.plans import oracle_unified as O
+from parcelspark.operators.unified import DEFAULT_AS_OF as AS_OF
 from parcelspark.plans.registry import register, views
 
 PREFIX_KEY = "split_part(uuid, '_', 1)"
@@ -220,3 +222,28 @@ def filter_named_persons_strict(spark, sf):
     p = views(spark, sf, "persons")
     f, b = F.col("individual_first_name"), F.col("business_name")
     return p.where((f.isNotNull() & (f != "")) | (b.isNotNull() & (b != ""))).select("uuid", "submissions_id")
+
+
+@register("unified_from_nested", O.nested_unified_sql())
+def unified_from_nested(spark, sf):
+    props, persons = views(spark, sf, "properties", "persons")
+    return N.unified_from_nested(N.nested_dataset(props, persons, key="prefix"), as_of=AS_OF)
+
+
+@register("survey_date_chain", D.with_views("properties") + f"""
+SELECT uuid, {O.prop_exprs(survey_mode="chain")["survey_date"]} AS survey_date FROM properties""")
+def survey_date_chain(spark, sf):
+    from parcelspark.operators.unified import property_fields
+    return property_fields(views(spark, sf, "properties"), AS_OF, survey_mode="chain").select("uuid", "survey_date")
+
+
+@register("occupancy_object_only", D.with_views("persons") + f"""
+SELECT uuid, {D.jx('occupancy', '$.occupancy_basis')} AS occupancy_basis,
+       {D.jx('occupancy', '$.rent_annual_amount')} AS rent_annual_amount
+FROM persons WHERE uuid IS NOT NULL AND uuid <> ''""")
+def occupancy_object_only(spark, sf):
+    from parcelspark.functions.json import parse_object
+    p = views(spark, sf, "persons").where(valid_person_key(F.col("uuid")))
+    o = parse_object(F.col("occupancy"), "occupancy_basis string, rent_annual_amount string")
+    return p.select("uuid", o["occupancy_basis"].alias("occupancy_basis"),
+                    o["rent_annual_amount"].alias("rent_annual_amount"))
