@@ -50,8 +50,10 @@ def parse_object(c: Column, schema: str) -> Column:
 
 
 def unwrap_text(c: Column) -> Column:
-    """Like :func:`json_unwrap` with a single ``from_json`` of a one-field wrapper."""
-    return F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string")["v"]
+    """Like :func:`json_unwrap`: text that already is an object is used as is (no extra parse);
+    anything else goes through a one-field wrapper, which unescapes a JSON string holding JSON."""
+    wrapped = F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string")["v"]
+    return F.when(F.ltrim(c).startswith("{"), c).otherwise(wrapped)
 
 
 def point_coordinate(point_json: Column, index: int) -> Column:

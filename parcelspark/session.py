@@ -23,6 +23,9 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; above that size let Spark
+    # fall back from whole-stage codegen to per-expression code (Spark's advice for HotSpot).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
