@@ -101,16 +101,27 @@ def person_index(df: DataFrame, group: str, order: str, out: str = "person_index
                  num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order)``, skew-safe.
 
-    Exact (ties in ``order`` are broken by the range partitioner's order, as in
-    any row_number); no task has to hold a whole group.
+    Rows are range-partitioned on (group, order); the sampled range bounds split a
+    hot group over several slices.  The slices are materialised once with a
+    reliable ``checkpoint`` (the session's ``spark.checkpoint.dir``), because range
+    bounds come from a sample of an input whose row order is not deterministic:
+    the numbering and the slice sizes must see the same slices.  Each (group,
+    slice) is numbered on its own and shifted by the sizes of the earlier slices
+    of its group (a table with one row per slice).  Ties in ``order`` are broken
+    arbitrarily, as in any ``row_number``; a single (group, order) value cannot be
+    split.  Eager: runs one job when called.
     """
+    from parcelspark.session import ensure_checkpoint_dir
+
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, F.col(group), F.col(order))
-              .withColumn("_slice", F.spark_partition_id()))
+              .withColumn("_slice", F.spark_partition_id())
+              .checkpoint(eager=True))
     w_local = Window.partitionBy(group, "_slice").orderBy(order)
     local = ranged.withColumn("_local", F.row_number().over(w_local))
-    sizes = local.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = ranged.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     w_off = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "_slice", F.coalesce(F.sum("_size").over(w_off), F.lit(0)).alias("_offset"))
     return (local.join(offsets, [group, "_slice"], "inner")

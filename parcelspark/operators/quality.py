@@ -69,16 +69,19 @@ def fk_integrity(properties: DataFrame, persons: DataFrame, fk: str = "submissio
     """
     props = properties.select(F.col("uuid").alias("_k"))
     pers = persons.select(F.col(fk).alias("_k"), "individual_first_name", "business_name")
-    one = F.lit(1).alias("_one")
-    matched = (pers.join(props, "_k", "inner")
-               .agg(F.countDistinct("_k").alias("matching_properties"),
-                    F.count(F.lit(1)).alias("matching_persons")).select("*", one))
-    main = props.agg(F.count(F.lit(1)).alias("main_count")).select("*", one)
-    pstats = pers.agg(F.count(F.lit(1)).alias("person_count"),
-                      F.count_if(F.col("individual_first_name").isNotNull() | F.col("business_name").isNotNull())
-                      .alias("named_persons")).select("*", one)
-    # three single-row aggregates side by side
-    out = main.join(pstats, "_one").join(matched, "_one").drop("_one")
+
+    def metric(df, name, value):
+        return df.agg(value.alias("value")).select(F.lit(name).alias("metric"), "value")
+    matched = pers.join(props, "_k", "inner")
+    named = F.count_if(F.col("individual_first_name").isNotNull() | F.col("business_name").isNotNull())
+    long = (metric(props, "main_count", F.count(F.lit(1)))
+            .unionByName(metric(pers, "person_count", F.count(F.lit(1))))
+            .unionByName(metric(pers, "named_persons", named))
+            .unionByName(metric(matched, "matching_properties", F.countDistinct("_k")))
+            .unionByName(metric(matched, "matching_persons", F.count(F.lit(1)))))
+    names = ["main_count", "person_count", "named_persons", "matching_properties", "matching_persons"]
+    # five one-row aggregates side by side: a pivot of a five-row table, no join
+    out = long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
     verdict = (F.when(F.col("main_count") == 0, VERDICTS[0])
                .when(F.col("person_count") == 0, VERDICTS[1])
                .when(F.col("matching_properties") == 0, VERDICTS[2])
