@@ -172,7 +172,11 @@ def unified_from_nested(nested: DataFrame, as_of=None, key_map: dict[str, str] |
     persons_like = rows.select(F.col("uuid").alias("prop_uuid"), *[pick(c) for c in _PERSON_INPUTS])
     pf = U.person_fields(persons_like, as_of, json_mode="object", keep_placeholders=True)
     totals = U.property_totals(U.person_measures(persons_like, json_mode="object", keep_placeholders=True))
-    props = (U.property_fields(base.dropDuplicates(["uuid"]), as_of, survey_mode="chain")
+    # one row per property (a property split into chunks has several nested rows); only the property
+    # columns are shuffled, never the person arrays
+    prop_cols = ["uuid", "building_image_url", "address_plus_code_url", "property_location",
+                 "property_description", "end_json", "system_json"]
+    props = (U.property_fields(base.select(*prop_cols).dropDuplicates(["uuid"]), as_of, survey_mode="chain")
              .withColumn("building_image_url_html", F.lit(K.NESTED_BUILDING_IMAGE_HTML)))
     return U.assemble(pf, props, totals, NESTED_UNIFIED_COLUMNS, as_of, None, limit)
 

@@ -64,3 +64,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 1024, minimum: int = 200) -> int:
+    """Initial shuffle partitions for an input of ``input_bytes``: about ``target_bytes`` per task
+    (AQE then coalesces small ones and splits skewed ones).  100 TB -> ~800k partitions."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster run on top of :data:`SCALE_CONF`."""
+    n = shuffle_partitions_for(input_bytes)
+    return {**SCALE_CONF,
+            "spark.sql.shuffle.partitions": str(n),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+            "spark.sql.autoBroadcastJoinThreshold": "64MB",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB"}
