@@ -74,7 +74,8 @@ def url_expiry_epoch(url: Column) -> Column:
 
 
 def url_expiry_ts(url: Column) -> Column:
-    return F.timestamp_seconds(url_expiry_epoch(url)).cast("timestamp_ntz")
+    """Expiry as a UTC wall-clock ``timestamp_ntz`` (independent of the session time zone)."""
+    return F.timestamp_add("SECOND", url_expiry_epoch(url), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def url_needs_refresh(url: Column, now_epoch: int | Column, threshold_hours: float = K.REFRESH_THRESHOLD_HOURS) -> Column:
