@@ -23,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "unified_dataset",
+    "unified_from_nested",
     "tax_by_property",
     "nested_left_prefix",
     "person_index",

@@ -326,10 +326,39 @@ def assemble(pf: DataFrame, props_fields: DataFrame, totals: DataFrame, columns:
     }
     out = j.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in columns])
     if limit is not None:
+        keys = props.select("uuid").join(pf.select(F.col("prop_uuid").alias("uuid")), "uuid", "left_semi")
+        cutoff = key_cutoff(keys, "uuid", limit)
+        if cutoff is not None:
+            out = out.where(F.col("uuid") <= F.lit(cutoff))
         out = out.orderBy(F.col("uuid").asc_nulls_last(), F.col("person_uuid").asc_nulls_last()).limit(limit)
     return out
 
 
+def key_cutoff(keys: DataFrame, col: str, n: int, oversample: float = 3.0, seed: int = 17):
+    """A key ``c`` with at least ``n`` distinct keys ``<= c`` (or None when there are fewer than ``n``).
+
+    For an ordered top-``n`` over rows whose leading sort key is ``col`` and where
+    every key has at least one row, all top-``n`` rows have a key ``<= c``, so a
+    filter on ``c`` (pushed to scans, pruning range-partitioned files) shrinks the
+    candidates of the top-N merge from ``partitions x n`` to a few ``n``.  ``c``
+    comes from a bounded sample (about ``oversample * n`` keys reach the driver)
+    and is verified with a count; if the check fails there is no cutoff.
+    """
+    distinct = keys.select(col).where(F.col(col).isNotNull()).distinct()
+    total = distinct.count()
+    if total <= n:
+        return None
+    fraction = min(1.0, oversample * n / total)
+    sample = sorted(r[0] for r in distinct.sample(False, fraction, seed).collect())
+    rank = min(len(sample) - 1, int(n * fraction * 1.5))
+    if rank < 0:
+        return None
+    cand = sample[rank]
+    if distinct.where(F.col(col) <= F.lit(cand)).count() >= n:
+        return cand
+    return None
+
+
 def unified_dataset(properties: DataFrame, persons: DataFrame, as_of=DEFAULT_AS_OF, processed_at=None,
                     limit: int | None = None, form_url: str = K.DEFAULT_FORM_URL,
                     tax_rates: dict | None = None) -> DataFrame:

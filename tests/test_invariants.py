@@ -29,3 +29,16 @@ def test_invariants(spark):
     assert prefix.exceptAll(theta).count() == 0
     # quality score within 0..100
     assert u.where((F.col("data_quality_score") < 0) | (F.col("data_quality_score") > 100)).count() == 0
+
+
+def test_ordered_top_n_with_cutoff(spark):
+    from parcelspark.operators.unified import key_cutoff
+    props = survey_view(spark, SF_SMALL, "properties")
+    persons = survey_view(spark, SF_SMALL, "persons")
+    full = unified_dataset(props, persons).select("uuid", "person_uuid")
+    top = unified_dataset(props, persons, limit=100).select("uuid", "person_uuid").collect()
+    want = full.orderBy("uuid", "person_uuid").limit(100).collect()
+    assert [tuple(r) for r in top] == [tuple(r) for r in want]
+    keys = props.select("uuid")
+    c = key_cutoff(keys, "uuid", 20)
+    assert c is not None and keys.where(F.col("uuid") <= c).count() >= 20
