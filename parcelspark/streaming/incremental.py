@@ -90,3 +90,20 @@ def sync_status_stream(spark: SparkSession, history: str) -> DataFrame:
     """T9 as a streaming aggregation over the history log (use output mode ``update`` or ``complete``)."""
     h = spark.readStream.schema(SYNC_HISTORY_SCHEMA + ", batch_id bigint").parquet(history)
     return S.sync_fold(h)
+
+
+def hourly_perf_stream(spark: SparkSession, history: str, watermark: str = "2 hours") -> DataFrame:
+    """A15 in event time: successful attempts per (hour window, sync type) with a watermark, so the
+    state of an hour is dropped once attempts older than the watermark stop arriving."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    h = spark.readStream.schema(SYNC_HISTORY_SCHEMA + ", batch_id bigint").parquet(history)
+    # watermarks need an instant: the zone-less log time read as UTC (no session-zone dependence)
+    ok = (h.where(F.col("status") == "success")
+          .withColumn("event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("sync_timestamp"))))
+          .withWatermark("event_time", watermark))
+    agg = ok.groupBy(F.window("event_time", "1 hour").alias("w"), "sync_type").agg(
+        F.sum("duration_seconds").cast("bigint").alias("total_duration"),
+        F.count("duration_seconds").alias("attempts_timed"),
+        F.sum("records_processed").cast("bigint").alias("total_records"))
+    return agg.select(F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), epoch).alias("hour"),
+                      "sync_type", "total_duration", "attempts_timed", "total_records")

@@ -55,3 +55,19 @@ def test_status_stream(spark, scratch):
     q.stop()
     row = spark.sql("select * from status_test").first()
     assert row["successful_sync_count"] == 2 and row["last_records_processed"] == inc.count()
+
+
+def test_hourly_perf_stream_matches_batch(spark, scratch):
+    hist = survey_view(spark, SF_SMALL, "sync_history")
+    hist.withColumn("batch_id", F.lit(0).cast("bigint")).write.parquet(f"{scratch}/h/batch_id=0")
+    s = ST.hourly_perf_stream(spark, f"{scratch}/h")
+    q = s.writeStream.outputMode("complete").format("memory").queryName("perf_test").start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.sql("select hour, sync_type, total_duration, attempts_timed, total_records from perf_test")
+    want = (hist.where("status = 'success'")
+            .groupBy(F.date_trunc("hour", "sync_timestamp").cast("timestamp_ntz").alias("hour"), "sync_type")
+            .agg(F.sum("duration_seconds").cast("bigint").alias("total_duration"),
+                 F.count("duration_seconds").alias("attempts_timed"),
+                 F.sum("records_processed").cast("bigint").alias("total_records")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
