@@ -99,6 +99,7 @@ DECODE_MAX_ROUNDS = 10
 SIGNED_URL_SECONDS = 86400
 
 # ---- FIXED VALUES: storage layout for attachments ----
+ATTACHMENT_BASE_FOLDER = "odk_images"
 ATTACHMENT_FOLDERS = {"building_image": "building-images", "address_plus_code": "address-plus-code-images"}
 ATTACHMENT_DEFAULT_FOLDER = "building-images"
 PLACEHOLDER_FOLDER = "placeholders"

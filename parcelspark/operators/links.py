@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from parcelspark import constants as K
 from parcelspark.functions.json import jget, top_level_value_by_name
 
-# FIXED VALUES: styled image HTML and card HTML pieces.
+# FIXED VALUES: styled image HTML and card HTML pieces (the storage folders are in constants).
 STYLED_IMG = ('<img src="{url}"\n                        style="max-width: 100%; height: auto; border-radius: 4px;\n'
               '                        box-shadow: 0 2px 4px rgba(0,0,0,0.1);"\n'
               '                        onerror="this.style.display=\'none\'" />')
 CARD_STYLE = 'style="object-fit: cover; border-radius: 4px; max-width: 100%;" loading="lazy" alt="Building Image" />'
-DEFAULT_BASE_FOLDER = "odk_images"
+DEFAULT_BASE_FOLDER = K.ATTACHMENT_BASE_FOLDER
 
 
 def nonblank(c: Column) -> Column:

@@ -144,7 +144,7 @@ def union_placeholder(spark, sf):
 
 
 @register("object_key", D.with_views("properties") + f"""
-SELECT uuid, field, 'odk_images/' || CASE field WHEN 'building_image' THEN 'building-images'
+SELECT uuid, field, '{K.ATTACHMENT_BASE_FOLDER}/' || CASE field WHEN 'building_image' THEN 'building-images'
   WHEN 'address_plus_code' THEN 'address-plus-code-images' ELSE 'building-images' END || '/' || uuid || '-' || f
   AS object_key
 FROM (SELECT uuid, 'building_image' AS field, 'b.jpg' AS f FROM properties
