@@ -64,7 +64,10 @@ def persons_rollup(persons: DataFrame, key: str = "prefix", chunk_size: int = DE
          .withColumn("person_chunk",
                      F.when(F.col("_chunks").isNull(), F.lit(0))
                      .otherwise(F.pmod(F.xxhash64("uuid"), F.col("_chunks"))).cast("int")))
-    return (p.groupBy("prop_uuid", "person_chunk")
+    # Distribute on (property, chunk) explicitly: grouping would otherwise reuse a partitioning on the
+    # property alone (e.g. from the join above) and put every chunk of a hot property into one task.
+    return (p.repartition("prop_uuid", "person_chunk")
+            .groupBy("prop_uuid", "person_chunk")
             .agg(F.count(F.lit(1)).alias("person_count"),
                  F.sort_array(F.collect_list(person_struct())).alias("person_details")))
 
@@ -74,11 +77,15 @@ def nested_dataset(properties: DataFrame, persons: DataFrame, key: str = "prefix
     """Every property, persons as an array (``[]`` when none), plus the image HTML."""
     rolled = persons_rollup(persons, key, chunk_size)
     empty = F.array().cast(rolled.schema["person_details"].dataType)
-    return (properties.join(rolled, properties["uuid"] == rolled["prop_uuid"], "left")
-            .drop("prop_uuid")
-            .withColumn("person_chunk", F.coalesce(F.col("person_chunk"), F.lit(0)))
-            .withColumn("person_count", F.coalesce(F.col("person_count"), F.lit(0).cast("bigint")))
-            .withColumn("person_details", F.coalesce(F.col("person_details"), empty))
+    # Inner join for properties with persons (AQE may split a hot property's chunk rows, which an outer
+    # join would not allow on its non-preserved side) plus an anti join for the properties without any.
+    with_persons = properties.join(rolled, properties["uuid"] == rolled["prop_uuid"], "inner").drop("prop_uuid")
+    keys = rolled.select(F.col("prop_uuid").alias("uuid")).distinct()
+    without = (properties.join(keys, "uuid", "left_anti")
+               .withColumn("person_chunk", F.lit(0))
+               .withColumn("person_count", F.lit(0).cast("bigint"))
+               .withColumn("person_details", empty))
+    return (with_persons.unionByName(without)
             .withColumn("building_image_url_html", T.img_html(F.col("building_image_url"))))
 
 

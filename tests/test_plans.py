@@ -50,3 +50,22 @@ def test_no_python_udfs_anywhere(spark):
               "persons_rollup", "decode_key_fixpoint"]:
         p = physical(qs[k](spark, SF_SMALL))
         assert "PythonUDF" not in p and "EvalPython" not in p, k
+
+
+def test_rollup_spreads_chunks_and_nested_join_is_splittable(spark):
+    from parcelspark.operators import nested as N
+    from parcelspark.sources.survey_views import survey_view
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        props = survey_view(spark, SF_SMALL, "properties")
+        persons = survey_view(spark, SF_SMALL, "persons")
+        p = physical(N.persons_rollup(persons))
+        assert re.search(r"Exchange hashpartitioning\(prop_uuid#\d+, person_chunk#\d+", p), p
+        n = physical(N.nested_dataset(props, persons))
+        # properties x rollup is an inner join (AQE may split the chunk side); person-less properties
+        # come from an anti join
+        assert re.search(r"SortMergeJoin \[uuid#\d+\], \[prop_uuid#\d+\], Inner", n) and "LeftAnti" in n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
