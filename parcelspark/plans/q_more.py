@@ -223,3 +223,12 @@ SELECT sync_type, successful_sync_count, failed_sync_count, last_sync_status, la
     lambda spark, sf: S.sync_fold(views(spark, sf, "sync_history")).select(
         "sync_type", "successful_sync_count", "failed_sync_count", "last_sync_status", "last_attempt_timestamp",
         "last_records_processed"))
+
+
+@register("layout_unified", f"SELECT * FROM ({UNIFIED_SQL}) u")
+def layout_unified(spark, sf):
+    """The wide table in its write layout (range-partitioned on district and property, sorted by
+    property and person inside each file); same rows as the flagship."""
+    from parcelspark.operators.sinks import layout_unified as lay
+    props, persons = views(spark, sf, "properties", "persons")
+    return lay(U.unified_dataset(props, persons, as_of=AS_OF))
