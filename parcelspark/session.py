@@ -61,8 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if path:
         return path
     path = tempfile.mkdtemp(prefix="parcelspark-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    try:  # record it for readers of the conf; some deployments reject setting core confs at runtime
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
