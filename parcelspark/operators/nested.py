@@ -80,7 +80,8 @@ def nested_dataset(properties: DataFrame, persons: DataFrame, key: str = "prefix
     # Inner join for properties with persons (AQE may split a hot property's chunk rows, which an outer
     # join would not allow on its non-preserved side) plus an anti join for the properties without any.
     with_persons = properties.join(rolled, properties["uuid"] == rolled["prop_uuid"], "inner").drop("prop_uuid")
-    keys = rolled.select(F.col("prop_uuid").alias("uuid")).distinct()
+    k, ok = rollup_key(key)
+    keys = persons.where(ok).select(k.alias("uuid"))  # the anti join only needs the key set
     without = (properties.join(keys, "uuid", "left_anti")
                .withColumn("person_chunk", F.lit(0))
                .withColumn("person_count", F.lit(0).cast("bigint"))

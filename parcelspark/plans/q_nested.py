@@ -226,8 +226,13 @@ def filter_named_persons_strict(spark, sf):
 
 @register("unified_from_nested", O.nested_unified_sql())
 def unified_from_nested(spark, sf):
+    """The nested table is a stored table in the original; it is written once here (a reliable checkpoint
+    in the session's checkpoint folder) and the variant's three branches read it."""
+    from parcelspark.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     props, persons = views(spark, sf, "properties", "persons")
-    return N.unified_from_nested(N.nested_dataset(props, persons, key="prefix"), as_of=AS_OF)
+    nested = N.nested_dataset(props, persons, key="prefix").checkpoint(eager=True)
+    return N.unified_from_nested(nested, as_of=AS_OF)
 
 
 @register("survey_date_chain", D.with_views("properties") + f"""
