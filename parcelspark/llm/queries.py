@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, toxicity
+from parcelspark.llm import decontaminate, packing, token_files, toxicity
+from parcelspark.llm._blocks import checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +19,19 @@ def _remainder(m: int):
     return F.crc32(F.col("doc_id").cast("string")) % m
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the box keeps a public tokenizer; the operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, tokenizer_file("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, folder)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -28,8 +44,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op8_packing": op8_packing,
 }
 SQL: dict[str, str] = {}
