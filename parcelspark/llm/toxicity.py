@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.llm import _text as T
 
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 3000
 MAX_FEATURES = 8192
 PREFIXES = (4, 5, 6)
 # Terms of one group may stand for each other in a counterfactual.
@@ -110,16 +110,21 @@ def fit(feats: list[np.ndarray], toxic: np.ndarray, other: list[np.ndarray], pen
     if not n1 or not n0:
         p = min(max(n1 / max(1, len(toxic)), 1e-6), 1 - 1e-6)
         return {"keys": np.zeros(0, T.U), "weights": np.zeros(0), "bias": float(np.log(p / (1 - p)))}
-    flat = np.concatenate(feats) if feats else np.zeros(0, T.U)
-    row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    keys, inv = np.unique(flat, return_inverse=True)
-    pos = np.bincount(inv, toxic[row], len(keys))
-    neg = np.bincount(inv, None, len(keys)) - pos
+    # features are distinct within a row, so sorted occurrences count rows; one class at a time bounds the driver's memory
+    keys, seen = np.unique(np.concatenate([f for f, t in zip(feats, toxic, strict=True) if t]), return_counts=True)
+    pos = seen.astype(float)
+    rest, seen = np.unique(np.concatenate([f for f, t in zip(feats, toxic, strict=True) if not t]), return_counts=True)
+    both = np.union1d(keys, rest)
+    at, neg = np.searchsorted(both, keys), np.zeros(len(both))
+    neg[np.searchsorted(both, rest)] = seen
+    pos = np.bincount(at, pos, len(both))
+    keys = both
+    del rest, seen, at, both
     # how far a feature's share of toxic texts is from its share of others, in standard errors
     p1, p0, p = pos / n1, neg / n0, (pos + neg) / len(toxic)
     z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     z[pos + neg < 3] = 0
-    keep = np.sort(np.argsort(-z, kind="stable")[: min(max_features, int((z >= 4).sum()))])
+    keep = np.sort(np.argsort(-z, kind="stable")[: min(max_features, int((z >= 5).sum()))])
     keys = keys[keep]
 
     def chosen(which: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
