@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
@@ -36,11 +36,12 @@ def n_blocks(docs: DataFrame, text_col: str, block_bytes: int) -> int:
     return int(max(1, -(-total // block_bytes)))
 
 
-def blocked(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """``doc_id, text, block`` (and the whole input row as ``row`` when ``carry``)."""
+def blocked(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, extra: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id, text, block``, the ``extra`` columns (and rest of the row as ``row`` when ``carry``)."""
     cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     if carry:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
+    cols += [c.alias(n) for n, c in (extra or {}).items()]
     # a null id is spread by its text, so that many of them fill many blocks
     spread = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
     return docs.select(*cols, F.pmod(spread, F.lit(blocks)).cast("int").alias("block"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, packing, substring_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, lm, packing, substring_dedup, token_files, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -54,11 +54,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("train", F.coalesce(_remainder(7) != 2, F.lit(True)))
+    scored = lm.score_texts(docs, "train")
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 SQL: dict[str, str] = {}
