@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, lm, packing, substring_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, jaccard_join, lm, packing, substring_dedup, token_files, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -32,6 +32,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -62,6 +66,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
