@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, jaccard_join, lm, packing, substring_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, lm, packing, substring_dedup, token_files, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -64,6 +64,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_components(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_jaccard_join": op2_jaccard_join,
@@ -72,5 +76,6 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 SQL: dict[str, str] = {}
