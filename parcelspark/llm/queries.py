@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, lm, packing, substring_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, lm, packing, substring_dedup, suffix_dedup, token_files, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -53,6 +53,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_dedup": op10_embedding_dedup,
