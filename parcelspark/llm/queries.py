@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, lm, packing, substring_dedup, suffix_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, licences, lm, packing, substring_dedup, suffix_dedup, token_files, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -36,6 +36,40 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(licences.document_files(_table(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("file_id", "doc_id")
+
+
+def _licence_sql() -> str:
+    """The same scan for DuckDB, every line against every template, without the prefilter."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    low = lambda c: f"translate({c}, '{licences.UPPER}', '{licences.LOWER}')"
+    names = ", ".join(f"({quote(n)}, {quote(' '.join(licences.words_of(t)))})" for n, t in licences.TEMPLATES.items())
+    return f"""
+WITH files AS (
+  SELECT doc_id, text, concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'), coalesce(CAST(doc_id // 1000 AS VARCHAR), 'unknown')) AS dir,
+    CASE WHEN regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]e|rights reserved') THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
+  FROM documents),
+tw AS (SELECT n, w, count(*) AS tf FROM (SELECT n, unnest(string_split(t, ' ')) AS w FROM (VALUES {names}) v(n, t)) GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT w, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all({low("text")}, '[a-z0-9]+'))) AS w FROM documents) WHERE w IN (SELECT w FROM tw) GROUP BY w),
+idf AS (SELECT DISTINCT tw.w, ln((1 + total.n) / (1 + coalesce(df.df, 0))) + 1 AS idf FROM tw LEFT JOIN df USING (w), total),
+tv AS (SELECT n, w, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY n)) AS y FROM tw JOIN idf USING (w)),
+lines AS (SELECT doc_id, unnest(string_split({low("text")}, chr(10))) AS text, generate_subscripts(string_split({low("text")}, chr(10)), 1) AS line FROM documents),
+terms AS (SELECT doc_id, line, w, count(*) AS tf FROM (SELECT doc_id, line, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS w FROM lines) GROUP BY ALL),
+lv AS (SELECT doc_id, line, w, tf * coalesce(idf.idf, ln(1 + total.n) + 1) AS x FROM terms LEFT JOIN idf USING (w), total),
+norms AS (SELECT doc_id, line, sum(x * x) AS norm FROM lv GROUP BY ALL),
+scores AS (SELECT doc_id, line, n, round(sum(x * y) / sqrt(any_value(norm)), 6) AS score FROM lv JOIN tv USING (w) JOIN norms USING (doc_id, line) GROUP BY ALL),
+own AS (SELECT doc_id, n AS licence, score FROM scores WHERE score >= {licences.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, n DESC, line) = 1),
+placed AS (SELECT files.*, dir || '/' || name AS path, own.licence, own.score FROM files LEFT JOIN own USING (doc_id)),
+cover AS (SELECT dir AS up, licence AS dl, score AS ds, path AS dp FROM placed WHERE licence IS NOT NULL AND regexp_matches(name, '{licences.LICENCE_FILE}') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, licence) = 1),
+near AS (SELECT d.dir, dl, ds, dp FROM (SELECT DISTINCT dir FROM placed) d JOIN cover ON d.dir = cover.up OR starts_with(d.dir, cover.up || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(cover.up) DESC) = 1)
+SELECT doc_id, path, coalesce(licence, dl) AS licence, CASE WHEN licence IS NOT NULL THEN score ELSE ds END AS score,
+  CASE WHEN licence IS NOT NULL THEN 'header' WHEN dl IS NOT NULL THEN 'directory' END AS origin, CASE WHEN licence IS NOT NULL THEN path ELSE dp END AS from_path
+FROM placed LEFT JOIN near USING (dir)"""
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -76,6 +110,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_licence_scan": op3_licence_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
@@ -84,4 +119,4 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_licence_scan": _licence_sql()}
