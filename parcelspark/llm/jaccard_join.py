@@ -8,8 +8,8 @@ equal sets form a class; only the class's least id goes on.
 * *Large* sets deal their shingles into ``H + 1`` parts by hash, where ``H`` is the
   greatest symmetric difference that a linked pair of that size band can have, and
   scan the inverted list of each part's content: two linked sets agree on a
-  whole part (pigeonhole).  Parts of at most two shingles select little; there the
-  key is made of two such parts, or of the parities of all other part sizes, which
+  whole part (pigeonhole).  Parts of few shingles (none, or up to two where
+  parts are large) select little; there the key is made of two such parts, or of the parities of all other part sizes, which
   must then differ in every part.
 * The boundary is the size up to which enumerating costs less than scanning, from
   the histogram of small sizes.
@@ -17,7 +17,9 @@ equal sets form a class; only the class's least id goes on.
 Lists give star edges (least id, member), not pairs; the groups they span contain
 all linked pairs.  A group up to ``group_bytes`` is solved exactly in one task: its
 sets are compared with one pivot after another, and members once reached are never
-compared again.  Larger groups lie in chunks: every round compares pivots with
+compared again.  Larger groups first lose the sets that share too few shingles with
+any other of their group, and what stays is grouped anew by other parts; groups
+that are still too large lie in chunks: every round compares pivots with
 all chunks, until each member outside the largest component has been a pivot.
 
 No words, or a null text: an empty set, linked with nothing.  Fewer words than the
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -43,6 +46,7 @@ from parcelspark.llm._components import components
 
 SHINGLE, PERCENT = 3, 90
 GROUP_BYTES = 16 << 20
+STEP = 4 << 20
 LARGEST_SMALL = 30
 SETS = "doc_id long, n long, d1 long, d2 long"
 
@@ -74,17 +78,29 @@ def _sums(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _set_digests(doc: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return tuple(_sums(doc, T.mix(key + T.U(s)), n).view(np.int64) for s in (0x51, 0xA7))
+
+
 def _digests(shingle: int):
-    def run(table: pa.Table) -> pa.Table:
-        doc, key = shingle_sets(table.column("text"), shingle)
-        n = table.num_rows
-        with np.errstate(over="ignore"):
-            d = [_sums(doc, T.mix(key + T.U(s)), n).view(np.int64) for s in (0x51, 0xA7)]
-        return pa.table({"doc_id": table.column("doc_id"), "n": pa.array(np.bincount(doc, minlength=n).astype(np.int64)), "d1": pa.array(d[0]), "d2": pa.array(d[1])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            doc, key = shingle_sets(part.column(1), shingle)
+            d1, d2 = _set_digests(doc, key, part.num_rows)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.bincount(doc, minlength=part.num_rows).astype(np.int64)), pa.array(d1), pa.array(d2)], names=["doc_id", "n", "d1", "d2"])
 
     return run
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc_id, text) in shares of a few megabytes."""
+    for batch in batches:
+        _, off = T.buffer_of(batch.column(1))
+        for a, b in T.slices(off, STEP):
+            yield batch.slice(a, b - a)
+
+
 def overlap_needed(n: int, m: int, percent: int) -> int:
     """Least shared shingles of linked sets of sizes n and m."""
     return -(-percent * (n + m) // (100 + percent))
@@ -97,8 +113,10 @@ def largest_partner(n: int, percent: int) -> int:
 class Scheme:
     """Which keys a set of a given size has."""
 
-    def __init__(self, boundary: int, largest: int, percent: int):
-        self.boundary, self.largest, self.percent = boundary, largest, percent
+    def __init__(self, boundary: int, largest: int, percent: int, seed: int = 0):
+        self.boundary, self.largest, self.percent, self.seed = boundary, largest, percent, seed
+        # a part holds (100 + percent) / 2 / (100 - percent) shingles on average
+        self.weak = 2 if 100 + percent >= 16 * (100 - percent) else 0
         self.starts = [boundary + 1]
         while self.starts[-1] <= largest:
             self.starts.append(max(self.starts[-1] + 1, largest_partner(self.starts[-1], percent) + 1))
@@ -173,7 +191,7 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
             row = np.full(n_docs, -1)
             row[mine] = np.arange(len(mine))
             at = np.flatnonzero(row[doc] >= 0)
-            part = (T.mix(key[at] ^ T.U(0x5EED)) % T.U(parts)).astype(np.int64)
+            part = (T.mix(key[at] ^ T.U(0x5EED + 2 * scheme.seed)) % T.U(parts)).astype(np.int64)
             cell = row[doc[at]] * parts + part
             order = np.argsort(cell, kind="stable")
             cells, head = np.unique(cell[order], return_index=True)
@@ -182,7 +200,7 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
             digest[cells] = np.add.reduceat(mixed[at][order], head) if len(cells) else 0
             number = np.tile(np.arange(parts, dtype=np.int64), len(mine)).astype(T.U)
             content = T.mix(digest + T.mix(number + T.U(band * 1_000_003 + 1)))
-            strong = count > 2
+            strong = count > scheme.weak
             out_doc.append(np.repeat(mine, parts)[strong])
             out_key.append(content[strong])
             # weak parts: with one more weak part, or with the parities of all other part sizes
@@ -208,25 +226,29 @@ def _by_row(cells: np.ndarray, parts: int):
         yield int(r), [int(c) for c in cells[a:b]]
 
 
-def _chosen(table: pa.Table, picked: pa.Table) -> pa.Table:
-    """The rows of a block that stand for a class, one for each class."""
-    ids = np.unique(picked.column("doc_id").to_numpy()) if picked.num_rows else np.zeros(0, np.int64)
-    at = np.flatnonzero(T.in_sorted(T.ids_of(table.column("doc_id")), ids) >= 0)
-    return table.take(pa.array(at))
+def _packed_keys(doc: np.ndarray, key: np.ndarray, ids: np.ndarray, scheme: Scheme, buckets: int) -> pa.RecordBatch:
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
+    doc, key = signature_keys(doc, key, len(ids), scheme)
+    bucket = ((key >> T.U(13)) % T.U(buckets)).astype(np.int64)
+    return pa.RecordBatch.from_pylist([{"bucket": b, **x} for b, x in B.pack({"keys": key, "docs": ids[doc]}, bucket, buckets)], schema=schema)
 
 
 def _ask_lists(shingle: int, scheme: Scheme, buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
-
-    def run(table: pa.Table, picked: pa.Table) -> pa.Table:
-        table = _chosen(table, picked)
-        if not table.num_rows:
-            return schema.empty_table()
-        doc, key = shingle_sets(table.column("text"), shingle)
-        ids = T.ids_of(table.column("doc_id"))
-        doc, key = signature_keys(doc, key, table.num_rows, scheme)
-        bucket = ((key >> T.U(13)) % T.U(buckets)).astype(np.int64)
-        return B.rows(schema, [{"bucket": b, **x} for b, x in B.pack({"keys": key, "docs": ids[doc]}, bucket, buckets)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            doc, key = shingle_sets(part.column(1), shingle)
+            ids = T.ids_of(part.column(0))
+            # equal sets of a share: the least id goes on
+            d1, d2 = _set_digests(doc, key, part.num_rows)
+            order = np.lexsort((ids, d2, d1))
+            rep = np.ones(len(order), bool)
+            rep[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
+            keep = np.zeros(len(ids), bool)
+            keep[order[rep]] = True
+            keep &= ids != T.NO_DOC
+            row = np.cumsum(keep) - 1
+            on = keep[doc]
+            yield _packed_keys(row[doc[on]], key[on], ids[keep], scheme, buckets)
 
     return run
 
@@ -244,7 +266,8 @@ def _list_edges(table: pa.Table) -> pa.Table:
 
 def _send_sets(shingle: int):
     def run(table: pa.Table, picked: pa.Table) -> pa.Table:
-        table = _chosen(table, picked)
+        ids = np.unique(picked.column("doc_id").to_numpy()) if picked.num_rows else np.zeros(0, np.int64)
+        table = table.take(pa.array(np.flatnonzero(T.in_sorted(T.ids_of(table.column("doc_id")), ids) >= 0)))
         group = dict(zip(picked.column("doc_id").to_pylist(), picked.column("grp").to_pylist(), strict=True))
         doc, key = shingle_sets(table.column("text"), shingle)
         edge = np.searchsorted(doc, np.arange(table.num_rows + 1))
@@ -260,16 +283,32 @@ def linked(pivot: np.ndarray, flat: np.ndarray, owner: np.ndarray, size: np.ndar
     return 100 * both >= percent * (len(pivot) + size - both)
 
 
+def can_link(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Sets that hold enough shingles which occur in another set of the group, until no more drop out."""
+    left = np.arange(len(sets))
+    while len(left):
+        size = np.array([len(sets[i]) for i in left])
+        flat, owner = np.concatenate([sets[i] for i in left]), np.repeat(np.arange(len(left)), size)
+        _, which, n = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = np.bincount(owner, n[which] > 1, len(left))
+        ok = 100 * shared >= percent * size
+        if ok.all():
+            break
+        left = left[ok]
+    return left
+
+
 def solve_group(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Component number of each set, by growing components from pivots over what no pivot has reached."""
     size = np.array([len(s) for s in sets])
-    out = np.full(len(sets), -1)
-    left = np.arange(len(sets))
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    number = 0
+    out = np.arange(len(sets))
+    left = can_link(sets, percent)
+    if not len(left):
+        return out
+    flat, owner = np.concatenate([sets[i] for i in left]), np.repeat(left, size[left])
     while len(left):
         front, left = [int(left[0])], left[1:]
-        out[front[0]] = number
+        number = front[0]
         while front and len(left):
             row = np.full(len(sets), -1)
             row[left] = np.arange(len(left))
@@ -279,7 +318,6 @@ def solve_group(sets: list[np.ndarray], percent: int) -> np.ndarray:
             out[left[hit]] = number
             front += left[hit].tolist()
             left = left[~hit]
-        number += 1
     return out
 
 
@@ -354,37 +392,87 @@ def _hot_groups(rows: DataFrame, sizes: DataFrame, percent: int, group_bytes: in
     return found
 
 
+def _as_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for s in range(0, batch.num_rows, 500):
+            part = batch.slice(s, 500)
+            blobs = [x.as_py() for x in part.column(2)]
+            edge = np.cumsum([0, *(len(x) // 8 for x in blobs)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(edge), pa.array(np.frombuffer(b"".join(blobs), np.int64)))], names=["grp", "doc_id", "shingles"])
+
+
+def _ask_again(scheme: Scheme, buckets: int):
+    """Keys of known sets; those of different groups never meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, batch.num_rows, 500):
+                part = batch.slice(s, 500)
+                sets = B.column(part, "keys", T.U)
+                doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                yield _packed_keys(doc, np.concatenate(sets), T.ids_of(part.column(1)), scheme, buckets)
+
+    return run
+
+
+def _split_large(rows: DataFrame, scheme: Scheme, percent: int, buckets: int) -> DataFrame:
+    """Large groups without the sets that share too little with all others, grouped anew by other parts; ``grp, doc_id, keys``."""
+    spark = rows.sparkSession
+    base = f"{B.checkpoint_dir(spark)}/large-{uuid.uuid4().hex}"
+    each = rows.mapInArrow(_as_numbers, "grp long, doc_id long, shingles array<long>").select("grp", "doc_id", F.explode("shingles").alias("s"))
+    common = each.groupBy("grp", "s").agg(F.count("*").alias("n")).where("n > 1").select("grp", "s")
+    shared = each.join(common, ["grp", "s"]).groupBy("grp", "doc_id").agg(F.count("*").alias("shared"))
+    kept = rows.join(shared, ["grp", "doc_id"]).where(100 * F.col("shared") >= percent * (F.octet_length("keys") / 8)).drop("shared")
+    kept.write.parquet(f"{base}/kept")
+    kept = spark.read.parquet(f"{base}/kept")
+    lists = kept.mapInArrow(_ask_again(scheme, buckets), "bucket int, keys binary, docs binary")
+    again = components(B.per_bucket(lists, _list_edges, "a long, b long"))
+    return kept.join(again, F.col("doc_id") == F.col("node")).select(F.col("component").alias("grp"), "doc_id", "keys")
+
+
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = B.BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, class_id`` (least id with the same set), ``component_id``."""
     spark = docs.sparkSession
     base = f"{B.checkpoint_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     blocks = B.n_blocks(docs, text_col, block_bytes)
-    dealt = B.blocked(docs, blocks, id_col, text_col)
-    own = dealt.groupBy("block")
-    own.applyInArrow(_digests(shingle), SETS).write.parquet(f"{base}/sets")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts.mapInArrow(_digests(shingle), SETS).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
     real = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
     small = {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * LARGEST_SMALL).groupBy("n").count().collect()}
     largest = classes.agg(F.max("n").alias("n")).first()["n"] or 0
-    scheme = Scheme(choose_boundary(small, percent), largest, percent)
-    block_of = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).cast("int").alias("block")
-    picked = classes.select(F.col("class_id").alias("doc_id")).select("doc_id", block_of)
-    lists = own.cogroup(picked.groupBy("block")).applyInArrow(_ask_lists(shingle, scheme, blocks), "bucket int, keys binary, docs binary")
+    boundary = choose_boundary(small, percent)
+    lists = texts.mapInArrow(_ask_lists(shingle, Scheme(boundary, largest, percent), blocks), "bucket int, keys binary, docs binary")
     groups = components(B.per_bucket(lists, _list_edges, "a long, b long"))
     members = groups.join(classes.withColumnRenamed("class_id", "node"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n")
-    members.write.parquet(f"{base}/members")
+    several = members.groupBy("grp").agg(F.countDistinct("doc_id").alias("c")).where("c > 1").select("grp")
+    members.join(several, "grp").write.parquet(f"{base}/members")
     members = spark.read.parquet(f"{base}/members")
-    sizes = members.groupBy("grp").agg((8 * F.sum("n")).alias("bytes"))
-    total = sizes.agg(F.sum("bytes").alias("n"), F.max("bytes").alias("most")).first()
-    sent = own.cogroup(members.select("doc_id", "grp", block_of).groupBy("block")).applyInArrow(_send_sets(shingle), "grp long, doc_id long, keys binary")
+    # only now do texts move: the sets of the members go to their groups
+    dealt = B.blocked(docs, blocks, id_col, text_col)
+    block_of = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).cast("int").alias("block")
+    sent = dealt.groupBy("block").cogroup(members.select("doc_id", "grp", block_of).groupBy("block")).applyInArrow(_send_sets(shingle), "grp long, doc_id long, keys binary")
     sent.write.parquet(f"{base}/sent")
     sent = spark.read.parquet(f"{base}/sent")
-    light = sent.join(sizes.where(F.col("bytes") <= group_bytes).select("grp"), "grp")
-    shares = F.lit(4 * math.ceil(max(1, total["n"] or 0) / group_bytes))
-    links = light.withColumn("share", F.pmod(F.xxhash64("grp"), shares)).groupBy("share").applyInArrow(_solve(percent), "a long, b long")
+    sizes = sent.groupBy("grp").agg(F.sum(F.octet_length("keys")).alias("bytes"))
+    total = sizes.agg(F.sum("bytes").alias("n"), F.max("bytes").alias("most")).first()
+
+    def within(rows: DataFrame, weights: DataFrame) -> DataFrame:
+        light = rows.join(weights.where(F.col("bytes") <= group_bytes).select("grp"), "grp")
+        shares = F.lit(4 * math.ceil(max(1, total["n"] or 0) / group_bytes))
+        return light.withColumn("share", F.pmod(F.xxhash64("grp"), shares)).groupBy("share").applyInArrow(_solve(percent), "a long, b long")
+
+    links = within(sent, sizes)
     if (total["most"] or 0) > group_bytes:
-        links = links.union(_hot_groups(sent, sizes.where(F.col("bytes") > group_bytes), percent, group_bytes))
+        large = sent.join(sizes.where(F.col("bytes") > group_bytes).select("grp"), "grp")
+        _split_large(large, Scheme(boundary, largest, percent, seed=1), percent, blocks).write.parquet(f"{base}/split")
+        split = spark.read.parquet(f"{base}/split")
+        weights = split.groupBy("grp").agg(F.sum(F.octet_length("keys")).alias("bytes"))
+        links = links.union(within(split, weights))
+        still = weights.where(F.col("bytes") > group_bytes)
+        if not still.isEmpty():
+            links = links.union(_hot_groups(split, still, percent, group_bytes))
     # rows that share an id but not a set are joined through the id
     named = real.join(classes, ["n", "d1", "d2"])
     repeated = named.groupBy("doc_id").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low <> high").select("doc_id")
