@@ -28,7 +28,7 @@ from parcelspark.llm import _text as T
 from parcelspark.llm._blocks import checkpoint_dir
 
 CAPACITY = 2048
-SLICE_ROWS = 20_000
+SLICE_ROWS = 500
 
 
 def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
