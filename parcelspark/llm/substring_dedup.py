@@ -181,7 +181,7 @@ def kept_texts(words: T.Words, keep: np.ndarray) -> pa.Array:
     return pa.array([text[a : max(a, b - 1)].decode("utf-8", "replace") for a, b in zip(off, off[1:], strict=False)], pa.string())
 
 
-def _parse(window: int, columns: list[str]):
+def _parse(window: int, columns: list[str], keep_text: bool):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(table, window, spans=True)
         got = [np.concatenate(x) if (x := B.column(answers, n, t)) else np.zeros(0, t) for n, t in (("keys", T.U), ("docs", np.int64), ("places", np.int32))]
@@ -200,13 +200,15 @@ def _parse(window: int, columns: list[str]):
         }
         if "row" in columns:
             cols["row"] = table.column("row")
+        if keep_text:
+            cols["original"] = table.column("text")
         return pa.table(cols)
 
     return run
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_removed, factors, text`` (the kept words; and ``row`` when ``carry``)."""
+def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, keep_text: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_removed, factors, text`` (the kept words), ``row`` when ``carry``, ``original`` (the text as it was) when ``keep_text``."""
     blocks = B.n_blocks(docs, text_col, block_bytes)
     dealt = B.blocked(docs, blocks, id_col, text_col, carry)
     own = dealt.groupBy("block")
@@ -217,4 +219,6 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     schema = "doc_id long, n_words long, n_removed long, factors array<struct<start:int,length:int,ref_doc:long,ref_start:int>>, text string"
     if carry:
         schema += f", row {dealt.schema['row'].dataType.simpleString()}"
-    return own.cogroup(first.groupBy("block")).applyInArrow(_parse(window, dealt.columns), schema)
+    if keep_text:
+        schema += ", original string"
+    return own.cogroup(first.groupBy("block")).applyInArrow(_parse(window, dealt.columns, keep_text), schema)
