@@ -382,8 +382,9 @@ def _hot_groups(rows: DataFrame, sizes: DataFrame, percent: int, group_bytes: in
         chosen = spark.read.parquet(f"{base}/pivots-{step}")
         if open_groups.isEmpty():
             break
-        held = rows.join(chosen, ["grp", "doc_id"]).select("grp", "doc_id", "keys")
-        copies = held.join(rows.select("grp", "chunk").distinct(), "grp")
+        sets = spark.read.parquet(f"{base}/rows")  # read anew: columns of its own beside those of rows
+        held = sets.join(chosen, ["grp", "doc_id"]).select("grp", "doc_id", "keys")
+        copies = held.join(sets.select("grp", "chunk").distinct(), "grp")
         links = rows.groupBy("grp", "chunk").cogroup(copies.groupBy("grp", "chunk")).applyInArrow(_against_pivots(percent), schema)
         links.where("a <> b").write.parquet(f"{base}/links-{step}")
         found = found.union(spark.read.parquet(f"{base}/links-{step}"))
@@ -479,4 +480,5 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     through = named.join(repeated, "doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.union(through))
     named = sets.join(classes, ["n", "d1", "d2"], "left").join(final.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component", "class_id", "doc_id").alias("component_id"))
+    known = F.col("doc_id").isNotNull()
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("component", "class_id", "doc_id")).alias("component_id"))
