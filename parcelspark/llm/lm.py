@@ -38,7 +38,7 @@ TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 4, 32
 CLASSES = TOP + ENDINGS + 1
 END_CLASS = CLASSES - 1
 END = T.U(0x656E64206F662074)
-NOISE, BATCH, RATE, DISCOUNT = 64, 4096, 0.1, 0.5
+NOISE, BATCH, RATE, DISCOUNT = 64, 1024, 0.05, 0.5
 SLICES = 16
 BUCKET_BYTES = 8 << 20
 
@@ -150,7 +150,7 @@ class Trainer:
 
     def __init__(self, p: dict[str, np.ndarray], info: dict, seed: int):
         self.p = {k: v.copy() for k, v in p.items()}
-        self.g = {k: np.full_like(v, 0.1) for k, v in p.items()}
+        self.g = {k: np.full_like(v, 1e-6) for k, v in p.items()}
         share = (info["class_tokens"] + 0.5) / (info["class_tokens"] + 0.5).sum()
         self.share, self.log_noise, self.rng = share, np.log(NOISE * share).astype(np.float32), np.random.default_rng(seed)
 
@@ -218,7 +218,7 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"slice": table.column("slice")[:1], "part": table.column("part")[:1], "weight": pa.array([sum(table.column("weight").to_pylist())]), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def fit(train: DataFrame, info: dict, rounds: int = 2) -> dict[str, np.ndarray]:
+def fit(train: DataFrame, info: dict, rounds: int = 1) -> dict[str, np.ndarray]:
     """Class model by data-parallel noise-contrastive training over all rows."""
     schema = "slice int, part int, weight double, sums binary"
     p = start_parameters(info)
@@ -296,7 +296,7 @@ def _score_block(held, buckets: int):
     return run
 
 
-def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` (log10); learns where ``train_col`` is true."""
     blocks = B.n_blocks(docs, text_col, block_bytes)
     train = docs.where(F.col(train_col)).select(F.col(text_col).alias("text"))

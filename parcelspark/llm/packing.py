@@ -67,7 +67,7 @@ def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[list[int], in
                     i = int(np.argmax(np.where(ok, can + second, -1)))
                     best = (int(can[i]), int(second[i]))
             if sum(best) > small:
-                one = [*one[:-1], *best]
+                one = [*one[:-1], *sorted(best, reverse=True)]
         size, n = np.unique(one, return_counts=True)
         times = int((left[size] // n).min())
         left[size] -= n * times
