@@ -17,6 +17,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,7 +45,8 @@ def main() -> None:
     from parcelspark.session import get_session
     from parcelspark.plans.registry import all_queries
 
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+                        shared=tempfile.mkdtemp(prefix="bench-shared-", dir="/tmp"))
     qs = all_queries()
     times: dict[str, float] = {}
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

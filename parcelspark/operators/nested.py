@@ -2,17 +2,16 @@
 
 Scale notes
 -----------
-* ``persons_rollup`` never builds an unbounded array: a property with more than
-  ``chunk_size`` persons is split into ``ceil(n / chunk_size)`` rows
-  (``person_chunk``) by a hash of the person key.  Only the per-property counts
-  (one row per property, partially aggregated) decide the number of chunks; the
-  join that brings them back is broadcast by AQE only when its measured size
-  is small, otherwise it stays a shuffle join with skew splitting.
+* ``persons_rollup`` never builds an unbounded array: the persons of a property are
+  numbered in key order and every ``chunk_size`` of them make one row
+  (``person_chunk``, ``person_offset``).  The layout is the same for all
+  properties; readers work per property (chunk 0 stands for it) and positions
+  count on over the chunks, so no answer depends on ``chunk_size``.
 * ``person_index`` numbers persons inside a property without a whole-property
-  window: rows are range-partitioned on (property, person) -- the sampled range
-  bounds split a hot property over several partitions -- numbered inside each
-  (property, partition) slice, and shifted by the sizes of the earlier slices of
-  the same property (a tiny table: at most one row per slice).
+  window: a group is cut into slices by a prefix of the order key a few characters
+  longer than the group key.  Prefixes order like the keys, so a slice is numbered
+  on its own and shifted by the sizes of the earlier slices.
+* Counts per property come from partial aggregation, never from array sizes.
 """
 
 from __future__ import annotations
@@ -45,31 +44,40 @@ def rollup_key(key: str = "prefix") -> tuple[Column, Column]:
         return prop_key(F.col("uuid")), valid_person_key(F.col("uuid"))
     if key == "fk":
         fk = F.col("submissions_id")
-        return fk, fk.isNotNull() & (F.trim(fk) != "") & F.col("uuid").isNotNull()
+        return fk, fk.isNotNull() & (F.trim(fk) != "")
     raise ValueError(f"unknown key strategy {key!r}")
 
 
+def person_counts(persons: DataFrame, key: str = "prefix") -> DataFrame:
+    """``(prop_uuid, person_count)`` for every property key that persons carry."""
+    k, ok = rollup_key(key)
+    return persons.where(ok).groupBy(k.alias("prop_uuid")).agg(F.count(F.lit(1)).alias("person_count"))
+
+
+def property_counts(properties: DataFrame, persons: DataFrame, key: str = "prefix") -> DataFrame:
+    """``(uuid, person_count)`` for every property, 0 where no person belongs to it."""
+    counts = person_counts(persons, key)
+    j = properties.select("uuid").join(counts, F.col("uuid") == F.col("prop_uuid"), "left")
+    return j.select("uuid", F.coalesce("person_count", F.lit(0)).cast("bigint").alias("person_count"))
+
+
 def persons_rollup(persons: DataFrame, key: str = "prefix", chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """A1 / A2: ``(prop_uuid, person_chunk, person_count, person_details array<struct>)``.
+    """A1 / A2: ``(prop_uuid, person_chunk, person_offset, person_count, person_details array<struct>)``.
 
-    Arrays are sorted by person UUID.  Properties up to ``chunk_size`` persons
-    give exactly one row with ``person_chunk = 0``.
+    Persons are in key order (no key: last) inside an array and over the chunks;
+    ``person_offset`` is the number of persons in earlier chunks.
     """
     k, ok = rollup_key(key)
-    p = persons.where(ok).withColumn("prop_uuid", k)
-    counts = p.groupBy("prop_uuid").agg(F.count(F.lit(1)).alias("_n"))
-    hot = (counts.where(F.col("_n") > chunk_size)
-           .select("prop_uuid", F.ceil(F.col("_n") / F.lit(chunk_size)).cast("int").alias("_chunks")))
-    p = (p.join(hot, "prop_uuid", "left")
-         .withColumn("person_chunk",
-                     F.when(F.col("_chunks").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64("uuid"), F.col("_chunks"))).cast("int")))
+    p = person_index(persons.where(ok).withColumn("prop_uuid", k), "prop_uuid", "uuid", "_index")
+    p = p.withColumn("person_chunk", F.floor((F.col("_index") - 1) / F.lit(chunk_size)).cast("int"))
     # Distribute on (property, chunk) explicitly: grouping would otherwise reuse a partitioning on the
-    # property alone (e.g. from the join above) and put every chunk of a hot property into one task.
+    # property alone and put every chunk of a hot property into one task.
+    listed = F.array_sort(F.collect_list(F.struct(F.col("_index"), person_struct().alias("person"))))
     return (p.repartition("prop_uuid", "person_chunk")
             .groupBy("prop_uuid", "person_chunk")
-            .agg(F.count(F.lit(1)).alias("person_count"),
-                 F.sort_array(F.collect_list(person_struct())).alias("person_details")))
+            .agg(F.count(F.lit(1)).alias("person_count"), listed.alias("_l"))
+            .select("prop_uuid", "person_chunk", (F.col("person_chunk") * F.lit(chunk_size)).alias("person_offset"),
+                    "person_count", F.transform("_l", lambda x: x["person"]).alias("person_details")))
 
 
 def nested_dataset(properties: DataFrame, persons: DataFrame, key: str = "prefix",
@@ -80,10 +88,10 @@ def nested_dataset(properties: DataFrame, persons: DataFrame, key: str = "prefix
     # Inner join for properties with persons (AQE may split a hot property's chunk rows, which an outer
     # join would not allow on its non-preserved side) plus an anti join for the properties without any.
     with_persons = properties.join(rolled, properties["uuid"] == rolled["prop_uuid"], "inner").drop("prop_uuid")
-    k, ok = rollup_key(key)
-    keys = persons.where(ok).select(k.alias("uuid"))  # the anti join only needs the key set
+    keys = person_counts(persons, key).select(F.col("prop_uuid").alias("uuid"))  # the anti join only needs the key set
     without = (properties.join(keys, "uuid", "left_anti")
                .withColumn("person_chunk", F.lit(0))
+               .withColumn("person_offset", F.lit(0))
                .withColumn("person_count", F.lit(0).cast("bigint"))
                .withColumn("person_details", empty))
     return (with_persons.unionByName(without)
@@ -95,46 +103,42 @@ def unnest_persons(nested: DataFrame, keep_placeholder: bool = True) -> DataFram
 
     With ``keep_placeholder`` a property whose list is NULL or empty keeps one row
     with ``placeholder = true`` and ``person_pos = 1`` (the UNION ALL branch of the
-    original, done in the same pass with ``posexplode_outer``).
+    original, done in the same pass with ``posexplode_outer``).  Positions count on
+    over the chunks of a property.
     """
-    cols = [c for c in nested.columns if c != "person_details"]
+    cols = [c for c in nested.columns if c not in ("person_details", "person_offset")]
+    offset = F.col("person_offset") if "person_offset" in nested.columns else F.lit(0)
     fn = F.posexplode_outer if keep_placeholder else F.posexplode
-    out = nested.select(*cols, fn("person_details").alias("_pos", "person"))
+    out = nested.select(*cols, offset.alias("_offset"), fn("person_details").alias("_pos", "person"))
     out = out.withColumn("placeholder", F.col("person").isNull())
-    out = out.withColumn("person_pos", F.coalesce(F.col("_pos") + 1, F.lit(1)).cast("int")).drop("_pos")
+    out = out.withColumn("person_pos", F.coalesce(F.col("_offset") + F.col("_pos") + 1, F.lit(1)).cast("int")).drop("_pos", "_offset")
     return out
 
 
 def person_index(df: DataFrame, group: str, order: str, out: str = "person_index",
-                 num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by group order by order)``, skew-safe.
-
-    Rows are range-partitioned on (group, order); the sampled range bounds split a
-    hot group over several slices.  The slices are materialised once with a
-    reliable ``checkpoint`` (the session's ``spark.checkpoint.dir``), because range
-    bounds come from a sample of an input whose row order is not deterministic:
-    the numbering and the slice sizes must see the same slices.  Each (group,
-    slice) is numbered on its own and shifted by the sizes of the earlier slices
-    of its group (a table with one row per slice).  Ties in ``order`` are broken
-    arbitrarily, as in any ``row_number``; a single (group, order) value cannot be
-    split.  Eager: runs one job when called.
+                 slice_chars: int = 5) -> DataFrame:
+    """``row_number() over (partition by group order by order nulls last)``, skew-safe.
+
+    A slice of a group holds the rows whose ``order`` text agrees in its first
+    ``length(group) + slice_chars`` characters.  A prefix never orders against the
+    whole text, so slices are numbered on their own and shifted by the sizes of
+    the earlier ones; nothing is sampled or kept, and a lost task repeats the same
+    numbers.  A group key that starts its order keys (as a property key starts its
+    person keys) leaves ``slice_chars`` characters to tell rows apart.  Ties in
+    ``order`` are broken arbitrarily, as in any ``row_number``.
     """
-    from parcelspark.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(group), F.col(order))
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    w_local = Window.partitionBy(group, "_slice").orderBy(order)
-    local = ranged.withColumn("_local", F.row_number().over(w_local))
-    sizes = ranged.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    w_off = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "_slice", F.coalesce(F.sum("_size").over(w_off), F.lit(0)).alias("_offset"))
-    return (local.join(offsets, [group, "_slice"], "inner")
+    cut = F.substring(F.col(order), F.lit(1), F.length(F.coalesce(F.col(group), F.lit(""))) + F.lit(slice_chars))
+    sliced = df.withColumn("_last", F.col(order).isNull()).withColumn("_slice", F.coalesce(cut, F.lit("")))
+    by = [group, "_last", "_slice"]
+    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+    sizes = sliced.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(group).orderBy("_last", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"_o{c}") for c in by],
+                           F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    same = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in by]
+    return (local.join(offsets, same, "inner")
             .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
-            .drop("_slice", "_local", "_offset"))
+            .drop(*by[1:], *[f"_o{c}" for c in by], "_local", "_offset"))
 
 
 # Person keys read by the nested-input variant of the unified dataset: it asks for

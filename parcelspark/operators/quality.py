@@ -28,26 +28,47 @@ def assert_composite_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return dups.unionByName(nulls).select(*keys, "violation", "occurrences")
 
 
+def _audited(agg: DataFrame) -> DataFrame:
+    ratio = F.when(F.col("total_records") > 0,
+                   F.round(F.col("populated_person_details") * 100.0 / F.col("total_records"), 1).cast("decimal(5,1)"))
+    return agg.withColumn("populated_pct", ratio).withColumn(
+        "verdict", F.when((F.col("null_person_details") == 0) & (F.col("populated_person_details") > 0), "PASS")
+        .otherwise("FAIL"))
+
+
+def _per_property(nested: DataFrame) -> DataFrame:
+    """One row per property of a stored nested table: its first chunk (a chunk is never empty beside others)."""
+    return nested.where(F.col("person_chunk") == 0) if "person_chunk" in nested.columns else nested
+
+
 def nested_audit(nested: DataFrame, col: str = "person_details") -> DataFrame:
-    """A3/A4/A5: one pass of conditional counts over the nested table + populated ratio."""
+    """A3/A4/A5 over a stored nested table: conditional counts per property and the populated ratio."""
     a = F.col(col)
-    agg = nested.agg(
+    return _audited(_per_property(nested).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(a.isNotNull()).alias("with_person_details"),
         F.count_if(a.isNull()).alias("null_person_details"),
         F.count_if(F.size(a) == 0).alias("empty_person_details"),
         F.count_if(F.size(a) > 0).alias("populated_person_details"),
-    )
-    ratio = F.when(F.col("total_records") > 0,
-                   F.round(F.col("populated_person_details") * 100.0 / F.col("total_records"), 1).cast("decimal(5,1)"))
-    return agg.withColumn("populated_pct", ratio).withColumn(
-        "verdict", F.when((F.col("null_person_details") == 0) & (F.col("populated_person_details") > 0), "PASS")
-        .otherwise("FAIL"))
+    ))
 
 
-def top_properties_by_persons(nested: DataFrame, n: int = 3, col: str = "person_details") -> DataFrame:
-    """L2: top-n properties by list length (ties by UUID); a top-N, not a global sort."""
-    sized = nested.where(F.col(col).isNotNull() & (F.size(col) > 0)).select("uuid", F.size(col).alias("person_count"))
+def counts_audit(counts: DataFrame) -> DataFrame:
+    """A3/A4/A5 from ``(uuid, person_count)`` (see ``nested.property_counts``): the same row without building a list."""
+    n = F.col("person_count")
+    return _audited(counts.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(n.isNotNull()).alias("with_person_details"),
+        F.count_if(n.isNull()).alias("null_person_details"),
+        F.count_if(n == 0).alias("empty_person_details"),
+        F.count_if(n > 0).alias("populated_person_details"),
+    ))
+
+
+def top_properties_by_persons(counts: DataFrame, n: int = 3) -> DataFrame:
+    """L2: top-n properties by persons (ties by UUID) from a nested table or ``(uuid, person_count)``; a top-N, no sort."""
+    sized = counts.where(F.col("person_count") > 0).groupBy("uuid").agg(
+        F.sum("person_count").cast("int").alias("person_count"))
     return sized.orderBy(F.col("person_count").desc(), F.col("uuid").asc()).limit(n)
 
 
@@ -67,21 +88,17 @@ def fk_integrity(properties: DataFrame, persons: DataFrame, fk: str = "submissio
     One row: main/person totals, properties with persons, persons with a property,
     named persons, verdict and a warning when no person carries a name.
     """
-    props = properties.select(F.col("uuid").alias("_k"))
-    pers = persons.select(F.col(fk).alias("_k"), "individual_first_name", "business_name")
-
-    def metric(df, name, value):
-        return df.agg(value.alias("value")).select(F.lit(name).alias("metric"), "value")
-    matched = pers.join(props, "_k", "inner")
     named = F.count_if(F.col("individual_first_name").isNotNull() | F.col("business_name").isNotNull())
-    long = (metric(props, "main_count", F.count(F.lit(1)))
-            .unionByName(metric(pers, "person_count", F.count(F.lit(1))))
-            .unionByName(metric(pers, "named_persons", named))
-            .unionByName(metric(matched, "matching_properties", F.countDistinct("_k")))
-            .unionByName(metric(matched, "matching_persons", F.count(F.lit(1)))))
-    names = ["main_count", "person_count", "named_persons", "matching_properties", "matching_persons"]
-    # five one-row aggregates side by side: a pivot of a five-row table, no join
-    out = long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+    per_key = persons.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), named.alias("_named"))
+    # one pass over each side: counts per key, and whether a property has the key
+    keys = properties.groupBy(F.col("uuid").alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    j = keys.join(per_key, F.col("_p") == F.col("_k"), "full_outer")
+    both = F.col("_p").isNotNull() & F.col("_k").isNotNull()
+    zero = F.lit(0).cast("bigint")
+    out = j.agg(F.coalesce(F.sum("_m"), zero).alias("main_count"), F.coalesce(F.sum("_n"), zero).alias("person_count"),
+                F.coalesce(F.sum("_named"), zero).alias("named_persons"),
+                F.count_if(both).alias("matching_properties"),
+                F.coalesce(F.sum(F.when(both, F.col("_n") * F.col("_m"))), zero).alias("matching_persons"))
     verdict = (F.when(F.col("main_count") == 0, VERDICTS[0])
                .when(F.col("person_count") == 0, VERDICTS[1])
                .when(F.col("matching_properties") == 0, VERDICTS[2])

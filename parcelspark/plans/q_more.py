@@ -100,9 +100,10 @@ LEFT JOIN persons p ON p.submissions_id = m.uuid ORDER BY m.uuid, p.uuid LIMIT 1
 def fk_sample_left(spark, sf):
     """A sample of the FK left join (the limit is the sampling feature)."""
     props, persons = views(spark, sf, "properties", "persons")
-    j = props.select("uuid").join(persons.select(F.col("submissions_id"), F.col("uuid").alias("person_uuid"),
-                                                 "individual_first_name"),
-                                  props["uuid"] == F.col("submissions_id"), "left").drop("submissions_id")
+    # every property gives a row at least, so the first ten properties hold the first ten rows
+    first = Q.sample_rows(props.select("uuid"), 10, ["uuid"])
+    own = persons.select(F.col("submissions_id"), F.col("uuid").alias("person_uuid"), "individual_first_name")
+    j = first.join(own, F.col("submissions_id") == F.col("uuid"), "left").drop("submissions_id")
     return Q.sample_rows(j, 10, ["uuid", "person_uuid"])
 
 
@@ -118,7 +119,7 @@ SELECT count(*) AS total_records, count(*) FILTER (WHERE n = 0) AS empty_person_
        count(*) FILTER (WHERE n > 0) AS populated_person_details FROM nt""")
 def nested_audit_doc(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
-    return Q.nested_audit(N.nested_dataset(props, persons)).select(
+    return Q.counts_audit(N.property_counts(props, persons)).select(
         "total_records", "empty_person_details", "populated_person_details")
 
 
@@ -128,7 +129,7 @@ SELECT count(*) FILTER (WHERE n > 0) AS populated_person_details, count(*) AS to
        CASE WHEN count(*) FILTER (WHERE n > 0) > 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM nt""")
 def populated_ratio(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
-    return Q.nested_audit(N.nested_dataset(props, persons)).select(
+    return Q.counts_audit(N.property_counts(props, persons)).select(
         "populated_person_details", "total_records", "populated_pct", "verdict")
 
 
@@ -139,8 +140,8 @@ WHERE p.uuid NOT IN (SELECT prop_uuid FROM k)""")
 def union_placeholder(spark, sf):
     """The placeholder rows (properties whose list is empty) of the unnest."""
     props, persons = views(spark, sf, "properties", "persons")
-    u = N.unnest_persons(N.nested_dataset(props, persons))
-    return u.where("placeholder").select("uuid", "person_pos", "placeholder")
+    none = N.property_counts(props, persons).where("person_count = 0")
+    return none.select("uuid", F.lit(1).alias("person_pos"), F.lit(True).alias("placeholder"))
 
 
 @register("object_key", D.with_views("properties") + f"""

@@ -16,21 +16,30 @@ from parcelspark.plans.registry import register, views
 PREFIX_KEY = "split_part(uuid, '_', 1)"
 PREFIX_OK = "uuid IS NOT NULL AND uuid <> ''"
 FK_KEY = "submissions_id"
-FK_OK = "submissions_id IS NOT NULL AND trim(submissions_id) <> '' AND uuid IS NOT NULL"
+FK_OK = "submissions_id IS NOT NULL AND trim(submissions_id) <> ''"
+
+
+_UUIDS = F.transform("person_details", lambda x: F.coalesce(x["UUID"], F.lit("-")))
+
+
+def _per_property(df, key, *extra):
+    """The chunks of a property side by side, so the answer is the same for any chunk size."""
+    parts = df.groupBy(key).agg(F.sum("person_count").alias("person_count"),
+                                F.array_sort(F.collect_list(F.struct("person_offset", F.array_join(_UUIDS, ",").alias("ids"))))
+                                .alias("_p"), *extra)
+    return parts.withColumn("person_uuids", F.array_join(F.transform("_p", lambda x: x["ids"]), ",")).drop("_p")
 
 
 def _rollup_summary(df):
-    return df.select(
-        "prop_uuid", "person_chunk", "person_count",
-        F.array_join(F.transform("person_details", lambda x: x["UUID"]), ",").alias("person_uuids"),
-        F.size(F.filter("person_details", lambda x: x["individual_first_name"].isNotNull())).cast("bigint")
-        .alias("first_names"))
+    names = F.size(F.filter("person_details", lambda x: x["individual_first_name"].isNotNull()))
+    return _per_property(df, "prop_uuid", F.sum(names).cast("bigint").alias("first_names"))
 
 
 def _rollup_oracle(key, ok):
     return D.with_views("persons") + f"""
-SELECT {key} AS prop_uuid, 0 AS person_chunk, count(*) AS person_count,
-       string_agg(uuid, ',' ORDER BY uuid) AS person_uuids, count(individual_first_name) AS first_names
+SELECT {key} AS prop_uuid, count(*) AS person_count,
+       string_agg(coalesce(uuid, '-'), ',' ORDER BY uuid NULLS LAST) AS person_uuids,
+       count(individual_first_name) AS first_names
 FROM persons WHERE {ok} GROUP BY 1"""
 
 
@@ -46,9 +55,10 @@ def persons_rollup_fk(spark, sf):
 
 def _nested_oracle(key, ok):
     return D.with_views("properties", "persons") + f""",
-r AS (SELECT {key} AS prop_uuid, count(*) AS n, string_agg(uuid, ',' ORDER BY uuid) AS ids
+r AS (SELECT {key} AS prop_uuid, count(*) AS n,
+             string_agg(coalesce(uuid, '-'), ',' ORDER BY uuid NULLS LAST) AS ids
       FROM persons WHERE {ok} GROUP BY 1)
-SELECT p.uuid, 0 AS person_chunk, coalesce(r.n, 0) AS person_count, coalesce(r.ids, '') AS person_uuids,
+SELECT p.uuid, coalesce(r.n, 0) AS person_count, coalesce(r.ids, '') AS person_uuids,
        {D.img_html('p.building_image_url')} AS building_image_url_html
 FROM properties p LEFT JOIN r ON r.prop_uuid = p.uuid"""
 
@@ -57,9 +67,7 @@ def _nested_q(key):
     def q(spark, sf):
         props, persons = views(spark, sf, "properties", "persons")
         n = N.nested_dataset(props, persons, key=key)
-        return n.select("uuid", "person_chunk", "person_count",
-                        F.array_join(F.transform("person_details", lambda x: x["UUID"]), ",").alias("person_uuids"),
-                        "building_image_url_html")
+        return _per_property(n, "uuid", F.first("building_image_url_html").alias("building_image_url_html"))
     return q
 
 
@@ -102,15 +110,15 @@ FROM a"""
 @register("nested_audit", _AUDIT_SQL)
 def nested_audit(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
-    return Q.nested_audit(N.nested_dataset(props, persons, key="prefix"))
+    return Q.counts_audit(N.property_counts(props, persons))
 
 
-@register("top_properties_by_persons", D.with_views("persons") + f"""
+@register("top_properties_by_persons", D.with_views("properties", "persons") + f"""
 SELECT {PREFIX_KEY} AS uuid, CAST(count(*) AS INTEGER) AS person_count FROM persons WHERE {PREFIX_OK}
-GROUP BY 1 ORDER BY person_count DESC, uuid LIMIT 3""")
+  AND {PREFIX_KEY} IN (SELECT uuid FROM properties) GROUP BY 1 ORDER BY person_count DESC, uuid LIMIT 3""")
 def top_properties_by_persons(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
-    return Q.top_properties_by_persons(N.nested_dataset(props, persons, key="prefix"))
+    return Q.top_properties_by_persons(N.property_counts(props, persons))
 
 
 # ---- integrity and profiling ------------------------------------------------------------------
@@ -226,13 +234,16 @@ def filter_named_persons_strict(spark, sf):
 
 @register("unified_from_nested", O.nested_unified_sql())
 def unified_from_nested(spark, sf):
-    """The nested table is a stored table in the original; it is written once here (a reliable checkpoint
-    in the session's checkpoint folder) and the variant's three branches read it."""
-    from parcelspark.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    """The nested table is a stored table in the original; it is written once as Parquet in the session's
+    shared folder and each branch of the variant reads the columns it needs."""
+    import uuid
+
+    from parcelspark.session import shared_dir
+
     props, persons = views(spark, sf, "properties", "persons")
-    nested = N.nested_dataset(props, persons, key="prefix").checkpoint(eager=True)
-    return N.unified_from_nested(nested, as_of=AS_OF)
+    path = f"{shared_dir(spark)}/nested-{uuid.uuid4().hex}"
+    N.nested_dataset(props, persons, key="prefix").write.parquet(path)
+    return N.unified_from_nested(spark.read.parquet(path), as_of=AS_OF)
 
 
 @register("survey_date_chain", D.with_views("properties") + f"""

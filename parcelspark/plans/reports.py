@@ -35,7 +35,7 @@ def integrity_report(properties: DataFrame, persons: DataFrame) -> dict[str, Dat
         "fk_integrity": Q.fk_integrity(properties, persons),
         "named_persons": persons.where(F.col("individual_first_name").isNotNull() | F.col("business_name").isNotNull())
         .select("uuid", "submissions_id", "individual_first_name", "individual_last_name", "business_name"),
-        "fk_rollup": N.persons_rollup(persons, key="fk").select("prop_uuid", "person_count"),
+        "fk_rollup": N.person_counts(persons, key="fk"),
         "column_types": Q.column_types(properties, "properties", ["uuid"]).unionByName(
             Q.column_types(persons, "persons", ["submissions_id"])),
     }

@@ -7,7 +7,6 @@ one in.  ``get_session`` is a convenience for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -30,7 +29,8 @@ SCALE_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "parcelspark") -> SparkSession:
+                app_name: str = "parcelspark", shared: str | None = None) -> SparkSession:
+    """A session for tests, the bench and scripts; ``shared`` is the folder for written tables."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = SparkSession.builder.master(master).appName(app_name)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
@@ -39,46 +39,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only when it is unset (local tests) a fresh
-    scratch folder is created.
+    The library makes no folder of its own: a machine-local one would be missing on
+    the other machines.  Tests and the bench configure a scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = spark.sparkContext.getCheckpointDir()
-    if path:
-        return path
-    path = tempfile.mkdtemp(prefix="parcelspark-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    try:  # record it for readers of the conf; some deployments reject setting core confs at runtime
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001
-        pass
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return path
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 1024, minimum: int = 200) -> int:
-    """Initial shuffle partitions for an input of ``input_bytes``: about ``target_bytes`` per task
-    (AQE then coalesces small ones and splits skewed ones).  100 TB -> ~800k partitions."""
-    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 2 << 30, minimum: int = 200, most: int = 50_000) -> int:
+    """Initial shuffle partitions for an input of ``input_bytes``: about ``target_bytes`` of input per partition.
+
+    The driver keeps an entry for every map task and partition, so both stay in the tens of thousands:
+    100 TB gives 50,000 partitions of 2 GB (AQE coalesces small ones and splits skewed ones)."""
+    return max(minimum, min(most, -(-int(input_bytes) // int(target_bytes))))
 
 
 def cluster_conf(input_bytes: int) -> dict[str, str]:
     """Settings for a large cluster run on top of :data:`SCALE_CONF`."""
     n = shuffle_partitions_for(input_bytes)
     return {**SCALE_CONF,
+            # as many map splits as partitions at most: one to two GB each at 100 TB
+            "spark.sql.files.maxPartitionBytes": str(min(2 << 30, max(128 << 20, int(input_bytes) // 50_000))),
             "spark.sql.shuffle.partitions": str(n),
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
             "spark.sql.autoBroadcastJoinThreshold": "64MB",

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from parcelspark.session import get_session
-    s = get_session(master="local[*]", shuffle_partitions=8)
+    s = get_session(master="local[*]", shuffle_partitions=8, shared=tempfile.mkdtemp(prefix="parcelspark-shared-", dir="/tmp"))
     yield s
     s.stop()
 
