@@ -1,7 +1,7 @@
 """Language-model scoring with a log-bilinear model.
 
 Tokens are the lower-cased words of a text and one end token.  A token's
-probability is that of its class given the classes of the four tokens before it
+probability is that of its class given the classes of the two tokens before it
 (log-bilinear: each context vector goes through its position's matrix, the sum
 is compared with every class vector) times that of the token inside its class
 (discounted counts; the rest is one unknown token for each class).  The most
@@ -13,7 +13,8 @@ frequent words are classes of their own, other words share a class by their endi
   training text: each task runs through its share from the common parameters, and
   the parameters are averaged by tokens (pre-summed, then one row for each slice
   of the parameters), for ``rounds`` rounds.
-* Scoring normalises over all classes in batched matrix products.  Blocks of
+* Scoring normalises over all classes in batched matrix products, once for each
+  distinct context of a share.  Blocks of
   documents ask the vocabulary's buckets for their distinct words; no table that
   grows with the corpus is broadcast.
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from parcelspark.llm import _blocks as B
 from parcelspark.llm import _text as T
 
-TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 4, 32
+TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 2, 32
 CLASSES = TOP + ENDINGS + 1
 END_CLASS = CLASSES - 1
 END = T.U(0x656E64206F662074)
@@ -231,18 +232,22 @@ def fit(train: DataFrame, info: dict, rounds: int = 1) -> dict[str, np.ndarray]:
     return p
 
 
-def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
-    """log10 P(class | context), normalised over all classes."""
+def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray], step: int = 2048) -> np.ndarray:
+    """log10 P(class | context), normalised over all classes; each distinct context is worked out once."""
     inner = [p["R"] @ p["C"][i] for i in range(CONTEXT)]
     out = np.zeros(len(target))
-    for s in range(0, len(target), 16384):
-        c, t = ctx[s : s + 16384], target[s : s + 16384]
+    number = ctx.astype(np.int64) @ (CLASSES ** np.arange(CONTEXT, dtype=np.int64))
+    _, first, which = np.unique(number, return_index=True, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    which = which[order]
+    for s in range(0, len(first), step):
+        c = ctx[first[s : s + step]]
         x = sum(inner[i][c[:, i]] for i in range(CONTEXT)) @ p["Q"].T + p["b"]
-        top = x.max(axis=1)
-        good = x[np.arange(len(t)), t] - top
-        x -= top[:, None]
+        x -= x.max(axis=1, keepdims=True)
+        a, b = np.searchsorted(which, [s, s + step])
+        good = x[which[a:b] - s, target[order[a:b]]]
         np.exp(x, out=x)
-        out[s : s + 16384] = (good - np.log(x.sum(axis=1))) / np.log(10)
+        out[order[a:b]] = (good - np.log(x.sum(axis=1))[which[a:b] - s]) / np.log(10)
     return out
 
 
