@@ -109,12 +109,15 @@ def decode_key_fixpoint(key: Column, rounds: int = K.DECODE_MAX_ROUNDS) -> Colum
     def once(a):
         protected = F.regexp_replace(F.replace(a, F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
         return F.url_decode(protected)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), key, lambda acc, _i: once(acc))
+    # a text without an escape has reached its fixpoint: the remaining rounds only look for '%'
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), key,
+                       lambda acc, _i: F.when(acc.contains("%"), once(acc)).otherwise(acc))
 
 
 def object_key_from_url(url: Column, bucket: str) -> Column:
     """Object key of a bucket URL (virtual-host or path style), up to ``?``; other buckets -> NULL."""
     b = re.escape(bucket)
+    # FIXED VALUES: the two URL forms of a bucket.
     vhost = F.nullif(F.regexp_extract(url, rf"https://{b}\.s3\.[^/]+/([^?]+)", 1), F.lit(""))
     path = F.nullif(F.regexp_extract(url, rf"/{b}/([^?]+)", 1), F.lit(""))
     return F.when(url.contains(bucket), F.when(url.contains(f"{bucket}.s3."), vhost).otherwise(path))
@@ -174,20 +177,20 @@ def attachment_plan(batch: DataFrame, stored: DataFrame, base_folder: str = DEFA
                     prioritize_new: bool = True) -> DataFrame:
     """R5 (+J9, L6 columns): one manifest row per attachment to fetch.
 
-    Submissions already stored *and* carrying a building link are skipped.  Each
-    remaining one yields its building image (or a placeholder key when it has
-    none) and its plus-code image when present, with priority 0 for new
-    submissions and 1 for stored ones.
+    A stored submission is skipped when the *incoming* record carries a building
+    link.  Each remaining one yields its building image (or a placeholder key
+    when it names none) and its plus-code image when it names one, with priority 0
+    for new submissions and 1 for stored ones.  Images are read from the two JSON
+    blocks only.
     """
-    sid = F.coalesce(F.col("uuid"), F.col("id"))
-    stored_keys = (stored.select(F.col("uuid").alias("_k"),
-                                 nonblank_strict(F.col("building_image_url")).alias("_has_url"))
-                   .groupBy("_k").agg(F.max("_has_url").alias("_has_url")))
-    b = (batch.select(sid.alias("submission_id"),
-                      extract_building_image(F.col("property_description"), F.col("extra_json")).alias("_bimg"),
-                      extract_plus_code_image(F.col("property_location"), F.col("extra_json")).alias("_pimg"))
+    sid = F.coalesce(F.nullif(F.col("uuid"), F.lit("")), F.col("id"))
+    stored_keys = stored.select(F.col("uuid").alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    link = F.col("building_image_url") if "building_image_url" in batch.columns else F.lit(None).cast("string")
+    b = (batch.select(sid.alias("submission_id"), F.coalesce(nonblank_strict(link), F.lit(False)).alias("_linked"),
+                      F.nullif(extract_building_image(F.col("property_description")), F.lit("")).alias("_bimg"),
+                      F.nullif(extract_plus_code_image(F.col("property_location")), F.lit("")).alias("_pimg"))
          .join(stored_keys, F.col("submission_id") == F.col("_k"), "left")
-         .where(~(F.col("_k").isNotNull() & F.coalesce(F.col("_has_url"), F.lit(False))))
+         .where(~(F.col("_k").isNotNull() & F.col("_linked")))
          .withColumn("priority", F.when(F.lit(prioritize_new) & F.col("_k").isNull(), 0).otherwise(1)))
     building = b.select(
         "submission_id", "priority", F.lit("building_image").alias("field"),
@@ -214,8 +217,7 @@ def attach_results(batch: DataFrame, results: DataFrame, key: str = "uuid") -> D
     return out
 
 
-def audit_attachment_files(spark, path: str, small_bytes: int = K.SMALL_PAYLOAD_BYTES) -> DataFrame:
-    """Stored payloads with their size; under ``small_bytes`` is suspect (content is not read)."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    return files.withColumn("suspect", F.col("length") < F.lit(small_bytes)) \
-        .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+def audit_payloads(df: DataFrame, key: str, payload: str, small_bytes: int = K.SMALL_PAYLOAD_BYTES) -> DataFrame:
+    """Stored payloads with their size in bytes; a missing one or one under ``small_bytes`` is suspect."""
+    size = F.coalesce(F.octet_length(payload), F.lit(0)).cast("bigint")
+    return df.select(key, size.alias("length"), (size < F.lit(small_bytes)).alias("suspect"))

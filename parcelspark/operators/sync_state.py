@@ -31,6 +31,16 @@ def _order() -> Column:
     return F.struct(F.col("sync_timestamp"), F.col("id"))
 
 
+def exact_mean(total: str, n: str, scale: int = 4) -> Column:
+    """``total / n`` of whole numbers, rounded half up to ``scale`` places in whole-number arithmetic; NULL when ``n`` is 0.
+
+    The parts are SQL expressions.  Sums of whole numbers do not depend on the order of the rows, a floating mean does.
+    """
+    m = 10**scale
+    return (F.expr(f"(2 * {m} * {total} + {n}) div nullif(2 * {n}, 0)").cast("decimal(30,0)")
+            * F.lit(1 / m).cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(18,{scale})")
+
+
 def sync_fold(history: DataFrame) -> DataFrame:
     """Current status per sync type from the history log.
 
@@ -77,25 +87,27 @@ def sync_perf(history: DataFrame, now, hours: int = 24, by_hour: bool = False) -
     recent = history.where((F.col("status") == "success") &
                            (F.col("sync_timestamp") > _ts(now) - F.expr(f"INTERVAL {int(hours)} HOURS")))
     keys = [F.date_trunc("hour", F.col("sync_timestamp")).cast("timestamp_ntz").alias("hour")] if by_hour else []
-    return recent.groupBy(*keys, "sync_type").agg(
-        F.avg("duration_seconds").cast("decimal(12,4)").alias("avg_duration"),
-        F.sum("records_processed").cast("bigint").alias("total_records"))
+    a = recent.groupBy(*keys, "sync_type").agg(F.sum("duration_seconds").alias("_s"), F.count("duration_seconds").alias("_n"),
+                                               F.sum("records_processed").cast("bigint").alias("total_records"))
+    return a.select(*(["hour"] if by_hour else []), "sync_type", exact_mean("_s", "_n").alias("avg_duration"),
+                    "total_records")
 
 
 def sync_success_rate(status: DataFrame) -> DataFrame:
     """Totals over types and the success rate in percent (0 when there is none)."""
     t = status.agg(F.coalesce(F.sum("successful_sync_count"), F.lit(0)).cast("bigint").alias("total_successful"),
                    F.coalesce(F.sum("failed_sync_count"), F.lit(0)).cast("bigint").alias("total_failed"))
-    denom = F.col("total_successful") + F.col("total_failed")
-    return t.withColumn("success_rate", F.when(denom > 0, (F.col("total_successful") * F.lit(100.0) / denom)
-                                               .cast("decimal(7,3)")).otherwise(F.lit(0).cast("decimal(7,3)")))
+    t = t.withColumn("_n", F.col("total_successful") + F.col("total_failed"))
+    rate = exact_mean("(100 * total_successful)", "_n", 3).cast("decimal(7,3)")
+    return t.select("total_successful", "total_failed",
+                    F.coalesce(rate, F.lit(0).cast("decimal(7,3)")).alias("success_rate"))
 
 
 def sync_recent_avg(history: DataFrame, n: int = K.RECENT_ATTEMPTS) -> DataFrame:
     """Mean duration of the ``n`` newest attempts, ignoring NULL and 0."""
-    top = recent_history(history, n)
-    return top.agg(F.avg(F.nullif(F.col("duration_seconds"), F.lit(0))).cast("decimal(12,4)").alias("avg_duration"),
-                   F.count_if(F.coalesce(F.col("duration_seconds"), F.lit(0)) != 0).alias("attempts_counted"))
+    timed = F.nullif(F.col("duration_seconds"), F.lit(0))
+    a = recent_history(history, n).agg(F.sum(timed).alias("_s"), F.count(timed).alias("attempts_counted"))
+    return a.select(exact_mean("_s", "attempts_counted").alias("avg_duration"), "attempts_counted")
 
 
 def types_in_error(status: DataFrame) -> DataFrame:
@@ -126,37 +138,52 @@ def quality_trend(unified: DataFrame, now, days: int = 30, good: int = K.QUALITY
                   ts_col: str = "processed_at") -> DataFrame:
     """Per day of processing: mean score, rows, rows scoring at least ``good``."""
     recent = unified.where(F.col(ts_col) >= _ts(now) - F.expr(f"INTERVAL {int(days)} DAYS"))
-    return recent.groupBy(F.date_trunc("day", F.col(ts_col)).cast("timestamp_ntz").alias("processing_date")).agg(
-        F.avg("data_quality_score").cast("decimal(12,4)").alias("avg_quality_score"),
-        F.count(F.lit(1)).alias("records_processed"),
-        F.count_if(F.col("data_quality_score") >= good).alias("high_quality_records"))
+    day = F.date_trunc("day", F.col(ts_col)).cast("timestamp_ntz").alias("processing_date")
+    a = recent.groupBy(day).agg(F.sum("data_quality_score").alias("_s"), F.count(F.lit(1)).alias("records_processed"),
+                                F.count_if(F.col("data_quality_score") >= good).alias("high_quality_records"))
+    return a.select("processing_date", exact_mean("_s", "records_processed").alias("avg_quality_score"),
+                    "records_processed", "high_quality_records")
+
+
+# ---- events (T6-T8, T10): rows for the log, made by Spark for every attempt in a table ------------
+
+STARTS = "id int, sync_type string, sync_timestamp timestamp_ntz, service_instance string"
+
+
+def _events(starts: DataFrame, status: str, **values) -> DataFrame:
+    cols = {"id": F.col("id"), "sync_type": F.col("sync_type"), "sync_timestamp": F.col("sync_timestamp"),
+            "status": F.lit(status), "service_instance": F.col("service_instance"), **values}
+    types = dict(c.split() for c in HISTORY_SCHEMA.split(", "))
+    return starts.select(*[cols.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+
 
+def _seconds(end) -> Column:
+    return F.floor(F.timestamp_diff("SECOND", F.col("sync_timestamp"), _ts(end)))
 
-# ---- event constructors (T6-T8, T10): small driver-side rows appended to the log ----------------
 
-def start_event(id_: int, sync_type: str, ts: dt.datetime, instance: str | None = None) -> tuple:
-    return (id_, sync_type, ts, "in_progress", None, None, None, None, instance, None)
+def start_events(starts: DataFrame) -> DataFrame:
+    """Attempts ``(id, sync_type, sync_timestamp, service_instance)`` as rows in progress."""
+    return _events(starts, "in_progress")
 
 
-def complete_event(start: tuple, ts_end: dt.datetime, records: int = 0, mark: dt.datetime | None = None,
-                   metadata: str | None = None) -> tuple:
-    dur = int((ts_end - start[2]).total_seconds())
-    return (start[0], start[1], start[2], "success", records, dur, None, metadata, start[8], mark)
+def complete_events(starts: DataFrame, end, records=0, mark=None, metadata=None) -> DataFrame:
+    """The same attempts, ended well: whole seconds since the start, records, and the mark if there is one."""
+    return _events(starts, "success", records_processed=F.lit(records), duration_seconds=_seconds(end),
+                   sync_metadata=F.lit(metadata), sync_mark=F.lit(None) if mark is None else _ts(mark))
 
 
-def fail_event(start: tuple, ts_end: dt.datetime, message: str) -> tuple:
-    dur = int((ts_end - start[2]).total_seconds())
-    return (start[0], start[1], start[2], "error", None, dur, message[:K.ERROR_TEXT_MAX], None, start[8], None)
+def fail_events(starts: DataFrame, end, message: Column | str) -> DataFrame:
+    """The same attempts, failed, with the message cut to its limit."""
+    text = message if isinstance(message, Column) else F.lit(message)
+    return _events(starts, "error", duration_seconds=_seconds(end), error_message=F.substring(text, 1, K.ERROR_TEXT_MAX))
 
 
-def events_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    """Final state of each attempt (a completion replaces its start row, by ``id``)."""
-    df = spark.createDataFrame(rows, HISTORY_SCHEMA)
-    return df.groupBy("id").agg(F.max_by(F.struct(*df.columns), F.when(F.col("status") != "in_progress", 1)
-                                         .otherwise(0)).alias("r")).select("r.*")
+def mark_set_events(starts: DataFrame, mark) -> DataFrame:
+    """A mark set by hand is an attempt that ends as it starts, with no records."""
+    return complete_events(starts, F.col("sync_timestamp"), 0, mark)
 
 
-def mark_set_events(id_: int, sync_type: str, ts: dt.datetime, mark: dt.datetime) -> list[tuple]:
-    """Compatibility setter = one start and one completion with 0 records and the mark."""
-    s = start_event(id_, sync_type, ts)
-    return [s, complete_event(s, ts, 0, mark)]
+def final_states(events: DataFrame) -> DataFrame:
+    """One row for each attempt: its end replaces its start (by ``id``)."""
+    ended = F.when(F.col("status") != "in_progress", 1).otherwise(0)
+    return events.groupBy("id").agg(F.max_by(F.struct(*events.columns), ended).alias("r")).select("r.*")

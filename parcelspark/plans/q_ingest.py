@@ -24,13 +24,6 @@ NOW = dt.datetime(2024, 1, 31)
 NOW_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
-def avg_exact_spark(total: str, n: str, scale: int = 4):
-    """Mean of integers rounded half up to ``scale`` decimals, in exact integer arithmetic."""
-    m = 10 ** scale
-    return (F.expr(f"(2 * {m} * {total} + {n}) div (2 * {n})").cast("decimal(30,0)")
-            * F.lit(1 / m).cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(18,{scale})")
-
-
 def avg_exact_sql(total: str, n: str, scale: int = 4) -> str:
     m = 10 ** scale
     return (f"CAST(CAST((2 * {m} * {total} + {n}) // (2 * {n}) AS DECIMAL(30,0)) * CAST(0.{'0' * (scale - 1)}1 "
@@ -241,20 +234,9 @@ FROM sync_history WHERE status = 'success' AND sync_timestamp > {NOW_SQL} - INTE
 GROUP BY ALL"""
 
 
-def _perf_spark(spark, sf, hourly):
-    h = views(spark, sf, "sync_history")
-    recent = h.where((F.col("status") == "success") &
-                     (F.col("sync_timestamp") > F.lit(str(NOW)).cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS")))
-    keys = [F.date_trunc("hour", "sync_timestamp").cast("timestamp_ntz").alias("hour")] if hourly else []
-    a = recent.groupBy(*keys, "sync_type").agg(F.sum("duration_seconds").alias("_s"),
-                                               F.count("duration_seconds").alias("_n"),
-                                               F.sum("records_processed").cast("bigint").alias("total_records"))
-    return a.select(*(["hour"] if hourly else []), "sync_type", avg_exact_spark("_s", "_n").alias("avg_duration"),
-                    "total_records")
-
-
-register("sync_perf_24h", _perf_sql(False))(lambda spark, sf: _perf_spark(spark, sf, False))
-register("sync_perf_hourly", _perf_sql(True))(lambda spark, sf: _perf_spark(spark, sf, True))
+register("sync_perf_24h", _perf_sql(False))(lambda spark, sf: S.sync_perf(views(spark, sf, "sync_history"), NOW))
+register("sync_perf_hourly", _perf_sql(True))(
+    lambda spark, sf: S.sync_perf(views(spark, sf, "sync_history"), NOW, by_hour=True))
 
 
 @register("sync_success_rate", HIST + """,
@@ -267,15 +249,7 @@ SELECT total_successful, total_failed,
                  AS DECIMAL(7,3))
        ELSE CAST(0 AS DECIMAL(7,3)) END AS success_rate FROM t""")
 def sync_success_rate(spark, sf):
-    st = S.sync_fold(views(spark, sf, "sync_history"))
-    t = st.agg(F.coalesce(F.sum("successful_sync_count"), F.lit(0)).cast("bigint").alias("total_successful"),
-               F.coalesce(F.sum("failed_sync_count"), F.lit(0)).cast("bigint").alias("total_failed"))
-    rate = (F.expr("(2 * 100000 * total_successful + total_successful + total_failed) div "
-                   "(2 * (total_successful + total_failed))").cast("decimal(30,0)")
-            * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(7,3)")
-    return t.select("total_successful", "total_failed",
-                    F.when(F.col("total_successful") + F.col("total_failed") > 0, rate)
-                    .otherwise(F.lit(0).cast("decimal(7,3)")).alias("success_rate"))
+    return S.sync_success_rate(S.sync_fold(views(spark, sf, "sync_history")))
 
 
 @register("sync_recent_avg", HIST + f""",
@@ -283,10 +257,7 @@ top AS (SELECT * FROM sync_history ORDER BY sync_timestamp DESC, id DESC LIMIT 1
 SELECT {avg_exact_sql('sum(nullif(duration_seconds, 0))', 'count(nullif(duration_seconds, 0))')} AS avg_duration,
        count(nullif(duration_seconds, 0)) AS attempts_counted FROM top""")
 def sync_recent_avg(spark, sf):
-    top = S.recent_history(views(spark, sf, "sync_history"))
-    d = F.nullif(F.col("duration_seconds"), F.lit(0))
-    a = top.agg(F.sum(d).alias("_s"), F.count(d).alias("attempts_counted"))
-    return a.select(avg_exact_spark("_s", "attempts_counted").alias("avg_duration"), "attempts_counted")
+    return S.sync_recent_avg(views(spark, sf, "sync_history"))
 
 
 @register("mark_merge", _FOLD_SQL + """,
@@ -320,11 +291,4 @@ FROM (SELECT date_trunc('day', processed_at) AS processing_date, data_quality_sc
 GROUP BY processing_date""")
 def quality_trend(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
-    u = U.unified_dataset(props, persons, as_of=U.DEFAULT_AS_OF)
-    recent = u.where(F.col("processed_at") >= F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")
-                     - F.expr("INTERVAL 30 DAYS"))
-    a = recent.groupBy(F.date_trunc("day", "processed_at").cast("timestamp_ntz").alias("processing_date")).agg(
-        F.sum("data_quality_score").alias("_s"), F.count(F.lit(1)).alias("records_processed"),
-        F.count_if(F.col("data_quality_score") >= 80).alias("high_quality_records"))
-    return a.select("processing_date", avg_exact_spark("_s", "records_processed").alias("avg_quality_score"),
-                    "records_processed", "high_quality_records")
+    return S.quality_trend(U.unified_dataset(props, persons, as_of=U.DEFAULT_AS_OF), dt.datetime(2024, 7, 1))

@@ -314,15 +314,14 @@ def attachment_source(spark, sf):
 
 
 def _plan_sql():
-    bimg = f"coalesce({_d_inside('property_description', '$.building_image')}, {_d_top_level('extra_json', 'building', 'image')})"
-    pimg = f"coalesce({_d_inside('property_location', '$.address_plus_code_image')}, {_d_top_level('extra_json', 'address', 'plus', 'code')})"
+    bimg = f"nullif({_d_inside('property_description', '$.building_image')}, '')"
+    pimg = f"nullif({_d_inside('property_location', '$.address_plus_code_image')}, '')"
     return D.with_views("properties", "links") + f""",
-st AS (SELECT uuid AS k, bool_or(building_image_url IS NOT NULL AND building_image_url <> '') AS has_url
-       FROM links GROUP BY uuid),
-b AS (SELECT coalesce(p.uuid, p.id) AS submission_id, {bimg} AS bimg, {pimg} AS pimg, st.k, st.has_url
-      FROM properties p LEFT JOIN st ON st.k = coalesce(p.uuid, p.id)),
-b2 AS (SELECT *, CASE WHEN k IS NULL THEN 0 ELSE 1 END AS priority FROM b
-       WHERE NOT (k IS NOT NULL AND coalesce(has_url, false)))
+st AS (SELECT DISTINCT uuid AS k FROM links WHERE uuid IS NOT NULL),
+b AS (SELECT coalesce(nullif(p.uuid, ''), p.id) AS submission_id, {bimg} AS bimg, {pimg} AS pimg, st.k,
+             coalesce(p.building_image_url <> '', false) AS linked
+      FROM properties p LEFT JOIN st ON st.k = coalesce(nullif(p.uuid, ''), p.id)),
+b2 AS (SELECT *, CASE WHEN k IS NULL THEN 0 ELSE 1 END AS priority FROM b WHERE NOT (k IS NOT NULL AND linked))
 SELECT submission_id, priority, 'building_image' AS field, bimg AS source_value, bimg IS NULL AS is_placeholder,
   CASE WHEN bimg IS NULL THEN '{LK.DEFAULT_BASE_FOLDER}/{K.PLACEHOLDER_FOLDER}/' || submission_id || '.png'
        ELSE {_d_object_key('submission_id', "'building_image'", 'bimg')} END AS object_key
@@ -359,12 +358,15 @@ def attach_results(spark, sf):
 
 @register("attachment_priority", _plan_sql().replace(
     "SELECT submission_id, priority, 'building_image' AS field", "SELECT * FROM (SELECT submission_id, priority, "
-    "'building_image' AS field", 1) + ") ORDER BY priority, submission_id, field LIMIT 100")
+    "'building_image' AS field", 1) + ") ORDER BY priority, submission_id, field")
 def attachment_priority(spark, sf):
     props, links = views(spark, sf, "properties", "links")
-    return LK.attachment_plan(props, links).orderBy("priority", "submission_id", "field").limit(100)
+    return LK.attachment_plan(props, links).orderBy("priority", "submission_id", "field")
 
 
-@register("attachment_file_audit")
-def attachment_file_audit(spark, sf):
-    return LK.audit_attachment_files(spark, f"{sf.rstrip('/')}/*.parquet").select("file_name", "length", "suspect")
+@register("attachment_payload_audit", f"""
+SELECT page_id, CAST(coalesce(octet_length(encode(html)), 0) AS BIGINT) AS length,
+       coalesce(octet_length(encode(html)), 0) < {K.SMALL_PAYLOAD_BYTES} AS suspect FROM pages""")
+def attachment_payload_audit(spark, sf):
+    """S10 over a table of stored payloads."""
+    return LK.audit_payloads(spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet"), "page_id", "html")

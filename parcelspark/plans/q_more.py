@@ -178,29 +178,25 @@ NOW_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
 def _with_events(h, kind: str):
-    """Append one event per sync type present in the log, built by Spark from the log itself."""
+    """Append one event per sync type present in the log, built from the log itself by the library's constructors."""
     types = h.select("sync_type").distinct()
-    # ids for the new rows; the window runs over the distinct types only (a handful of rows)
-    base_id = F.lit(1000000) + F.dense_rank().over(Window.orderBy("sync_type"))
-    ts = F.lit(str(NOW)).cast("timestamp_ntz")
-    ev = types.select(
-        base_id.cast("int").alias("id"), "sync_type", ts.alias("sync_timestamp"),
-        F.lit({"start": "in_progress", "complete": "success", "fail": "error", "mark": "success"}[kind])
-        .alias("status"),
-        F.lit(0 if kind in ("complete", "mark") else None).cast("int").alias("records_processed"),
-        F.lit(0 if kind != "start" else None).cast("int").alias("duration_seconds"),
-        (F.substring(F.concat(F.lit("failed: "), F.repeat(F.lit("x"), 1200)), 1, K.ERROR_TEXT_MAX)
-         if kind == "fail" else F.lit(None).cast("string")).alias("error_message"),
-        F.lit(None).cast("string").alias("sync_metadata"), F.lit("host-x").alias("service_instance"),
-        (F.lit("2024-01-30 12:00:00").cast("timestamp_ntz") if kind == "mark" else F.lit(None).cast("timestamp_ntz"))
-        .alias("sync_mark"))
-    return h.unionByName(ev)
+    # a number for each type from a hash of its name: no window over all types
+    starts = types.select((F.lit(1000000) + F.pmod(F.xxhash64("sync_type"), F.lit(1000000000))).cast("int").alias("id"),
+                          "sync_type", F.lit(str(NOW)).cast("timestamp_ntz").alias("sync_timestamp"),
+                          F.lit("host-x").alias("service_instance"))
+    end = NOW + dt.timedelta(seconds=90)
+    events = {"start": lambda: S.start_events(starts), "complete": lambda: S.complete_events(starts, end, 7),
+              "fail": lambda: S.fail_events(starts, end, "failed: " + "x" * 1200),
+              "mark": lambda: S.mark_set_events(starts, dt.datetime(2024, 1, 30, 12))}[kind]()
+    if kind in ("complete", "fail"):
+        events = S.final_states(S.start_events(starts).unionByName(events))
+    return h.unionByName(events)
 
 
 def _events_sql(kind: str) -> str:
     status = {"start": "in_progress", "complete": "success", "fail": "error", "mark": "success"}[kind]
-    rec = "0" if kind in ("complete", "mark") else "NULL"
-    dur = "NULL" if kind == "start" else "0"
+    rec = {"complete": "7", "mark": "0"}.get(kind, "NULL")
+    dur = {"complete": "90", "fail": "90", "mark": "0"}.get(kind, "NULL")
     err = "substr('failed: ' || repeat('x', 1200), 1, 1000)" if kind == "fail" else "NULL"
     mark = "TIMESTAMP '2024-01-30 12:00:00'" if kind == "mark" else "CAST(NULL AS TIMESTAMP)"
     view = D.with_views("sync_history").replace("WITH sync_history AS", "WITH h0 AS", 1)

@@ -279,7 +279,7 @@ FROM (
 
 INCOMING_SQL = r"""
 SELECT
-  'uuid:' || cast(l.l_orderkey % 2000 AS string) AS uuid,
+  'uuid:' || cast(l.l_orderkey AS string) AS uuid,
   l.l_shipdate AS submitted_date,
   l.l_linenumber AS seq,
   l.l_partkey AS tb1,
@@ -312,23 +312,9 @@ VIEW_INPUTS = {
 }
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (a small or single-row-group
-    file) over all cores before CPU-heavy per-row work.  At scale a scan has far more splits than
-    cores and this is a no-op; the round-robin exchange is deterministic (sorted before repartition)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in SMALL_DIMENSIONS else ensure_parallelism(df)
-
-
-# Dimension tables with a fixed, tiny row count (25 nations, 5 regions): never redistributed.
-SMALL_DIMENSIONS = ("nation", "region")
+    """A table as its reader splits it; nothing is planned or exchanged here."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def survey_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,22 +2,25 @@
 
 Per micro-batch of landed main submissions:
 
-1. upsert the mains into the properties table (presence-aware, last record wins);
+1. upsert the mains into the properties table: keys absent from a record keep the stored value, last record wins;
 2. write the attachment manifest of the batch (what to fetch, object keys, priority);
 3. write the link-refresh manifest over the new properties version;
-4. take the persons of the batch's submissions from the person feed (semi-join) and upsert them;
+4. upsert the persons of the person feed: all of them, or, once there is a person mark, those whose
+   submission is in the batch;
 5. rebuild the unified table from the new versions.
 
-Every table is versioned by batch id (version ``b + 1`` = version ``b`` + batch ``b``)
-and every step appends one history row keyed by (batch id, sync type), so a
-micro-batch replayed after a failure rewrites the same versions and rows.  A
-failing step records an ``error`` row and re-raises, which fails the batch (the
-stream retries it) -- a feed error is never turned into an empty success.
+Every table is versioned by batch id (version ``b + 1`` = version ``b`` + batch ``b``).  Each attempt at a step
+appends its own history row, keyed by (batch id, sync type, attempt), so a failure stays on record when
+the retry succeeds.  A failing step records an ``error`` row and re-raises, which fails the batch (the stream
+retries it) -- a feed error is never turned into an empty success.  The clock is read for each batch.
+Only the last ``keep_versions`` versions of a table stay.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +30,11 @@ from parcelspark import constants as K
 from parcelspark.operators import ingest as I
 from parcelspark.operators import links as LK
 from parcelspark.operators import sinks as SK
-from parcelspark.operators.unified import DEFAULT_AS_OF, unified_dataset
-from parcelspark.sources.schemas import PERSONS_SCHEMA, PROPERTIES_SCHEMA, SYNC_HISTORY_SCHEMA
-from parcelspark.streaming.incremental import feed_stream
+from parcelspark.operators.unified import unified_dataset
+from parcelspark.sources.schemas import MAIN_SCHEMA, PERSONS_SCHEMA, SYNC_HISTORY_SCHEMA, TS_FORMAT
+from parcelspark.streaming.incremental import text_stream
 
-MAIN_COLUMNS = [c.split()[0] for c in PROPERTIES_SCHEMA.split(", ") if c.split()[0] != "uuid"]
+MAIN_COLUMNS = [c.split()[0] for c in MAIN_SCHEMA.split(", ") if c.split()[0] != "uuid"]
 PERSON_COLUMNS = [c.split()[0] for c in PERSONS_SCHEMA.split(", ") if c.split()[0] != "uuid"]
 
 
@@ -52,86 +55,118 @@ class CyclePaths:
 
 
 def _log(spark: SparkSession, paths: CyclePaths, batch_id: int, sync_type: str, started: dt.datetime,
-         status: str, records: int | None, mark=None, error: str | None = None) -> None:
+         status: str, records: int | None, mark=None, error: str | None = None, metadata: str | None = None) -> None:
     ended = dt.datetime.now()
     row = (int(batch_id), sync_type, started, status, records, int((ended - started).total_seconds()),
-           None if error is None else error[:K.ERROR_TEXT_MAX], None, "cycle", mark)
-    (spark.createDataFrame([row], SYNC_HISTORY_SCHEMA).write.mode("overwrite")
-     .parquet(f"{paths.history}/batch_id={batch_id}/sync_type={sync_type}"))
+           None if error is None else error[:K.ERROR_TEXT_MAX], metadata, "cycle", mark)
+    step = f"{paths.history}/batch_id={batch_id}/sync_type={sync_type}"
+    attempt = 0
+    while SK.exists(spark, f"{step}/attempt={attempt}/_SUCCESS"):
+        attempt += 1
+    spark.createDataFrame([row], SYNC_HISTORY_SCHEMA).write.mode("overwrite").parquet(f"{step}/attempt={attempt}")
 
 
 def _base(spark: SparkSession, table: str, batch_id: int, schema: str) -> DataFrame:
-    p = f"{table}/v={batch_id}"
-    if SK.exists(spark, p):
-        return spark.read.parquet(p)
+    stored = SK.read_version(spark, table, batch_id)
+    if stored is not None:
+        return stored
     if batch_id == 0:
         return spark.createDataFrame([], schema)
-    raise RuntimeError(f"base version {p} is missing")
+    raise RuntimeError(f"version {batch_id} of {table} is missing")
 
 
-def cycle_fn(paths: CyclePaths, persons_feed: str, now_epoch: int, bucket: str, as_of=DEFAULT_AS_OF,
-             order: list[str] | None = None):
+def _counted(df: DataFrame, write) -> int:
+    """Run a write and return its rows from the write's own metrics."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return int(seen.get["n"])
+
+
+def cycle_fn(paths: CyclePaths, persons_feed: str, now_epoch: Callable[[], int], bucket: str,
+             as_of: Callable[[], dt.date], order: list[str] | None = None,
+             person_mark: Callable[[SparkSession], object] | None = None, keep_versions: int = 5):
+    """The ``foreachBatch`` body over text records; ``now_epoch`` and ``as_of`` are asked for each batch."""
     order = order or ["submitted_date", "id"]
 
-    def step(spark, batch_id, sync_type, fn):
+    def step(spark, batch_id, sync_type, fn, clock):
         started = dt.datetime.now()
         try:
             records, mark = fn()
         except Exception as e:  # record, then fail the batch so the stream retries it
-            _log(spark, paths, batch_id, sync_type, started, "error", None, error=str(e))
+            _log(spark, paths, batch_id, sync_type, started, "error", None, error=str(e), metadata=clock)
             raise
-        _log(spark, paths, batch_id, sync_type, started, "success", records, mark)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = I.normalize_submission(batch).drop("submission_date_text", "submitted_at")
+        _log(spark, paths, batch_id, sync_type, started, "success", records, mark, metadata=clock)
+
+    def apply(text: DataFrame, batch_id: int) -> None:
+        spark = text.sparkSession
+        now, today = int(now_epoch()), as_of()
+        parsed, flags = I.parse_records(text, MAIN_SCHEMA, TS_FORMAT, renames=I.MAIN_RENAMES)
+        dated = I.normalize_submission(parsed)
+        # the submitted time of the system block, where it parses, is the record's
+        derived = F.col("submitted_at").isNotNull()
+        batch = (dated.withColumn("submitted_date", F.coalesce("submitted_at", "submitted_date"))
+                 .withColumn(flags["submitted_date"], F.col(flags["submitted_date"]) | derived)
+                 .drop("submission_date_text", "submitted_at")).persist()
 
         def mains():
-            prev = _base(spark, paths.properties, batch_id, PROPERTIES_SCHEMA)
-            SK.write_version(I.upsert(prev, batch, "uuid", MAIN_COLUMNS, order), paths.properties, batch_id + 1)
+            prev = _base(spark, paths.properties, batch_id, MAIN_SCHEMA)
+            presence = {c: flags[c] for c in MAIN_COLUMNS}
+            new = I.upsert(prev, batch, "uuid", MAIN_COLUMNS, order, presence)
+            SK.write_version(new, paths.properties, batch_id + 1, keep=keep_versions)
             st = batch.agg(F.count(F.lit(1)).alias("n"), F.max("submitted_date").alias("m")).first()
             return int(st["n"]), st["m"]
 
         def images():
-            stored = _base(spark, paths.properties, batch_id, PROPERTIES_SCHEMA)
-            plan = LK.attachment_plan(batch, stored)
-            plan.write.mode("overwrite").parquet(f"{paths.attachments}/batch_id={batch_id}")
-            return spark.read.parquet(f"{paths.attachments}/batch_id={batch_id}").count(), None
+            plan = LK.attachment_plan(batch, _base(spark, paths.properties, batch_id, MAIN_SCHEMA))
+            out = f"{paths.attachments}/batch_id={batch_id}"
+            return _counted(plan, lambda df: df.write.mode("overwrite").parquet(out)), None
 
         def refresh():
-            current = spark.read.parquet(f"{paths.properties}/v={batch_id + 1}")
-            LK.refresh_manifest(current, now_epoch, bucket).write.mode("overwrite").parquet(
-                f"{paths.refresh}/batch_id={batch_id}")
-            return spark.read.parquet(f"{paths.refresh}/batch_id={batch_id}").count(), None
+            manifest = LK.refresh_manifest(SK.read_version(spark, paths.properties, batch_id + 1), now, bucket)
+            out = f"{paths.refresh}/batch_id={batch_id}"
+            return _counted(manifest, lambda df: df.write.mode("overwrite").parquet(out)), None
 
         def persons():
             feed = spark.read.schema(PERSONS_SCHEMA).parquet(persons_feed)
-            mine = I.persons_of_batch(I.derive_person_uuid(feed), batch)
+            if person_mark is not None and person_mark(spark) is not None:
+                feed = I.persons_of_batch(feed, batch)
+            mine = I.derive_person_uuid(feed)
             prev = _base(spark, paths.persons, batch_id, PERSONS_SCHEMA)
-            SK.write_version(I.upsert(prev, mine, "uuid", PERSON_COLUMNS, ["id"]), paths.persons, batch_id + 1)
-            return spark.read.parquet(f"{paths.persons}/v={batch_id + 1}").count(), None
+            new = I.upsert(prev, mine, "uuid", PERSON_COLUMNS, ["id"])
+            return _counted(new, lambda df: SK.write_version(df, paths.persons, batch_id + 1, keep=keep_versions)), None
 
         def rebuild():
-            props = spark.read.parquet(f"{paths.properties}/v={batch_id + 1}")
-            pers = spark.read.parquet(f"{paths.persons}/v={batch_id + 1}")
-            SK.write_version(SK.layout_unified(unified_dataset(props, pers, as_of=as_of)), paths.unified,
-                             batch_id + 1)
-            return spark.read.parquet(f"{paths.unified}/v={batch_id + 1}").count(), None
+            wide = unified_dataset(SK.read_version(spark, paths.properties, batch_id + 1),
+                                   SK.read_version(spark, paths.persons, batch_id + 1), as_of=today)
+            return _counted(SK.layout_unified(wide), lambda df: SK.write_version(
+                df, paths.unified, batch_id + 1, keep=keep_versions)), None
 
-        for sync_type, fn in (("main_submissions", mains), ("image_processing", images),
-                              ("url_refresh", refresh), ("person_details", persons), ("unified_rebuild", rebuild)):
-            step(spark, batch_id, sync_type, fn)
+        clock = f'{{"now_epoch": {now}, "as_of": "{today}"}}'
+        try:
+            for sync_type, fn in (("main_submissions", mains), ("image_processing", images),
+                                  ("url_refresh", refresh), ("person_details", persons), ("unified_rebuild", rebuild)):
+                step(spark, batch_id, sync_type, fn, clock)
+        finally:
+            batch.unpersist()
 
     return apply
 
 
 def run_cycle(spark: SparkSession, mains_landing: str, persons_feed: str, root: str, checkpoint: str,
-              now_epoch: int, bucket: str, as_of=DEFAULT_AS_OF, max_files_per_trigger: int | None = None,
-              processing_time: str | None = None):
-    """Start the cycle: ``availableNow`` by default, or a ``processingTime`` trigger (the polling loop)."""
+              now_epoch: int | Callable[[], int] | None, bucket: str, as_of=None,
+              max_files_per_trigger: int | None = None, processing_time: str | None = None,
+              person_mark: Callable[[SparkSession], object] | None = None, keep_versions: int = 5):
+    """Start the cycle: ``availableNow`` by default, or a ``processingTime`` trigger (the polling loop).
+
+    ``now_epoch`` and ``as_of`` may be fixed values (tests) or callables; left out, they follow the clock.
+    """
     paths = CyclePaths(root)
-    stream = feed_stream(spark, mains_landing, PROPERTIES_SCHEMA, max_files_per_trigger)
-    w = stream.writeStream.foreachBatch(cycle_fn(paths, persons_feed, now_epoch, bucket, as_of)) \
-        .option("checkpointLocation", checkpoint)
+    now = now_epoch if callable(now_epoch) else (lambda: int(time.time()) if now_epoch is None else now_epoch)
+    today = as_of if callable(as_of) else (lambda: dt.date.today() if as_of is None else as_of)
+    stream = text_stream(spark, mains_landing, max_files_per_trigger)
+    body = cycle_fn(paths, persons_feed, now, bucket, today, person_mark=person_mark, keep_versions=keep_versions)
+    w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start(), paths

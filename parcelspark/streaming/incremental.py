@@ -2,8 +2,8 @@
 
 ``incremental_upsert`` reads landed feed files with ``readStream`` and, per
 micro-batch (``foreachBatch``), applies the presence-aware upsert to a
-versioned table (version = batch id, so a replayed batch rewrites the same
-version: idempotent) and appends one history row per batch (also keyed by the
+versioned table (version = batch id; a replayed batch makes the same
+version again in a folder of its own: idempotent) and appends one history row per batch (also keyed by the
 batch id).  ``sync_status_stream`` keeps the per-type status as a streaming
 aggregation over the history log (update mode).
 """
@@ -27,6 +27,14 @@ def land_json(df: DataFrame, path: str, partitions: int | None = None) -> None:
     out.write.mode("append").option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).json(path)
 
 
+def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed JSON lines as text, for readers that need to know which keys a record has."""
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.text(path)
+
+
 def feed_stream(spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = (spark.readStream.schema(schema).option("timestampNTZFormat", TS_FORMAT)
          .option("timestampFormat", TS_FORMAT))
@@ -45,13 +53,11 @@ def upsert_batch_fn(table: str, history: str, key: str, columns: list[str], orde
     def apply(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         started = dt.datetime.now()
-        base_path = f"{table.rstrip('/')}/v={batch_id}"
-        if SK.exists(spark, base_path):
-            prev = spark.read.parquet(base_path)
-        elif batch_id == 0:
+        prev = SK.read_version(spark, table, batch_id)
+        if prev is None:
+            if batch_id != 0:
+                raise RuntimeError(f"version {batch_id} of {table} is missing; cannot apply batch {batch_id}")
             prev = spark.createDataFrame([], batch_df.select(key, *columns).schema)
-        else:
-            raise RuntimeError(f"base version {base_path} is missing; cannot apply batch {batch_id}")
         SK.write_version(I.upsert(prev, batch_df, key, columns, order, presence), table, batch_id + 1)
         stats = batch_df.agg(F.count(F.lit(1)).alias("n"), F.max(ts_col).alias("mark")).first()
         ended = dt.datetime.now()

@@ -1,10 +1,14 @@
 """The whole cycle over two micro-batches equals the batch computation; history has every step."""
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from parcelspark.operators import ingest as I
 from parcelspark.operators import sinks as SK
-from parcelspark.operators.unified import unified_dataset
+from parcelspark.operators import sync_state as S
+from parcelspark.operators.unified import DEFAULT_AS_OF, unified_dataset
 from parcelspark.sources.survey_views import survey_view
 from parcelspark.streaming import cycle as CY
 from parcelspark.streaming.incremental import land_json, read_history
@@ -18,16 +22,68 @@ def test_cycle_two_batches(spark, scratch):
     land_json(props.where(~F.col("uuid").startswith("uuid:s")), f"{scratch}/mains", partitions=1)
     land_json(props.where(F.col("uuid").startswith("uuid:s")), f"{scratch}/mains", partitions=1)
     q, paths = CY.run_cycle(spark, f"{scratch}/mains", f"{scratch}/persons_feed", f"{scratch}/out",
-                            f"{scratch}/ckpt", now_epoch=1704067200, bucket="survey-media", max_files_per_trigger=1)
+                            f"{scratch}/ckpt", now_epoch=1704067200, bucket="survey-media", max_files_per_trigger=1, as_of=DEFAULT_AS_OF)
     q.awaitTermination()
     assert SK.current_version(spark, paths.unified) == 2
     got = SK.read_current(spark, paths.unified)
-    # batch form of the same steps: persons come in through the FK of the processed submissions
-    # after key derivation (T4), as in the loop
-    want = unified_dataset(props, I.persons_of_batch(I.derive_person_uuid(persons), props))
+    # batch form of the same steps: without a person mark every person of the feed comes in, after key derivation (T4)
+    want = unified_dataset(props, I.derive_person_uuid(persons), as_of=DEFAULT_AS_OF)
     assert got.count() == want.count()
     assert got.select("uuid", "person_uuid", "ctl", "data_quality_score").exceptAll(
         want.select("uuid", "person_uuid", "ctl", "data_quality_score")).count() == 0
     h = read_history(spark, paths.history)
     assert h.where("status = 'success'").count() == 10  # 5 steps x 2 batches
     assert SK.read_current(spark, paths.properties).count() == props.count()
+
+
+def _one_person(spark, path, rows):
+    from parcelspark.sources.schemas import PERSONS_SCHEMA
+    cols = [c.split()[0] for c in PERSONS_SCHEMA.split(", ")]
+    spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], PERSONS_SCHEMA).write.mode("append").parquet(path)
+
+
+def _batch(spark, *records):
+    import json
+    return spark.createDataFrame([(json.dumps(r),) for r in records], "value string")
+
+
+def test_absent_keys_keep_and_nulls_clear_and_late_persons_arrive(spark, scratch):
+    clock = iter(range(100, 200))
+    days = iter([dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)])
+    paths = CY.CyclePaths(f"{scratch}/out")
+    fn = CY.cycle_fn(paths, f"{scratch}/persons", lambda: next(clock), "b", lambda: next(days), keep_versions=2)
+    _one_person(spark, f"{scratch}/persons", [{"uuid": "p0_1", "id": "1", "submissions_id": "p0"}])
+    sent = '{"submissionDate": "2024-01-05T10:00:00Z"}'
+    fn(_batch(spark, {"uuid": "p0", "__id": "i0", "logo": "a.png", "building_image_url": "https://x", "system_json": sent,
+                      "meta": "m", "survey_start": "2024-01-05T09:00:00.000000"}), 0)
+    fn(_batch(spark, {"uuid": "p0", "logo": "b.png", "meta": None}), 1)
+    row = SK.read_current(spark, paths.properties).first()
+    assert row["logo"] == "b.png" and row["building_image_url"] == "https://x" and row["meta"] is None  # absent keeps, null clears
+    assert row["submitted_date"] == dt.datetime(2024, 1, 5, 10) and row["survey_start"] == dt.datetime(2024, 1, 5, 9) and row["id"] == "i0"
+    _one_person(spark, f"{scratch}/persons", [{"uuid": "p0_2", "id": "2", "submissions_id": "p0"}])
+    fn(_batch(spark, {"uuid": "p1", "id": "i1"}), 2)  # the new person belongs to an earlier batch's property
+    assert {r["uuid"] for r in SK.read_current(spark, paths.persons).collect()} == {"p0_1", "p0_2"}
+    clocks = {r["sync_metadata"] for r in read_history(spark, paths.history).collect()}
+    assert clocks == {f'{{"now_epoch": {100 + i}, "as_of": "2024-01-0{i + 1}"}}' for i in range(3)}
+    assert SK.version_path(spark, paths.persons, 1) is None and SK.version_path(spark, paths.persons, 2)  # old versions go
+
+
+def test_failed_attempt_stays_on_record(spark, scratch):
+    paths = CY.CyclePaths(f"{scratch}/out")
+    fn = CY.cycle_fn(paths, f"{scratch}/persons", lambda: 1, "b", lambda: dt.date(2024, 1, 1))
+    batch = _batch(spark, {"uuid": "p0", "id": "i0"})
+    with pytest.raises(Exception):
+        fn(batch, 0)  # there is no person feed yet
+    _one_person(spark, f"{scratch}/persons", [{"uuid": "p0_1", "id": "1", "submissions_id": "p0"}])
+    fn(batch, 0)
+    fold = {r["sync_type"]: r for r in S.sync_fold(read_history(spark, paths.history)).collect()}
+    assert fold["person_details"]["failed_sync_count"] == 1 and fold["person_details"]["successful_sync_count"] == 1
+    assert SK.read_current(spark, paths.unified).count() == 1
+
+
+def test_person_mark_limits_to_the_batch(spark, scratch):
+    paths = CY.CyclePaths(f"{scratch}/out")
+    fn = CY.cycle_fn(paths, f"{scratch}/persons", lambda: 1, "b", lambda: dt.date(2024, 1, 1), person_mark=lambda s: "2024")
+    _one_person(spark, f"{scratch}/persons", [{"uuid": "p0_1", "id": "1", "submissions_id": "p0"}, {"uuid": "p9_1", "id": "2", "submissions_id": "p9"}])
+    fn(_batch(spark, {"uuid": "p0", "id": "i0"}), 0)
+    assert [r["uuid"] for r in SK.read_current(spark, paths.persons).collect()] == ["p0_1"]

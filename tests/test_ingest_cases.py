@@ -38,18 +38,26 @@ def test_derive_person_uuid(spark):
 
 def test_sync_fold_sequence(spark):
     t0 = dt.datetime(2024, 1, 1)
-    s1 = S.start_event(1, "main", t0)
-    s2 = S.start_event(2, "main", t0 + dt.timedelta(minutes=1))
-    rows = [s1, S.complete_event(s1, t0 + dt.timedelta(seconds=5), 10, mark=dt.datetime(2023, 12, 31)),
-            s2, S.fail_event(s2, t0 + dt.timedelta(minutes=2), "x" * 2000)]
-    hist = S.events_frame(spark, rows)
-    st = S.sync_fold(hist).first().asDict()
+    def attempt(id_, minutes):
+        return spark.createDataFrame([(id_, "main", t0 + dt.timedelta(minutes=minutes), None)], S.STARTS)
+
+    def log(*events):
+        out = events[0]
+        for e in events[1:]:
+            out = out.unionByName(e)
+        return S.final_states(out)
+
+    s1, s2 = attempt(1, 0), attempt(2, 1)
+    rows = [S.start_events(s1), S.complete_events(s1, t0 + dt.timedelta(seconds=5), 10, mark=dt.datetime(2023, 12, 31)),
+            S.start_events(s2), S.fail_events(s2, t0 + dt.timedelta(minutes=2), "x" * 2000)]
+    assert {r["duration_seconds"] for r in log(*rows).collect()} == {5, 60}
+    st = S.sync_fold(log(*rows)).first().asDict()
     assert st["successful_sync_count"] == 1 and st["failed_sync_count"] == 1
     assert len(st["last_error_message"]) == 1000 and st["last_sync_status"] == "error"
     assert st["last_sync_timestamp"] == dt.datetime(2023, 12, 31)
     # a completion without a mark leaves the mark unchanged
-    s3 = S.start_event(3, "main", t0 + dt.timedelta(minutes=3))
-    hist2 = S.events_frame(spark, rows + [s3, S.complete_event(s3, t0 + dt.timedelta(minutes=4), 0)])
+    s3 = attempt(3, 3)
+    hist2 = log(*rows, S.start_events(s3), S.complete_events(s3, t0 + dt.timedelta(minutes=4), 0))
     assert S.sync_fold(hist2).first()["last_sync_timestamp"] == dt.datetime(2023, 12, 31)
 
 

@@ -50,3 +50,24 @@ def test_object_key_and_placeholder(spark):
                    "odk_images/building-images/s3-o.jpg"]
     src = df.select(LK.attachment_source(F.col("n"), F.col("id"), "https://h", "1", "f")).first()[0]
     assert src == "https://h/v1/projects/1/forms/f/submissions/s1/attachments/a%20b.jpg"
+
+
+def test_attachment_plan_incoming_link_decides(spark):
+    loc, desc = '{"address_plus_code_image":"p.jpg"}', '{"building_image":"b.jpg"}'
+    cols = "uuid string, id string, property_location string, property_description string, building_image_url string, extra_json string"
+    batch = spark.createDataFrame([
+        ("new", "1", loc, desc, "https://have", None),      # not stored: planned although it carries a link
+        ("linked", "2", loc, desc, "https://have", None),   # stored, incoming link: skipped
+        ("bare", "3", None, desc, "", None),                # stored (with a stored link), no incoming link: planned
+        ("", "byid", None, '{"building_image":""}', None, '{"building_image_x":"top.jpg"}'),  # key from id; no fallback image
+    ], cols)
+    stored = spark.createDataFrame([("linked", None), ("bare", "https://stored")], "uuid string, building_image_url string")
+    got = {(r["submission_id"], r["field"]): (r["priority"], r["source_value"], r["is_placeholder"])
+           for r in LK.attachment_plan(batch, stored).collect()}
+    assert got == {("new", "building_image"): (0, "b.jpg", False), ("new", "address_plus_code"): (0, "p.jpg", False),
+                   ("bare", "building_image"): (1, "b.jpg", False), ("byid", "building_image"): (0, None, True)}
+
+
+def test_payload_audit(spark):
+    df = spark.createDataFrame([(1, "x" * 100), (2, "é" * 49), (3, None)], "k int, body string")
+    assert [tuple(r) for r in LK.audit_payloads(df, "k", "body", 100).collect()] == [(1, 100, False), (2, 98, True), (3, 0, True)]
