@@ -19,7 +19,7 @@ def _star(edges: DataFrame) -> DataFrame:
 def _step(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` with a < b; the same components, closer to stars around the least id."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    large = _star(both).where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a < b").distinct()
+    large = _star(both).where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a < b")
     down = _star(large.select(F.col("b").alias("u"), F.col("a").alias("v")))
     small = down.select(F.col("m").alias("a"), F.explode(F.array("u", "v")).alias("b")).where("a < b")
     return small.distinct()
