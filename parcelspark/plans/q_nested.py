@@ -19,13 +19,14 @@ FK_KEY = "submissions_id"
 FK_OK = "submissions_id IS NOT NULL AND trim(submissions_id) <> ''"
 
 
-_UUIDS = F.transform("person_details", lambda x: F.coalesce(x["UUID"], F.lit("-")))
+def _uuids():
+    return F.array_join(F.transform("person_details", lambda x: F.coalesce(x["UUID"], F.lit("-"))), ",")
 
 
 def _per_property(df, key, *extra):
     """The chunks of a property side by side, so the answer is the same for any chunk size."""
     parts = df.groupBy(key).agg(F.sum("person_count").alias("person_count"),
-                                F.array_sort(F.collect_list(F.struct("person_offset", F.array_join(_UUIDS, ",").alias("ids"))))
+                                F.array_sort(F.collect_list(F.struct("person_offset", _uuids().alias("ids"))))
                                 .alias("_p"), *extra)
     return parts.withColumn("person_uuids", F.array_join(F.transform("_p", lambda x: x["ids"]), ",")).drop("_p")
 
