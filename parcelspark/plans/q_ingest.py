@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,9 @@ from parcelspark.operators import unified as U
 from parcelspark.plans import duck as D
 from parcelspark.plans import oracle_unified as O
 from parcelspark.plans.registry import register, views
+from parcelspark.session import shared_dir
+from parcelspark.sources.schemas import INCOMING_SCHEMA, PERSONS_SCHEMA, TS_FORMAT
+from parcelspark.streaming.incremental import land_json
 
 ORDER = ["submitted_date", "seq", "tb1", "tb2", "tb3"]
 ORDER_SQL = "submitted_date DESC, seq DESC, tb1 DESC, tb2 DESC, tb3 DESC"
@@ -30,16 +34,25 @@ def avg_exact_sql(total: str, n: str, scale: int = 4) -> str:
             f"AS DECIMAL({scale + 1},{scale})) AS DECIMAL(18,{scale}))")
 
 
+def _landed(spark, table, schema):
+    """The table as JSON feed files in the shared folder, read again as a feed."""
+    path = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    land_json(table, path)
+    return I.read_feed(spark, path, schema, TS_FORMAT)
+
+
 # ---- ingest ---------------------------------------------------------------------------------------
 @register("feed_incremental", D.with_views("incoming") + f"""
 SELECT * FROM incoming WHERE submitted_date > TIMESTAMP '{FEED_MARK}'""")
 def feed_incremental(spark, sf):
-    return I.feed_incremental(views(spark, sf, "incoming"), FEED_MARK)
+    """S1 as a user runs it: landed JSON records, read with a schema, from the mark on."""
+    return I.feed_incremental(_landed(spark, views(spark, sf, "incoming"), INCOMING_SCHEMA), FEED_MARK)
 
 
 @register("feed_full_child", D.with_views("persons") + "\nSELECT * FROM persons")
 def feed_full_child(spark, sf):
-    return I.feed_incremental(views(spark, sf, "persons"), None)
+    """The whole child feed, without a mark, from landed JSON records."""
+    return I.feed_incremental(_landed(spark, views(spark, sf, "persons"), PERSONS_SCHEMA), None)
 
 
 @register("normalize_submission", D.with_views("properties") + f"""
