@@ -10,6 +10,7 @@ Text is exchanged once: every pass uses the same exchange.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -66,3 +67,9 @@ def per_bucket(asked: DataFrame, answer: Callable[[pa.Table], pa.Table], schema:
 
 def column(table: pa.Table, name: str, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), dtype) for x in table.column(name)]
+
+
+def release(spark) -> None:
+    """Let Spark delete the shuffle files of finished jobs: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

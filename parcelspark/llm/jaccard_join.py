@@ -14,6 +14,10 @@ equal sets form a class; only the class's least id goes on.
 * The boundary is the size up to which enumerating costs less than scanning, from
   the histogram of small sizes.
 
+Before that, blocks ask hash buckets which of their shingles occur in another set (by
+24 bits of a hash, so a shingle may pass for shared, never the other way); a set
+whose shared shingles cannot reach the threshold has no link and goes no further.
+
 Lists give star edges (least id, member), not pairs; the groups they span contain
 all linked pairs.  A group up to ``group_bytes`` is solved exactly in one task: its
 sets are compared with one pivot after another, and members once reached are never
@@ -37,6 +41,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,22 +238,59 @@ def _packed_keys(doc: np.ndarray, key: np.ndarray, ids: np.ndarray, scheme: Sche
     return pa.RecordBatch.from_pylist([{"bucket": b, **x} for b, x in B.pack({"keys": key, "docs": ids[doc]}, bucket, buckets)], schema=schema)
 
 
-def _ask_lists(shingle: int, scheme: Scheme, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
-            doc, key = shingle_sets(part.column(1), shingle)
-            ids = T.ids_of(part.column(0))
-            # equal sets of a share: the least id goes on
-            d1, d2 = _set_digests(doc, key, part.num_rows)
-            order = np.lexsort((ids, d2, d1))
-            rep = np.ones(len(order), bool)
-            rep[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
-            keep = np.zeros(len(ids), bool)
-            keep[order[rep]] = True
-            keep &= ids != T.NO_DOC
-            row = np.cumsum(keep) - 1
-            on = keep[doc]
-            yield _packed_keys(row[doc[on]], key[on], ids[keep], scheme, buckets)
+def _picked(table: pa.Table, ids: np.ndarray) -> pa.Table:
+    """The rows of a block that stand for a class."""
+    return table.take(pa.array(np.flatnonzero(T.in_sorted(T.ids_of(table.column("doc_id")), np.unique(ids)) >= 0)))
+
+
+def _codes(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 24 bits of each shingle: enough to tell most apart, and taking two for one only keeps a set in."""
+    return (((key >> T.U(40)) % T.U(buckets)).astype(np.int64) << 24) | (key & T.U(0xFFFFFF)).astype(np.int64)
+
+
+def _ask_common(shingle: int, buckets: int):
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("codes", pa.binary()), ("many", pa.binary())])
+
+    def run(table: pa.Table, picked: pa.Table) -> pa.Table:
+        no = table.column("block")[0].as_py()
+        _, key = shingle_sets(_picked(table, picked.column("doc_id").to_numpy()).column("text"), shingle)
+        codes, n = np.unique(_codes(key, buckets), return_counts=True)
+        low = np.ascontiguousarray((codes & 0xFFFFFF).astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :3]
+        return B.rows(schema, [{"bucket": b, "block": no, **x} for b, x in B.pack({"codes": low, "many": (n > 1).astype(np.uint8)}, codes >> 24, buckets)])
+
+    return run
+
+
+def _answer_common(table: pa.Table) -> pa.Table:
+    raw = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, 3).astype(np.int64) @ np.array([1, 256, 65536]) for x in table.column("codes")]
+    edge = np.cumsum([0, *(len(x) for x in raw)])
+    _, which, n = np.unique(np.concatenate(raw), return_inverse=True, return_counts=True)
+    n = n + np.bincount(which, np.concatenate(B.column(table, "many", np.uint8)), len(n))
+    shared = (n > 1)[which]
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(shared[a:b]).tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())})
+
+
+def _linkable(shingle: int, percent: int, buckets: int):
+    """Sets of a block of which enough shingles may occur in another set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary())])
+
+    def run(table: pa.Table, right: pa.Table) -> pa.Table:
+        bits = right.filter(pc.is_valid(right.column("bits")))
+        table = _picked(table, right.column("doc_id").drop_null().to_numpy())
+        doc, key = shingle_sets(table.column("text"), shingle)
+        code = _codes(key, buckets)
+        codes = np.unique(code)
+        shared = np.zeros(len(codes), bool)
+        for b, x in zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist(), strict=True):
+            at = slice(*np.searchsorted(codes, [b << 24, (b + 1) << 24]))
+            shared[at] = np.unpackbits(np.frombuffer(x, np.uint8), count=at.stop - at.start).astype(bool)
+        n = table.num_rows
+        size = np.bincount(doc, minlength=n)
+        common = np.bincount(doc, shared[np.searchsorted(codes, code)], n)
+        edge = np.cumsum(size) - size
+        ids = T.ids_of(table.column("doc_id"))
+        keep = np.flatnonzero((size > 0) & (100 * common >= percent * size))
+        return pa.table({"doc_id": pa.array(ids[keep]), "keys": pa.array([key[edge[i] : edge[i] + size[i]].tobytes() for i in keep], pa.binary())}, schema=schema)
 
     return run
 
@@ -264,19 +306,6 @@ def _list_edges(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def _send_sets(shingle: int):
-    def run(table: pa.Table, picked: pa.Table) -> pa.Table:
-        ids = np.unique(picked.column("doc_id").to_numpy()) if picked.num_rows else np.zeros(0, np.int64)
-        table = table.take(pa.array(np.flatnonzero(T.in_sorted(T.ids_of(table.column("doc_id")), ids) >= 0)))
-        group = dict(zip(picked.column("doc_id").to_pylist(), picked.column("grp").to_pylist(), strict=True))
-        doc, key = shingle_sets(table.column("text"), shingle)
-        edge = np.searchsorted(doc, np.arange(table.num_rows + 1))
-        ids = table.column("doc_id").to_pylist()
-        return pa.table({"grp": pa.array([group[i] for i in ids], pa.int64()), "doc_id": pa.array(ids, pa.int64()), "keys": pa.array([key[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())})
-
-    return run
-
-
 def linked(pivot: np.ndarray, flat: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     """Which sets (``flat`` shingles of ``owner``) are linked with the pivot set."""
     both = np.bincount(owner[T.in_sorted(flat, pivot) >= 0], minlength=len(size))
@@ -402,16 +431,15 @@ def _as_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(edge), pa.array(np.frombuffer(b"".join(blobs), np.int64)))], names=["grp", "doc_id", "shingles"])
 
 
-def _ask_again(scheme: Scheme, buckets: int):
-    """Keys of known sets; those of different groups never meet."""
+def _ask_lists(scheme: Scheme, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, batch.num_rows, 500):
-                part = batch.slice(s, 500)
+            for s in range(0, batch.num_rows, 1000):
+                part = batch.slice(s, 1000)
                 sets = B.column(part, "keys", T.U)
                 doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-                yield _packed_keys(doc, np.concatenate(sets), T.ids_of(part.column(1)), scheme, buckets)
+                yield _packed_keys(doc, np.concatenate(sets), T.ids_of(part.column("doc_id")), scheme, buckets)
 
     return run
 
@@ -426,7 +454,7 @@ def _split_large(rows: DataFrame, scheme: Scheme, percent: int, buckets: int) ->
     kept = rows.join(shared, ["grp", "doc_id"]).where(100 * F.col("shared") >= percent * (F.octet_length("keys") / 8)).drop("shared")
     kept.write.parquet(f"{base}/kept")
     kept = spark.read.parquet(f"{base}/kept")
-    lists = kept.mapInArrow(_ask_again(scheme, buckets), "bucket int, keys binary, docs binary")
+    lists = kept.mapInArrow(_ask_lists(scheme, buckets), "bucket int, keys binary, docs binary")
     again = components(B.per_bucket(lists, _list_edges, "a long, b long"))
     return kept.join(again, F.col("doc_id") == F.col("node")).select(F.col("component").alias("grp"), "doc_id", "keys")
 
@@ -444,16 +472,21 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     small = {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * LARGEST_SMALL).groupBy("n").count().collect()}
     largest = classes.agg(F.max("n").alias("n")).first()["n"] or 0
     boundary = choose_boundary(small, percent)
-    lists = texts.mapInArrow(_ask_lists(shingle, Scheme(boundary, largest, percent), blocks), "bucket int, keys binary, docs binary")
-    groups = components(B.per_bucket(lists, _list_edges, "a long, b long"))
-    members = groups.join(classes.withColumnRenamed("class_id", "node"), "node").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n")
-    several = members.groupBy("grp").agg(F.countDistinct("doc_id").alias("c")).where("c > 1").select("grp")
-    members.join(several, "grp").write.parquet(f"{base}/members")
-    members = spark.read.parquet(f"{base}/members")
-    # only now do texts move: the sets of the members go to their groups
-    dealt = B.blocked(docs, blocks, id_col, text_col)
+    # a linked set shares most of its shingles: sets that cannot are left out before any lists are made
     block_of = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).cast("int").alias("block")
-    sent = dealt.groupBy("block").cogroup(members.select("doc_id", "grp", block_of).groupBy("block")).applyInArrow(_send_sets(shingle), "grp long, doc_id long, keys binary")
+    picked = classes.select(F.col("class_id").alias("doc_id")).select("doc_id", block_of)
+    own = B.blocked(docs, blocks, id_col, text_col).groupBy("block")
+    asked = own.cogroup(picked.groupBy("block")).applyInArrow(_ask_common(shingle, blocks), "bucket int, block int, codes binary, many binary")
+    answers = B.per_bucket(asked, _answer_common, "block int, bucket int, bits binary")
+    right = answers.unionByName(picked, allowMissingColumns=True)
+    own.cogroup(right.groupBy("block")).applyInArrow(_linkable(shingle, percent, blocks), "doc_id long, keys binary").write.parquet(f"{base}/linkable")
+    B.release(spark)
+    linkable = spark.read.parquet(f"{base}/linkable")
+    lists = linkable.mapInArrow(_ask_lists(Scheme(boundary, largest, percent), blocks), "bucket int, keys binary, docs binary")
+    groups = components(B.per_bucket(lists, _list_edges, "a long, b long"))
+    groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")).write.parquet(f"{base}/groups")
+    B.release(spark)
+    sent = linkable.join(spark.read.parquet(f"{base}/groups"), "doc_id").select("grp", "doc_id", "keys")
     sent.write.parquet(f"{base}/sent")
     sent = spark.read.parquet(f"{base}/sent")
     sizes = sent.groupBy("grp").agg(F.sum(F.octet_length("keys")).alias("bytes"))
