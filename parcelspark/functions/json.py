@@ -56,6 +56,6 @@ def unwrap_text(c: Column) -> Column:
     return F.when(F.ltrim(c).startswith("{"), c).otherwise(wrapped)
 
 
-def point_coordinate(point_json: Column, index: int) -> Column:
-    """``$.coordinates[index]`` of a GeoJSON point given as JSON text."""
-    return F.get(F.from_json(point_json, "coordinates array<string>")["coordinates"], index)
+def point_coordinates(point_json: Column) -> Column:
+    """``$.coordinates`` of a GeoJSON point given as JSON text, as an array of texts."""
+    return F.from_json(point_json, "coordinates array<string>")["coordinates"]

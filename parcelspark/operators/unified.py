@@ -29,7 +29,7 @@ from parcelspark import constants as K
 from parcelspark.functions import casts as C
 from parcelspark.functions import labels as L
 from parcelspark.functions import text as T
-from parcelspark.functions.json import parse_object, point_coordinate, unwrap_text
+from parcelspark.functions.json import parse_object, point_coordinates, unwrap_text
 
 DEFAULT_AS_OF = dt.date(2024, 6, 30)
 
@@ -79,14 +79,19 @@ def point_text(v: Column) -> Column:
 
 
 def geo_columns(building_point: Column, centroid: Column) -> tuple[Column, Column]:
+    """:func:`coordinate_columns` of GeoJSON point texts."""
+    return coordinate_columns(point_coordinates(building_point), point_coordinates(centroid))
+
+
+def coordinate_columns(building_point: Column, centroid: Column) -> tuple[Column, Column]:
     """Latitude / longitude: building point first, then the centroid, each coordinate on its own.
 
-    Arguments are GeoJSON point texts; GeoJSON order is [lon, lat].
+    Arguments are the coordinate arrays of GeoJSON points, in the order [lon, lat].
     """
-    lat = F.coalesce(C.coord_in_range(point_coordinate(building_point, 1), K.LAT_MIN, K.LAT_MAX),
-                     C.coord_in_range(point_coordinate(centroid, 1), K.LAT_MIN, K.LAT_MAX))
-    lon = F.coalesce(C.coord_in_range(point_coordinate(building_point, 0), K.LON_MIN, K.LON_MAX),
-                     C.coord_in_range(point_coordinate(centroid, 0), K.LON_MIN, K.LON_MAX))
+    lat = F.coalesce(C.coord_in_range(F.get(building_point, 1), K.LAT_MIN, K.LAT_MAX),
+                     C.coord_in_range(F.get(centroid, 1), K.LAT_MIN, K.LAT_MAX))
+    lon = F.coalesce(C.coord_in_range(F.get(building_point, 0), K.LON_MIN, K.LON_MAX),
+                     C.coord_in_range(F.get(centroid, 0), K.LON_MIN, K.LON_MAX))
     return lat, lon
 
 
@@ -100,7 +105,7 @@ def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str =
     """
     loc, desc = F.col("_loc"), F.col("_desc")
     end, sysj = F.col("_end"), F.col("_sys")
-    lat, lon = geo_columns(desc["building__geopoint"], loc["centroid_gps"])
+    lat, lon = coordinate_columns(F.col("_building"), F.col("_centroid"))
     survey = sysj["surveyDate"]
     review = sysj["reviewState"]
     apc = T.blank_to_default(loc["address_plus_code"])
@@ -111,6 +116,9 @@ def property_fields(properties: DataFrame, as_of=DEFAULT_AS_OF, form_url: str =
         parse_object(F.col("property_description"), DESC_FIELDS).alias("_desc"),
         parse_object(F.col("end_json"), END_FIELDS).alias("_end"),
         parse_object(F.col("system_json"), SYS_FIELDS).alias("_sys"))
+    # columns of their own, so that each point is parsed once however often its coordinates are used
+    properties = properties.select("*", point_coordinates(desc["building__geopoint"]).alias("_building"),
+                                   point_coordinates(loc["centroid_gps"]).alias("_centroid"))
     base = properties.select(
         F.col("uuid"),
         apc.alias("address_plus_code"),
