@@ -8,8 +8,9 @@ equal sets form a class; only the class's least id goes on.
 * *Large* sets deal their shingles into ``H + 1`` parts by hash, where ``H`` is the
   greatest symmetric difference that a linked pair of that size band can have, and
   scan the inverted list of each part's content: two linked sets agree on a
-  whole part (pigeonhole).  Parts of few shingles (none, or up to two where
-  parts are large) select little; there the key is made of two such parts, or of the parities of all other part sizes, which
+  whole part (pigeonhole).  At lower similarities half as many parts are made,
+  one of which differs in one shingle at most, and the lists are of three quarters of
+  a part.  Parts of at most two shingles select little; there the key is made of two such parts, or of the parities of all other part sizes, which
   must then differ in every part.
 * The boundary is the size up to which enumerating costs less than scanning, from
   the histogram of small sizes.
@@ -50,7 +51,7 @@ from parcelspark.llm import _text as T
 from parcelspark.llm._components import components
 
 SHINGLE, PERCENT = 3, 90
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 48 << 20
 STEP = 4 << 20
 LARGEST_SMALL = 30
 SETS = "doc_id long, n long, d1 long, d2 long"
@@ -120,8 +121,10 @@ class Scheme:
 
     def __init__(self, boundary: int, largest: int, percent: int, seed: int = 0):
         self.boundary, self.largest, self.percent, self.seed = boundary, largest, percent, seed
-        # a part holds (100 + percent) / 2 / (100 - percent) shingles on average
-        self.weak = 2 if 100 + percent >= 16 * (100 - percent) else 0
+        # one part for each difference holds (100 + percent) / 2 / (100 - percent) shingles on average; if that is few,
+        # half as many parts, of which one has one difference at most, and keys of three of a part's four quarters
+        self.quarters = 100 + percent < 16 * (100 - percent)
+        self.weak = 2
         self.starts = [boundary + 1]
         while self.starts[-1] <= largest:
             self.starts.append(max(self.starts[-1] + 1, largest_partner(self.starts[-1], percent) + 1))
@@ -131,7 +134,8 @@ class Scheme:
 
     def parts(self, band: int) -> int:
         m = self.starts[band + 1] - 1 if band + 1 < len(self.starts) else largest_partner(self.starts[band], self.percent)
-        return difference_bound(m, self.percent) + 1
+        bound = difference_bound(m, self.percent)
+        return bound // 2 + 1 if self.quarters else bound + 1
 
     def subset_sizes(self, n: int) -> list[int]:
         """Sizes of the subsets that a small set enumerates (its own size: the set itself)."""
@@ -198,6 +202,11 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
             at = np.flatnonzero(row[doc] >= 0)
             part = (T.mix(key[at] ^ T.U(0x5EED + 2 * scheme.seed)) % T.U(parts)).astype(np.int64)
             cell = row[doc[at]] * parts + part
+            if scheme.quarters:
+                d, k = _quarter_keys(cell, mixed[at], key[at], len(mine), parts, band, scheme.seed)
+                out_doc.append(mine[d])
+                out_key.append(k)
+                continue
             order = np.argsort(cell, kind="stable")
             cells, head = np.unique(cell[order], return_index=True)
             count, digest = np.zeros(len(mine) * parts, np.int64), np.zeros(len(mine) * parts, T.U)
@@ -224,6 +233,19 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
     return np.concatenate(out_doc).astype(np.int64), np.concatenate(out_key)
 
 
+def _quarter_keys(cell: np.ndarray, mixed: np.ndarray, key: np.ndarray, rows: int, parts: int, band: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) for each part without each of its quarters: a single difference is in one of them."""
+    fine = cell * 4 + (T.mix(key ^ T.U(0xFACE + 2 * seed)) % T.U(4)).astype(np.int64)
+    order = np.argsort(fine, kind="stable")
+    at, head = np.unique(fine[order], return_index=True)
+    digest = np.zeros(rows * parts * 4, T.U)
+    digest[at] = np.add.reduceat(mixed[order], head) if len(at) else 0
+    digest = digest.reshape(-1, 4)
+    rest = (digest.sum(axis=1, dtype=T.U)[:, None] - digest).ravel()
+    number = np.tile(np.arange(parts * 4, dtype=np.int64), rows).astype(T.U)
+    return np.repeat(np.arange(rows), parts * 4), T.mix(rest + T.mix(number + T.U(band * 1_000_003 + 1)))
+
+
 def _by_row(cells: np.ndarray, parts: int):
     rows = cells // parts
     at, head = np.unique(rows, return_index=True)
@@ -306,10 +328,22 @@ def _list_edges(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def linked(pivot: np.ndarray, flat: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets (``flat`` shingles of ``owner``) are linked with the pivot set."""
-    both = np.bincount(owner[T.in_sorted(flat, pivot) >= 0], minlength=len(size))
-    return 100 * both >= percent * (len(pivot) + size - both)
+class Postings:
+    """Inverted index of some sets: a pivot's overlaps are counted over the lists of its own shingles."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(x) for x in sets], np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, T.U)
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], np.repeat(np.arange(len(sets)), self.size)[order]
+
+    def linked(self, pivot: np.ndarray, percent: int) -> np.ndarray:
+        """Which of the sets are linked with the pivot set."""
+        lo, hi = np.searchsorted(self.flat, pivot, "left"), np.searchsorted(self.flat, pivot, "right")
+        n = hi - lo
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+        both = np.bincount(self.owner[at], minlength=len(self.size))
+        return 100 * both >= percent * (len(pivot) + self.size - both)
 
 
 def can_link(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -329,24 +363,19 @@ def can_link(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 def solve_group(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Component number of each set, by growing components from pivots over what no pivot has reached."""
-    size = np.array([len(s) for s in sets])
     out = np.arange(len(sets))
-    left = can_link(sets, percent)
-    if not len(left):
-        return out
-    flat, owner = np.concatenate([sets[i] for i in left]), np.repeat(left, size[left])
-    while len(left):
-        front, left = [int(left[0])], left[1:]
-        number = front[0]
-        while front and len(left):
-            row = np.full(len(sets), -1)
-            row[left] = np.arange(len(left))
-            near = row[owner] >= 0
-            flat, owner = flat[near], owner[near]
-            hit = linked(sets[front.pop()], flat, row[owner], size[left], percent)
-            out[left[hit]] = number
-            front += left[hit].tolist()
-            left = left[~hit]
+    who = can_link(sets, percent)
+    index, left = Postings([sets[i] for i in who]), np.ones(len(who), bool)
+    for start in range(len(who)):
+        if not left[start]:
+            continue
+        left[start] = False
+        front = [start]
+        while front and left.any():
+            hit = np.flatnonzero(index.linked(sets[who[front.pop()]], percent) & left)
+            left[hit] = False
+            out[who[hit]] = who[start]
+            front += hit.tolist()
     return out
 
 
@@ -371,11 +400,10 @@ def _solve(percent: int):
 def _against_pivots(percent: int):
     def run(table: pa.Table, pivots: pa.Table) -> pa.Table:
         ids, keys = table.column("doc_id").to_numpy(), B.column(table, "keys", T.U)
-        size = np.array([len(k) for k in keys])
-        flat, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), size)
+        index = Postings(keys)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, p in zip(pivots.column("doc_id").to_pylist(), B.column(pivots, "keys", T.U), strict=True):
-            hit = ids[linked(p, flat, owner, size, percent)]
+            hit = ids[index.linked(p, percent)]
             a.append(np.full(len(hit), i))
             b.append(hit)
         return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
