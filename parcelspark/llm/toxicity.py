@@ -5,14 +5,15 @@ a text, lower-cased, as fixed hashes.  The classifier is fitted in numpy on a
 bounded sample of labelled rows (``sample_rows`` per class, in hash order of the
 id).  For each sampled text that mentions an identity term, the task also makes
 the text with the terms swapped inside their group; the fit penalises the squared
-change of the score, so a mere mention of a group cannot carry weight.  Weights
-of the chosen features (at most ``max_features``) are broadcast and every whole
-text is scored where it lies: no shuffle of texts.
+change of the score, so a mere mention of a group cannot carry weight.  The
+``max_features`` features whose shares differ most between the classes are fitted; the
+l2 penalty grows as that difference gets faint, so small samples learn too.  Their
+weights are broadcast and every whole text is scored where it lies: no shuffle of texts.
 
 Null and empty texts get the score of a text without features.  Rows without a
 label, or whose id is null, are not learned from; several labels of one id count
-as toxic if any is.  Without labels of both classes every score is the share of
-toxic labels (0 when there are none).
+as toxic if any is.  Without labels of both classes, or without features, every score
+is the share of toxic labels (0 when there are none).
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from parcelspark.llm import _text as T
 SAMPLE_ROWS = 3000
 MAX_FEATURES = 8192
 PREFIXES = (4, 5, 6)
+CLEAR_Z = 5  # standard errors from which a feature has the plain l2 penalty
 # Terms of one group may stand for each other in a counterfactual.
 IDENTITY_GROUPS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
@@ -120,12 +122,14 @@ def fit(feats: list[np.ndarray], toxic: np.ndarray, other: list[np.ndarray], pen
     pos = np.bincount(at, pos, len(both))
     keys = both
     del rest, seen, at, both
-    # how far a feature's share of toxic texts is from its share of others, in standard errors
+    # how far a feature's share of toxic texts is from its share of others, in standard errors; no cut, but a fainter feature is penalised more
     p1, p0, p = pos / n1, neg / n0, (pos + neg) / len(toxic)
     z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     z[pos + neg < 3] = 0
-    keep = np.sort(np.argsort(-z, kind="stable")[: min(max_features, int((z >= 5).sum()))])
-    keys = keys[keep]
+    keep = np.sort(np.argsort(-z, kind="stable")[:max_features])
+    keys, l2 = keys[keep], l2 * np.maximum(1, CLEAR_Z / np.maximum(z[keep], 1)) ** 4
+    if not len(keys):  # nothing to learn from: the share of toxic rows
+        return {"keys": keys, "weights": np.zeros(0), "bias": float(np.log(n1 / n0))}
 
     def chosen(which: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         f = np.concatenate(which) if which else np.zeros(0, T.U)

@@ -149,6 +149,16 @@ def test_counterfactual_penalty_lowers_the_weight_of_a_group():
     assert abs(group_weight(30.0)) < 0.35 * abs(group_weight(0.0))
 
 
+def test_toxicity_of_few_rows_and_of_none():
+    word = lambda t: toxicity.features(pa.array([t]))[1]
+    texts = [f"{BAD[i % 3]} w{i}" if i < 9 else f"w{i} w{i + 1}" for i in range(60)]  # each word is in a third of the toxic rows
+    model = toxicity.fit([word(t) for t in texts], np.array([float(i < 9) for i in range(60)]), [np.zeros(0, T.U)] * 60)
+    score = lambda t: model["bias"] + model["weights"][(at := T.in_sorted(word(t), model["keys"]))[at >= 0]].sum()
+    assert all(score(f"{b} new") > 0 for b in BAD) and score("new") < 0 and score("") < 0
+    nothing = toxicity.fit([np.zeros(0, T.U)] * 8, np.array([1.0] + [0.0] * 7), [np.zeros(0, T.U)] * 8)
+    assert math.isclose(1 / (1 + math.exp(-nothing["bias"])), 1 / 8)
+
+
 def test_toxicity_without_labels(spark, empty):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -57,6 +58,15 @@ def test_run_and_clashing_columns(spark, tables, docs):
         assert stage(spark, docs, tables).columns == docs.columns
 
 
+def test_smallest_tables_keep_clean_rows(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
+    clean = {r["doc_id"] for r in docs.select("doc_id").collect() if toxic.get(r["doc_id"]) == 0}
+    assert clean and clean <= kept and not kept & {i for i, t in toxic.items() if t and zlib.crc32(str(i).encode()) % 5}
+    assert corpus_pipeline.run(spark, SF).count() > 0
+
+
 def test_stages_on_nothing(spark, tables, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, tables).collect() == []
