@@ -1,11 +1,12 @@
 """Language-model scoring with a log-bilinear model.
 
 Tokens are the lower-cased words of a text and one end token.  A token's
-probability is that of its class given the classes of the two tokens before it
+probability is that of its class given the classes of the four tokens before it
 (log-bilinear: each context vector goes through its position's matrix, the sum
 is compared with every class vector) times that of the token inside its class
 (discounted counts; the rest is one unknown token for each class).  The most
-frequent words are classes of their own, other words share a class by their ending.
+frequent words are classes of their own, as many as four cube roots of the vocabulary
+(256 at least); other words share a class by their ending.
 
 * Counts cover every training text: tasks send the distinct words of their share,
   packed per hash bucket; the buckets' sums are written as the vocabulary table.
@@ -35,9 +36,8 @@ from pyspark.sql import functions as F
 from parcelspark.llm import _blocks as B
 from parcelspark.llm import _text as T
 
-TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 2, 32
+TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 4, 32  # TOP: own-word classes at least
 CLASSES = TOP + ENDINGS + 1
-END_CLASS = CLASSES - 1
 END = T.U(0x656E64206F662074)
 NOISE, BATCH, RATE, DISCOUNT = 64, 1024, 0.05, 0.5
 SLICES = 16
@@ -60,20 +60,25 @@ class Tokens:
             more = np.where(w.end - w.start > 1, T.LOWER[w.data[np.maximum(w.end - 2, 0)]], 0).astype(T.U)
             self.ending[at] = (T.mix(last + more * T.U(256) + T.U(77)) % T.U(ENDINGS)).astype(np.uint8)
 
-    def classes(self, top: np.ndarray) -> np.ndarray:
-        """``top``: hashes of the frequent words, sorted."""
-        i = T.in_sorted(self.hash, top)
-        return np.where(self.ending == ENDINGS, END_CLASS, np.where(i >= 0, i, TOP + self.ending.astype(np.int64))).astype(np.int32)
+    def classes(self, info: dict) -> np.ndarray:
+        """Own words first, by their place in ``info["top"]`` (hashes, sorted), then the endings, then the end."""
+        i = T.in_sorted(self.hash, info["top"])
+        return np.where(i >= 0, i, own_words(info) + self.ending.astype(np.int64)).astype(np.int32)
 
-    def contexts(self, cls: np.ndarray) -> np.ndarray:
+    def contexts(self, cls: np.ndarray, info: dict) -> np.ndarray:
         """Classes of the CONTEXT tokens before each token; the end class before the start of a text."""
-        out = np.full((len(cls), CONTEXT), END_CLASS, np.int32)
+        out = np.full((len(cls), CONTEXT), len(info["class_tokens"]) - 1, np.int32)
         for p in range(1, CONTEXT + 1):
             same = self.doc[p:] == self.doc[:-p] if p < len(cls) else np.zeros(0, bool)
             out[p:, p - 1][same] = cls[:-p][same] if p < len(cls) else 0
         return out
 
 
+def own_words(info: dict) -> int:
+    """Number of classes that one word has for its own; after them come the endings and the end."""
+    return len(info["class_tokens"]) - ENDINGS - 1
+
+
 def _merge(key: np.ndarray, count: np.ndarray, ending: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, first, which = np.unique(key, return_index=True, return_inverse=True)
     return keys, np.bincount(which, count, len(keys)).astype(np.int64), ending[first]
@@ -101,47 +106,59 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
 
 def _sum_words(table: pa.Table) -> pa.Table:
     key, count, ending = _merge(*(np.concatenate(B.column(table, n, t)) for n, t in (("keys", T.U), ("counts", np.int64), ("endings", np.uint8))))
-    most = np.argsort(-count, kind="stable")[: TOP + 1]
     by = [np.bincount(ending, w, ENDINGS + 1).astype(np.int64).tolist() for w in (count, None)]
-    return pa.table({"bucket": table.column("bucket")[:1], "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "class_tokens": pa.array([by[0]], pa.list_(pa.int64())), "class_words": pa.array([by[1]], pa.list_(pa.int64())), "top": pa.array([[{"key": int(k.astype(np.int64)), "n": int(c), "ending": int(e)} for k, c, e in zip(key[most], count[most], ending[most], strict=True)]], pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("ending", pa.int32())])))})
+    return pa.table({"bucket": table.column("bucket")[:1], "keys": pa.array([key.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()), "endings": pa.array([ending.tobytes()], pa.binary()), "class_tokens": pa.array([by[0]], pa.list_(pa.int64())), "class_words": pa.array([by[1]], pa.list_(pa.int64()))})
+
+
+def _most(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, counts, endings in zip(*batch.columns, strict=True):
+                key, count, ending = (np.frombuffer(x.as_py(), t) for x, t in ((keys, T.U), (counts, np.int64), (endings, np.uint8)))
+                at = np.flatnonzero(ending < ENDINGS)
+                at = at[np.lexsort((key[at].astype(np.int64), -count[at]))[:most]]
+                yield pa.RecordBatch.from_arrays([pa.array(key[at].astype(np.int64)), pa.array(count[at]), pa.array(ending[at].astype(np.int32))], names=["key", "n", "ending"])
+
+    return run
 
 
 def vocabulary(train: DataFrame, buckets: int) -> DataFrame:
     """The vocabulary table, one row for each hash bucket, written to the shared folder."""
     path = f"{B.checkpoint_dir(train.sparkSession)}/vocabulary-{uuid.uuid4().hex}"
     asked = train.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words(buckets), "bucket int, keys binary, counts binary, endings binary")
-    summed = asked.groupBy("bucket").applyInArrow(_sum_words, "bucket int, keys binary, counts binary, class_tokens array<long>, class_words array<long>, top array<struct<key:long,n:long,ending:int>>")
+    summed = asked.groupBy("bucket").applyInArrow(_sum_words, "bucket int, keys binary, counts binary, endings binary, class_tokens array<long>, class_words array<long>")
     summed.write.parquet(path)
     return train.sparkSession.read.parquet(path)
 
 
 def summary(words: DataFrame) -> dict:
-    """Totals, the frequent words and the counts of each class: a few hundred numbers."""
+    """Totals, the frequent words and the counts of each class; their number is four cube roots of the vocabulary, TOP at least."""
     spread = words.select(F.posexplode(F.arrays_zip("class_tokens", "class_words")).alias("i", "x")).groupBy("i").agg(F.sum("x.class_tokens").alias("n"), F.sum("x.class_words").alias("v")).collect()
-    n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    kinds = sum(r["v"] for r in spread)
+    own = max(TOP, 4 * round(kinds ** (1 / 3)))
+    n, v = np.zeros(own + ENDINGS + 1, np.int64), np.zeros(own + ENDINGS + 1, np.int64)
     for r in spread:
-        at = TOP + r["i"] if r["i"] < ENDINGS else END_CLASS
-        n[at], v[at] = r["n"], r["v"]
-    total, kinds = int(n.sum()), int(v.sum())
-    top = words.select(F.explode("top").alias("t")).select("t.*").where(F.col("ending") < ENDINGS).orderBy(F.desc("n"), "key").limit(TOP).collect()
+        n[own + r["i"]], v[own + r["i"]] = r["n"], r["v"]
+    total = int(n.sum())
+    top = words.select("keys", "counts", "endings").mapInArrow(_most(own), "key long, n long, ending int").orderBy(F.desc("n"), "key").limit(own).collect()
     found = sorted((int(np.int64(r["key"]).astype(T.U)), r["n"], r["ending"]) for r in top)
     for i, (_, c, e) in enumerate(found):
-        n[TOP + e] -= c
-        v[TOP + e] -= 1
+        n[own + e] -= c
+        v[own + e] -= 1
         n[i], v[i] = c, 1
     return {"tokens": total, "words": kinds, "top": np.array([k for k, _, _ in found], T.U), "class_tokens": n, "class_words": v}
 
 
 def start_parameters(info: dict) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(7)
+    rng, classes = np.random.default_rng(7), len(info["class_tokens"])
     share = (info["class_tokens"] + 0.5) / (info["class_tokens"] + 0.5).sum()
-    return {"R": rng.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32), "Q": rng.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32), "C": np.stack([np.eye(WIDTH, dtype=np.float32) / (p + 1) for p in range(CONTEXT)]), "b": np.log(share).astype(np.float32)}
+    return {"R": rng.normal(0, 0.1, (classes, WIDTH)).astype(np.float32), "Q": rng.normal(0, 0.1, (classes, WIDTH)).astype(np.float32), "C": np.stack([np.eye(WIDTH, dtype=np.float32) / (p + 1) for p in range(CONTEXT)]), "b": np.log(share).astype(np.float32)}
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _scatter(rows: np.ndarray, values: np.ndarray, classes: int) -> np.ndarray:
     order = np.argsort(rows, kind="stable")
     at, head = np.unique(rows[order], return_index=True)
-    out = np.zeros((CLASSES, values.shape[1]), np.float32)
+    out = np.zeros((classes, values.shape[1]), np.float32)
     out[at] = np.add.reduceat(values[order], head, axis=0)
     return out
 
@@ -156,8 +173,8 @@ class Trainer:
         self.share, self.log_noise, self.rng = share, np.log(NOISE * share).astype(np.float32), np.random.default_rng(seed)
 
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
-        p, n = self.p, len(target)
-        noise = self.rng.choice(CLASSES, NOISE, p=self.share)
+        p, n, classes = self.p, len(target), len(self.share)
+        noise = self.rng.choice(classes, NOISE, p=self.share)
         inner = [p["R"][ctx[:, i]] for i in range(CONTEXT)]
         q = sum(x @ p["C"][i] for i, x in enumerate(inner))
         good = np.einsum("ij,ij->i", q, p["Q"][target]) + p["b"][target] - self.log_noise[target]
@@ -165,10 +182,10 @@ class Trainer:
         dg = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n  # of the loss by the score
         db = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32) / n
         dq = dg[:, None] * p["Q"][target] + db @ p["Q"][noise]
-        grad = {"Q": _scatter(target, dg[:, None] * q), "C": np.stack([x.T @ dq for x in inner])}
+        grad = {"Q": _scatter(target, dg[:, None] * q, classes), "C": np.stack([x.T @ dq for x in inner])}
         np.add.at(grad["Q"], noise, db.T @ q)
-        grad["R"] = _scatter(ctx.T.ravel(), np.concatenate([dq @ p["C"][i].T for i in range(CONTEXT)]))
-        grad["b"] = np.bincount(target, dg, CLASSES).astype(np.float32)
+        grad["R"] = _scatter(ctx.T.ravel(), np.concatenate([dq @ p["C"][i].T for i in range(CONTEXT)]), classes)
+        grad["b"] = np.bincount(target, dg, classes).astype(np.float32)
         np.add.at(grad["b"], noise, db.sum(axis=0))
         for k, d in grad.items():
             self.g[k] += d * d
@@ -179,9 +196,9 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in ("R", "Q", "C", "b")])
 
 
-def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
+def _shaped(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, shape in (("R", (CLASSES, WIDTH)), ("Q", (CLASSES, WIDTH)), ("C", (CONTEXT, WIDTH, WIDTH)), ("b", (CLASSES,))):
+    for k, shape in (("R", (classes, WIDTH)), ("Q", (classes, WIDTH)), ("C", (CONTEXT, WIDTH, WIDTH)), ("b", (classes,))):
         n = int(np.prod(shape))
         out[k] = flat[at : at + n].reshape(shape).astype(np.float32)
         at += n
@@ -200,8 +217,8 @@ def _train_share(held):
             _, off = T.buffer_of(col)
             for a, b in T.slices(off, 2 << 20):
                 t = Tokens(col.slice(a, b - a))
-                cls = t.classes(info["top"])
-                ctx = t.contexts(cls)
+                cls = t.classes(info)
+                ctx = t.contexts(cls, info)
                 order = trainer.rng.permutation(len(cls))
                 for s in range(0, len(order), BATCH):
                     at = order[s : s + BATCH]
@@ -219,7 +236,7 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"slice": table.column("slice")[:1], "part": table.column("part")[:1], "weight": pa.array([sum(table.column("weight").to_pylist())]), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def fit(train: DataFrame, info: dict, rounds: int = 1) -> dict[str, np.ndarray]:
+def fit(train: DataFrame, info: dict, rounds: int = 2) -> dict[str, np.ndarray]:
     """Class model by data-parallel noise-contrastive training over all rows."""
     schema = "slice int, part int, weight double, sums binary"
     p = start_parameters(info)
@@ -228,7 +245,7 @@ def fit(train: DataFrame, info: dict, rounds: int = 1) -> dict[str, np.ndarray]:
         own = train.select(F.col("text").cast("string").alias("text")).mapInArrow(_train_share(held), schema)
         got = own.groupBy("slice", "part").applyInArrow(_add, schema).groupBy("slice").applyInArrow(_add, schema).collect()
         got.sort(key=lambda r: r["slice"])
-        p = _shaped(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["weight"] for r in got]))
+        p = _shaped(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["weight"] for r in got]), len(info["class_tokens"]))
     return p
 
 
@@ -236,7 +253,7 @@ def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray], s
     """log10 P(class | context), normalised over all classes; each distinct context is worked out once."""
     inner = [p["R"] @ p["C"][i] for i in range(CONTEXT)]
     out = np.zeros(len(target))
-    number = ctx.astype(np.int64) @ (CLASSES ** np.arange(CONTEXT, dtype=np.int64))
+    number = ctx.astype(np.int64) @ (len(p["b"]) ** np.arange(CONTEXT, dtype=np.int64))
     _, first, which = np.unique(number, return_index=True, return_inverse=True)
     order = np.argsort(which, kind="stable")
     which = which[order]
@@ -286,12 +303,12 @@ def _score_block(held, buckets: int):
         for a, b in T.slices(off, 2 << 20):
             t = Tokens(col.slice(a, b - a))
             c = count[np.searchsorted(keys, t.hash)]
-            cls = t.classes(info["top"])
+            cls = t.classes(info)
             # within the class: counts less a discount; what that leaves is the unknown token's
             inside = np.where(c > 0, c - DISCOUNT, DISCOUNT * v[cls]) / np.maximum(n[cls], 1)
             # a frequent word and the end are their whole class; a class without known words is all unknown
-            inside = np.where((cls < TOP) | (cls == END_CLASS) | (v[cls] == 0), 1.0, inside)
-            whole = class_log10(t.contexts(cls), cls, p) + np.log10(inside)
+            inside = np.where((cls < own_words(info)) | (cls == len(n) - 1) | (v[cls] == 0), 1.0, inside)
+            whole = class_log10(t.contexts(cls, info), cls, p) + np.log10(inside)
             base.append(np.add.reduceat(np.log10(c + 1.0), t.first) - t.count * np.log10(info["tokens"] + info["words"] + 1))
             score.append(np.add.reduceat(whole, t.first))
             known.append(np.add.reduceat((c > 0).astype(np.int64), t.first))
@@ -301,7 +318,7 @@ def _score_block(held, buckets: int):
     return run
 
 
-def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` (log10); learns where ``train_col`` is true."""
     blocks = B.n_blocks(docs, text_col, block_bytes)
     train = docs.where(F.col(train_col)).select(F.col(text_col).alias("text"))

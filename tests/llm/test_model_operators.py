@@ -204,6 +204,25 @@ def test_class_probabilities_are_normalised():
     assert math.isclose((10 ** lm.class_log10(ctx, np.arange(lm.CLASSES), trainer.p)).sum(), 1, rel_tol=1e-4)
 
 
+def test_own_word_classes_grow_and_four_tokens_count(spark):
+    words = [f"v{i}" for i in range(300_000)]
+    docs = spark.createDataFrame([(" ".join(words[i : i + 5000] + words[:400]),) for i in range(0, len(words), 5000)], "text string")
+    info = lm.summary(lm.vocabulary(docs, 5))
+    own = lm.own_words(info)
+    assert info["words"] == len(words) + 1 and own == len(info["top"]) == 4 * round(len(words) ** (1 / 3)) > lm.TOP
+    assert info["class_tokens"].sum() == info["tokens"] and info["class_words"].sum() == info["words"]
+    frequent = {int(x) for x in T.Words(pa.array([" ".join(words[:400])]), T.SPACE_LUT, lowercase=True).hash}
+    assert len({int(x) for x in info["top"]} & frequent) == min(own, 400)
+
+    rng, n = np.random.default_rng(0), 40
+    info = {"class_tokens": np.ones(n + lm.ENDINGS + 1, np.int64), "tokens": n}
+    trainer = lm.Trainer(lm.start_parameters(info), info, 1)
+    for _ in range(400):  # only the fourth token back tells the next one
+        ctx = rng.integers(0, n, (256, lm.CONTEXT)).astype(np.int32)
+        trainer.step(ctx, ctx[:, 3])
+    assert lm.class_log10(ctx, ctx[:, 3], trainer.p).mean() > math.log10(1 / n) / 2
+
+
 def test_language_model_without_training(spark, empty):
     docs = spark.createDataFrame([(1, "a b", False)], "doc_id long, text string, train boolean")
     r = lm.score_texts(docs, "train").first()
