@@ -67,6 +67,14 @@ def test_smallest_tables_keep_clean_rows(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_near_duplicates_of_repeated_ids(spark, tables):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "en"), (1, b, "en"), (2, f"{a} more", "en"), (2, "", "en"), (2, None, "en"), (3, c, "fr"), (3, c, "de"), (4, c, "en"), (None, a, "en"), (None, a, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, tables).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a, "en"), (1, b, "en"), (2, "", "en"), (2, None, "en"), (3, c, "de"), (None, a, "en"), (None, a, "en")], key=str)
+
+
 def test_stages_on_nothing(spark, tables, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, tables).collect() == []
