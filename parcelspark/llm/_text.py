@@ -68,11 +68,15 @@ def slices(off: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 def word_spans(data: np.ndarray, off: np.ndarray, lut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and document numbers of all words."""
-    n = len(data)
+    return mask_spans(lut[data], off)
+
+
+def mask_spans(m: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document numbers of all runs of marked bytes."""
+    n = len(m)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    m = lut[data]
     first = m.copy()
     first[1:] &= ~m[:-1]
     at = off[:-1][off[:-1] < n]

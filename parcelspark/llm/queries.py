@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, licences, lm, packing, substring_dedup, suffix_dedup, token_files, toxicity
+from parcelspark.llm import decontaminate, embedding_dedup, jaccard_join, licences, lm, packing, periodic_runs, spelling, substring_dedup, suffix_dedup, token_files, topk_search, toxicity
 from parcelspark.llm._blocks import checkpoint_dir
 
 
@@ -107,6 +107,48 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_components(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def _topk_sql() -> str:
+    return """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+s AS (SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY qr ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER w <= 5"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(_table(spark, sf_dir, "documents"), drop_one_in=97)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _with_repeats():
+    """The text of ``documents`` with the periods that the contract plants into a tenth of the rows."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    g = F.floor(_remainder(1 << 32) / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    planted = F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), again), " ")).otherwise(F.col("text"))
+    return F.when(_remainder(10) == 0, planted).otherwise(F.col("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), text=_with_repeats())
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_jaccard_join": op2_jaccard_join,
@@ -118,5 +160,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_topk_search": op11_topk_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-SQL: dict[str, str] = {"op3_licence_scan": _licence_sql()}
+SQL: dict[str, str] = {"op3_licence_scan": _licence_sql(), "op11_topk_search": _topk_sql()}
