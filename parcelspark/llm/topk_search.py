@@ -13,7 +13,7 @@ the written tiles, so a query knows its own place, and every one meets every til
    its floor for all others, which then run at the same time.
 
 Sums are exact: in double precision while they stay below 2**53, else as Python integers
-(scores beyond a long are cut to its range).
+(scores beyond a long are cut to its range, and then tie).
 
 A vector takes no part when it is null, holds a null or non-finite component, or overflows
 when scaled.  A shorter vector counts as zero beyond its end; an empty one is a zero vector.
@@ -162,6 +162,7 @@ def scan_tile(qs: Queries, key: int, c: np.ndarray, ids: np.ndarray, order: np.n
     if not qs.norm * norm < EXACT:  # also where a norm overflows
         whole = min(c.shape[0], qs.x.shape[1])
         s = _whole(qs.x[:, :whole]) @ _whole(c[:whole]) if whole else np.zeros((len(qs.ids), len(ids)), object)
+        s = np.clip(s, -LONG - 1, LONG)
         q, j = np.divmod(np.arange(s.size), len(ids))
         other = ~((qs.tile[q] == key) & (qs.slot[q] == j))
         qs.add(q[other], ids[j[other]], s.reshape(-1)[other])
@@ -226,14 +227,13 @@ def _scan(order: np.ndarray, k: int):
             c, ids = _matrix(row), np.frombuffer(row["ids"], np.int64)
             for qs in blocks:
                 scan_tile(qs, row["tile"], c, ids, order, row["norm"])
-        cut = lambda s: max(-LONG - 1, min(LONG, int(s)))
         cols: dict[str, list] = {c: [] for c in _schema(FOUND).names}
         for qs in blocks:
             cols["tile"] += qs.tile[qs.q].tolist()
             cols["slot"] += qs.slot[qs.q].tolist()
             cols["query_id"] += qs.ids[qs.q].tolist()
             cols["vec_id"] += [None if w == T.NO_DOC else w for w in qs.who.tolist()]
-            cols["score"] += [cut(s) for s in qs.score]
+            cols["score"] += [int(s) for s in qs.score]
         return pa.table(cols, schema=_schema(FOUND))
 
     return run
