@@ -6,8 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,16 +18,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="parcelspark-test-", dir="/tmp")
-
-
-def props_df(spark, rows):
-    """Properties from dicts (missing columns NULL)."""
-    from parcelspark.sources.schemas import PROPERTIES_SCHEMA
-    cols = [c.split()[0] for c in PROPERTIES_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], PROPERTIES_SCHEMA)
-
-
-def persons_df(spark, rows):
-    from parcelspark.sources.schemas import PERSONS_SCHEMA
-    cols = [c.split()[0] for c in PERSONS_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], PERSONS_SCHEMA)

@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 from parcelspark.operators import ingest as I
 from parcelspark.operators import sinks as SK
 from parcelspark.operators import sync_state as S

@@ -1,7 +1,7 @@
 """Invariants of SURVEY section 5 on the small tables."""
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 from parcelspark.operators import nested as N
 from parcelspark.operators import quality as Q
 from parcelspark.operators.unified import unified_dataset

@@ -1,7 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 import pytest
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 
 import __spark_entry__ as E
 from tools.compare import duck_con, norm

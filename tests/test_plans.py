@@ -1,7 +1,7 @@
 """Plan shape: no nested-loop joins, no Python UDFs, one shuffle of persons, pushdown at the scan."""
 import re
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 from parcelspark.plans.registry import all_queries
 
 

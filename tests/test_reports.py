@@ -1,7 +1,7 @@
 """Composite reports return lazily built DataFrames that run."""
 import datetime as dt
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 from parcelspark.operators import nested as N
 from parcelspark.plans import reports as R
 from parcelspark.sources.survey_views import survey_view

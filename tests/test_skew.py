@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from survey_helpers import SF_SMALL
 from parcelspark.operators import nested as N
 from parcelspark.operators import unified as U
 from parcelspark.sources.survey_views import survey_view

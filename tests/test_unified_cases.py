@@ -2,7 +2,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import persons_df, props_df
+from survey_helpers import persons_df, props_df
 from parcelspark.operators.unified import UNIFIED_COLUMNS, unified_dataset
 
 LOC = '{"address_plus_code":" X1 ","street_label":"main st","town_label":"banjul","district_label":"kmc",' \
