@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelspark import constants as K
 from parcelspark.functions.json import jget, top_level_value_by_name
+from parcelspark.operators.store import Store
 
 # FIXED VALUES: styled image HTML and card HTML pieces (the storage folders are in constants).
 STYLED_IMG = ('<img src="{url}"\n                        style="max-width: 100%; height: auto; border-radius: 4px;\n'
@@ -137,6 +138,31 @@ def refresh_manifest(df: DataFrame, now_epoch: int, bucket: str,
                                             + F.col("plus_code_key").isNotNull().cast("int")))
 
 
+# Links by the hour in which they fall due: 0 for those without a readable expiry, which are always due.
+LINK_SCHEMA = "uuid string, building_image_url string, address_plus_code_url string"
+LAST_HOUR = 4_000_000  # links that expire later share one part (the year 2426)
+
+
+def _due_hour(url: Column) -> Column:
+    hour = F.coalesce(F.floor(url_expiry_epoch(url) / 3600), F.lit(0))
+    return F.when(nonblank(url), F.least(hour, F.lit(LAST_HOUR)))
+
+
+def due_hour(building: Column, plus_code: Column) -> Column:
+    """The hour in which the first of a row's links expires; NULL for a row without links."""
+    return F.least(_due_hour(building), _due_hour(plus_code)).cast("int")
+
+
+def link_store(path: str) -> Store:
+    """Links by due hour: a new link moves its row to another part."""
+    return Store(path, LINK_SCHEMA, "uuid", lambda: due_hour(F.col("building_image_url"), F.col("address_plus_code_url")), by_key=False)
+
+
+def due_links(dated: DataFrame, now_epoch: int, threshold_hours: float = K.REFRESH_THRESHOLD_HOURS, hour_col: str = "part") -> DataFrame:
+    """Rows of a table partitioned by :func:`due_hour` whose hour has come: later folders are not read."""
+    return dated.where(F.col(hour_col) <= F.lit(int((now_epoch + threshold_hours * 3600) // 3600)))
+
+
 def img_html_card(url: Column, placeholder: Column | bool = False, width: str = "100%", height: str = "100%") -> Column:
     """Container + link + image HTML; quotes escaped; '' when there is no URL."""
     safe = F.replace(url, F.lit('"'), F.lit("&quot;"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.operators.unified import prop_key
@@ -108,33 +108,56 @@ def fk_integrity(properties: DataFrame, persons: DataFrame, fk: str = "submissio
         "warning", F.when((F.col("verdict") == "OK") & (F.col("named_persons") == 0), "NO_NAMED_PERSONS"))
 
 
+def _lengths(keys: DataFrame, text) -> Column:
+    """The distinct lengths of a text (at most the key width) as a scalar subquery: nothing runs here."""
+    return keys.agg(F.coalesce(F.sort_array(F.collect_set(F.length(text))), F.array().cast("array<int>"))).scalar()
+
+
 def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:
-    """All (property, person) pairs where the person key starts with the property key
-    or its text before the first ``_`` equals it, classed DIRECT_MATCH / PREFIX_MATCH.
-
-    The original is a cross join with an OR of LIKE and equality.  Here it is an
-    equi-join: a person key can only start with property keys of the lengths that
-    occur among property keys, so each person row is expanded to its prefixes of
-    those lengths (a handful: distinct key lengths are bounded by the key width)
-    and joined on equality.  Property keys are matched literally (``_``/``%`` in a
-    key are not wildcards).
+    """All (property, person) pairs where ``person key LIKE property key || '%'`` (DIRECT_MATCH) or the
+    person key's text before the first ``_`` equals the property key (PREFIX_MATCH).
+
+    The original is a cross join with an OR.  Here it is an equi-join on the part of the property key that
+    LIKE takes literally, before the first ``_``, ``%`` or backslash: each person row is expanded to its
+    prefixes of the lengths that occur among those parts (distinct lengths are bounded by the key width).  Keys
+    that go on with a wildcard are then tested with LIKE as PostgreSQL reads it (a backslash takes the next
+    character literally); without one the join is the answer.
     """
-    lengths = [r[0] for r in properties.select(F.length("uuid").alias("l")).where("l is not null").distinct()
-               .collect()]
     pers = persons.where(F.col("uuid").isNotNull()).select(
         F.col("uuid").alias("person_uuid"), "individual_first_name", "business_name")
-    cand = pers.select("*", F.explode(F.array_distinct(F.array(
-        *[F.when(F.length("person_uuid") >= F.lit(n), F.substring("person_uuid", 1, n)) for n in lengths],
-        prop_key(F.col("person_uuid"))))).alias("main_uuid")).where(F.col("main_uuid").isNotNull())
+    key = F.col("main_uuid")
+    props = properties.select(F.col("uuid").alias("main_uuid")).where(key.isNotNull())
+    props = props.withColumn("_head", F.regexp_extract(key, r"^[^_%\\]*", 0))
+    # Spark's LIKE takes a backslash only before a wildcard or another one
+    pattern = F.concat(F.regexp_replace(key, r"(\\[_%\\])|\\(.)", "$1$2"), F.lit("%"))
+    direct = (key == F.col("_head")) | F.expr("person_uuid LIKE _like")
+    lengths = F.filter(_lengths(props, F.col("_head")), lambda n: n <= F.length("person_uuid"))
+    heads = pers.select("*", F.explode(F.transform(lengths, lambda n: F.substr("person_uuid", F.lit(1), n))).alias("_head"))
+    by_like = heads.join(props.withColumn("_like", pattern), "_head").where(direct).drop("_head", "_like")
+    same = pers.withColumn("main_uuid", prop_key(F.col("person_uuid"))).join(props.withColumn("_like", pattern), "main_uuid")
+    by_key = same.where(~direct).drop("_head", "_like")
+    return by_like.withColumn("match_type", F.lit(MATCH_TYPES[0])).unionByName(by_key.withColumn("match_type", F.lit(MATCH_TYPES[1])))
+
+
+def containing_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
+    """All (property, person) pairs where the person key contains the property key, at any place.
+
+    An equi-join of the property keys with the distinct substrings of each person key that have a length which
+    occurs among property keys.  Keys of one width (UUIDs) make a handful of substrings for each person; a pair
+    comes out once however often the key occurs.
+    """
     props = properties.select(F.col("uuid").alias("main_uuid")).where(F.col("main_uuid").isNotNull())
-    j = cand.join(props, "main_uuid", "inner")
-    return j.withColumn("match_type", F.when(F.col("person_uuid").startswith(F.col("main_uuid")), MATCH_TYPES[0])
-                        .when(prop_key(F.col("person_uuid")) == F.col("main_uuid"), MATCH_TYPES[1])
-                        .otherwise(MATCH_TYPES[2]))
+    pers = persons.select(F.col("uuid").alias("person_uuid")).where(F.col("person_uuid").isNotNull())
+    width = F.length("person_uuid")
+    lengths = F.filter(_lengths(props, F.col("main_uuid")), lambda n: n <= width)
+    parts = F.flatten(F.transform(lengths, lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(width - n + 1, F.lit(1))), lambda i: F.substr("person_uuid", i, n))))
+    return (pers.select("person_uuid", F.explode(F.array_distinct(parts)).alias("main_uuid"))
+            .join(props, "main_uuid").select("main_uuid", "person_uuid"))
 
 
 def last_underscore_prefix_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
-    """Pairs where the person key minus its last ``_...`` part equals a property key."""
+    """The second attempt of the profile: pairs where the person key minus its last ``_...`` part equals a property key."""
     pers = persons.where(F.col("uuid").contains("_")).select(
         F.col("uuid").alias("person_uuid"),
         F.regexp_replace("uuid", r"_[^_]*$", "").alias("main_uuid"))

@@ -191,10 +191,35 @@ def match_count_theta(spark, sf):
     return Q.match_type_join(props, persons).agg(F.count(F.lit(1)).alias("total_relations"))
 
 
-@register("contains_pairs", D.with_views("properties", "persons") + """
+# Keys that hold a wildcard, and keys that lie at the start, inside and at the end of person keys.
+_WILD_KEYS = "SELECT replace(uuid, '7', '_') AS uuid FROM properties UNION ALL SELECT replace(uuid, '25', '%5') FROM properties"
+_INNER_KEYS = """SELECT uuid FROM properties UNION ALL SELECT substr(uuid, 4) FROM properties
+UNION ALL SELECT substr(uuid, 6) || '_1' FROM properties"""
+
+
+@register("match_type_wildcards", D.with_views("properties", "persons") + f""",
+k AS ({_WILD_KEYS})
+SELECT k.uuid AS main_uuid, p.uuid AS person_uuid,
+  CASE WHEN p.uuid LIKE k.uuid || '%' THEN 'DIRECT_MATCH' ELSE 'PREFIX_MATCH' END AS match_type
+FROM k JOIN persons p ON p.uuid LIKE k.uuid || '%' OR split_part(p.uuid, '_', 1) = k.uuid""")
+def match_type_wildcards(spark, sf):
+    """J5 with property keys that LIKE does not take literally."""
+    props, persons = views(spark, sf, "properties", "persons")
+    return Q.match_type_join(spark.sql(_WILD_KEYS.replace("properties", "{p}"), p=props), persons).select("main_uuid", "person_uuid", "match_type")
+
+
+@register("contains_pairs", D.with_views("properties", "persons") + f""",
+k AS ({_INNER_KEYS})
+SELECT k.uuid AS main_uuid, p.uuid AS person_uuid FROM k JOIN persons p ON contains(p.uuid, k.uuid)""")
+def contains_pairs(spark, sf):
+    props, persons = views(spark, sf, "properties", "persons")
+    return Q.containing_pairs(spark.sql(_INNER_KEYS.replace("properties", "{p}"), p=props), persons)
+
+
+@register("last_underscore_pairs", D.with_views("properties", "persons") + """
 SELECT m.uuid AS main_uuid, p.uuid AS person_uuid, true AS contains
 FROM persons p JOIN properties m ON regexp_replace(p.uuid, '_[^_]*$', '') = m.uuid WHERE p.uuid LIKE '%\\_%' ESCAPE '\\'""")
-def contains_pairs(spark, sf):
+def last_underscore_pairs(spark, sf):
     props, persons = views(spark, sf, "properties", "persons")
     return Q.last_underscore_prefix_pairs(props, persons).select("main_uuid", "person_uuid", "contains")
 

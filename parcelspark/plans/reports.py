@@ -42,13 +42,14 @@ def integrity_report(properties: DataFrame, persons: DataFrame) -> dict[str, Dat
 
 
 def relationship_profile(properties: DataFrame, persons: DataFrame, sample: int = 5) -> dict[str, DataFrame]:
-    """Key samples, prefix/theta match pairs and their count, last-underscore pairs, row counts."""
+    """Key samples, match pairs and their count, pairs by containment and by the last underscore, row counts."""
     pairs = Q.match_type_join(properties, persons)
     return {
         "main_keys": Q.sample_rows(properties.select("uuid").where(F.col("uuid").isNotNull()), sample, ["uuid"]),
         "person_keys": Q.sample_rows(persons.select("uuid").where(F.col("uuid").isNotNull()), sample, ["uuid"]),
         "match_pairs": pairs,
         "match_count": pairs.agg(F.count(F.lit(1)).alias("total_relations")),
+        "containing_pairs": Q.containing_pairs(properties, persons),
         "prefix_pairs": Q.last_underscore_prefix_pairs(properties, persons),
         "row_counts": Q.row_counts(properties=properties, persons=persons),
     }

@@ -19,6 +19,7 @@ from parcelspark.operators import ingest as I
 from parcelspark.operators import sinks as SK
 from parcelspark.operators import sync_state as S
 from parcelspark.sources.schemas import SYNC_HISTORY_SCHEMA, TS_FORMAT
+from parcelspark.streaming.history import read_history  # noqa: F401  (read by callers of this module)
 
 
 def land_json(df: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -88,10 +89,6 @@ def incremental_upsert(spark: SparkSession, source: str, schema: str, table: str
     return w.start()
 
 
-def read_history(spark: SparkSession, history: str) -> DataFrame:
-    return spark.read.schema(SYNC_HISTORY_SCHEMA + ", batch_id bigint").parquet(history)
-
-
 def sync_status_stream(spark: SparkSession, history: str) -> DataFrame:
     """T9 as a streaming aggregation over the history log (use output mode ``update`` or ``complete``)."""
     h = spark.readStream.schema(SYNC_HISTORY_SCHEMA + ", batch_id bigint").parquet(history)
