@@ -108,9 +108,12 @@ def fk_integrity(properties: DataFrame, persons: DataFrame, fk: str = "submissio
         "warning", F.when((F.col("verdict") == "OK") & (F.col("named_persons") == 0), "NO_NAMED_PERSONS"))
 
 
-def _lengths(keys: DataFrame, text) -> Column:
-    """The distinct lengths of a text (at most the key width) as a scalar subquery: nothing runs here."""
-    return keys.agg(F.coalesce(F.sort_array(F.collect_set(F.length(text))), F.array().cast("array<int>"))).scalar()
+def _by_length(persons: DataFrame, keys: DataFrame, text: str) -> DataFrame:
+    """Each person row once for each length ``_n`` of ``text`` among the keys, as far as its own key is that long.
+
+    The lengths (at most the key width) are a scalar subquery of the plan; nothing runs here."""
+    lengths = keys.agg(F.collect_set(F.length(text))).scalar()
+    return persons.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length("person_uuid"))
 
 
 def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:
@@ -131,10 +134,11 @@ def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:
     # Spark's LIKE takes a backslash only before a wildcard or another one
     pattern = F.concat(F.regexp_replace(key, r"(\\[_%\\])|\\(.)", "$1$2"), F.lit("%"))
     direct = (key == F.col("_head")) | F.expr("person_uuid LIKE _like")
-    lengths = F.filter(_lengths(props, F.col("_head")), lambda n: n <= F.length("person_uuid"))
-    heads = pers.select("*", F.explode(F.transform(lengths, lambda n: F.substr("person_uuid", F.lit(1), n))).alias("_head"))
+    heads = _by_length(pers, props, "_head").withColumn("_head", F.substr("person_uuid", F.lit(1), F.col("_n"))).drop("_n")
     by_like = heads.join(props.withColumn("_like", pattern), "_head").where(direct).drop("_head", "_like")
-    same = pers.withColumn("main_uuid", prop_key(F.col("person_uuid"))).join(props.withColumn("_like", pattern), "main_uuid")
+    # LIKE misses an equal prefix only where the key has a backslash
+    odd = props.withColumn("_like", pattern).where(key.contains("\\"))
+    same = pers.withColumn("main_uuid", prop_key(F.col("person_uuid"))).join(odd, "main_uuid")
     by_key = same.where(~direct).drop("_head", "_like")
     return by_like.withColumn("match_type", F.lit(MATCH_TYPES[0])).unionByName(by_key.withColumn("match_type", F.lit(MATCH_TYPES[1])))
 
@@ -148,12 +152,11 @@ def containing_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
     """
     props = properties.select(F.col("uuid").alias("main_uuid")).where(F.col("main_uuid").isNotNull())
     pers = persons.select(F.col("uuid").alias("person_uuid")).where(F.col("person_uuid").isNotNull())
-    width = F.length("person_uuid")
-    lengths = F.filter(_lengths(props, F.col("main_uuid")), lambda n: n <= width)
-    parts = F.flatten(F.transform(lengths, lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(width - n + 1, F.lit(1))), lambda i: F.substr("person_uuid", i, n))))
-    return (pers.select("person_uuid", F.explode(F.array_distinct(parts)).alias("main_uuid"))
-            .join(props, "main_uuid").select("main_uuid", "person_uuid"))
+    n = F.col("_n")
+    places = F.sequence(F.lit(1), F.greatest(F.length("person_uuid") - n + 1, F.lit(1)))
+    parts = F.array_distinct(F.transform(places, lambda i: F.substr("person_uuid", i, n)))
+    found = _by_length(pers, props, "main_uuid").select("person_uuid", F.explode(parts).alias("main_uuid"))
+    return found.join(props, "main_uuid").select("main_uuid", "person_uuid")
 
 
 def last_underscore_prefix_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
