@@ -1,24 +1,30 @@
 """Toxicity by a counterfactual-regularised linear classifier.
 
 Features are the whole words and word beginnings (4, 5 and 6 bytes) that occur in
-a text, lower-cased, as fixed hashes.  The classifier is fitted in numpy on a
-bounded sample of labelled rows (``sample_rows`` per class, in hash order of the
-id).  For each sampled text that mentions an identity term, the task also makes
-the text with the terms swapped inside their group; the fit penalises the squared
-change of the score, so a mere mention of a group cannot carry weight.  The
-``max_features`` features whose shares differ most between the classes are fitted; the
-l2 penalty grows as that difference gets faint, so small samples learn too.  Their
+a text, lower-cased, as fixed hashes.  The classifier is fitted on a bounded sample of
+labelled rows (``sample_rows`` ids per class, in hash order of the id; of several rows of
+an id the one with the least text), which is written once.  Spark counts in how many
+sampled rows of each class a feature occurs; the ``max_features`` whose shares differ most
+are broadcast, and tasks send the driver only which of them a row has.
+
+For each sampled text that mentions an identity term, the task also makes the text with
+the terms swapped inside their group; the fit penalises the squared change of the score,
+so a mere mention of a group cannot carry weight.  The l2 penalty grows as the difference
+of a feature gets faint, by a power that is chosen by folds inside the training rows.  The
 weights are broadcast and every whole text is scored where it lies: no shuffle of texts.
 
-Null and empty texts get the score of a text without features.  Rows without a
-label, or whose id is null, are not learned from; several labels of one id count
-as toxic if any is.  Without labels of both classes, or without features, every score
-is the share of toxic labels (0 when there are none).
+Null and empty texts get the score of a text without features; a very long one is read
+whole.  Rows without a label, or whose id is null, are not learned from; several labels of
+one id count as toxic if any is.  Repeated rows are scored each.  Without labels of both
+classes, or without features, every score is the share of toxic labels (0 when there are
+none).  An empty table gives no rows.  All columns are kept whatever their names; a column
+named as the score is refused.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import _text as T
+from parcelspark.llm._blocks import checkpoint_dir
 
 SAMPLE_ROWS = 3000
 MAX_FEATURES = 8192
 PREFIXES = (4, 5, 6)
 CLEAR_Z = 5  # standard errors from which a feature has the plain l2 penalty
+POWERS = (0, 2, 4)  # by which the penalty of fainter ones may grow; folds choose
+FOLDS = 3
+ROUNDS = 300
 # Terms of one group may stand for each other in a counterfactual.
 IDENTITY_GROUPS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
@@ -80,20 +90,38 @@ def swapped(text: str, groups=IDENTITY_GROUPS) -> str:
     return re.sub(r"[a-z]+", lambda m: to.get(m[0], m[0]), re.sub(r"[A-Z]", lambda m: m[0].lower(), text))
 
 
-def _sample_features(groups):
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each class that have a feature, added up over a batch."""
+    for batch in batches:
+        toxic = np.asarray(batch.column("toxic")) == 1
+        doc, feat = features(batch.column("text"))
+        keys, at = np.unique(feat, return_inverse=True)
+        pos = np.bincount(at[toxic[doc]], minlength=len(keys))
+        neg = np.bincount(at[~toxic[doc]], minlength=len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(neg)], names=["feature", "pos", "neg"])
+
+
+def _chosen_features(held, groups):
+    """Which of the chosen features a row and its swapped text have."""
     terms = np.sort(T.span_hashes(*_spans_of([w for g in groups for w in g]))) if any(groups) else np.zeros(0, T.U)
 
+    def numbers(doc: np.ndarray, feat: np.ndarray, rows: int) -> list[bytes]:
+        at = T.in_sorted(feat, held.value)
+        doc, at = doc[at >= 0], at[at >= 0].astype(np.int32)
+        edge = np.searchsorted(doc, np.arange(rows + 1))
+        return [at[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, feat = features(batch.column(0))
-            edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            text, rows = batch.column("text"), batch.num_rows
+            doc, feat = features(text)
             named = np.unique(doc[T.in_sorted(feat, terms) >= 0])
-            other = [b""] * batch.num_rows
+            other = [None] * rows
             if len(named):
-                d2, f2 = features(pa.array([swapped(batch.column(0)[int(i)].as_py(), groups) for i in named]))
+                made = numbers(*features(pa.array([swapped(text[int(i)].as_py(), groups) for i in named])), len(named))
                 for k, i in enumerate(named):
-                    other[int(i)] = f2[d2 == k].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([feat[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary()), pa.array(other, pa.binary()), batch.column(1).cast(pa.int32())], names=["feats", "swapped", "toxic"])
+                    other[int(i)] = made[k]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(numbers(doc, feat, rows), pa.binary()), pa.array(other, pa.binary())], names=["doc_id", "toxic", "feats", "swapped"])
 
     return run
 
@@ -105,75 +133,151 @@ def _spans_of(words: list[str]):
     return np.frombuffer(b"".join(raw), np.uint8), end - size, end
 
 
-def fit(feats: list[np.ndarray], toxic: np.ndarray, other: list[np.ndarray], penalty: float = 1.0, l2: float = 1e-4, max_features: int = MAX_FEATURES, rounds: int = 300) -> dict:
-    """Logistic regression with the counterfactual penalty, by full-batch Adam steps."""
-    n1 = int(toxic.sum())
-    n0 = len(toxic) - n1
-    if not n1 or not n0:
-        p = min(max(n1 / max(1, len(toxic)), 1e-6), 1 - 1e-6)
-        return {"keys": np.zeros(0, T.U), "weights": np.zeros(0), "bias": float(np.log(p / (1 - p)))}
-    # features are distinct within a row, so sorted occurrences count rows; one class at a time bounds the driver's memory
-    keys, seen = np.unique(np.concatenate([f for f, t in zip(feats, toxic, strict=True) if t]), return_counts=True)
-    pos = seen.astype(float)
-    rest, seen = np.unique(np.concatenate([f for f, t in zip(feats, toxic, strict=True) if not t]), return_counts=True)
-    both = np.union1d(keys, rest)
-    at, neg = np.searchsorted(both, keys), np.zeros(len(both))
-    neg[np.searchsorted(both, rest)] = seen
-    pos = np.bincount(at, pos, len(both))
-    keys = both
-    del rest, seen, at, both
-    # how far a feature's share of toxic texts is from its share of others, in standard errors; no cut, but a fainter feature is penalised more
-    p1, p0, p = pos / n1, neg / n0, (pos + neg) / len(toxic)
-    z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    z[pos + neg < 3] = 0
-    keep = np.sort(np.argsort(-z, kind="stable")[:max_features])
-    keys, l2 = keys[keep], l2 * np.maximum(1, CLEAR_Z / np.maximum(z[keep], 1)) ** 4
-    if not len(keys):  # nothing to learn from: the share of toxic rows
-        return {"keys": keys, "weights": np.zeros(0), "bias": float(np.log(n1 / n0))}
-
-    def chosen(which: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        f = np.concatenate(which) if which else np.zeros(0, T.U)
-        r = np.repeat(np.arange(len(which)), [len(x) for x in which])
-        at = T.in_sorted(f, keys)
-        return r[at >= 0], at[at >= 0]
-
-    r, c = chosen(feats)
-    pairs = [i for i, x in enumerate(other) if len(x)]
-    ra, ca = chosen([feats[i] for i in pairs])
-    rb, cb = chosen([other[i] for i in pairs])
-    w, b = np.zeros(len(keys)), 0.0
-    weight = np.where(toxic == 1, 0.5 / n1, 0.5 / n0)
-    m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
+class Sample:
+    """The sampled rows as (row, chosen feature) pairs, theirs and those of the swapped texts."""
+
+    def __init__(self, feats: list[np.ndarray], toxic: np.ndarray, other: list[np.ndarray | None], n_features: int):
+        self.toxic, self.n = np.asarray(toxic, float), n_features
+        self.row, self.feat = self._pairs(feats)
+        self.named = np.array([i for i, x in enumerate(other) if x is not None], np.int64)
+        self.swap_row, self.swap_feat = self._pairs([other[i] for i in self.named])
+
+    @staticmethod
+    def _pairs(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(rows)), [len(x) for x in rows]), np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64)
+
+    def part(self, keep: np.ndarray) -> Sample:
+        """The rows where ``keep`` holds."""
+        out = object.__new__(Sample)
+        number = np.cumsum(keep) - 1
+        out.toxic, out.n = self.toxic[keep], self.n
+        ok = keep[self.row]
+        out.row, out.feat = number[self.row[ok]], self.feat[ok]
+        stays = keep[self.named]
+        ok = stays[self.swap_row]
+        out.named = number[self.named[stays]]
+        out.swap_row, out.swap_feat = (np.cumsum(stays) - 1)[self.swap_row[ok]], self.swap_feat[ok]
+        return out
+
+    def clearness(self) -> np.ndarray:
+        """How far each feature's share of toxic rows is from its share of others, in standard errors."""
+        n1 = self.toxic.sum()
+        n0 = len(self.toxic) - n1
+        bad = self.toxic[self.row] == 1
+        pos, neg = np.bincount(self.feat[bad], minlength=self.n), np.bincount(self.feat[~bad], minlength=self.n)
+        p = (pos + neg) / len(self.toxic)
+        return np.abs(pos / n1 - neg / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+
+    def scores(self, w: np.ndarray, b: float) -> np.ndarray:
+        return np.bincount(self.row, w[self.feat], len(self.toxic)) + b
+
+
+def _sure(s: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(s, -40, 40)))
+
+
+def fit_weights(sample: Sample, power: float, penalty: float = 1.0, l2: float = 1e-4, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Logistic regression with the counterfactual penalty, by full-batch Adam steps; both classes weigh the same."""
+    toxic, n1 = sample.toxic, sample.toxic.sum()
+    weight = np.where(toxic == 1, 0.5 / n1, 0.5 / (len(toxic) - n1))
+    l2 = l2 * np.maximum(1, CLEAR_Z / np.maximum(sample.clearness(), 1)) ** power
+    # a named row against its swapped text: +1 for each feature of the one, -1 for each of the other
+    pairs = len(sample.named)
+    at = np.full(len(toxic), -1)
+    at[sample.named] = np.arange(pairs)
+    mine = at[sample.row] >= 0
+    gr = np.concatenate([at[sample.row[mine]], sample.swap_row])
+    gc = np.concatenate([sample.feat[mine], sample.swap_feat])
+    gs = np.repeat([1.0, -1.0], [int(mine.sum()), len(sample.swap_row)])
+    w, b = np.zeros(sample.n), 0.0
+    m, v = np.zeros(sample.n + 1), np.zeros(sample.n + 1)
     for t in range(1, rounds + 1):
-        s = np.bincount(r, w[c], len(feats)) + b
-        g = weight * (1 / (1 + np.exp(-np.clip(s, -40, 40))) - toxic)
-        grad = np.bincount(c, g[r], len(keys)) + l2 * w
+        g = weight * (_sure(sample.scores(w, b)) - toxic)
+        grad = np.bincount(sample.feat, g[sample.row], sample.n) + l2 * w
         if pairs:
-            gap = (np.bincount(ra, w[ca], len(pairs)) - np.bincount(rb, w[cb], len(pairs))) * (2 * penalty / len(pairs))
-            grad += np.bincount(ca, gap[ra], len(keys)) - np.bincount(cb, gap[rb], len(keys))
+            gap = np.bincount(gr, gs * w[gc], pairs) * (2 * penalty / pairs)
+            grad += np.bincount(gc, gs * gap[gr], sample.n)
         grad = np.append(grad, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    return {"keys": keys, "weights": w, "bias": float(b)}
+    return w, float(b)
+
+
+def choose_power(sample: Sample, fold: np.ndarray, penalty: float = 1.0) -> float:
+    """The power with the least balanced log loss on rows left out, each fold in turn; the first one where folds lack a class."""
+    losses = dict.fromkeys(POWERS, 0.0)
+    for f in np.unique(fold):
+        fitted, left = sample.part(fold != f), sample.part(fold == f)
+        if any(len(set(x.toxic)) < 2 for x in (fitted, left)):
+            continue
+        for power in POWERS:
+            p = _sure(left.scores(*fit_weights(fitted, power, penalty, rounds=ROUNDS // 3)))
+            loss = -np.log(np.where(left.toxic == 1, p, 1 - p) + 1e-12)
+            losses[power] += loss[left.toxic == 1].mean() + loss[left.toxic == 0].mean()
+    return min(POWERS, key=lambda x: losses[x])
+
+
+def _share(n1: int, n0: int) -> dict:
+    """A model without features: every score is the share of toxic rows."""
+    p = min(max(n1 / max(1, n1 + n0), 1e-6), 1 - 1e-6)
+    return {"keys": np.zeros(0, T.U), "weights": np.zeros(0), "bias": float(np.log(p / (1 - p)))}
 
 
-def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, sample_rows: int = SAMPLE_ROWS, groups=IDENTITY_GROUPS, penalty: float = 1.0) -> dict:
-    """Fit on labelled rows outside the held fold; the labels' sample is bounded, so it is broadcast to the documents."""
+def fit(feats: list[np.ndarray], toxic: np.ndarray, other: list[np.ndarray], penalty: float = 1.0, power: float = POWERS[-1]) -> dict:
+    """The model of rows at hand, given as feature hashes (``other``: of the swapped text, empty where there is none)."""
+    keys, n = np.unique(np.concatenate([*feats, np.zeros(0, T.U)]), return_counts=True)
+    keys = keys[n >= 3]
+    n1 = int(toxic.sum())
+    if not len(keys) or not n1 or n1 == len(toxic):
+        return _share(n1, len(toxic) - n1)
+    known = lambda f: (at := T.in_sorted(f, keys))[at >= 0].astype(np.int32)
+    w, b = fit_weights(Sample([known(f) for f in feats], toxic, [known(f) if len(f) else None for f in other], len(keys)), power, penalty)
+    return {"keys": keys, "weights": w, "bias": b}
+
+
+def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, sample_rows: int = SAMPLE_ROWS, groups=IDENTITY_GROUPS, penalty: float = 1.0, max_features: int = MAX_FEATURES) -> dict:
+    """Fit on labelled rows outside the held fold.  What reaches the driver is bounded by ``sample_rows`` and ``max_features``."""
+    spark = docs.sparkSession
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(F.crc32(F.col("doc_id").cast("string")) % folds != held_fold)
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sample = known.where("toxic = 1").orderBy(*order).limit(sample_rows).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample_rows))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").select("text", "toxic")
-    got = rows.mapInArrow(_sample_features(groups), "feats binary, swapped binary, toxic int").collect()
-    got.sort(key=lambda x: (x["toxic"], bytes(x["feats"])))  # the same model whatever the order of the tasks
-    return fit([np.frombuffer(x["feats"], T.U) for x in got], np.array([x["toxic"] for x in got], float), [np.frombuffer(x["swapped"], T.U) for x in got], penalty)
+    ids = known.where("toxic = 1").orderBy(*order).limit(sample_rows).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample_rows))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    one = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    base = f"{checkpoint_dir(spark)}/toxicity-{uuid.uuid4().hex}"
+    one.write.parquet(base)
+    rows = spark.read.schema("doc_id long, text string, toxic int").parquet(base)
+    of = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    n1, n0 = int(of["toxic"]), int(of["n"] - of["toxic"])
+    if not n1 or not n0:
+        return _share(n1, n0)
+    counts = rows.mapInArrow(_count_features, "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    p = (F.col("pos") + F.col("neg")) / (n1 + n0)
+    clear = F.abs(F.col("pos") / n1 - F.col("neg") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+    best = counts.where(F.col("pos") + F.col("neg") >= 3).orderBy(clear.desc(), "feature").limit(max_features).select("feature").collect()
+    if not best:
+        return _share(n1, n0)
+    keys = np.sort(np.array([r["feature"] for r in best], np.int64).view(T.U))
+    held = spark.sparkContext.broadcast(keys)
+    got = rows.mapInArrow(_chosen_features(held, groups), "doc_id long, toxic int, feats binary, swapped binary").toArrow()
+    got = got.sort_by("doc_id")  # the same model whatever the order of the tasks
+    sample = Sample(_numbers(got, "feats"), np.asarray(got.column("toxic")), _numbers(got, "swapped"), len(keys))
+    fold = np.asarray(got.column("doc_id")) % FOLDS
+    w, b = fit_weights(sample, choose_power(sample, fold, penalty), penalty)
+    return {"keys": keys, "weights": w, "bias": b}
+
+
+def _numbers(table: pa.Table, name: str) -> list[np.ndarray | None]:
+    return [None if x is None else np.frombuffer(x, np.int32) for x in table.column(name).to_pylist()]
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns of ``docs`` plus ``score_col``, computed over the whole text."""
     from pyspark.sql.types import DoubleType, StructType
 
+    if score_col in docs.columns:
+        raise ValueError(f"the table has a column {score_col} already")
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields]).add(score_col, DoubleType())

@@ -159,6 +159,34 @@ def test_toxicity_of_few_rows_and_of_none():
     assert math.isclose(1 / (1 + math.exp(-nothing["bias"])), 1 / 8)
 
 
+def test_toxicity_of_repeated_ids_and_clashing_names(spark):
+    rows, labels = toxic_rows(300)
+    rows = [r[:2] for r in rows]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    plain = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    extra = [(rows[4][0], rows[4][1] + "z")] * 50 + [rows[4]] * 50 + [(None, "x")] * 3  # one id many times: its least text counts
+    named = "doc_id long, text string, toxic int, feats string, pos int"
+    many = spark.createDataFrame([(i, t, 1, "f", 2) for i, t in rows + extra], named).repartition(7)
+    again = toxicity.train(many, labels)
+    assert np.array_equal(plain["keys"], again["keys"]) and np.allclose(plain["weights"], again["weights"])
+    scored = toxicity.score(many, again, score_col="s")
+    assert scored.columns == ["doc_id", "text", "toxic", "feats", "pos", "s"] and scored.count() == len(rows) + 103
+    with pytest.raises(ValueError):
+        toxicity.score(many.withColumn("score", F.lit(1)), again)
+
+
+def test_toxicity_folds_choose_from_training_rows():
+    rng = np.random.default_rng(2)
+    toxic = np.array([float(i % 3 == 0) for i in range(240)])
+    feats = [np.unique(np.append(rng.integers(1, 60, 6), [0] if t and rng.random() < 0.9 else [])).astype(np.int32) for t in toxic]
+    sample = toxicity.Sample(feats, toxic, [None] * 240, 60)
+    power = toxicity.choose_power(sample, np.arange(240) // 2 % 3)
+    assert power in toxicity.POWERS
+    w, b = toxicity.fit_weights(sample, power)
+    assert np.argmax(w) == 0
+    assert toxicity.choose_power(sample, np.zeros(240, int)) == toxicity.POWERS[0]  # a single fold leaves nothing to fit
+
+
 def test_toxicity_without_labels(spark, empty):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
