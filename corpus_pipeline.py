@@ -5,10 +5,10 @@ rows are written to the shared folder in ``spark.checkpoint.dir`` and read again
 All stages but the last return the columns of ``documents``:
 
 1. toxicity: documents that the classifier rejects go.
-2. near duplicates: of the documents joined by links of five-word shingles with a
-   Jaccard similarity of 0.8 or more, the one with the least id stays.  Where ids
-   repeat, every text of an id counts for itself; ties go to the least hash of id and
-   text, then to the least row.
+2. near duplicates: of the rows joined by links of five-word shingles with a Jaccard
+   similarity of 0.8 or more, the one with the least id stays, and of several of that
+   id the one whose text has the least SHA-256, then the one whose other columns do.  Rows without words
+   are linked with nothing and stay.
 3. substring dedup: words in a 13-word passage that an earlier document holds go; a
    text without such words keeps its bytes.
 4. decontamination: documents with benchmark passages in a twentieth of their words go.
@@ -41,21 +41,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = docs.where(F.col("doc_id").isNotNull())
-    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        found = jaccard_join.jaccard_components(docs, shingle=5, percent=80)
-        gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # an id may stand for several texts, so a row is known by a hash of both
-    mark = f"row_{uuid.uuid4().hex}"
-    rows = named.withColumn(mark, F.xxhash64("doc_id", "text", F.col("text").isNull()))
-    found = jaccard_join.jaccard_components(rows.select(F.col(mark).alias("doc_id"), "text"), shingle=5, percent=80)
-    groups = found.select(F.col("doc_id").alias(mark), F.col("component_id").alias("g")).distinct()
-    keys = rows.select(F.col("doc_id").alias("i"), mark).distinct().join(groups, mark)
-    first = keys.groupBy("g").agg(F.min(F.struct("i", mark)).alias("m")).select(F.col(f"m.{mark}").alias(mark))
-    # rows equal in id and text differ in other columns at most: the least of them stays
-    least = rows.join(first, mark, "left_semi").groupBy(mark).agg(F.min(F.struct(*docs.columns)).alias("m")).select("m.*")
-    return least.unionByName(docs.where(F.col("doc_id").isNull()))
+    # rows get numbers of their own in a written copy, so that no two rows are taken for one whatever their ids
+    row, path = f"row_{uuid.uuid4().hex}", f"{checkpoint_dir(spark)}/rows-{uuid.uuid4().hex}"
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    named = rows.where(F.col("doc_id").isNotNull())
+    found = jaccard_join.jaccard_components(named.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80)
+    groups = found.select(F.col("doc_id").alias(row), F.col("component_id").alias("g"))
+    several = groups.where(F.col(row) != F.col("g")).select("g").distinct()
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    order = F.struct(F.col("doc_id"), F.sha2("text", 256).alias("h"), whole.alias("rest"), F.col(row))
+    members = named.select(row, order.alias("o")).join(groups.join(several, "g", "left_semi"), row)
+    first = members.groupBy("g").agg(F.min("o").alias("m"))
+    gone = members.join(first, "g").where(F.col(row) != F.col(f"m.{row}")).select(row)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
