@@ -442,7 +442,7 @@ def _hot_groups(rows: DataFrame, sizes: DataFrame, percent: int, group_bytes: in
         sets = spark.read.parquet(f"{base}/rows")  # read anew: columns of its own beside those of rows
         held = sets.join(chosen, ["grp", "doc_id"]).select("grp", "doc_id", "keys")
         copies = held.join(sets.select("grp", "chunk").distinct(), "grp")
-        links = rows.groupBy("grp", "chunk").cogroup(copies.groupBy("grp", "chunk")).applyInArrow(_against_pivots(percent), schema)
+        links = rows.groupBy("grp", "chunk").cogroup(copies.groupBy("grp", "chunk")).applyInArrow(B.tidy(_against_pivots(percent)), schema)
         links.where("a <> b").write.parquet(f"{base}/links-{step}")
         found = found.union(spark.read.parquet(f"{base}/links-{step}"))
         done = done.union(chosen.select("doc_id"))
@@ -504,10 +504,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     block_of = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).cast("int").alias("block")
     picked = classes.select(F.col("class_id").alias("doc_id")).select("doc_id", block_of)
     own = B.blocked(docs, blocks, id_col, text_col).groupBy("block")
-    asked = own.cogroup(picked.groupBy("block")).applyInArrow(_ask_common(shingle, blocks), "bucket int, block int, codes binary, many binary")
+    asked = own.cogroup(picked.groupBy("block")).applyInArrow(B.tidy(_ask_common(shingle, blocks)), "bucket int, block int, codes binary, many binary")
     answers = B.per_bucket(asked, _answer_common, "block int, bucket int, bits binary")
     right = answers.unionByName(picked, allowMissingColumns=True)
-    own.cogroup(right.groupBy("block")).applyInArrow(_linkable(shingle, percent, blocks), "doc_id long, keys binary").write.parquet(f"{base}/linkable")
+    own.cogroup(right.groupBy("block")).applyInArrow(B.tidy(_linkable(shingle, percent, blocks)), "doc_id long, keys binary").write.parquet(f"{base}/linkable")
     B.release(spark)
     linkable = spark.read.parquet(f"{base}/linkable")
     lists = linkable.mapInArrow(_ask_lists(Scheme(boundary, largest, percent), blocks), "bucket int, keys binary, docs binary")
@@ -523,7 +523,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     def within(rows: DataFrame, weights: DataFrame) -> DataFrame:
         light = rows.join(weights.where(F.col("bytes") <= group_bytes).select("grp"), "grp")
         shares = F.lit(4 * math.ceil(max(1, total["n"] or 0) / group_bytes))
-        return light.withColumn("share", F.pmod(F.xxhash64("grp"), shares)).groupBy("share").applyInArrow(_solve(percent), "a long, b long")
+        return light.withColumn("share", F.pmod(F.xxhash64("grp"), shares)).groupBy("share").applyInArrow(B.tidy(_solve(percent)), "a long, b long")
 
     links = within(sent, sizes)
     if (total["most"] or 0) > group_bytes:

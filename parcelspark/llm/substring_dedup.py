@@ -212,13 +212,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     blocks = B.n_blocks(docs, text_col, block_bytes)
     dealt = B.blocked(docs, blocks, id_col, text_col, carry)
     own = dealt.groupBy("block")
-    anchors = own.applyInArrow(_ask_anchors(window, blocks), ASK1)
+    anchors = own.applyInArrow(B.tidy(_ask_anchors(window, blocks)), ASK1)
     shared = B.per_bucket(anchors, _answer_anchors, ANSWER1)
-    windows = own.cogroup(shared.groupBy("block")).applyInArrow(_ask_windows(window, blocks), ASK2)
+    windows = own.cogroup(shared.groupBy("block")).applyInArrow(B.tidy(_ask_windows(window, blocks)), ASK2)
     first = B.per_bucket(windows, _answer_windows, ANSWER2)
     schema = "doc_id long, n_words long, n_removed long, factors array<struct<start:int,length:int,ref_doc:long,ref_start:int>>, text string"
     if carry:
         schema += f", row {dealt.schema['row'].dataType.simpleString()}"
     if keep_text:
         schema += ", original string"
-    return own.cogroup(first.groupBy("block")).applyInArrow(_parse(window, dealt.columns, keep_text), schema)
+    return own.cogroup(first.groupBy("block")).applyInArrow(B.tidy(_parse(window, dealt.columns, keep_text)), schema)

@@ -90,9 +90,15 @@ def swapped(text: str, groups=IDENTITY_GROUPS) -> str:
     return re.sub(r"[a-z]+", lambda m: to.get(m[0], m[0]), re.sub(r"[A-Z]", lambda m: m[0].lower(), text))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in T.slices(T.buffer_of(batch.column("text"))[1], most):
+            yield batch.slice(a, b - a)
+
+
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of each class that have a feature, added up over a batch."""
-    for batch in batches:
+    for batch in _slices(batches):
         toxic = np.asarray(batch.column("toxic")) == 1
         doc, feat = features(batch.column("text"))
         keys, at = np.unique(feat, return_inverse=True)
@@ -112,7 +118,7 @@ def _chosen_features(held, groups):
         return [at[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             text, rows = batch.column("text"), batch.num_rows
             doc, feat = features(text)
             named = np.unique(doc[T.in_sorted(feat, terms) >= 0])
