@@ -16,11 +16,14 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.functions import text as T
 from parcelspark.operators.unified import prop_key, valid_person_key
+from parcelspark.session import shared_dir
 
 # FIXED VALUES: the 23 keys of a person object, in order.
 PERSON_KEYS = [
@@ -116,7 +119,7 @@ def unnest_persons(nested: DataFrame, keep_placeholder: bool = True) -> DataFram
 
 
 def person_index(df: DataFrame, group: str, order: str, out: str = "person_index",
-                 slice_chars: int = 5) -> DataFrame:
+                 slice_chars: int = 5, bound: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order nulls last)``, skew-safe.
 
     A slice of a group holds the rows whose ``order`` text agrees in its first
@@ -126,9 +129,14 @@ def person_index(df: DataFrame, group: str, order: str, out: str = "person_index
     numbers.  A group key that starts its order keys (as a property key starts its
     person keys) leaves ``slice_chars`` characters to tell rows apart.  Ties in
     ``order`` are broken arbitrarily, as in any ``row_number``.
+
+    With ``bound``, slices of more rows are cut deeper (:func:`deepen_slices`) until none is left but those of
+    equal keys; this runs a count for each round.  Without it nothing runs here.
     """
-    cut = F.substring(F.col(order), F.lit(1), F.length(F.coalesce(F.col(group), F.lit(""))) + F.lit(slice_chars))
-    sliced = df.withColumn("_last", F.col(order).isNull()).withColumn("_slice", F.coalesce(cut, F.lit("")))
+    cut = F.length(F.coalesce(F.col(group), F.lit(""))) + F.lit(slice_chars)
+    sliced = _slice(df.withColumn("_last", F.col(order).isNull()).withColumn("_cut", cut), order)
+    if bound is not None:
+        sliced = deepen_slices(sliced, group, order, slice_chars, bound)
     by = [group, "_last", "_slice"]
     local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(*by).orderBy(order)))
     sizes = sliced.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
@@ -138,7 +146,38 @@ def person_index(df: DataFrame, group: str, order: str, out: str = "person_index
     same = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in by]
     return (local.join(offsets, same, "inner")
             .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
-            .drop(*by[1:], *[f"_o{c}" for c in by], "_local", "_offset"))
+            .drop(*by[1:], *[f"_o{c}" for c in by], "_cut", "_local", "_offset"))
+
+
+def _slice(df: DataFrame, order: str) -> DataFrame:
+    return df.withColumn("_slice", F.coalesce(F.substr(F.col(order), F.lit(1), F.col("_cut")), F.lit("")))
+
+
+def deepen_slices(sliced: DataFrame, group: str, order: str, slice_chars: int, bound: int) -> DataFrame:
+    """Cut slices of more than ``bound`` rows behind all that their keys share, round by round.
+
+    What the least and the greatest key of a slice share, all its keys share; so a round steps over any common
+    text at once and every cut slice falls apart.  Only slices over the bound are joined back to the rows: at
+    most one for each ``bound`` rows, written to the shared folder, which also ends their lineage.  A slice stays
+    in front of the next one when it is cut, so the order of all slices holds.
+    """
+    spark = sliced.sparkSession
+    base = f"{shared_dir(spark)}/slices-{uuid.uuid4().hex}"
+    least, greatest = F.col("_least"), F.col("_greatest")
+    places = F.sequence(F.lit(1), F.length(least) + 1)
+    shared = F.array_position(F.transform(places, lambda i: F.substr(least, i, F.lit(1)) == F.substr(greatest, i, F.lit(1))), False) - 1
+    by, step = [group, "_last", "_slice"], 0
+    while True:
+        sizes = sliced.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_least"), F.max(order).alias("_greatest"))
+        large = sizes.where((F.col("_n") > bound) & (least < greatest))
+        large = large.select(*[F.col(c).alias(f"_l{c}") for c in by], (shared + max(1, slice_chars)).cast("int").alias("_deeper"))
+        large.write.parquet(f"{base}/{step}")
+        large = spark.read.parquet(f"{base}/{step}")
+        if large.isEmpty():
+            return sliced
+        same = [F.col(c).eqNullSafe(F.col(f"_l{c}")) for c in by]
+        found = sliced.join(large, same, "left").withColumn("_cut", F.coalesce("_deeper", "_cut"))
+        sliced, step = _slice(found.drop("_deeper", *[f"_l{c}" for c in by]), order), step + 1
 
 
 # Person keys read by the nested-input variant of the unified dataset: it asks for

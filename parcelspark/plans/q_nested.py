@@ -97,6 +97,17 @@ def person_index(spark, sf):
     return N.person_index(p, "prop_uuid", "person_uuid")
 
 
+@register("person_index_bounded", D.with_views("persons") + f"""
+SELECT uuid AS person_uuid, substr(uuid, 1, 6) AS grp,
+       CAST(row_number() OVER (PARTITION BY substr(uuid, 1, 6) ORDER BY uuid) AS INTEGER) AS person_index
+FROM persons WHERE {PREFIX_OK}""")
+def person_index_bounded(spark, sf):
+    """W1 over nine hot groups, in slices of at most 500 rows."""
+    p = views(spark, sf, "persons").where(valid_person_key(F.col("uuid")))
+    p = p.select(F.col("uuid").alias("person_uuid"), F.substring("uuid", 1, 6).alias("grp"))
+    return N.person_index(p, "grp", "person_uuid", slice_chars=1, bound=500)
+
+
 _AUDIT_SQL = D.with_views("properties", "persons") + f""",
 r AS (SELECT {PREFIX_KEY} AS prop_uuid, count(*) AS n FROM persons WHERE {PREFIX_OK} GROUP BY 1),
 nt AS (SELECT p.uuid, coalesce(r.n, 0) AS n FROM properties p LEFT JOIN r ON r.prop_uuid = p.uuid),

@@ -44,6 +44,20 @@ def feed_stream(spark: SparkSession, path: str, schema: str, max_files_per_trigg
     return r.json(path)
 
 
+def once_from_mark(stream: DataFrame, keys: list[str], mark=None, ts_col: str = "submitted_date", watermark: str = "1 day") -> DataFrame:
+    """T5/S1 with ``>=``: records at or after the mark, each (``keys`` and time) once.
+
+    A feed that is asked for ``>= mark`` sends the records of the mark's own instant again, together with those
+    that arrived there late; a strict ``>`` would miss the latter.  The state of a record is kept until the
+    watermark has passed it, so it is bounded by the records of that span.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    # watermarks need an instant: the zone-less time read as UTC
+    timed = I.feed_incremental(stream, mark, ts_col, inclusive=True).withColumn(
+        "_event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts_col))))
+    return timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark([*keys, "_event_time"]).drop("_event_time")
+
+
 def upsert_batch_fn(table: str, history: str, key: str, columns: list[str], order: list[str],
                     presence: dict[str, str] | None, sync_type: str, ts_col: str):
     """The ``foreachBatch`` body.
