@@ -30,6 +30,9 @@ from parcelspark.llm._blocks import checkpoint_dir
 from parcelspark.llm.queries import tokenizer_file
 
 
+BLOCK_BYTES = 4 << 20  # of text in one task of the stages that compare documents
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,7 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
     named = rows.where(F.col("doc_id").isNotNull())
-    found = jaccard_join.jaccard_components(named.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80)
+    found = jaccard_join.jaccard_components(named.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80, block_bytes=BLOCK_BYTES)
     groups = found.select(F.col("doc_id").alias(row), F.col("component_id").alias("g"))
     several = groups.where(F.col(row) != F.col("g")).select("g").distinct()
     whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
@@ -58,7 +61,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    parsed = substring_dedup.substring_dedup(docs, carry=True, keep_text=True)
+    parsed = substring_dedup.substring_dedup(docs, carry=True, keep_text=True, block_bytes=BLOCK_BYTES)
     cut = F.col("n_removed") > 0
     fields = {c: F.col("row")[c] for c in docs.columns if c != "text"}
     fields["text"] = F.when(cut, F.col("text")).otherwise(F.col("original"))
