@@ -3,8 +3,10 @@
 A text is cut where no token can cross: before a single space that a plain
 character follows, and between an ASCII letter and common punctuation.  Both kinds
 of tokenizer files used here (byte-level BPE; word BPE with word ends) split there
-themselves, so the ids of the pieces, joined, are the ids of the text.  Distinct
-pieces are encoded once per worker and kept in a bounded cache.
+themselves, so the ids of the pieces, joined, are the ids of the text.  No cut falls
+inside the name of a special token: as the library does by default, a name in a text
+becomes that token's id.  Distinct pieces are encoded once per worker and kept in a
+bounded cache.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.names = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.named = re.compile("|".join(map(re.escape, self.names)) or r"(?!)")
         self.size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         # a separator that is one token of its own between any two plain pieces
@@ -63,7 +66,7 @@ class Encoder:
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(order, sizes, ids): ids of all texts, joined in the given order."""
-        plain = [i for i, t in enumerate(texts) if self.sep is not None and _PLAIN.fullmatch(t)]
+        plain = [i for i, t in enumerate(texts) if self.sep is not None and _PLAIN.fullmatch(t) and not self.named.search(t)]
         groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
         order, size, flat, rest = [], [], [], sorted(set(range(len(texts))) - set(plain))
         for g, ids in zip(groups, self._raw([self.sep.join([texts[i] for i in g]) for g in groups]) if groups else [], strict=True):
@@ -107,13 +110,18 @@ class Encoder:
         cut = np.zeros(n, bool)
         cut[:-1] = (data[:-1] == 0x20) & _AFTER_SPACE[data[1:]]
         cut[1:] |= _LETTER[data[:-1]] & _PUNCT[data[1:]]
+        raw = data.tobytes()
+        for name in map(str.encode, self.names):
+            at = raw.find(name)
+            while at >= 0:
+                cut[at + 1 : at + len(name)] = False
+                at = raw.find(name, at + 1)
         cut[off[:-1][off[:-1] < n]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], n)
         doc = np.searchsorted(off, start, side="right") - 1
         keys, first, which = np.unique(T.span_hashes(data, start, end), return_index=True, return_inverse=True)
         if len(new := np.flatnonzero(T.in_sorted(keys, self.keys) < 0)):
-            raw = data.tobytes()
             if len(self.keys) + len(new) > CACHE_PIECES:
                 self._reset()
                 new = np.arange(len(keys))

@@ -25,13 +25,12 @@ def reference_ids(name, texts):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_file(name))
-    tok.encode_special_tokens = True
     return [e.ids + [0] for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("name", [BYTE, WORD_BPE])
 def test_piecewise_encoding_is_the_tokenizers(name, corpus):
-    odd = ["a\n\n b  c d 　 e", "x  y\t z ' s' it's I'LL don't", "<|endoftext|> hi <|startoftext|>", "ΑΣ.Α Σας İ ﬁ K é x.", "\x1f a\x1f b \x1fc", " lead  trail ", "naïve — “quotes” 😀 x😀y", "a\u0085d   e", "12 345,67|a.b,c"]
+    odd = ["a\n\n b  c d 　 e", "x  y\t z ' s' it's I'LL don't", "<|endoftext|> hi <|startoftext|>", "a<|endoftext|>b.c<|endoftext|><|startoftext|>,d", "<|endof", "text|> x", "<|endoftext| > <|ENDOFTEXT|> s<|endoftext|>'s", "ΑΣ.Α Σας İ ﬁ K é x.", "\x1f a\x1f b \x1fc", " lead  trail ", "naïve — “quotes” 😀 x😀y", "a\u0085d   e", "12 345,67|a.b,c"]
     texts = odd + [t for _, t in corpus]
     ids, off = Encoder(tokenizer_file(name)).encode(*T.buffer_of(pa.array(texts)))
     assert [ids[a:b].tolist() + [0] for a, b in zip(off, off[1:], strict=False)] == reference_ids(name, texts)
