@@ -36,6 +36,24 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def _jaccard_sql() -> str:
+    """Equal sets are one class; classes that share a shingle are counted against each other, and links followed."""
+    return f"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])) END AS s FROM words),
+classed AS (SELECT doc_id, len(s) AS n, s, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS class_id FROM sets),
+classes AS (SELECT class_id, n, s FROM classed WHERE doc_id = class_id AND n > 0),
+holds AS (SELECT class_id, n, unnest(s) AS g FROM classes),
+links AS (
+  SELECT a.class_id AS x, b.class_id AS y FROM holds a JOIN holds b USING (g) WHERE a.class_id <> b.class_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  GROUP BY a.class_id, b.class_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT class_id, class_id AS r FROM classes UNION SELECT reach.class_id, y FROM reach JOIN links ON x = r),
+least_of AS (SELECT class_id, min(r) AS component_id FROM reach GROUP BY class_id)
+SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id, class_id FROM classed LEFT JOIN least_of USING (class_id)"""
+
+
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(licences.document_files(_table(spark, sf_dir, "documents")))
     return found.withColumnRenamed("file_id", "doc_id")
@@ -75,11 +93,44 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _substring_sql() -> str:
+    """Windows as joined words; the smallest document of each decides."""
+    return """
+WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+later AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id),
+hit AS (SELECT DISTINCT doc_id, i + k AS i, true AS gone FROM later, range(13) r(k)),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+kept AS (
+  SELECT doc_id, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone IS NULL) AS text
+  FROM each LEFT JOIN hit USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM words LEFT JOIN kept USING (doc_id)"""
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def _decontaminate_sql() -> str:
+    """Windows of the items, of every length that occurs, looked up among the documents' windows."""
+    return f"""
+WITH words AS (
+  SELECT kind, id, coalesce(regexp_extract_all(translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM (SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark)),
+lengths AS (SELECT DISTINCT least(len(w), {decontaminate.WINDOW}) AS k FROM words WHERE kind = 'b' AND len(w) > 0),
+wanted AS (
+  SELECT DISTINCT id AS item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT id, w, least(len(w), {decontaminate.WINDOW}) AS k, unnest(range(1, len(w) - least(len(w), {decontaminate.WINDOW}) + 2)) AS i FROM words WHERE kind = 'b' AND len(w) > 0)),
+held AS (SELECT id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, lengths WHERE kind = 'd')),
+found AS (SELECT held.id, i, k, item FROM held JOIN wanted USING (k, g)),
+hits AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS p FROM found) GROUP BY id),
+named AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT CAST(id AS BIGINT) AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM words LEFT JOIN hits USING (id) LEFT JOIN named USING (id) WHERE kind = 'd'"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -107,6 +158,20 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_components(_table(spark, sf_dir, "embeddings"))
 
 
+def _embedding_sql() -> str:
+    """Every pair of one label compared, links followed."""
+    return """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [x::DOUBLE for x in embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+unit AS (SELECT vec_id, label, [x / sqrt(list_inner_product(e, e)) for x in e] AS e FROM v WHERE list_inner_product(e, e) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM unit a JOIN unit b USING (label) WHERE a.vec_id <> b.vec_id AND list_inner_product(a.e, b.e) >= 0.98),
+degree AS (SELECT x AS vec_id, count(*) AS n_links FROM links GROUP BY x),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT vec_id, y FROM reach JOIN links ON x = r),
+least_of AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM least_of LEFT JOIN degree USING (vec_id)"""
+
+
 def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -193,4 +258,12 @@ QUERIES = {
     "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
-SQL: dict[str, str] = {"op3_licence_scan": _licence_sql(), "op11_topk_search": _topk_sql(), "op12_spelling_variants": _spelling_sql()}
+SQL: dict[str, str] = {
+    "op2_jaccard_join": _jaccard_sql(),
+    "op3_licence_scan": _licence_sql(),
+    "op4_substring_dedup": _substring_sql(),
+    "op5_decontaminate": _decontaminate_sql(),
+    "op10_embedding_dedup": _embedding_sql(),
+    "op11_topk_search": _topk_sql(),
+    "op12_spelling_variants": _spelling_sql(),
+}
