@@ -60,26 +60,33 @@ def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    """The same scan for DuckDB, every line against every template, without the prefilter."""
+    """The same scan for DuckDB, every part against every template of its kind, without the prefilter."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     low = lambda c: f"translate({c}, '{licences.UPPER}', '{licences.LOWER}')"
-    names = ", ".join(f"({quote(n)}, {quote(' '.join(licences.words_of(t)))})" for n, t in licences.TEMPLATES.items())
+    both = [(k, n, t) for k, ts in enumerate((licences.TEMPLATES, licences.FULL_TEXTS)) for n, t in licences.flat(ts)]
+    names = ", ".join(f"({i}, {k}, {quote(n)}, {quote(' '.join(licences.words_of(t)))})" for i, (k, n, t) in enumerate(both))
     return f"""
 WITH files AS (
-  SELECT doc_id, text, concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'), coalesce(CAST(doc_id // 1000 AS VARCHAR), 'unknown')) AS dir,
-    CASE WHEN regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]e|rights reserved') THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
-  FROM documents),
-tw AS (SELECT n, w, count(*) AS tf FROM (SELECT n, unnest(string_split(t, ' ')) AS w FROM (VALUES {names}) v(n, t)) GROUP BY ALL),
+  SELECT doc_id, text, opens, array_to_string([coalesce(source, 'unknown'), coalesce(lang, 'unknown'), coalesce(CAST(doc_id // 1000 AS VARCHAR), 'unknown')][1:CASE WHEN opens THEN doc_id % 3 + 1 ELSE 3 END], '/') AS dir,
+    CASE WHEN opens THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
+  FROM (SELECT *, coalesce(regexp_matches(split_part(text, chr(10), 1), {quote(licences.OPENING)}), false) AS opens FROM documents)),
+known AS (SELECT * FROM (VALUES {names}) v(i, kind, n, t)),
+tw AS (SELECT i, w, count(*) AS tf FROM (SELECT i, unnest(string_split(t, ' ')) AS w FROM known) GROUP BY ALL),
 total AS (SELECT count(*) AS n FROM documents),
 df AS (SELECT w, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all({low("text")}, '[a-z0-9]+'))) AS w FROM documents) WHERE w IN (SELECT w FROM tw) GROUP BY w),
 idf AS (SELECT DISTINCT tw.w, ln((1 + total.n) / (1 + coalesce(df.df, 0))) + 1 AS idf FROM tw LEFT JOIN df USING (w), total),
-tv AS (SELECT n, w, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY n)) AS y FROM tw JOIN idf USING (w)),
-lines AS (SELECT doc_id, unnest(string_split({low("text")}, chr(10))) AS text, generate_subscripts(string_split({low("text")}, chr(10)), 1) AS line FROM documents),
-terms AS (SELECT doc_id, line, w, count(*) AS tf FROM (SELECT doc_id, line, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS w FROM lines) GROUP BY ALL),
-lv AS (SELECT doc_id, line, w, tf * coalesce(idf.idf, ln(1 + total.n) + 1) AS x FROM terms LEFT JOIN idf USING (w), total),
-norms AS (SELECT doc_id, line, sum(x * x) AS norm FROM lv GROUP BY ALL),
-scores AS (SELECT doc_id, line, n, round(sum(x * y) / sqrt(any_value(norm)), 6) AS score FROM lv JOIN tv USING (w) JOIN norms USING (doc_id, line) GROUP BY ALL),
-own AS (SELECT doc_id, n AS licence, score FROM scores WHERE score >= {licences.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, n DESC, line) = 1),
+tv AS (SELECT i, w, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY i)) AS y FROM tw JOIN idf USING (w)),
+bare AS (SELECT doc_id, opens, {low("text")} AS text, regexp_replace({low("text")}, {quote(licences.MARKER)}, '\\1', 'g') AS bare FROM files WHERE text IS NOT NULL),
+parts AS (
+  SELECT doc_id, 0 AS kind, unnest(list_concat(string_split(text, chr(10)), string_split_regex(bare, {quote(licences.SENTENCE)}))) AS text FROM bare
+  UNION SELECT doc_id, 1, unnest(list_concat(string_split_regex(bare, {quote(licences.PARAGRAPH)}), CASE WHEN opens THEN [bare] ELSE [] END)) FROM bare),
+numbered AS (SELECT *, row_number() OVER () AS part FROM parts),
+terms AS (SELECT part, w, count(*) AS tf FROM (SELECT part, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS w FROM numbered) GROUP BY ALL),
+lv AS (SELECT part, w, tf * coalesce(idf.idf, ln(1 + total.n) + 1) AS x FROM terms LEFT JOIN idf USING (w), total),
+norms AS (SELECT part, sum(x * x) AS norm FROM lv GROUP BY ALL),
+dots AS (SELECT part, i, sum(x * y) AS dot FROM lv JOIN tv USING (w) GROUP BY ALL),
+scores AS (SELECT doc_id, n, round(dot / sqrt(norm), 6) AS score FROM dots JOIN norms USING (part) JOIN numbered USING (part) JOIN known USING (i) WHERE known.kind = numbered.kind),
+own AS (SELECT doc_id, n AS licence, score FROM scores WHERE score >= {licences.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, n DESC) = 1),
 placed AS (SELECT files.*, dir || '/' || name AS path, own.licence, own.score FROM files LEFT JOIN own USING (doc_id)),
 cover AS (SELECT dir AS up, licence AS dl, score AS ds, path AS dp FROM placed WHERE licence IS NOT NULL AND regexp_matches(name, '{licences.LICENCE_FILE}') QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, licence) = 1),
 near AS (SELECT d.dir, dl, ds, dp FROM (SELECT DISTINCT dir FROM placed) d JOIN cover ON d.dir = cover.up OR starts_with(d.dir, cover.up || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(cover.up) DESC) = 1)

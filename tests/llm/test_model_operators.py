@@ -325,9 +325,49 @@ def test_licences_plan_is_native_and_empty_tables_work(spark, empty):
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
 
 
-def test_required_words_lose_no_line():
-    idf = {w: 1.0 + i / 7 for i, w in enumerate(licences.template_words(licences.TEMPLATES))}
-    weights = licences.template_weights(licences.TEMPLATES, idf)
-    need = set(licences.required_words(weights, 0.8))
-    for own in weights.values():
-        assert sum(x * x for w, x in own.items() if w not in need) < 0.8**2
+MIT_TEXT = licences.FULL_TEXTS["MIT"][1]
+
+
+def test_licences_in_wrapped_headers_sentences_and_files(spark):
+    prose = "\n".join(f"plain words number {i}, of no licence" for i in range(30))
+    texts = {
+        "a/wrapped.txt": "Licensed under the Apache License,\nVersion 2.0.\n\n" + prose,
+        "b/comment.c": "/*\n * Copyright 2019 The Foo Authors\n *\n * This Source Code Form is subject to the terms of the Mozilla\n * Public License, v. 2.0. If a copy of the MPL was not distributed\n * with this file, You can obtain one at https://mozilla.org/MPL/2.0/.\n */\nint x;\n",
+        "c/sentence.js": "// Copyright 2019 The Foo Authors. Released under the MIT License.\ncode();",
+        "d/notice.py": "\n".join("# " + line.strip() for line in licences.FULL_TEXTS["MIT"][0].split("\n")) + "\n\nx = 1",
+        "e/LICENSE": "Copyright (c) 2019 The Foo Authors\n\n" + MIT_TEXT.replace("conditions: ", "conditions:\n\n"),
+        "e/deep/er/file.c": "int y;",
+        "f/COPYING": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + prose,
+        "g/COPYING.LESSER": "GNU LESSER GENERAL PUBLIC LICENSE\r\nVersion 3, 29 June 2007\r\n\r\n" + prose,
+        "h/clean.txt": "The foundation may redistribute copies without permission. Rights and software are words here.\n" + prose,
+        "i/long.txt": (prose + " ") * 200 + "\n# Released under\n# the MIT License.\n" + prose,
+    }
+    files = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(texts.items())], "file_id long, path string, text string")
+    got = {r["path"]: (r["licence"], r["origin"]) for r in licences.scan_licences(files).collect()}
+    assert got == {
+        "a/wrapped.txt": ("Apache-2.0", "header"), "b/comment.c": ("MPL-2.0", "header"), "c/sentence.js": ("MIT", "header"), "d/notice.py": ("MIT", "header"),
+        "e/LICENSE": ("MIT", "header"), "e/deep/er/file.c": ("MIT", "directory"), "f/COPYING": ("GPL-3.0", "header"), "g/COPYING.LESSER": ("LGPL-3.0", "header"),
+        "h/clean.txt": (None, None), "i/long.txt": ("MIT", "header"),
+    }
+
+
+def test_licences_tell_rows_apart_and_take_nulls(spark):
+    mit = "Released under the MIT License."
+    rows = [(1, mit, "s", "x"), (1, "nothing here", "s", "x"), (None, mit, "b", None), (None, None, None, None), (2, mit, "t", "y"), (2, mit, "t", "y"), (7, "", "q", "")]
+    docs = spark.createDataFrame([(*r, "clash", 5) for r in rows], "doc_id long, text string, source string, lang string, licence string, score int")
+    got = sorted((str(r["file_id"]), r["path"], str(r["licence"]), str(r["origin"])) for r in licences.scan_licences(licences.document_files(docs)).collect())
+    assert got == sorted([
+        ("1", "s/x/LICENSE-1", "MIT", "header"), ("1", "s/x/0/1.txt", "MIT", "directory"), ("None", "b/unknown/unknown/LICENSE-unknown", "MIT", "header"),
+        ("None", "unknown/unknown/unknown/unknown.txt", "None", "None"), ("2", "t/y/0/LICENSE-2", "MIT", "header"), ("2", "t/y/0/LICENSE-2", "MIT", "header"), ("7", "q//0/7.txt", "None", "None"),
+    ])
+    pathless = spark.createDataFrame([(1, None, mit), (2, None, "x")], "file_id long, path string, text string")
+    assert {r["file_id"]: r["licence"] for r in licences.scan_licences(pathless).collect()} == {1: "MIT", 2: None}
+
+
+def test_required_words_lose_no_part():
+    for templates in (licences.TEMPLATES, licences.FULL_TEXTS):
+        idf = {w: 1.0 + i / 7 for i, w in enumerate(licences.template_words(templates))}
+        weights = licences.template_weights(licences.flat(templates), idf)
+        need = set(licences.required_words(weights, 0.8))
+        for own in weights:
+            assert sum(x * x for w, x in own.items() if w not in need) < 0.8**2
