@@ -36,7 +36,7 @@ def views(spark: SparkSession, sf_dir: str, *names: str):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from parcelspark.plans import q_ingest, q_links, q_more, q_nested, q_store, q_unified  # noqa: F401
+    from parcelspark.plans import q_ingest, q_links, q_more, q_nested, q_reports, q_store, q_unified  # noqa: F401
 
 
 def all_queries() -> dict[str, SparkQuery]:
