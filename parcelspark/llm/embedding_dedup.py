@@ -4,7 +4,7 @@ Equal vectors of a label are one row with a count.  Unit vectors are rotated to
 the principal axes of all vectors (a rotation keeps every product), sorted by
 label and first axis, and cut into tiles.  Linked vectors are at most
 ``sqrt(2 - 2 t)`` apart, so only tiles of a label whose ranges on the first axis come
-that close are compared.  A pair of tiles accumulates products over leading axes
+that close are compared; they find each other by bins of that axis.  A pair of tiles accumulates products over leading axes
 first; a pair of vectors goes on only while its sum so far plus the product of
 the rest norms can still reach the threshold.  What is left is checked in double
 precision on the vectors themselves.
@@ -32,6 +32,7 @@ from parcelspark.llm import _blocks as B
 from parcelspark.llm._components import components
 
 THRESHOLD = 0.98
+BINS = 8  # of the first axis, to the distance at which tiles are too far apart to link
 TILE = 1024
 LEADING = (8, 24)
 SLACK = 1e-9
@@ -216,9 +217,15 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, tile:
     tiles = spark.read.parquet(f"{base}/tiles")
     second = tiles.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("tile", "lo", "hi", "ids", "copies", "vectors")])
     apart = float(np.sqrt(2 - 2 * threshold) + 1e-9)
-    near = (F.col("tile") <= F.col("tile2")) & (F.col("lo2") - F.col("hi") <= apart) & (F.col("lo") - F.col("hi2") <= apart)
+    # ranges meet in narrow bins of the first axis: the later one (by its low end) stands in the bin of that end alone,
+    # the earlier one in all bins from its low end to its high end and the distance beyond it, so a near pair meets once
+    width = max(apart, 0.05) / BINS
+    cell = lambda x: F.floor(x / width).cast("int")
     names = ("label", "dim", "tile", "tile2")
-    ranges = tiles.select("label", "dim", "tile", "lo", "hi").join(second.select("label", "dim", "tile2", "lo2", "hi2"), ["label", "dim"]).where(near).select(*names)
+    earlier = tiles.select("label", "dim", "tile", "lo", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") + apart))).alias("bin"))
+    later = second.select("label", "dim", "tile2", "lo2", "hi2", cell(F.col("lo2")).alias("bin"))
+    near = (F.struct("lo", "tile") <= F.struct(F.col("lo2").alias("lo"), F.col("tile2").alias("tile"))) & (F.col("lo2") - F.col("hi") <= apart)
+    ranges = earlier.join(later, ["label", "dim", "bin"]).where(near).select(*names)
     paired = ranges.join(tiles.select("tile", "ids", "copies", "vectors"), "tile").join(second.select("tile2", "ids2", "copies2", "vectors2"), "tile2")
     paired.select("dim", "tile", "tile2", "ids", "ids2", "copies", "copies2", "vectors", "vectors2").mapInArrow(_compare(axes, threshold), "vec long, n long, other long").write.parquet(f"{base}/links")
     links = spark.read.parquet(f"{base}/links")
