@@ -15,6 +15,7 @@ separate documents; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -123,23 +124,33 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     for size, start, per, bin0, places in slots:
         first.setdefault(size, []).append((start, per, bin0, places))
     held = spark.sparkContext.broadcast({k: ([s[0] for s in v], v) for k, v in first.items()})
-    n_slices = F.lit(int(max(1, -(-int(counts.max()) // slice_rows))))
-    keyed = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), n_slices).cast("int"))
+    # slices by each length's own count: rare lengths have one, so the table of sums shrinks with them; at most ``capacity`` lengths
+    cut = [{"length": int(n), "slices": int(-(-int(counts[n]) // slice_rows))} for n in np.flatnonzero(counts)]
+    slices = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(cut)), "array<struct<length long, slices int>>")).alias("s")).select("s.*")
+    keyed = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("slices")).cast("int"))
     sums = keyed.groupBy("length", "slice").count()
-    before = sums.select("length", "slice", (F.sum("count").over(Window.partitionBy("length").orderBy("slice")) - F.col("count")).alias("before"))
+    # prefix sums in two levels: within a thousand slices, and over the thousands of a length
+    sums = sums.withColumn("thousand", F.floor(F.col("slice") / 1000))
+    ahead = lambda keys, by: F.sum("count").over(Window.partitionBy(*keys).orderBy(by)) - F.col("count")
+    above = sums.groupBy("length", "thousand").agg(F.sum("count").alias("count")).select("length", "thousand", ahead(["length"], "thousand").alias("above"))
+    within = sums.select("length", "thousand", "slice", ahead(["length", "thousand"], "slice").alias("within"))
+    before = within.join(above, ["length", "thousand"]).select("length", "slice", (F.col("above") + F.col("within")).alias("before"))
     rank = F.row_number().over(Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "ids_crc32"))
     ranked = keyed.withColumn("rank", rank).join(before, ["length", "slice"]).select("doc_id", "piece", "start", "length", "ids", "ids_crc32", (F.col("rank") - 1 + F.col("before")).cast("long").alias("number"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_right
-
         for batch in batches:
-            seq, off = [], []
-            for size, number in zip(batch.column("length").to_pylist(), batch.column("number").to_pylist(), strict=True):
-                starts, all_slots = held.value[size]
-                start, per, bin0, places = all_slots[bisect_right(starts, number) - 1]
-                seq.append(bin0 + (number - start) // per)
-                off.append(places[(number - start) % per])
+            size, number = (batch.column(c).to_numpy() for c in ("length", "number"))
+            seq, off = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+            for n in np.unique(size):  # at most ``capacity`` lengths
+                at = np.flatnonzero(size == n)
+                starts, own = held.value[n.item()]
+                which = np.searchsorted(starts, number[at], side="right") - 1
+                for k in np.unique(which):
+                    rows = at[which == k]
+                    start, per, bin0, places = own[k]
+                    seq[rows] = bin0 + (number[rows] - start) // per
+                    off[rows] = np.array(places, np.int64)[(number[rows] - start) % per]
             names = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*names, "sequence_id", "offset"])
 

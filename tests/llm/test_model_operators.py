@@ -61,8 +61,9 @@ def test_token_files_edge_rows(spark, empty, tmp_path):
     assert [(r["doc_id"], r["n_tokens"]) for r in rows] == [(None, 2), (2, 1), (5, 2), (5, 2)]
 
 
-def test_packing(docs, corpus):
-    rows = packing.pack_documents(docs, tokenizer_file(WORD_BPE), capacity=256, slice_rows=10).collect()
+@pytest.mark.parametrize("slice_rows", [1, 10])
+def test_packing(docs, corpus, slice_rows):
+    rows = packing.pack_documents(docs, tokenizer_file(WORD_BPE), capacity=256, slice_rows=slice_rows).collect()
     want = {}
     for (i, _), ids in zip(corpus, reference_ids(WORD_BPE, [t for _, t in corpus]), strict=True):
         for p, s in enumerate(range(0, len(ids), 256)):
