@@ -6,7 +6,10 @@ probability is that of its class given the classes of the four tokens before it
 is compared with every class vector) times that of the token inside its class
 (discounted counts; the rest is one unknown token for each class).  The most
 frequent words are classes of their own, as many as four cube roots of the vocabulary
-(256 at least); other words share a class by their ending.
+(256 at least); other words share a class by their ending.  The probability of a
+class is in turn that of its group times that of the class in its group; a group is
+the root of their number of classes, neighbours in falling order of their counts, so
+a token costs two short softmaxes whatever the vocabulary.
 
 * Counts cover every training text: tasks send the distinct words of their share,
   packed per hash bucket; the buckets' sums are written as the vocabulary table.
@@ -14,17 +17,20 @@ frequent words are classes of their own, as many as four cube roots of the vocab
   training text: each task runs through its share from the common parameters, and
   the parameters are averaged by tokens (pre-summed, then one row for each slice
   of the parameters), for ``rounds`` rounds.
-* Scoring normalises over all classes in batched matrix products, once for each
-  distinct context of a share.  Blocks of
-  documents ask the vocabulary's buckets for their distinct words; no table that
+* Scoring normalises over all groups, and over all classes of the group, in batched
+  matrix products.  Blocks of documents ask the vocabulary's buckets for their distinct words; no table that
   grows with the corpus is broadcast.
 
-Null and empty texts are one end token.  A null id counts as training.  Without
-training texts all words are unknown and the class model is uniform.
+Null and empty texts are one end token.  A null id counts as training.  Rows that
+repeat are scored and counted each for itself; other columns are not read, whatever
+their names.  A very long text is one row of a block and taken whole.  An empty table
+gives no rows.  Without training texts all words are unknown and the class model is
+that of its first parameters.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -39,7 +45,7 @@ from parcelspark.llm import _text as T
 TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 4, 32  # TOP: own-word classes at least
 CLASSES = TOP + ENDINGS + 1
 END = T.U(0x656E64206F662074)
-NOISE, BATCH, RATE, DISCOUNT = 64, 1024, 0.05, 0.5
+NOISE, BATCH, RATE, DISCOUNT = 32, 4096, 0.05, 0.5  # NOISE: groups, and classes of each group
 SLICES = 16
 BUCKET_BYTES = 8 << 20
 
@@ -149,60 +155,146 @@ def summary(words: DataFrame) -> dict:
     return {"tokens": total, "words": kinds, "top": np.array([k for k, _, _ in found], T.U), "class_tokens": n, "class_words": v}
 
 
+def side(classes: int) -> int:
+    """Classes of one group (the last may have fewer): the root of their number."""
+    return math.isqrt(max(classes - 1, 0)) + 1
+
+
+def places(info: dict) -> np.ndarray:
+    """Place of each class in falling order of its tokens; ``side`` neighbours in this order are a group."""
+    order = np.argsort(-info["class_tokens"], kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return place
+
+
+def _shares(info: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By place: the first class of each group, the share of each group, the share of each class in its group."""
+    n = np.sort(info["class_tokens"] + 0.5)[::-1]
+    first = np.arange(0, len(n), side(len(n)))
+    group = np.add.reduceat(n, first)
+    return first, group / n.sum(), n / np.repeat(group, np.diff(np.append(first, len(n))))
+
+
 def start_parameters(info: dict) -> dict[str, np.ndarray]:
+    """By place: context vectors R, class vectors Q and biases b; group vectors G and biases a; position matrices C."""
     rng, classes = np.random.default_rng(7), len(info["class_tokens"])
-    share = (info["class_tokens"] + 0.5) / (info["class_tokens"] + 0.5).sum()
-    return {"R": rng.normal(0, 0.1, (classes, WIDTH)).astype(np.float32), "Q": rng.normal(0, 0.1, (classes, WIDTH)).astype(np.float32), "C": np.stack([np.eye(WIDTH, dtype=np.float32) / (p + 1) for p in range(CONTEXT)]), "b": np.log(share).astype(np.float32)}
+    first, group, share = _shares(info)
+    normal = {k: rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32) for k, n in (("R", classes), ("Q", classes), ("G", len(first)))}
+    return normal | {"C": np.stack([np.eye(WIDTH, dtype=np.float32) / (p + 1) for p in range(CONTEXT)]), "a": np.log(group).astype(np.float32), "b": np.log(share).astype(np.float32)}
+
 
+def _small(x: np.ndarray, most: int) -> np.ndarray:
+    return x.astype(np.uint16) if most <= 1 << 16 else x  # two-byte keys are sorted by radix
 
-def _scatter(rows: np.ndarray, values: np.ndarray, classes: int) -> np.ndarray:
-    order = np.argsort(rows, kind="stable")
-    at, head = np.unique(rows[order], return_index=True)
-    out = np.zeros((classes, values.shape[1]), np.float32)
-    out[at] = np.add.reduceat(values[order], head, axis=0)
+
+def _heads(rows: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    return np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+
+
+def _run_sums(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Adds the values of sorted rows to ``out``."""
+    head = _heads(rows)
+    out[rows[head]] += np.add.reduceat(values, head, axis=0)
     return out
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):  # the reciprocal of infinity is 0, as it should be
+        np.negative(x, out=x)
+        np.exp(x, out=x)
+        x += 1
+        return np.reciprocal(x, out=x)
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), x.dtype) @ x
+
+
 class Trainer:
-    """Adagrad steps on the noise-contrastive loss; noise classes are drawn once for a batch."""
+    """Adagrad steps on the noise-contrastive losses of the group and of the class in its group.
+
+    Noise groups are drawn once for a batch, noise classes once for a batch and group.
+    Classes are given by place.
+    """
 
     def __init__(self, p: dict[str, np.ndarray], info: dict, seed: int):
         self.p = {k: v.copy() for k, v in p.items()}
         self.g = {k: np.full_like(v, 1e-6) for k, v in p.items()}
-        share = (info["class_tokens"] + 0.5) / (info["class_tokens"] + 0.5).sum()
-        self.share, self.log_noise, self.rng = share, np.log(NOISE * share).astype(np.float32), np.random.default_rng(seed)
+        self.rng, self.side = np.random.default_rng(seed), side(len(p["b"]))
+        self.first, self.group, self.share = _shares(info)
+        self.batch = max(BATCH, 8 * len(p["b"]))  # of tokens; the tables of the positions are made once for a batch
+        self.inside = np.zeros((len(self.first), self.side))  # shares of a group's classes, one row for each group
+        self.inside.ravel()[: len(self.share)] = self.share
+        self.log_group, self.log_share = (np.log(NOISE * x).astype(np.float32) for x in (self.group, self.share))
+
+    def draw(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often each group is drawn as noise, and each class (by place) as noise of its group; NOISE draws each."""
+        times = self.rng.multinomial(NOISE, self.group), self.rng.multinomial(NOISE, self.inside).ravel()[: len(self.share)]
+        return times[0].astype(np.float32), times[1].astype(np.float32)
+
+    @staticmethod
+    def slopes(x: np.ndarray, true: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Slope of the loss by each score: that of the noise as often as it was drawn, and that of each row's true column."""
+        x = _sigmoid(x)
+        rows = np.arange(len(x))
+        good = x[rows, true] - 1
+        x *= times
+        x[rows, true] += good
+        return x
 
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
-        p, n, classes = self.p, len(target), len(self.share)
-        noise = self.rng.choice(classes, NOISE, p=self.share)
-        inner = [p["R"][ctx[:, i]] for i in range(CONTEXT)]
-        q = sum(x @ p["C"][i] for i, x in enumerate(inner))
-        good = np.einsum("ij,ij->i", q, p["Q"][target]) + p["b"][target] - self.log_noise[target]
-        bad = q @ p["Q"][noise].T + p["b"][noise] - self.log_noise[noise]
-        dg = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n  # of the loss by the score
-        db = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32) / n
-        dq = dg[:, None] * p["Q"][target] + db @ p["Q"][noise]
-        grad = {"Q": _scatter(target, dg[:, None] * q, classes), "C": np.stack([x.T @ dq for x in inner])}
-        np.add.at(grad["Q"], noise, db.T @ q)
-        grad["R"] = _scatter(ctx.T.ravel(), np.concatenate([dq @ p["C"][i].T for i in range(CONTEXT)]), classes)
-        grad["b"] = np.bincount(target, dg, classes).astype(np.float32)
-        np.add.at(grad["b"], noise, db.sum(axis=0))
+        p, n, classes = self.p, np.float32(len(target)), len(self.share)
+        order = np.argsort(_small(target, classes), kind="stable")
+        ctx, target = ctx.T.take(order, axis=1), target.take(order)  # one row for each position
+        group = target // self.side
+        times, inner_times = self.draw()
+        q = _context_vectors(_tables(p), ctx)
+        grad = {"Q": np.zeros_like(p["Q"]), "b": np.zeros_like(p["b"])}
+        d = self.slopes(q @ p["G"].T + (p["a"] - self.log_group), group, times) / n
+        dq, grad["G"], grad["a"] = d @ p["G"], d.T @ q, _column_sums(d)
+        bias, head = p["b"] - self.log_share, _heads(group)
+        for s, e in zip(head.tolist(), [*head[1:].tolist(), len(group)], strict=True):
+            g = int(group[s]) * self.side
+            members, own = slice(g, g + self.side), q[s:e]
+            d = self.slopes(own @ p["Q"][members].T + bias[members], target[s:e] - g, inner_times[members]) / n
+            dq[s:e] += d @ p["Q"][members]
+            grad["Q"][members], grad["b"][members] = d.T @ own, _column_sums(d)
+        grad["C"], grad["R"] = np.empty_like(p["C"]), np.zeros_like(p["R"])
+        for i in range(CONTEXT):
+            c = _small(ctx[i], classes)
+            order = np.argsort(c, kind="stable")
+            sums = _run_sums(c.take(order), dq.take(order, axis=0), np.zeros_like(p["R"]))
+            grad["C"][i] = p["R"].T @ sums
+            grad["R"] += sums @ p["C"][i].T
         for k, d in grad.items():
             self.g[k] += d * d
             p[k] -= RATE * d / np.sqrt(self.g[k])
 
 
+def _tables(p: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Every class's vector through the matrix of each position."""
+    return [p["R"] @ p["C"][i] for i in range(CONTEXT)]
+
+
+def _context_vectors(tables: list[np.ndarray], ctx: np.ndarray) -> np.ndarray:
+    q = tables[0].take(ctx[0], axis=0)
+    for i in range(1, CONTEXT):
+        q += tables[i].take(ctx[i], axis=0)
+    return q
+
+
+SHAPED = ("R", "Q", "G", "C", "a", "b")
+
+
 def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in ("R", "Q", "C", "b")])
+    return np.concatenate([p[k].ravel() for k in SHAPED])
 
 
-def _shaped(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, shape in (("R", (classes, WIDTH)), ("Q", (classes, WIDTH)), ("C", (CONTEXT, WIDTH, WIDTH)), ("b", (classes,))):
-        n = int(np.prod(shape))
-        out[k] = flat[at : at + n].reshape(shape).astype(np.float32)
-        at += n
-    return out
+def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    ends = np.cumsum([like[k].size for k in SHAPED])[:-1]
+    return {k: x.reshape(like[k].shape).astype(np.float32) for k, x in zip(SHAPED, np.split(flat, ends), strict=True)}
 
 
 def _train_share(held):
@@ -211,17 +303,17 @@ def _train_share(held):
 
         info, p = held.value
         seed = TaskContext.get().partitionId()
-        trainer, seen = Trainer(p, info, seed), 0
+        trainer, place, seen = Trainer(p, info, seed), places(info), 0
         for batch in batches:
             col = batch.column(0)
             _, off = T.buffer_of(col)
             for a, b in T.slices(off, 2 << 20):
                 t = Tokens(col.slice(a, b - a))
                 cls = t.classes(info)
-                ctx = t.contexts(cls, info)
+                ctx, cls = place[t.contexts(cls, info)], place[cls]
                 order = trainer.rng.permutation(len(cls))
-                for s in range(0, len(order), BATCH):
-                    at = order[s : s + BATCH]
+                for s in range(0, len(order), trainer.batch):
+                    at = order[s : s + trainer.batch]
                     trainer.step(ctx[at], cls[at])
                 seen += len(cls)
         if seen:
@@ -245,26 +337,36 @@ def fit(train: DataFrame, info: dict, rounds: int = 2) -> dict[str, np.ndarray]:
         own = train.select(F.col("text").cast("string").alias("text")).mapInArrow(_train_share(held), schema)
         got = own.groupBy("slice", "part").applyInArrow(_add, schema).groupBy("slice").applyInArrow(_add, schema).collect()
         got.sort(key=lambda r: r["slice"])
-        p = _shaped(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["weight"] for r in got]), len(info["class_tokens"]))
+        p = _shaped(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["weight"] for r in got]), p)
     return p
 
 
-def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray], step: int = 2048) -> np.ndarray:
-    """log10 P(class | context), normalised over all classes; each distinct context is worked out once."""
-    inner = [p["R"] @ p["C"][i] for i in range(CONTEXT)]
-    out = np.zeros(len(target))
-    number = ctx.astype(np.int64) @ (len(p["b"]) ** np.arange(CONTEXT, dtype=np.int64))
-    _, first, which = np.unique(number, return_index=True, return_inverse=True)
-    order = np.argsort(which, kind="stable")
-    which = which[order]
-    for s in range(0, len(first), step):
-        c = ctx[first[s : s + step]]
-        x = sum(inner[i][c[:, i]] for i in range(CONTEXT)) @ p["Q"].T + p["b"]
-        x -= x.max(axis=1, keepdims=True)
-        a, b = np.searchsorted(which, [s, s + step])
-        good = x[which[a:b] - s, target[order[a:b]]]
-        np.exp(x, out=x)
-        out[order[a:b]] = (good - np.log(x.sum(axis=1))[which[a:b] - s]) / np.log(10)
+def _log_share(x: np.ndarray, chosen) -> np.ndarray:
+    """Logarithm of the softmax of each row at its chosen column; overwrites ``x``."""
+    good = x[np.arange(len(x)), chosen]
+    top = x.max()
+    far = np.flatnonzero(x.max(axis=1) < top - 60) if top - x.min() > 60 else []  # of these a common shift would leave nothing
+    for i in far:
+        x[i] += top - x[i].max()
+        good[i] = x[i, chosen if np.isscalar(chosen) else chosen[i]]
+    x -= top
+    np.exp(x, out=x)
+    return good - top - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
+def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray], step: int = 8192) -> np.ndarray:
+    """log10 P(class | context), classes by place: the group among all groups times the class among those of its group."""
+    tables, size, out = _tables(p), side(len(p["b"])), np.zeros(len(target))
+    order = np.argsort(_small(target, len(p["b"])), kind="stable")
+    group = target[order] // size
+    for g in range(len(p["a"]) if len(target) else 0):
+        begin, end = np.searchsorted(group, [g, g + 1])
+        members = slice(g * size, (g + 1) * size)
+        for s in range(begin, end, step):
+            at = order[s : min(s + step, end)]
+            q = _context_vectors(tables, ctx[at].T)
+            whole = _log_share(q @ p["G"].T + p["a"], g)
+            out[at] = (whole + _log_share(q @ p["Q"][members].T + p["b"][members], target[at] - g * size)) / np.log(10)
     return out
 
 
@@ -292,23 +394,23 @@ def _answer_words(table: pa.Table, words: pa.Table) -> pa.Table:
 def _score_block(held, buckets: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         info, p = held.value
-        keys = np.union1d(np.unique(T.Words(table.column("text"), T.SPACE_LUT, lowercase=True).hash), [END])
+        col = table.column("text").combine_chunks()
+        _, off = T.buffer_of(col)
+        parts = [Tokens(col.slice(a, b - a)) for a, b in T.slices(off, 2 << 20)]
+        keys = np.unique(np.concatenate([t.hash for t in parts]))
         bucket, count = _bucket(keys, buckets), np.zeros(len(keys), np.int64)
         for n, x in zip(answers.column("bucket").to_pylist(), B.column(answers, "counts", np.int64), strict=True):
             count[bucket == n] = x
-        n, v = info["class_tokens"].astype(float), info["class_words"]
-        col = table.column("text").combine_chunks()
-        _, off = T.buffer_of(col)
+        n, v, place = info["class_tokens"].astype(float), info["class_words"], places(info)
         base, score, known, size = [], [], [], []
-        for a, b in T.slices(off, 2 << 20):
-            t = Tokens(col.slice(a, b - a))
+        for t in parts:
             c = count[np.searchsorted(keys, t.hash)]
             cls = t.classes(info)
             # within the class: counts less a discount; what that leaves is the unknown token's
             inside = np.where(c > 0, c - DISCOUNT, DISCOUNT * v[cls]) / np.maximum(n[cls], 1)
             # a frequent word and the end are their whole class; a class without known words is all unknown
             inside = np.where((cls < own_words(info)) | (cls == len(n) - 1) | (v[cls] == 0), 1.0, inside)
-            whole = class_log10(t.contexts(cls, info), cls, p) + np.log10(inside)
+            whole = class_log10(place[t.contexts(cls, info)], place[cls], p) + np.log10(inside)
             base.append(np.add.reduceat(np.log10(c + 1.0), t.first) - t.count * np.log10(info["tokens"] + info["words"] + 1))
             score.append(np.add.reduceat(whole, t.first))
             known.append(np.add.reduceat((c > 0).astype(np.int64), t.first))
