@@ -13,8 +13,8 @@ a token costs two short softmaxes whatever the vocabulary.
 
 * Counts cover every training text: tasks send the distinct words of their share,
   packed per hash bucket; the buckets' sums are written as the vocabulary table.
-* The class model is fitted in numpy by noise-contrastive estimation over every
-  training text: each task runs through its share from the common parameters, and
+* The training texts are written once as numbers of classes.  The class model is
+  fitted in numpy by noise-contrastive estimation over all of them: each task runs through its share from the common parameters, and
   the parameters are averaged by tokens (pre-summed, then one row for each slice
   of the parameters), for ``rounds`` rounds.
 * Scoring normalises over all groups, and over all classes of the group, in batched
@@ -22,7 +22,7 @@ a token costs two short softmaxes whatever the vocabulary.
   grows with the corpus is broadcast.
 
 Null and empty texts are one end token.  A null id counts as training.  Rows that
-repeat are scored and counted each for itself; other columns are not read, whatever
+repeat are scored and counted each for itself (equal texts to single precision); other columns are not read, whatever
 their names.  A very long text is one row of a block and taken whole.  An empty table
 gives no rows.  Without training texts all words are unknown and the class model is
 that of its first parameters.
@@ -45,7 +45,7 @@ from parcelspark.llm import _text as T
 TOP, ENDINGS, CONTEXT, WIDTH = 256, 255, 4, 32  # TOP: own-word classes at least
 CLASSES = TOP + ENDINGS + 1
 END = T.U(0x656E64206F662074)
-NOISE, BATCH, RATE, DISCOUNT = 32, 4096, 0.05, 0.5  # NOISE: groups, and classes of each group
+NOISE, FIRST, BATCH, RATE, DISCOUNT = 256, 1024, 16384, 0.05, 0.5  # NOISE: draws of groups, and of classes of each group
 SLICES = 16
 BUCKET_BYTES = 8 << 20
 
@@ -71,13 +71,16 @@ class Tokens:
         i = T.in_sorted(self.hash, info["top"])
         return np.where(i >= 0, i, own_words(info) + self.ending.astype(np.int64)).astype(np.int32)
 
-    def contexts(self, cls: np.ndarray, info: dict) -> np.ndarray:
-        """Classes of the CONTEXT tokens before each token; the end class before the start of a text."""
-        out = np.full((len(cls), CONTEXT), len(info["class_tokens"]) - 1, np.int32)
-        for p in range(1, CONTEXT + 1):
-            same = self.doc[p:] == self.doc[:-p] if p < len(cls) else np.zeros(0, bool)
-            out[p:, p - 1][same] = cls[:-p][same] if p < len(cls) else 0
-        return out
+
+def contexts(cls: np.ndarray, info: dict) -> np.ndarray:
+    """Classes of the CONTEXT tokens before each token of whole texts in order; the end class before the start of a text."""
+    end = len(info["class_tokens"]) - 1
+    out = np.full((len(cls), CONTEXT), end, np.int32)
+    doc = np.cumsum(cls == end) - (cls == end)
+    for p in range(1, min(CONTEXT, len(cls) - 1) + 1):
+        same = doc[p:] == doc[:-p]
+        out[p:, p - 1][same] = cls[:-p][same]
+    return out
 
 
 def own_words(info: dict) -> int:
@@ -224,7 +227,7 @@ class Trainer:
         self.g = {k: np.full_like(v, 1e-6) for k, v in p.items()}
         self.rng, self.side = np.random.default_rng(seed), side(len(p["b"]))
         self.first, self.group, self.share = _shares(info)
-        self.batch = max(BATCH, 8 * len(p["b"]))  # of tokens; the tables of the positions are made once for a batch
+        self.seen = 0
         self.inside = np.zeros((len(self.first), self.side))  # shares of a group's classes, one row for each group
         self.inside.ravel()[: len(self.share)] = self.share
         self.log_group, self.log_share = (np.log(NOISE * x).astype(np.float32) for x in (self.group, self.share))
@@ -234,6 +237,10 @@ class Trainer:
         times = self.rng.multinomial(NOISE, self.group), self.rng.multinomial(NOISE, self.inside).ravel()[: len(self.share)]
         return times[0].astype(np.float32), times[1].astype(np.float32)
 
+    def batch(self) -> int:
+        """Tokens of the next step: an eighth of those seen, from FIRST up to BATCH or eight for each class (tables are made once a step)."""
+        return int(np.clip(self.seen // 8, FIRST, max(BATCH, 8 * len(self.share))))
+
     @staticmethod
     def slopes(x: np.ndarray, true: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Slope of the loss by each score: that of the noise as often as it was drawn, and that of each row's true column."""
@@ -246,6 +253,7 @@ class Trainer:
 
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
         p, n, classes = self.p, np.float32(len(target)), len(self.share)
+        self.seen += len(target)
         order = np.argsort(_small(target, classes), kind="stable")
         ctx, target = ctx.T.take(order, axis=1), target.take(order)  # one row for each position
         group = target // self.side
@@ -297,24 +305,34 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return {k: x.reshape(like[k].shape).astype(np.float32) for k, x in zip(SHAPED, np.split(flat, ends), strict=True)}
 
 
+def _classify(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = batch.column(0)
+            _, off = T.buffer_of(col)
+            for a, b in T.slices(off, 2 << 20):
+                cls = Tokens(col.slice(a, b - a)).classes(held.value)
+                yield pa.RecordBatch.from_pydict({"classes": pa.array([_small(cls, len(held.value["class_tokens"])).tobytes()], pa.binary())})
+
+    return run
+
+
 def _train_share(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         info, p = held.value
-        seed = TaskContext.get().partitionId()
+        seed, kind = TaskContext.get().partitionId(), _small(np.zeros(0, np.int32), len(info["class_tokens"])).dtype
         trainer, place, seen = Trainer(p, info, seed), places(info), 0
         for batch in batches:
-            col = batch.column(0)
-            _, off = T.buffer_of(col)
-            for a, b in T.slices(off, 2 << 20):
-                t = Tokens(col.slice(a, b - a))
-                cls = t.classes(info)
-                ctx, cls = place[t.contexts(cls, info)], place[cls]
-                order = trainer.rng.permutation(len(cls))
-                for s in range(0, len(order), trainer.batch):
-                    at = order[s : s + trainer.batch]
+            for row in batch.column(0):
+                cls = np.frombuffer(row.as_py(), kind).astype(np.int32)
+                ctx, cls = place[contexts(cls, info)], place[cls]
+                order, s = trainer.rng.permutation(len(cls)), 0
+                while s < len(order):
+                    at = order[s : s + trainer.batch()]
                     trainer.step(ctx[at], cls[at])
+                    s += len(at)
                 seen += len(cls)
         if seen:
             parts = np.array_split(_flat(trainer.p).astype(np.float64) * seen, SLICES)
@@ -329,12 +347,15 @@ def _add(table: pa.Table) -> pa.Table:
 
 
 def fit(train: DataFrame, info: dict, rounds: int = 2) -> dict[str, np.ndarray]:
-    """Class model by data-parallel noise-contrastive training over all rows."""
+    """Class model by data-parallel noise-contrastive training over all rows; texts are turned into classes once."""
     schema = "slice int, part int, weight double, sums binary"
-    p = start_parameters(info)
-    for _ in range(rounds if info["tokens"] else 0):
-        held = train.sparkSession.sparkContext.broadcast((info, p))
-        own = train.select(F.col("text").cast("string").alias("text")).mapInArrow(_train_share(held), schema)
+    p, spark = start_parameters(info), train.sparkSession
+    if not info["tokens"]:
+        return p
+    path = f"{B.checkpoint_dir(spark)}/classes-{uuid.uuid4().hex}"
+    train.select(F.col("text").cast("string").alias("text")).mapInArrow(_classify(spark.sparkContext.broadcast(info)), "classes binary").write.parquet(path)
+    for _ in range(rounds):
+        own = spark.read.parquet(path).mapInArrow(_train_share(spark.sparkContext.broadcast((info, p))), schema)
         got = own.groupBy("slice", "part").applyInArrow(_add, schema).groupBy("slice").applyInArrow(_add, schema).collect()
         got.sort(key=lambda r: r["slice"])
         p = _shaped(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["weight"] for r in got]), p)
@@ -410,7 +431,7 @@ def _score_block(held, buckets: int):
             inside = np.where(c > 0, c - DISCOUNT, DISCOUNT * v[cls]) / np.maximum(n[cls], 1)
             # a frequent word and the end are their whole class; a class without known words is all unknown
             inside = np.where((cls < own_words(info)) | (cls == len(n) - 1) | (v[cls] == 0), 1.0, inside)
-            whole = class_log10(place[t.contexts(cls, info)], place[cls], p) + np.log10(inside)
+            whole = class_log10(place[contexts(cls, info)], place[cls], p) + np.log10(inside)
             base.append(np.add.reduceat(np.log10(c + 1.0), t.first) - t.count * np.log10(info["tokens"] + info["words"] + 1))
             score.append(np.add.reduceat(whole, t.first))
             known.append(np.add.reduceat((c > 0).astype(np.int64), t.first))

@@ -260,6 +260,35 @@ def test_language_model_without_training(spark, empty):
     assert lm.score_texts(empty.withColumn("train", F.lit(True)), "train").collect() == []
 
 
+def test_noise_draws_and_batches_follow_the_shares():
+    info = {"class_tokens": np.array([1000, 5, 300, 5, 40, 0, 7], np.int64), "tokens": 1357}
+    place = lm.places(info)
+    assert sorted(place.tolist()) == list(range(7)) and place[0] == 0 and place[5] == 6 and place[1] < place[3]  # ties keep their order
+    trainer = lm.Trainer(lm.start_parameters(info), info, 1)
+    draws = [trainer.draw() for _ in range(200)]
+    assert all(a.sum() == lm.NOISE for a, _ in draws) and all(b.reshape(-1)[:3].sum() == lm.NOISE for _, b in draws)
+    assert np.allclose(sum(a for a, _ in draws) / (200 * lm.NOISE), trainer.group, atol=0.02)
+    assert trainer.batch() == lm.FIRST
+    trainer.seen = 10**9
+    assert trainer.batch() == lm.BATCH
+
+
+def test_class_share_of_far_scores():
+    x = np.array([[0.0, 500.0, 3.0], [-400.0, -401.0, -400.0], [1.0, 2.0, 3.0]])
+    want = [row[c] - row.max() - math.log(sum(math.exp(v - row.max()) for v in row)) for row, c in zip(x, (1, 1, 2))]
+    assert np.allclose(lm._log_share(x.copy(), np.array([1, 1, 2])), want)
+
+
+def test_language_model_repeated_rows_long_text_and_other_columns(spark):
+    long = " ".join(f"w{i % 700}" for i in range(120_000))
+    rows = [(1, "a b a", True, "x", 0.5, 1), (1, "a b a", True, "x", 0.5, 1), (None, "a c", True, None, None, None), (2, long, False, "y", 1.0, 2), (3, None, True, "z", 0.0, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean, classes string, score double, bucket int")
+    got = lm.score_texts(docs, "train", block_bytes=1 << 16).collect()
+    assert len(got) == 5 and all(math.isfinite(r["score"]) and r["train_tokens"] == 12 for r in got)
+    assert len({(r["n_tokens"], r["n_known"], round(r["score"], 5)) for r in got if r["doc_id"] == 1}) == 1
+    assert [(r["n_tokens"], r["n_known"]) for r in got if r["doc_id"] == 2] == [(120_001, 1)]
+
+
 def brute_embeddings(rows, t=0.98):
     n, up = {r[0]: 0 for r in rows}, {r[0]: r[0] for r in rows}
 
