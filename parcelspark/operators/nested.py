@@ -2,11 +2,11 @@
 
 Scale notes
 -----------
-* ``persons_rollup`` never builds an unbounded array: the persons of a property are
-  numbered in key order and every ``chunk_size`` of them make one row
-  (``person_chunk``, ``person_offset``).  The layout is the same for all
-  properties; readers work per property (chunk 0 stands for it) and positions
-  count on over the chunks, so no answer depends on ``chunk_size``.
+* ``persons_rollup`` never builds an unbounded array: every ``chunk_size`` persons of a
+  property, in key order, make one row (``person_chunk``, ``person_offset``).  Readers
+  work per property (chunk 0 stands for it) and positions count on over the chunks, so
+  no answer depends on ``chunk_size``.  Counts tell which properties need more than one
+  chunk; only their persons are numbered.  All others are sent once, by their property.
 * ``person_index`` numbers persons inside a property without a whole-property
   window: a group is cut into slices by a prefix of the order key a few characters
   longer than the group key.  Prefixes order like the keys, so a slice is numbered
@@ -64,14 +64,23 @@ def property_counts(properties: DataFrame, persons: DataFrame, key: str = "prefi
     return j.select("uuid", F.coalesce("person_count", F.lit(0)).cast("bigint").alias("person_count"))
 
 
-def persons_rollup(persons: DataFrame, key: str = "prefix", chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """A1 / A2: ``(prop_uuid, person_chunk, person_offset, person_count, person_details array<struct>)``.
+def _crowded(persons: DataFrame, key: str, chunk_size: int) -> DataFrame:
+    """``_hot``: keys of more than ``chunk_size`` persons, at most one for each ``chunk_size`` rows; goes to all tasks."""
+    counts = person_counts(persons, key).where(F.col("person_count") > F.lit(chunk_size))
+    return F.broadcast(counts.select(F.col("prop_uuid").alias("_hot")))
 
-    Persons are in key order (no key: last) inside an array and over the chunks;
-    ``person_offset`` is the number of persons in earlier chunks.
-    """
-    k, ok = rollup_key(key)
-    p = person_index(persons.where(ok).withColumn("prop_uuid", k), "prop_uuid", "uuid", "_index")
+
+def _one_chunk(p: DataFrame) -> DataFrame:
+    """Rollup of persons whose property needs one chunk: sent once by the property, listed in key order, no key last."""
+    listed = F.array_sort(F.collect_list(F.struct(F.col("uuid").isNull().alias("_last"), person_struct().alias("person"))))
+    return (p.repartition("prop_uuid").groupBy("prop_uuid")
+            .agg(F.count(F.lit(1)).alias("person_count"), listed.alias("_l"))
+            .select("prop_uuid", F.lit(0).alias("person_chunk"), F.lit(0).alias("person_offset"),
+                    "person_count", F.transform("_l", lambda x: x["person"]).alias("person_details")))
+
+
+def _many_chunks(p: DataFrame, chunk_size: int) -> DataFrame:
+    p = person_index(p, "prop_uuid", "uuid", "_index")
     p = p.withColumn("person_chunk", F.floor((F.col("_index") - 1) / F.lit(chunk_size)).cast("int"))
     # Distribute on (property, chunk) explicitly: grouping would otherwise reuse a partitioning on the
     # property alone and put every chunk of a hot property into one task.
@@ -83,21 +92,38 @@ def persons_rollup(persons: DataFrame, key: str = "prefix", chunk_size: int = DE
                     "person_count", F.transform("_l", lambda x: x["person"]).alias("person_details")))
 
 
+def _rollups(persons: DataFrame, key: str, chunk_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(crowded keys, rollup of all other keys, rollup of the crowded ones)."""
+    k, ok = rollup_key(key)
+    hot = _crowded(persons, key, chunk_size)
+    p = persons.where(ok).withColumn("prop_uuid", k)
+    is_hot = F.col("prop_uuid") == F.col("_hot")
+    return hot, _one_chunk(p.join(hot, is_hot, "left_anti")), _many_chunks(p.join(hot, is_hot, "left_semi"), chunk_size)
+
+
+def persons_rollup(persons: DataFrame, key: str = "prefix", chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+    """A1 / A2: ``(prop_uuid, person_chunk, person_offset, person_count, person_details array<struct>)``.
+
+    Persons are in key order (no key: last) inside an array and over the chunks;
+    ``person_offset`` is the number of persons in earlier chunks.
+    """
+    _, one, many = _rollups(persons, key, chunk_size)
+    return one.unionByName(many)
+
+
 def nested_dataset(properties: DataFrame, persons: DataFrame, key: str = "prefix",
                    chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Every property, persons as an array (``[]`` when none), plus the image HTML."""
-    rolled = persons_rollup(persons, key, chunk_size)
-    empty = F.array().cast(rolled.schema["person_details"].dataType)
-    # Inner join for properties with persons (AQE may split a hot property's chunk rows, which an outer
-    # join would not allow on its non-preserved side) plus an anti join for the properties without any.
-    with_persons = properties.join(rolled, properties["uuid"] == rolled["prop_uuid"], "inner").drop("prop_uuid")
-    keys = person_counts(persons, key).select(F.col("prop_uuid").alias("uuid"))  # the anti join only needs the key set
-    without = (properties.join(keys, "uuid", "left_anti")
-               .withColumn("person_chunk", F.lit(0))
-               .withColumn("person_offset", F.lit(0))
-               .withColumn("person_count", F.lit(0).cast("bigint"))
-               .withColumn("person_details", empty))
-    return (with_persons.unionByName(without)
+    hot, one, many = _rollups(persons, key, chunk_size)
+    empty = F.array().cast(one.schema["person_details"].dataType)
+    of = F.col("uuid") == F.col("prop_uuid")
+    # The lists of one chunk lie by their property already, so this join moves properties only; it keeps those
+    # without persons.  Crowded properties have an inner join of their own: AQE may split their chunk rows.
+    defaults = {"person_chunk": F.lit(0), "person_offset": F.lit(0), "person_count": F.lit(0).cast("bigint"), "person_details": empty}
+    plain = properties.join(hot, F.col("uuid") == F.col("_hot"), "left_anti").join(one, of, "left")
+    plain = plain.withColumns({c: F.coalesce(F.col(c), v) for c, v in defaults.items()})
+    crowded = properties.join(hot, F.col("uuid") == F.col("_hot"), "left_semi").join(many, of, "inner")
+    return (plain.unionByName(crowded).drop("prop_uuid")
             .withColumn("building_image_url_html", T.img_html(F.col("building_image_url"))))
 
 

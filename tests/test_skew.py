@@ -84,3 +84,21 @@ def test_person_index_equals_row_number(spark, skewed):
     # the hot property was really spread over several slices
     hot = p.where(F.col("prop_uuid") == "uuid:0")
     assert hot.select(F.substring("person_uuid", 1, len("uuid:0") + 3)).distinct().count() > 8
+
+
+def test_persons_are_numbered_only_where_a_property_needs_chunks(spark):
+    """Properties of one chunk are rolled up by one exchange; crowded ones beside them keep their chunks and order."""
+    from survey_helpers import persons_df, props_df
+    people = [{"uuid": f"uuid:1_{i:02}"} for i in range(7)] + [{"uuid": f"uuid:2_{i}"} for i in range(3)] * 2 + [{"uuid": "uuid:3"}, {"uuid": None}, {"uuid": ""}]
+    people += [{"uuid": f"q_{i}", "submissions_id": "uuid:2"} for i in (3, 1, 2)] + [{"uuid": None, "submissions_id": "uuid:2"}]
+    persons, props = persons_df(spark, people), props_df(spark, [{"uuid": u} for u in ("uuid:1", "uuid:2", "uuid:2", "uuid:4", None)])
+    nested = N.nested_dataset(props, persons, chunk_size=6)
+    got = sorted((r["uuid"] or "-", r["person_chunk"], r["person_offset"], r["person_count"], [x["UUID"] for x in r["person_details"]]) for r in nested.collect())
+    two = ["uuid:2_0", "uuid:2_0", "uuid:2_1", "uuid:2_1", "uuid:2_2", "uuid:2_2"]
+    assert got == [("-", 0, 0, 0, []), ("uuid:1", 0, 0, 6, [f"uuid:1_{i:02}" for i in range(6)]), ("uuid:1", 1, 6, 1, ["uuid:1_06"]),
+                   ("uuid:2", 0, 0, 6, two), ("uuid:2", 0, 0, 6, two), ("uuid:4", 0, 0, 0, [])]
+    by_fk = {r["prop_uuid"]: [x["UUID"] for x in r["person_details"]] for r in N.persons_rollup(persons, key="fk").collect()}
+    assert by_fk == {"uuid:2": ["q_1", "q_2", "q_3", None]}
+    plan = nested._jdf.queryExecution().optimizedPlan().toString()
+    import re
+    assert len(re.findall(r"RepartitionByExpression \[prop_uuid#\d+\]", plan)) == 1
