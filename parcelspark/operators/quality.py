@@ -111,52 +111,119 @@ def fk_integrity(properties: DataFrame, persons: DataFrame, fk: str = "submissio
 def _by_length(persons: DataFrame, keys: DataFrame, text: str) -> DataFrame:
     """Each person row once for each length ``_n`` of ``text`` among the keys, as far as its own key is that long.
 
-    The lengths (at most the key width) are a scalar subquery of the plan; nothing runs here."""
+    The lengths (at most the key width) are a scalar subquery of the plan; nothing runs here.  Keys are spread over
+    all shuffle partitions first: a compact file is few splits, and each of its rows becomes many."""
     lengths = keys.agg(F.collect_set(F.length(text))).scalar()
-    return persons.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length("person_uuid"))
+    tasks = int(persons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (persons.repartition(tasks, "person_uuid").withColumn("_n", F.explode(lengths))
+            .where(F.col("_n") <= F.length("person_uuid")))
+
+
+SLICES = 16  # of the persons that share a head
+
+
+def _wildcard_matches(persons: DataFrame, wild: DataFrame) -> DataFrame:
+    """Pairs where ``person key LIKE property key || '%'`` for keys that hold ``_`` or ``%`` and no backslash.
+
+    A key's layout says which places before its first ``%`` are literal and how long the first literal run behind
+    it is.  A person row meets the distinct layouts of the heads it starts with, takes the texts they ask for out of
+    its own key, and meets the property keys of equal layout and text in an equi-join.  LIKE is left to keys that
+    ask for more than that (a second run, or ``_`` behind a ``%``).
+    """
+    key, lay = F.col("main_uuid"), F.col("_lay")
+    front = F.substring_index(key, "%", 1)
+    rest = F.substr(key, F.length(front) + 2)
+    run = F.when(key.contains("%"), F.regexp_extract(rest, r"[^_%]+", 0))
+    keys = wild.select(
+        key, "_head", F.regexp_replace(front, r"(?s)[^_]", "x").alias("_lay"), F.coalesce(F.length(run), F.lit(-1)).alias("_run"),
+        F.concat(F.replace(front, F.lit("_"), F.lit("")), F.coalesce(run, F.lit(""))).alias("_text"),
+        F.coalesce(F.replace(rest, F.lit("%"), F.lit("")) != run, F.lit(False)).alias("_more"))
+    # literal places of a layout as (first, number) of each stretch
+    at = lambda i: F.substr(lay, i, F.lit(1))
+    places = F.when(F.length(lay) > 0, F.sequence(F.lit(1), F.length(lay))).otherwise(F.array().cast("array<int>"))
+    first = F.filter(places, lambda i: (at(i) == "x") & ((i == 1) | (at(i - 1) != "x")))
+    last = F.filter(places, lambda i: (at(i) == "x") & (at(i + 1) != "x"))
+    layouts = keys.select("_head", "_lay", "_run").distinct().withColumn(
+        "_literal", F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), (b - a + 1).alias("n"))))
+    person = F.col("person_uuid")
+    heads = _by_length(persons, keys, "_head").withColumn("_head", F.substr(person, F.lit(1), F.col("_n"))).drop("_n")
+    # heads that most persons share are spread over slices, each of which has the layouts
+    heads = heads.withColumn("_slice", F.pmod(F.xxhash64(person), F.lit(SLICES)))
+    layouts = layouts.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SLICES - 1).cast("bigint"))))
+    met = heads.join(layouts.hint("merge"), ["_head", "_slice"]).where(F.length(person) >= F.length(lay))
+    # places where the first run behind the front can begin; one is enough where no run is asked for
+    from_ = F.length(lay) + 1
+    to = F.when(F.col("_run") > 0, F.length(person) - F.col("_run") + 1).otherwise(from_)
+    met = met.where(to >= from_).withColumn("_place", F.explode(F.sequence(from_, to)))
+    found = F.substr(person, F.col("_place"), F.greatest(F.col("_run"), F.lit(0)))
+    met = met.withColumn("_found", found).where((F.col("_run") <= 0) | (F.expr("locate(_found, person_uuid, length(_lay) + 1)") == F.col("_place")))
+    literal = F.array_join(F.transform("_literal", lambda r: F.substr(person, r["a"], r["n"])), "")
+    met = met.withColumn("_text", F.concat(literal, F.col("_found"))).drop("_head", "_slice", "_literal", "_place", "_found")
+    pairs = met.join(keys.drop("_head").hint("merge"), ["_text", "_lay", "_run"])
+    return pairs.where(~F.col("_more") | F.expr("person_uuid LIKE concat(main_uuid, '%')")).drop("_text", "_lay", "_run", "_more")
 
 
 def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:
     """All (property, person) pairs where ``person key LIKE property key || '%'`` (DIRECT_MATCH) or the
     person key's text before the first ``_`` equals the property key (PREFIX_MATCH).
 
-    The original is a cross join with an OR.  Here it is an equi-join on the part of the property key that
-    LIKE takes literally, before the first ``_``, ``%`` or backslash: each person row is expanded to its
-    prefixes of the lengths that occur among those parts (distinct lengths are bounded by the key width).  Keys
-    that go on with a wildcard are then tested with LIKE as PostgreSQL reads it (a backslash takes the next
-    character literally); without one the join is the answer.
+    The original is a cross join with an OR.  Here it is equi-joins.  A key without wildcards meets the prefixes of
+    the person keys: each person row is expanded to the lengths that occur among those keys (distinct lengths are
+    bounded by the key width).  Keys with wildcards go by their layouts (:func:`_wildcard_matches`).  Keys with a
+    backslash meet the prefixes by their part before the first wildcard and are tested with LIKE as PostgreSQL reads
+    it (a backslash takes the next character literally).
     """
     pers = persons.where(F.col("uuid").isNotNull()).select(
         F.col("uuid").alias("person_uuid"), "individual_first_name", "business_name")
     key = F.col("main_uuid")
     props = properties.select(F.col("uuid").alias("main_uuid")).where(key.isNotNull())
     props = props.withColumn("_head", F.regexp_extract(key, r"^[^_%\\]*", 0))
+
+    def by_head(keys):
+        heads = _by_length(pers, keys, "_head").withColumn("_head", F.substr("person_uuid", F.lit(1), F.col("_n"))).drop("_n")
+        return heads.join(keys.hint("merge"), "_head").drop("_head")
+
+    escaped = key.contains("\\")
+    plain = by_head(props.where(key == F.col("_head")))
+    wild = _wildcard_matches(pers, props.where((key != F.col("_head")) & ~escaped))
     # Spark's LIKE takes a backslash only before a wildcard or another one
     pattern = F.concat(F.regexp_replace(key, r"(\\[_%\\])|\\(.)", "$1$2"), F.lit("%"))
-    direct = (key == F.col("_head")) | F.expr("person_uuid LIKE _like")
-    heads = _by_length(pers, props, "_head").withColumn("_head", F.substr("person_uuid", F.lit(1), F.col("_n"))).drop("_n")
-    by_like = heads.join(props.withColumn("_like", pattern), "_head").where(direct).drop("_head", "_like")
+    odd = props.where(escaped).withColumn("_like", pattern)
+    like = F.expr("person_uuid LIKE _like")
+    direct = plain.unionByName(wild).unionByName(by_head(odd).where(like).drop("_like"))
     # LIKE misses an equal prefix only where the key has a backslash
-    odd = props.withColumn("_like", pattern).where(key.contains("\\"))
     same = pers.withColumn("main_uuid", prop_key(F.col("person_uuid"))).join(odd, "main_uuid")
-    by_key = same.where(~direct).drop("_head", "_like")
-    return by_like.withColumn("match_type", F.lit(MATCH_TYPES[0])).unionByName(by_key.withColumn("match_type", F.lit(MATCH_TYPES[1])))
+    by_key = same.where(~like).drop("_head", "_like")
+    return direct.withColumn("match_type", F.lit(MATCH_TYPES[0])).unionByName(by_key.withColumn("match_type", F.lit(MATCH_TYPES[1])))
+
+
+# Classes of key texts by length and ends, by which substrings that equal no key are left out early.
+TEXT_CLASSES = 1 << 16
+
+
+def _text_class(text: Column) -> Column:
+    ends = (F.substr(text, F.lit(1), F.lit(3)), F.substring(text, -3, 3))
+    return F.pmod(F.xxhash64(F.length(text), *ends), F.lit(TEXT_CLASSES))
 
 
 def containing_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
     """All (property, person) pairs where the person key contains the property key, at any place.
 
-    An equi-join of the property keys with the distinct substrings of each person key that have a length which
-    occurs among property keys.  Keys of one width (UUIDs) make a handful of substrings for each person; a pair
-    comes out once however often the key occurs.
+    An equi-join of the property keys with the substrings of each person key that have a length which occurs among
+    property keys, each at its first place only: a pair comes out once however often the key occurs.  Substrings
+    whose class (length and both ends) no property key has are left out before they are sent anywhere; there are at
+    most ``TEXT_CLASSES`` of these, so they go to all tasks.
     """
     props = properties.select(F.col("uuid").alias("main_uuid")).where(F.col("main_uuid").isNotNull())
     pers = persons.select(F.col("uuid").alias("person_uuid")).where(F.col("person_uuid").isNotNull())
-    n = F.col("_n")
-    places = F.sequence(F.lit(1), F.greatest(F.length("person_uuid") - n + 1, F.lit(1)))
-    parts = F.array_distinct(F.transform(places, lambda i: F.substr("person_uuid", i, n)))
-    found = _by_length(pers, props, "main_uuid").select("person_uuid", F.explode(parts).alias("main_uuid"))
-    return found.join(props, "main_uuid").select("main_uuid", "person_uuid")
+    places = F.sequence(F.lit(1), F.length("person_uuid") - F.col("_n") + 1)
+    parts = _by_length(pers, props, "main_uuid").withColumn("_place", F.explode(places))
+    parts = parts.withColumn("main_uuid", F.substr("person_uuid", F.col("_place"), F.col("_n")))
+    classes = props.select(_text_class(F.col("main_uuid")).alias("_class")).distinct()
+    parts = parts.withColumn("_class", _text_class(F.col("main_uuid"))).join(F.broadcast(classes), "_class", "left_semi")
+    found = parts.where(F.expr("instr(person_uuid, main_uuid)") == F.col("_place")).select("person_uuid", "main_uuid")
+    # the planner takes the many substrings for few; without the hint it would send all of them through the driver
+    return found.join(props.hint("merge"), "main_uuid").select("main_uuid", "person_uuid")
 
 
 def last_underscore_prefix_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:

@@ -53,3 +53,29 @@ def test_containing_pairs(spark):
     assert {("uuid:1", "uuid:12_7"), ("uuid:2", "x_uuid:2_3")} <= set(want)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     _no_nested_loop(got)
+
+
+def test_keys_that_share_their_head_meet_by_layout(spark):
+    """Pairs of one head are not tried one by one: keys with wildcards meet persons in equi-joins, LIKE only for the few."""
+    mains = ["uuid:_1", "uuid:1_", "uuid:__", "uuid:%5", "uuid:1%5_", "uuid:%5%7", "uuid:1_3%", "%", "_%9", "%%_7", "uuid:1_3", "uuid:1_3", "_", "x%", "é_%é"]
+    people = ["uuid:11_2", "uuid:123_55", "uuid:1", "uuid:1535_7", "uuid:59_57", "", "a9", "uuid:143", "éaéé", "x", "uuid:1\n3_5", "uuid:143"]
+    tables = spark.createDataFrame([(m,) for m in mains], "uuid string"), persons_df(spark, [{"uuid": p} for p in people])
+    got = Q.match_type_join(*tables).select("main_uuid", "person_uuid", "match_type")
+    want = [(m, p, "DIRECT_MATCH") for m in mains for p in people if _like(m + "%").fullmatch(p)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    _no_nested_loop(got)
+    # one head for all: the join is on what the keys say beyond it
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join [_text" in text or "Join [_lay" in text
+
+
+def test_containing_pairs_leave_other_substrings_out_early(spark):
+    """Substrings of no key's class are dropped before the exchange on the key, and the persons are spread first."""
+    got = Q.containing_pairs(*_tables(spark))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in text and "REPARTITION_BY_NUM" in text
+    assert "SortMergeJoin [main_uuid" in text  # the substrings are never broadcast
+    keys = spark.createDataFrame([("aa",), ("a",), ("aba",)], "uuid string")
+    people = persons_df(spark, [{"uuid": u} for u in ("aaaa", "ababa", "aaaa", "b", "")])
+    got = sorted(map(tuple, Q.containing_pairs(keys, people).collect()))
+    assert got == sorted([("a", "aaaa"), ("aa", "aaaa")] * 2 + [("a", "ababa"), ("aba", "ababa")])
