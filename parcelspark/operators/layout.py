@@ -55,8 +55,12 @@ def write_boxes(df: DataFrame, path: str, bits: dict[str, int] | None = None, ke
     """Write the table and its table of files (``<path>_files``).
 
     A file holds whole boxes, neighbours in their order, so that no file straddles what a lookup tells apart; a box
-    of more than ``most_rows`` rows is several files.  Larger tables ask for more bits."""
+    of more than ``most_rows`` rows is several files.  Larger tables ask for more bits.
+
+    The rows are made once, in ``<path>_rows``: the quantiles, the ranges and the boxes all read them from there."""
     spark, bits = df.sparkSession, bits or BITS
+    df.write.mode("overwrite").parquet(f"{path}_rows")
+    df = spark.read.schema(df.schema).parquet(f"{path}_rows")
     box = box_number(quantile_cuts(df, bits), bits)
     laid = df.withColumn("_box", box).repartitionByRange(1 << sum(bits.values()), "_box").sortWithinPartitions("_box", *keys).drop("_box")
     writer = laid.write.mode("overwrite").option("maxRecordsPerFile", most_rows)

@@ -70,3 +70,20 @@ def test_records_at_the_mark_are_applied_once(spark, scratch):
         got = sorted(r for batch in seen for r in batch)
         assert got == sorted({r for f in feeds for r in f if r[1] >= t(1)}), files
         assert sum(1 for batch in seen if batch) >= min(files, 3)
+
+
+def test_write_boxes_makes_its_rows_once(spark, scratch):
+    """Quantiles, ranges and boxes read the written rows; the table itself is computed a single time."""
+    from pyspark.sql import functions as F
+
+    from parcelspark.operators import layout as LY
+    made = spark.sparkContext.accumulator(0)
+
+    def town(i):
+        made.add(1)
+        return f"T{i % 5}"
+
+    rows = spark.range(200).select(F.col("id").cast("string").alias("uuid"), F.udf(town, "string")("id").alias("town"))
+    LY.write_boxes(rows, f"{scratch}/boxes", bits={"town": 2}, keys=("uuid",))
+    assert made.value == 200
+    assert LY.lookup(spark, f"{scratch}/boxes", {"town": ("T3", "T3")}).count() == 40
