@@ -77,6 +77,19 @@ def tidy(fn: Callable) -> Callable:
     return (lambda left, right: run(left, right)) if len(inspect.signature(fn).parameters) == 2 else (lambda table: run(table))
 
 
+def tidy_batches(fn: Callable) -> Callable:
+    """:func:`tidy` for a function of batches: memory goes back after each batch that comes out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+
+    return run
+
+
 def give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library

@@ -89,10 +89,18 @@ def mask_spans(m: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(off, start, side="right") - 1
 
 
+HASH_BYTES = 256 << 10  # hashed at a time: the arrays of one step take some fifty times as much
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
     """64-bit hash of each (non-empty, ordered, disjoint) byte span."""
-    if not len(start):
-        return np.zeros(0, U)
+    out = np.zeros(len(start), U)
+    for a, b in slices(np.concatenate([[0], np.cumsum(end - start)]), HASH_BYTES):
+        out[a:b] = _span_hashes(data, start[a:b], end[a:b], seed)
+    return out
+
+
+def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
     size = end - start
     base = np.cumsum(size) - size
     pos = np.arange(int(size.sum()), dtype=np.int64)

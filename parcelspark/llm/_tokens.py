@@ -17,7 +17,7 @@ import numpy as np
 from parcelspark.llm import _text as T
 
 CACHE_PIECES = 1_500_000
-STEP = 2 << 20
+STEP = 1 << 20
 _AFTER_SPACE = np.zeros(256, bool)
 _AFTER_SPACE[0x21:0x7F] = True  # printable ASCII
 _AFTER_SPACE[0xC3:0xE0] = True  # two-byte characters from U+00C0 on: none is white space

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import _text as T
+from parcelspark.llm._blocks import tidy_batches
 
 WINDOW = 13
 BLOCK_BYTES = 2 << 20
@@ -157,7 +158,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         share = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == g)
         index = build_index([(r["id"], r["text"]) for r in share.collect()], window)
         if index is not None or g + 1 == blocks:  # the last pass counts the words in any case
-            out = out.mapInArrow(_deferred(spark.sparkContext.broadcast(index), names, arrow), schema)
+            out = out.mapInArrow(tidy_batches(_deferred(spark.sparkContext.broadcast(index), names, arrow)), schema)
     out = out.withColumn("n_hit", F.size("hits").cast("long"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).drop("hits", *([] if carry else ["text"]))
 

@@ -476,13 +476,13 @@ def _split_large(rows: DataFrame, scheme: Scheme, percent: int, buckets: int) ->
     """Large groups without the sets that share too little with all others, grouped anew by other parts; ``grp, doc_id, keys``."""
     spark = rows.sparkSession
     base = f"{B.checkpoint_dir(spark)}/large-{uuid.uuid4().hex}"
-    each = rows.mapInArrow(_as_numbers, "grp long, doc_id long, shingles array<long>").select("grp", "doc_id", F.explode("shingles").alias("s"))
+    each = rows.mapInArrow(B.tidy_batches(_as_numbers), "grp long, doc_id long, shingles array<long>").select("grp", "doc_id", F.explode("shingles").alias("s"))
     common = each.groupBy("grp", "s").agg(F.count("*").alias("n")).where("n > 1").select("grp", "s")
     shared = each.join(common, ["grp", "s"]).groupBy("grp", "doc_id").agg(F.count("*").alias("shared"))
     kept = rows.join(shared, ["grp", "doc_id"]).where(100 * F.col("shared") >= percent * (F.octet_length("keys") / 8)).drop("shared")
     kept.write.parquet(f"{base}/kept")
     kept = spark.read.parquet(f"{base}/kept")
-    lists = kept.mapInArrow(_ask_lists(scheme, buckets), "bucket int, keys binary, docs binary")
+    lists = kept.mapInArrow(B.tidy_batches(_ask_lists(scheme, buckets)), "bucket int, keys binary, docs binary")
     again = components(B.per_bucket(lists, _list_edges, "a long, b long"))
     return kept.join(again, F.col("doc_id") == F.col("node")).select(F.col("component").alias("grp"), "doc_id", "keys")
 
@@ -493,7 +493,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     base = f"{B.checkpoint_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     blocks = B.n_blocks(docs, text_col, block_bytes)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    texts.mapInArrow(_digests(shingle), SETS).write.parquet(f"{base}/sets")
+    texts.mapInArrow(B.tidy_batches(_digests(shingle)), SETS).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
     real = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
@@ -510,7 +510,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     own.cogroup(right.groupBy("block")).applyInArrow(B.tidy(_linkable(shingle, percent, blocks)), "doc_id long, keys binary").write.parquet(f"{base}/linkable")
     B.release(spark)
     linkable = spark.read.parquet(f"{base}/linkable")
-    lists = linkable.mapInArrow(_ask_lists(Scheme(boundary, largest, percent), blocks), "bucket int, keys binary, docs binary")
+    lists = linkable.mapInArrow(B.tidy_batches(_ask_lists(Scheme(boundary, largest, percent), blocks)), "bucket int, keys binary, docs binary")
     groups = components(B.per_bucket(lists, _list_edges, "a long, b long"))
     groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")).write.parquet(f"{base}/groups")
     B.release(spark)

@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm import _text as T
-from parcelspark.llm._blocks import checkpoint_dir
+from parcelspark.llm._blocks import checkpoint_dir, tidy_batches
 
 CAPACITY = 2048
 SLICE_ROWS = 500
+ENCODE_BYTES = 1 << 20  # of text encoded at a time
 
 
 def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
@@ -84,7 +85,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
         enc = encoder(tokenizer)
         for batch in batches:
             data, off = T.buffer_of(batch.column(1))
-            for a, b in T.slices(off, 4 << 20):
+            for a, b in T.slices(off, ENCODE_BYTES):
                 ids, o = enc.encode(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 rows: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": [], "ids_crc32": []}
                 for k, doc in enumerate(batch.column(0).slice(a, b - a).to_pylist()):
@@ -96,7 +97,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
                 yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["piece"], pa.int32()), pa.array(rows["start"], pa.int64()), pa.array(rows["length"], pa.int64()), pa.array(rows["ids"], pa.binary()), pa.array(rows["ids_crc32"], pa.int64())], names=list(rows))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")
+    return rows.mapInArrow(tidy_batches(run), "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -154,4 +155,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
             names = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(seq, pa.int64()), pa.array(off, pa.int64())], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy_batches(place), "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, sequence_id long, offset long")

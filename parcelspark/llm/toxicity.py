@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import _text as T
-from parcelspark.llm._blocks import checkpoint_dir
+from parcelspark.llm._blocks import checkpoint_dir, tidy_batches
 
 SAMPLE_ROWS = 3000
 MAX_FEATURES = 8192
@@ -258,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
     n1, n0 = int(of["toxic"]), int(of["n"] - of["toxic"])
     if not n1 or not n0:
         return _share(n1, n0)
-    counts = rows.mapInArrow(_count_features, "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = rows.mapInArrow(tidy_batches(_count_features), "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p = (F.col("pos") + F.col("neg")) / (n1 + n0)
     clear = F.abs(F.col("pos") / n1 - F.col("neg") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     best = counts.where(F.col("pos") + F.col("neg") >= 3).orderBy(clear.desc(), "feature").limit(max_features).select("feature").collect()
@@ -266,7 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
         return _share(n1, n0)
     keys = np.sort(np.array([r["feature"] for r in best], np.int64).view(T.U))
     held = spark.sparkContext.broadcast(keys)
-    got = rows.mapInArrow(_chosen_features(held, groups), "doc_id long, toxic int, feats binary, swapped binary").toArrow()
+    got = rows.mapInArrow(tidy_batches(_chosen_features(held, groups)), "doc_id long, toxic int, feats binary, swapped binary").toArrow()
     got = got.sort_by("doc_id")  # the same model whatever the order of the tasks
     sample = Sample(_numbers(got, "feats"), np.asarray(got.column("toxic")), _numbers(got, "swapped"), len(keys))
     fold = np.asarray(got.column("doc_id")) % FOLDS
@@ -296,4 +296,4 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             s = np.bincount(doc[i >= 0], w[i[i >= 0]], batch.num_rows) + bias
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(s, -40, 40))))], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy_batches(run), schema)
