@@ -141,6 +141,7 @@ def refresh_manifest(df: DataFrame, now_epoch: int, bucket: str,
 # Links by the hour in which they fall due: 0 for those without a readable expiry, which are always due.
 LINK_SCHEMA = "uuid string, building_image_url string, address_plus_code_url string"
 LAST_HOUR = 4_000_000  # links that expire later share one part (the year 2426)
+TASK_ROWS = 500_000  # written by one task: texts of links take a tenth of their size when shuffled
 
 
 def _due_hour(url: Column) -> Column:
@@ -154,8 +155,8 @@ def due_hour(building: Column, plus_code: Column) -> Column:
 
 
 def link_store(path: str) -> Store:
-    """Links by due hour: a new link moves its row to another part."""
-    return Store(path, LINK_SCHEMA, "uuid", lambda: due_hour(F.col("building_image_url"), F.col("address_plus_code_url")), by_key=False)
+    """Links by due hour: a new link moves its row to another part.  The hour of those that are always due may hold most rows."""
+    return Store(path, LINK_SCHEMA, "uuid", lambda: due_hour(F.col("building_image_url"), F.col("address_plus_code_url")), by_key=False, task_rows=TASK_ROWS)
 
 
 def due_links(dated: DataFrame, now_epoch: int, threshold_hours: float = K.REFRESH_THRESHOLD_HOURS, hour_col: str = "part") -> DataFrame:
