@@ -8,9 +8,13 @@ equal sets form a class; only the class's least id goes on.
 * *Large* sets deal their shingles into ``H + 1`` parts by hash, where ``H`` is the
   greatest symmetric difference that a linked pair of that size band can have, and
   scan the inverted list of each part's content: two linked sets agree on a
-  whole part (pigeonhole).  At lower similarities half as many parts are made,
-  one of which differs in one shingle at most, and the lists are of three quarters of
-  a part.  Parts of at most two shingles select little; there the key is made of two such parts, or of the parities of all other part sizes, which
+  whole part (pigeonhole).  At lower similarities one part of any ``H // 2 + 1`` differs
+  in one shingle at most, and the lists are of three quarters of a part.  A quarter more parts
+  than that are made, so that a set can leave out its poorest lists: each set has a level, the greatest that
+  ``H // 2 + 1`` of its parts reach in any three of their quarters, and makes no list of fewer shingles (of two linked
+  sets, the part that decides for the higher level is listed by both).  Empty and nearly empty
+  lists would join sets that have nothing in common, and these groups would grow with the corpus.
+  With whole parts, parts of at most two shingles select little; there the key is made of two such parts, or of the parities of all other part sizes, which
   must then differ in every part.
 * The boundary is the size up to which enumerating costs less than scanning, from
   the histogram of small sizes.
@@ -54,6 +58,7 @@ SHINGLE, PERCENT = 3, 90
 GROUP_BYTES = 48 << 20
 STEP = 4 << 20
 LARGEST_SMALL = 30
+EXTRA_PARTS = 125  # parts for each 100 that the pigeonhole needs, where lists are of three quarters of a part
 SETS = "doc_id long, n long, d1 long, d2 long"
 
 
@@ -122,7 +127,7 @@ class Scheme:
     def __init__(self, boundary: int, largest: int, percent: int, seed: int = 0):
         self.boundary, self.largest, self.percent, self.seed = boundary, largest, percent, seed
         # one part for each difference holds (100 + percent) / 2 / (100 - percent) shingles on average; if that is few,
-        # half as many parts, of which one has one difference at most, and keys of three of a part's four quarters
+        # little more than half as many parts, of which one has one difference at most, and keys of three of a part's four quarters
         self.quarters = 100 + percent < 16 * (100 - percent)
         self.weak = 2
         self.starts = [boundary + 1]
@@ -132,10 +137,16 @@ class Scheme:
     def band(self, n: int) -> int:
         return int(np.searchsorted(self.starts, n, side="right")) - 1
 
-    def parts(self, band: int) -> int:
+    def bound(self, band: int) -> int:
         m = self.starts[band + 1] - 1 if band + 1 < len(self.starts) else largest_partner(self.starts[band], self.percent)
-        bound = difference_bound(m, self.percent)
-        return bound // 2 + 1 if self.quarters else bound + 1
+        return difference_bound(m, self.percent)
+
+    def needed(self, band: int) -> int:
+        """Of so many parts of two linked sets, one at least differs in no more than one shingle."""
+        return self.bound(band) // 2 + 1
+
+    def parts(self, band: int) -> int:
+        return -(-EXTRA_PARTS * self.needed(band) // 100) if self.quarters else self.bound(band) + 1
 
     def subset_sizes(self, n: int) -> list[int]:
         """Sizes of the subsets that a small set enumerates (its own size: the set itself)."""
@@ -203,7 +214,7 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
             part = (T.mix(key[at] ^ T.U(0x5EED + 2 * scheme.seed)) % T.U(parts)).astype(np.int64)
             cell = row[doc[at]] * parts + part
             if scheme.quarters:
-                d, k = _quarter_keys(cell, mixed[at], key[at], len(mine), parts, band, scheme.seed)
+                d, k = _quarter_keys(cell, mixed[at], key[at], len(mine), parts, band, scheme.needed(band), scheme.seed)
                 out_doc.append(mine[d])
                 out_key.append(k)
                 continue
@@ -233,8 +244,8 @@ def signature_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, scheme: Scheme
     return np.concatenate(out_doc).astype(np.int64), np.concatenate(out_key)
 
 
-def _quarter_keys(cell: np.ndarray, mixed: np.ndarray, key: np.ndarray, rows: int, parts: int, band: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) for each part without each of its quarters: a single difference is in one of them."""
+def _quarter_keys(cell: np.ndarray, mixed: np.ndarray, key: np.ndarray, rows: int, parts: int, band: int, needed: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) for parts without one of their quarters (a single difference is in one of them), of as many shingles as the row's level asks."""
     fine = cell * 4 + (T.mix(key ^ T.U(0xFACE + 2 * seed)) % T.U(4)).astype(np.int64)
     order = np.argsort(fine, kind="stable")
     at, head = np.unique(fine[order], return_index=True)
@@ -242,8 +253,13 @@ def _quarter_keys(cell: np.ndarray, mixed: np.ndarray, key: np.ndarray, rows: in
     digest[at] = np.add.reduceat(mixed[order], head) if len(at) else 0
     digest = digest.reshape(-1, 4)
     rest = (digest.sum(axis=1, dtype=T.U)[:, None] - digest).ravel()
+    count = np.bincount(fine, minlength=rows * parts * 4).reshape(-1, 4)
+    held = count.sum(axis=1)[:, None] - count
+    level = -np.partition(-held.min(axis=1).reshape(rows, parts), needed - 1, axis=1)[:, needed - 1]
     number = np.tile(np.arange(parts * 4, dtype=np.int64), rows).astype(T.U)
-    return np.repeat(np.arange(rows), parts * 4), T.mix(rest + T.mix(number + T.U(band * 1_000_003 + 1)))
+    row = np.repeat(np.arange(rows), parts * 4)
+    listed = held.ravel() >= level[row]
+    return row[listed], T.mix(rest + T.mix(number + T.U(band * 1_000_003 + 1)))[listed]
 
 
 def _by_row(cells: np.ndarray, parts: int):

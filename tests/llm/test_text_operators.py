@@ -144,6 +144,32 @@ def test_keys_of_linked_sets_meet():
             assert set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist()), (len(a), len(b), len(a & b))
 
 
+def test_keys_of_linked_sets_meet_at_the_bound():
+    """As many differences as a link allows, among many other sets: every pair shares a key."""
+    rng = random.Random(8)
+    scheme = jaccard_join.Scheme(14, 500, 80)
+    sets = []
+    for _ in range(400):
+        n = rng.randrange(18, 400)
+        a = rng.sample(range(10**9), n)
+        gone = rng.randrange(0, n // 9 + 1)
+        new = max(k for k in range(n) if 100 * (n - gone) >= 80 * (n + k))
+        sets += [a, a[gone:] + rng.sample(range(10**9, 2 * 10**9), new)]
+    key = [np.sort(T.mix(np.array(s, T.U))) for s in sets]
+    doc, sig = jaccard_join.signature_keys(np.repeat(np.arange(len(key)), [len(k) for k in key]), np.concatenate(key), len(key), scheme)
+    own = [set(x.tolist()) for x in np.split(sig[np.argsort(doc, kind="stable")], np.cumsum(np.bincount(doc, minlength=len(key)))[:-1])]
+    assert all(a & b for a, b in zip(own[::2], own[1::2], strict=True))
+
+
+def test_keys_of_sets_with_nothing_in_common_differ():
+    rng = np.random.default_rng(4)
+    size = rng.integers(60, 300, 1500)
+    doc, key = np.repeat(np.arange(1500), size), rng.integers(0, 1 << 63, int(size.sum())).astype(T.U)
+    doc, sig = jaccard_join.signature_keys(doc, key, 1500, jaccard_join.Scheme(14, 400, 80))
+    _, which, n = np.unique(sig, return_inverse=True, return_counts=True)
+    assert len(np.unique(doc[n[which] > 1])) < 30
+
+
 def brute_contamination(corpus, items, n=13):
     own: dict[tuple, set] = {}
     for i, t in items:
