@@ -89,6 +89,7 @@ def mask_spans(m: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(off, start, side="right") - 1
 
 
+PLACES = 32
 HASH_BYTES = 256 << 10  # hashed at a time: the arrays of one step take some fifty times as much
 
 
@@ -102,14 +103,27 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int
 
 def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
     size = end - start
-    base = np.cumsum(size) - size
-    pos = np.arange(int(size.sum()), dtype=np.int64)
-    rel = pos - np.repeat(base, size)
-    pos += np.repeat(start - base, size)
-    table = multipliers(256, seed * 7919)
+    table, by = multipliers(256, seed * 7919), multipliers(int(size.max()), seed * 104729)
+    # bytes at the same place of all spans at once, longest spans first, as far as these are many
+    order = np.argsort(-np.minimum(size, PLACES).astype(np.int8), kind="stable")
+    left = len(size) - np.cumsum(np.bincount(np.minimum(size, PLACES), minlength=PLACES + 1))  # spans of more than k bytes, up to PLACES
+    at, sums = start[order], np.zeros(len(size), U)
     with np.errstate(over="ignore"):
-        part = table[data[pos]] * multipliers(int(size.max()), seed * 104729)[rel]
-        return mix(np.add.reduceat(part, base) + size.astype(U) * U(0x9E3779B97F4A7C15))
+        for k in range(PLACES):
+            m = int(left[k])
+            if not m:
+                break
+            sums[:m] += table[data[at[:m] + k]] * by[k]
+        long = np.flatnonzero(size[order] > PLACES)
+        if len(long):
+            more = size[order[long]] - PLACES
+            base = np.cumsum(more) - more
+            rel = np.arange(int(more.sum()), dtype=np.int64) - np.repeat(base, more) + PLACES
+            pos = rel + np.repeat(at[long], more)
+            sums[long] += np.add.reduceat(table[data[pos]] * by[rel], base)
+        out = np.empty(len(size), U)
+        out[order] = sums
+        return mix(out + size.astype(U) * U(0x9E3779B97F4A7C15))
 
 
 def lower(data: np.ndarray) -> np.ndarray:

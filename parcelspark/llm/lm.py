@@ -11,8 +11,10 @@ class is in turn that of its group times that of the class in its group; a group
 the root of their number of classes, neighbours in falling order of their counts, so
 a token costs two short softmaxes whatever the vocabulary.
 
-* Counts cover every training text: tasks send the distinct words of their share,
+* Counts cover every training text: blocks of documents send their distinct words,
   packed per hash bucket; the buckets' sums are written as the vocabulary table.
+  A block is written once as its distinct words and, for each token, its number among
+  them; scoring reads these instead of the texts.
 * The training texts are written once as numbers of classes.  The class model is
   fitted in numpy by noise-contrastive estimation over all of them: each task runs through its share from the common parameters, and
   the parameters are averaged by tokens (pre-summed, then one row for each slice
@@ -68,8 +70,12 @@ class Tokens:
 
     def classes(self, info: dict) -> np.ndarray:
         """Own words first, by their place in ``info["top"]`` (hashes, sorted), then the endings, then the end."""
-        i = T.in_sorted(self.hash, info["top"])
-        return np.where(i >= 0, i, own_words(info) + self.ending.astype(np.int64)).astype(np.int32)
+        return classes_of(self.hash, self.ending, info)
+
+
+def classes_of(hashes: np.ndarray, endings: np.ndarray, info: dict) -> np.ndarray:
+    i = T.in_sorted(hashes, info["top"])
+    return np.where(i >= 0, i, own_words(info) + endings.astype(np.int64)).astype(np.int32)
 
 
 def contexts(cls: np.ndarray, info: dict) -> np.ndarray:
@@ -133,11 +139,15 @@ def _most(most: int):
 
 def vocabulary(train: DataFrame, buckets: int) -> DataFrame:
     """The vocabulary table, one row for each hash bucket, written to the shared folder."""
-    path = f"{B.checkpoint_dir(train.sparkSession)}/vocabulary-{uuid.uuid4().hex}"
-    asked = train.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words(buckets), "bucket int, keys binary, counts binary, endings binary")
+    return _summed(train.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words(buckets), "bucket int, keys binary, counts binary, endings binary"))
+
+
+def _summed(asked: DataFrame) -> DataFrame:
+    spark = asked.sparkSession
+    path = f"{B.checkpoint_dir(spark)}/vocabulary-{uuid.uuid4().hex}"
     summed = asked.groupBy("bucket").applyInArrow(_sum_words, "bucket int, keys binary, counts binary, endings binary, class_tokens array<long>, class_words array<long>")
     summed.write.parquet(path)
-    return train.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def summary(words: DataFrame) -> dict:
@@ -391,14 +401,48 @@ def class_log10(ctx: np.ndarray, target: np.ndarray, p: dict[str, np.ndarray], s
     return out
 
 
+INDEXED = "block int, doc_id array<long>, train array<boolean>, slices binary, size binary, at binary, keys binary, counts binary, endings binary"
+
+
+def _index_block(table: pa.Table) -> pa.Table:
+    """One row for a block: its distinct tokens with their counts in training texts, and for each token of its texts which of them it is."""
+    col = table.column("text").combine_chunks()
+    _, off = T.buffer_of(col)
+    cuts = list(T.slices(off, 2 << 20))
+    hashes, endings, sizes = [], [], []
+    for a, b in cuts:
+        t = Tokens(col.slice(a, b - a))
+        hashes.append(t.hash)
+        endings.append(t.ending)
+        sizes.append(t.count)
+    keys, first, at = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    size = np.concatenate(sizes)
+    learnt = np.repeat(table.column("train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False), size)
+    count = np.bincount(at[learnt], minlength=len(keys)).astype(np.int64)
+    blobs = {"slices": np.array([b - a for a, b in cuts], np.int64), "size": size.astype(np.int64), "at": at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32), "keys": keys, "counts": count, "endings": np.concatenate(endings)[first]}
+    lists = {n: pa.array([table.column(n).to_pylist()], pa.list_(t)) for n, t in (("doc_id", pa.int64()), ("train", pa.bool_()))}
+    return pa.table({"block": table.column("block")[:1], **lists, **{n: pa.array([x.tobytes()], pa.binary()) for n, x in blobs.items()}})
+
+
+def _block_counts(buckets: int):
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("endings", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, count, ending in zip(B.column(batch, "keys", T.U), B.column(batch, "counts", np.int64), B.column(batch, "endings", np.uint8), strict=True):
+                w = np.flatnonzero(count)
+                yield pa.RecordBatch.from_pylist([{"bucket": n, **x} for n, x in B.pack({"keys": key[w], "counts": count[w], "endings": ending[w]}, _bucket(key[w], buckets), buckets)], schema=schema)
+
+    return run
+
+
 def _ask_words(buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
 
-    def run(table: pa.Table) -> pa.Table:
-        keys = np.unique(T.Words(table.column("text"), T.SPACE_LUT, lowercase=True).hash)
-        keys = np.union1d(keys, [END])
-        no = table.column("block")[0].as_py()
-        return B.rows(schema, [{"bucket": n, "block": no, **x} for n, x in B.pack({"keys": keys}, _bucket(keys, buckets), buckets)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for no, keys in zip(batch.column("block").to_pylist(), B.column(batch, "keys", T.U), strict=True):
+                yield pa.RecordBatch.from_pylist([{"bucket": n, "block": no, **x} for n, x in B.pack({"keys": keys}, _bucket(keys, buckets), buckets)], schema=schema)
 
     return run
 
@@ -415,28 +459,33 @@ def _answer_words(table: pa.Table, words: pa.Table) -> pa.Table:
 def _score_block(held, buckets: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         info, p = held.value
-        col = table.column("text").combine_chunks()
-        _, off = T.buffer_of(col)
-        parts = [Tokens(col.slice(a, b - a)) for a, b in T.slices(off, 2 << 20)]
-        keys = np.unique(np.concatenate([t.hash for t in parts]))
-        bucket, count = _bucket(keys, buckets), np.zeros(len(keys), np.int64)
+        slices, size, keys, endings = (B.column(table, n, t)[0] for n, t in (("slices", np.int64), ("size", np.int64), ("keys", T.U), ("endings", np.uint8)))
+        at = B.column(table, "at", np.uint16 if len(keys) <= 1 << 16 else np.uint32)[0]
+        bucket, c = _bucket(keys, buckets), np.zeros(len(keys), np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for n, x in zip(answers.column("bucket").to_pylist(), B.column(answers, "counts", np.int64), strict=True):
-            count[bucket == n] = x
+            c[order[edge[n] : edge[n + 1]]] = x
         n, v, place = info["class_tokens"].astype(float), info["class_words"], places(info)
-        base, score, known, size = [], [], [], []
-        for t in parts:
-            c = count[np.searchsorted(keys, t.hash)]
-            cls = t.classes(info)
-            # within the class: counts less a discount; what that leaves is the unknown token's
-            inside = np.where(c > 0, c - DISCOUNT, DISCOUNT * v[cls]) / np.maximum(n[cls], 1)
-            # a frequent word and the end are their whole class; a class without known words is all unknown
-            inside = np.where((cls < own_words(info)) | (cls == len(n) - 1) | (v[cls] == 0), 1.0, inside)
-            whole = class_log10(place[contexts(cls, info)], place[cls], p) + np.log10(inside)
-            base.append(np.add.reduceat(np.log10(c + 1.0), t.first) - t.count * np.log10(info["tokens"] + info["words"] + 1))
-            score.append(np.add.reduceat(whole, t.first))
-            known.append(np.add.reduceat((c > 0).astype(np.int64), t.first))
-            size.append(t.count)
-        return pa.table({"doc_id": table.column("doc_id"), "train": table.column("train"), "n_tokens": pa.array(np.concatenate(size), pa.int64()), "n_known": pa.array(np.concatenate(known), pa.int64()), "train_tokens": pa.array(np.full(len(off) - 1, info["tokens"]), pa.int64()), "base_score": pa.array(np.concatenate(base)), "score": pa.array(np.concatenate(score))})
+        # of each distinct token: its class, and its probability within the class
+        cls = classes_of(keys, endings, info)
+        # within the class: counts less a discount; what that leaves is the unknown token's
+        inside = np.where(c > 0, c - DISCOUNT, DISCOUNT * v[cls]) / np.maximum(n[cls], 1)
+        # a frequent word and the end are their whole class; a class without known words is all unknown
+        inside = np.log10(np.where((cls < own_words(info)) | (cls == len(n) - 1) | (v[cls] == 0), 1.0, inside))
+        plain, seen = np.log10(c + 1.0), (c > 0).astype(np.int64)
+        base, score, known = [], [], []
+        docs = np.cumsum([0, *slices])
+        tokens = np.concatenate([[0], np.cumsum(size)])
+        for a, b in zip(docs[:-1], docs[1:], strict=True):
+            t = at[tokens[a] : tokens[b]]
+            first, own = tokens[a:b] - tokens[a], cls[t]
+            whole = class_log10(place[contexts(own, info)], place[own], p) + inside[t]
+            base.append(np.add.reduceat(plain[t], first) - size[a:b] * np.log10(info["tokens"] + info["words"] + 1))
+            score.append(np.add.reduceat(whole, first))
+            known.append(np.add.reduceat(seen[t], first))
+        doc_id, train = (table.column(n).combine_chunks().flatten() for n in ("doc_id", "train"))
+        return pa.table({"doc_id": doc_id, "train": train, "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(np.concatenate(known), pa.int64()), "train_tokens": pa.array(np.full(len(size), info["tokens"]), pa.int64()), "base_score": pa.array(np.concatenate(base)), "score": pa.array(np.concatenate(score))})
 
     return run
 
@@ -444,11 +493,15 @@ def _score_block(held, buckets: int):
 def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` (log10); learns where ``train_col`` is true."""
     blocks = B.n_blocks(docs, text_col, block_bytes)
-    train = docs.where(F.col(train_col)).select(F.col(text_col).alias("text"))
-    words = vocabulary(train, blocks)
+    spark = docs.sparkSession
+    path = f"{B.checkpoint_dir(spark)}/indexed-{uuid.uuid4().hex}"
+    B.blocked(docs, blocks, id_col, text_col, extra={"train": F.col(train_col)}).groupBy("block").applyInArrow(B.tidy(_index_block), INDEXED).write.parquet(path)
+    indexed = spark.read.parquet(path)
+    words = _summed(indexed.select("keys", "counts", "endings").mapInArrow(B.tidy_batches(_block_counts(blocks)), "bucket int, keys binary, counts binary, endings binary"))
     info = summary(words)
-    held = docs.sparkSession.sparkContext.broadcast((info, fit(train, info, rounds)))
-    own = B.blocked(docs, blocks, id_col, text_col, extra={"train": F.col(train_col)}).groupBy("block")
-    asked = own.applyInArrow(_ask_words(blocks), "bucket int, block int, keys binary")
+    train = docs.where(F.col(train_col)).select(F.col(text_col).alias("text"))
+    held = spark.sparkContext.broadcast((info, fit(train, info, rounds)))
+    asked = indexed.select("block", "keys").mapInArrow(B.tidy_batches(_ask_words(blocks)), "bucket int, block int, keys binary")
     answers = asked.groupBy("bucket").cogroup(words.select("bucket", "keys", "counts").groupBy("bucket")).applyInArrow(_answer_words, "block int, bucket int, counts binary")
-    return own.cogroup(answers.groupBy("block")).applyInArrow(_score_block(held, blocks), "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    told = indexed.select("block", "doc_id", "train", "slices", "size", "at", "keys", "endings").groupBy("block")
+    return told.cogroup(answers.groupBy("block")).applyInArrow(_score_block(held, blocks), "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -260,6 +260,33 @@ def test_language_model_without_training(spark, empty):
     assert lm.score_texts(empty.withColumn("train", F.lit(True)), "train").collect() == []
 
 
+def test_scoring_reads_numbers_of_tokens_not_texts(spark):
+    rows = [(1, "a b A", True), (None, "b c", False), (3, None, None), (4, "c", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    assert "text#" not in lm.score_texts(docs, "train")._jdf.queryExecution().analyzed().toString()
+    whole = docs.selectExpr("doc_id", "text", "train", "0 as block").toArrow()
+    one = lm._index_block(whole)
+    texts = whole.column("text")
+    t = lm.Tokens(texts)
+    keys, at, n = (np.frombuffer(one.column(c)[0].as_py(), k) for c, k in (("keys", T.U), ("at", np.uint16), ("counts", np.int64)))
+    assert (keys[at] == t.hash).all() and one.column("doc_id").to_pylist() == [[1, None, 3, 4]]
+    want = Counter(h for h, d in zip(t.hash.tolist(), t.doc.tolist(), strict=True) if rows[d][2])
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == {k: want[k] for k in keys.tolist()}
+
+
+def test_hashes_of_spans_of_any_length():
+    rng = np.random.default_rng(1)
+    for most in (1, 3, T.PLACES + 1, 200, 4000):
+        size = rng.integers(1, most + 1, 500)
+        start = np.cumsum(size + 1) - size
+        data = rng.integers(0, 256, int(start[-1] + size[-1])).astype(np.uint8)
+        table, by = T.multipliers(256, 7919), T.multipliers(most, 104729)
+        with np.errstate(over="ignore"):
+            sums = [(table[data[s : s + n]] * by[:n]).sum(dtype=T.U) for s, n in zip(start, size, strict=True)]
+            want = T.mix(np.array(sums, T.U) + size.astype(T.U) * T.U(0x9E3779B97F4A7C15))
+        assert (T.span_hashes(data, start, start + size) == want).all()
+
+
 def test_noise_draws_and_batches_follow_the_shares():
     info = {"class_tokens": np.array([1000, 5, 300, 5, 40, 0, 7], np.int64), "tokens": 1357}
     place = lm.places(info)
