@@ -86,7 +86,7 @@ def mask_spans(m: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     at = off[1:][off[1:] > 0] - 1
     last[at] = m[at]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return start, end, np.searchsorted(off, start, side="right") - 1
+    return start, end, np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(start, off)))
 
 
 PLACES = 32

@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,8 @@ END = T.U(0x656E64206F662074)
 NOISE, FIRST, BATCH, RATE, DISCOUNT = 256, 1024, 16384, 0.05, 0.5  # NOISE: draws of groups, and of classes of each group
 SLICES = 16
 BUCKET_BYTES = 8 << 20
+with np.errstate(over="ignore"):
+    ENDING_OF = (T.mix(np.arange(1 << 16, dtype=T.U) + T.U(77)) % T.U(ENDINGS)).astype(np.uint8)  # by the last byte and 256 times the one before it
 
 
 class Tokens:
@@ -64,9 +67,8 @@ class Tokens:
         self.hash, self.ending, self.doc = np.full(n, END), np.full(n, ENDINGS, np.uint8), np.repeat(np.arange(w.n_docs), self.count)
         self.hash[at] = w.hash
         if len(at):
-            last = T.LOWER[w.data[w.end - 1]].astype(T.U)
-            more = np.where(w.end - w.start > 1, T.LOWER[w.data[np.maximum(w.end - 2, 0)]], 0).astype(T.U)
-            self.ending[at] = (T.mix(last + more * T.U(256) + T.U(77)) % T.U(ENDINGS)).astype(np.uint8)
+            more = np.where(w.end - w.start > 1, T.LOWER[w.data[np.maximum(w.end - 2, 0)]], 0).astype(np.uint16)
+            self.ending[at] = ENDING_OF[T.LOWER[w.data[w.end - 1]] + (more << 8)]
 
     def classes(self, info: dict) -> np.ndarray:
         """Own words first, by their place in ``info["top"]`` (hashes, sorted), then the endings, then the end."""
@@ -415,11 +417,16 @@ def _index_block(table: pa.Table) -> pa.Table:
         hashes.append(t.hash)
         endings.append(t.ending)
         sizes.append(t.count)
-    keys, first, at = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    size = np.concatenate(sizes)
+    coded = pc.dictionary_encode(pa.array(np.concatenate(hashes)))
+    found, at, size = coded.dictionary.to_numpy(), coded.indices.to_numpy(), np.concatenate(sizes)
+    order = np.argsort(found)
+    keys, rank, ending = found[order], np.empty(len(order), np.int32), np.empty(len(order), np.uint8)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    at = rank[at]
+    ending[at] = np.concatenate(endings)
     learnt = np.repeat(table.column("train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False), size)
     count = np.bincount(at[learnt], minlength=len(keys)).astype(np.int64)
-    blobs = {"slices": np.array([b - a for a, b in cuts], np.int64), "size": size.astype(np.int64), "at": at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32), "keys": keys, "counts": count, "endings": np.concatenate(endings)[first]}
+    blobs = {"slices": np.array([b - a for a, b in cuts], np.int64), "size": size.astype(np.int64), "at": at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32), "keys": keys, "counts": count, "endings": ending}
     lists = {n: pa.array([table.column(n).to_pylist()], pa.list_(t)) for n, t in (("doc_id", pa.int64()), ("train", pa.bool_()))}
     return pa.table({"block": table.column("block")[:1], **lists, **{n: pa.array([x.tobytes()], pa.binary()) for n, x in blobs.items()}})
 
