@@ -120,6 +120,8 @@ def _by_length(persons: DataFrame, keys: DataFrame, text: str) -> DataFrame:
 
 
 SLICES = 16  # of the persons that share a head
+STRETCHES = 4  # literal stretches of a layout that are compared by equality; keys with more are left to LIKE
+CELL_KEYS = 500_000  # keys of one head that a task holds; heads with more are dealt to several
 
 
 def _wildcard_matches(persons: DataFrame, wild: DataFrame) -> DataFrame:
@@ -128,39 +130,62 @@ def _wildcard_matches(persons: DataFrame, wild: DataFrame) -> DataFrame:
     A key's layout says which places before its first ``%`` are literal and how long the first literal run behind
     it is.  A person row meets the distinct layouts of the heads it starts with, takes the texts they ask for out of
     its own key, and meets the property keys of equal layout and text in an equi-join.  LIKE is left to keys that
-    ask for more than that (a second run, or ``_`` behind a ``%``).
+    ask for more than that (a second run, ``_`` behind a ``%``, or more than ``STRETCHES`` literal stretches).
+
+    What is sent is a person row once for each head, and each key once for each slice of the persons of its head.
+    Both lie in cells (head, slice) then, and layouts, texts and pairs are made where they lie: a person has many
+    more of these than heads.  The keys of a cell are held in memory, the persons pass by.
     """
-    key, lay = F.col("main_uuid"), F.col("_lay")
+    key, lay, person = F.col("main_uuid"), F.col("_lay"), F.col("person_uuid")
+    tasks = int(persons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = F.hash("_head", "_slice", "_part").alias("_cell")
+    number = lambda n: F.explode(F.sequence(F.lit(0), n - F.lit(1)))
+    # few heads can have so many keys
+    many = wild.groupBy("_head").agg(F.ceil(F.count(F.lit(1)) / CELL_KEYS).cast("int").alias("_parts")).where(F.col("_parts") > 1)
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = wild.join(F.broadcast(many), "_head", "left").withColumn("_part", F.pmod(F.hash(key), parts)).withColumn("_slice", number(F.lit(SLICES)))
+    dealt = dealt.select(key, F.length("_head").alias("_n"), cell).repartitionById(tasks, F.col("_cell"))
+    heads = _by_length(persons, wild, "_head").withColumn("_head", F.substr(person, F.lit(1), F.col("_n")))
+    heads = heads.join(F.broadcast(many), "_head", "left").withColumn("_part", number(parts)).withColumn("_slice", F.pmod(F.hash(person), F.lit(SLICES)))
+    heads = heads.select(*persons.columns, "_n", cell).repartitionById(tasks, F.col("_cell"))
+
     front = F.substring_index(key, "%", 1)
     rest = F.substr(key, F.length(front) + 2)
     run = F.when(key.contains("%"), F.regexp_extract(rest, r"[^_%]+", 0))
-    keys = wild.select(
-        key, "_head", F.regexp_replace(front, r"(?s)[^_]", "x").alias("_lay"), F.coalesce(F.length(run), F.lit(-1)).alias("_run"),
-        F.concat(F.replace(front, F.lit("_"), F.lit("")), F.coalesce(run, F.lit(""))).alias("_text"),
-        F.coalesce(F.replace(rest, F.lit("%"), F.lit("")) != run, F.lit(False)).alias("_more"))
+    compared = F.regexp_extract(front, rf"(?s)^(?:_*[^_]+){{0,{STRETCHES}}}", 0)
+    asked = [F.regexp_replace(front, r"(?s)[^_]", "x").alias("_lay"), F.coalesce(F.length(run), F.lit(0)).alias("_run")]
+    keys = dealt.select(
+        key, "_cell", *asked, F.concat(F.replace(compared, F.lit("_"), F.lit("")), F.coalesce(run, F.lit(""))).alias("_text"),
+        (F.coalesce(F.replace(rest, F.lit("%"), F.lit("")) != run, F.lit(False))
+         | F.substr(front, F.length(compared) + 1).rlike("[^_]")).alias("_more"))
     # literal places of a layout as (first, number) of each stretch
     at = lambda i: F.substr(lay, i, F.lit(1))
     places = F.when(F.length(lay) > 0, F.sequence(F.lit(1), F.length(lay))).otherwise(F.array().cast("array<int>"))
     first = F.filter(places, lambda i: (at(i) == "x") & ((i == 1) | (at(i - 1) != "x")))
     last = F.filter(places, lambda i: (at(i) == "x") & (at(i + 1) != "x"))
-    layouts = keys.select("_head", "_lay", "_run").distinct().withColumn(
+    layouts = dealt.select("_n", "_cell", *asked).distinct().withColumn(
         "_literal", F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), (b - a + 1).alias("n"))))
-    person = F.col("person_uuid")
-    heads = _by_length(persons, keys, "_head").withColumn("_head", F.substr(person, F.lit(1), F.col("_n"))).drop("_n")
-    # heads that most persons share are spread over slices, each of which has the layouts
-    heads = heads.withColumn("_slice", F.pmod(F.xxhash64(person), F.lit(SLICES)))
-    layouts = layouts.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SLICES - 1).cast("bigint"))))
-    met = heads.join(layouts.hint("merge"), ["_head", "_slice"]).where(F.length(person) >= F.length(lay))
-    # places where the first run behind the front can begin; one is enough where no run is asked for
-    from_ = F.length(lay) + 1
-    to = F.when(F.col("_run") > 0, F.length(person) - F.col("_run") + 1).otherwise(from_)
-    met = met.where(to >= from_).withColumn("_place", F.explode(F.sequence(from_, to)))
-    found = F.substr(person, F.col("_place"), F.greatest(F.col("_run"), F.lit(0)))
-    met = met.withColumn("_found", found).where((F.col("_run") <= 0) | (F.expr("locate(_found, person_uuid, length(_lay) + 1)") == F.col("_place")))
-    literal = F.array_join(F.transform("_literal", lambda r: F.substr(person, r["a"], r["n"])), "")
-    met = met.withColumn("_text", F.concat(literal, F.col("_found"))).drop("_head", "_slice", "_literal", "_place", "_found")
-    pairs = met.join(keys.drop("_head").hint("merge"), ["_text", "_lay", "_run"])
-    return pairs.where(~F.col("_more") | F.expr("person_uuid LIKE concat(main_uuid, '%')")).drop("_text", "_lay", "_run", "_more")
+    literal = [F.get("_literal", F.lit(i)) for i in range(STRETCHES)]
+    layouts = layouts.select("_n", "_cell", "_lay", "_run", F.length("_lay").alias("_long"),
+                             *[x for i, r in enumerate(literal) for x in (r["a"].alias(f"_a{i}"), F.coalesce(r["n"], F.lit(0)).alias(f"_n{i}"))])
+    stretch = [F.when(F.col(f"_n{i}") > 0, F.substr(person, F.col(f"_a{i}"), F.col(f"_n{i}"))).otherwise(F.lit("")) for i in range(STRETCHES)]
+    heads = heads.withColumn("_size", F.length(person))
+
+    def paired(where, found, *placed):
+        """Pairs of the keys with the given run; ``found`` is its text in the person key."""
+        met = heads.join(layouts.where(where).hint("shuffle_hash"), ["_cell", "_n"]).where(F.col("_size") >= F.col("_long"))
+        for p in placed:
+            met = p(met)
+        met = met.select(*persons.columns, F.concat(*stretch, found).alias("_text"), "_lay", "_run", "_cell")
+        pairs = met.join(keys.where(where).hint("shuffle_hash"), ["_text", "_lay", "_run", "_cell"])
+        return pairs.where(~F.col("_more") | F.expr("person_uuid LIKE concat(main_uuid, '%')")).select(*persons.columns, key)
+
+    # the first run behind the front can begin at several places; a text that comes twice counts at its first one
+    last_place = F.col("_size") - F.col("_run") + 1
+    text = F.substr(person, F.col("_place"), F.col("_run"))
+    at_places = (lambda met: met.where(last_place > F.col("_long")).withColumn("_place", F.explode(F.sequence(F.col("_long") + 1, last_place))).withColumn("_found", text),
+                 lambda met: met.where(F.expr("locate(_found, person_uuid, _long + 1)") == F.col("_place")))
+    return paired(F.col("_run") == 0, F.lit("")).unionByName(paired(F.col("_run") > 0, F.col("_found"), *at_places))
 
 
 def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:

@@ -79,3 +79,20 @@ def test_containing_pairs_leave_other_substrings_out_early(spark):
     people = persons_df(spark, [{"uuid": u} for u in ("aaaa", "ababa", "aaaa", "b", "")])
     got = sorted(map(tuple, Q.containing_pairs(keys, people).collect()))
     assert got == sorted([("a", "aaaa"), ("aa", "aaaa")] * 2 + [("a", "ababa"), ("aba", "ababa")])
+
+
+def test_texts_of_layouts_are_not_sent(spark, monkeypatch):
+    """A person goes once for each head and slice; its many texts meet the keys where they lie, also when a head is dealt in parts."""
+    monkeypatch.setattr(Q, "CELL_KEYS", 3)
+    digits = "1234"
+    mains = ["u" + "".join("_" if mask >> i & 1 else c for i, c in enumerate(digits)) for mask in range(1, 16)] * 2
+    mains += ["_a_b_c_d_e_f", "_a_b_c_d_%f", "a_b_c_d_e%g_", "u%3", "u%", "u%%", "%%", "_2%"]
+    people = ["u1234", "u1234_5", "u9234", "u1_34", "xaxbxcxdxexf", "xaxbxcxdxexg", "xaxbxcxdxxxf", "axbxcxdxezzgy", "axbxcxdxezzg", "u", "", "u1234"]
+    tables = spark.createDataFrame([(m,) for m in mains], "uuid string"), persons_df(spark, [{"uuid": p} for p in people])
+    got = Q.match_type_join(*tables).select("main_uuid", "person_uuid", "match_type")
+    want = [(m, p, "DIRECT_MATCH") for m in mains for p in people if _like(m + "%").fullmatch(p)]
+    assert ("_a_b_c_d_e_f", "xaxbxcxdxexf", "DIRECT_MATCH") in want and ("a_b_c_d_e%g_", "axbxcxdxezzgy", "DIRECT_MATCH") in want
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_text" not in text and "HashJoin [_text" in text
+    _no_nested_loop(got)
