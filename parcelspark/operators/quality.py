@@ -222,33 +222,57 @@ def match_type_join(properties: DataFrame, persons: DataFrame) -> DataFrame:
     return direct.withColumn("match_type", F.lit(MATCH_TYPES[0])).unionByName(by_key.withColumn("match_type", F.lit(MATCH_TYPES[1])))
 
 
-# Classes of key texts by length and ends, by which substrings that equal no key are left out early.
-TEXT_CLASSES = 1 << 16
+END = 3  # characters at either end of a key
+END_CLASSES = 1 << 16  # of these ends; what is known of each class goes to all tasks
 
 
-def _text_class(text: Column) -> Column:
-    ends = (F.substr(text, F.lit(1), F.lit(3)), F.substring(text, -3, 3))
-    return F.pmod(F.xxhash64(F.length(text), *ends), F.lit(TEXT_CLASSES))
+def _end_class(text: Column) -> Column:
+    return F.pmod(F.hash(text), F.lit(END_CLASSES))
 
 
 def containing_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:
     """All (property, person) pairs where the person key contains the property key, at any place.
 
     An equi-join of the property keys with the substrings of each person key that have a length which occurs among
-    property keys, each at its first place only: a pair comes out once however often the key occurs.  Substrings
-    whose class (length and both ends) no property key has are left out before they are sent anywhere; there are at
-    most ``TEXT_CLASSES`` of these, so they go to all tasks.
+    property keys, each at its first place only: a pair comes out once however often the key occurs.
+
+    The substrings are not sent.  Of the first and last characters of a property key, the ones that more keys have
+    stand for it (its end); a person row is sent once for each place at which it holds such an end, and a key once for
+    each slice of the persons.  Both lie in cells (end, slice) then, where the substrings that begin or stop at the
+    place meet the keys.  Ends are told apart by their class only, and the lengths of the keys of each class go to all
+    tasks: there are at most ``END_CLASSES`` of them for either end.
     """
-    props = properties.select(F.col("uuid").alias("main_uuid")).where(F.col("main_uuid").isNotNull())
-    pers = persons.select(F.col("uuid").alias("person_uuid")).where(F.col("person_uuid").isNotNull())
-    places = F.sequence(F.lit(1), F.length("person_uuid") - F.col("_n") + 1)
-    parts = _by_length(pers, props, "main_uuid").withColumn("_place", F.explode(places))
-    parts = parts.withColumn("main_uuid", F.substr("person_uuid", F.col("_place"), F.col("_n")))
-    classes = props.select(_text_class(F.col("main_uuid")).alias("_class")).distinct()
-    parts = parts.withColumn("_class", _text_class(F.col("main_uuid"))).join(F.broadcast(classes), "_class", "left_semi")
-    found = parts.where(F.expr("instr(person_uuid, main_uuid)") == F.col("_place")).select("person_uuid", "main_uuid")
-    # the planner takes the many substrings for few; without the hint it would send all of them through the driver
-    return found.join(props.hint("merge"), "main_uuid").select("main_uuid", "person_uuid")
+    key, person = F.col("main_uuid"), F.col("person_uuid")
+    tasks = int(persons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = F.hash("_class", "_slice").alias("_cell")
+    props = properties.select(F.col("uuid").alias("main_uuid")).where(key.isNotNull())
+    pers = persons.select(F.col("uuid").alias("person_uuid")).where(person.isNotNull())
+
+    first, last = _end_class(F.substr(key, F.lit(1), F.lit(END))), _end_class(F.when(F.length(key) > END, F.substring(key, -END, END)).otherwise(key))
+    ends = props.select(F.length(key).alias("_n"), first.alias("_first"), last.alias("_last"))
+    common = ends.select(F.explode(F.array("_first", "_last")).alias("_class")).groupBy("_class").count()
+    stands = lambda df: (
+        df.join(F.broadcast(common.select(F.col("_class").alias("_first"), F.col("count").alias("_firsts"))), "_first")
+        .join(F.broadcast(common.select(F.col("_class").alias("_last"), F.col("count").alias("_lasts"))), "_last")
+        .withColumn("_at_end", F.col("_lasts") > F.col("_firsts")).withColumn("_class", F.when(F.col("_at_end"), F.col("_last")).otherwise(F.col("_first"))))
+    known = stands(ends).groupBy("_class", "_at_end", F.least("_n", F.lit(END)).alias("_e")).agg(F.collect_set("_n").alias("_lengths"))
+
+    places = F.sequence(F.lit(1), F.length(person) - F.col("_n") + 1)
+    held = _by_length(pers, props.select(F.substr(key, F.lit(1), F.lit(END)).alias("_end")), "_end").withColumn("_place", F.explode(places))
+    held = held.where((F.col("_n") > 0) | (F.col("_place") == 1))  # an empty key lies at the first place
+    held = held.withColumn("_class", _end_class(F.substr(person, F.col("_place"), F.col("_n")))).withColumnRenamed("_n", "_e")
+    held = held.join(F.broadcast(known.select("_class", "_e").distinct()), ["_class", "_e"], "left_semi")
+    held = held.withColumn("_slice", F.pmod(F.hash(person), F.lit(SLICES))).select(person, "_class", "_e", "_place", cell).repartitionById(tasks, F.col("_cell"))
+    # what begins at the place, or stops where the end that lies there stops
+    parts = held.join(F.broadcast(known), ["_class", "_e"]).withColumn("_n", F.explode("_lengths"))
+    parts = parts.withColumn("_from", F.when(F.col("_at_end"), F.col("_place") + F.col("_e") - F.col("_n")).otherwise(F.col("_place")))
+    parts = parts.where((F.col("_from") >= 1) & (F.col("_from") + F.col("_n") <= F.length(person) + 1))
+    parts = parts.withColumn("main_uuid", F.substr(person, F.col("_from"), F.col("_n")))
+    found = parts.where(F.expr("instr(person_uuid, main_uuid)") == F.col("_from")).select(person, key, "_at_end", "_cell")
+
+    dealt = stands(props.select(key, first.alias("_first"), last.alias("_last"))).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    dealt = dealt.select(key, "_at_end", cell).repartitionById(tasks, F.col("_cell"))
+    return found.join(dealt.hint("merge"), ["main_uuid", "_at_end", "_cell"]).select(key, person)
 
 
 def last_underscore_prefix_pairs(properties: DataFrame, persons: DataFrame) -> DataFrame:

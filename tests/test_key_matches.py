@@ -96,3 +96,16 @@ def test_texts_of_layouts_are_not_sent(spark, monkeypatch):
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_text" not in text and "HashJoin [_text" in text
     _no_nested_loop(got)
+
+
+def test_substrings_are_not_sent(spark):
+    """A person goes once for each place of an end that stands for keys; substrings meet the keys where they lie."""
+    mains = ["k:1", "k:12", "k:123", "12_x", "2_x", "123_x", "aba", "abaXaba", "aXa", "a", "ab", "", "é:é", "xyzxyz", "k:1", "yzx"]
+    people = ["k:123_x9", "k:12_x", "abaXabaXaba", "aba", "a", "", "é:é:é", "xyzxyzxyz", "k:123_x9", "bXaXa"]
+    tables = spark.createDataFrame([(m,) for m in mains], "uuid string"), persons_df(spark, [{"uuid": p} for p in people])
+    got = Q.containing_pairs(*tables)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(main_uuid" not in text
+    assert text.count("direct_shuffle_partition_id(_cell") == 2
+    _no_nested_loop(got)
+    assert sorted(map(tuple, got.collect())) == sorted((m, p) for m in mains for p in people if m in p)
