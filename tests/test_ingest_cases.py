@@ -84,3 +84,15 @@ def test_watermark_and_feed_filter(spark):
     assert r["new_mark"] == dt.datetime(2025, 1, 1)
     empty = df.where(F.lit(False))
     assert I.watermark_advance(empty, "2023-01-01 00:00:00").first()["new_mark"] == dt.datetime(2023, 1, 1)
+
+
+def test_columns_of_one_flag_keep_their_order_once(spark):
+    """The record that a column's value comes from is found once for all columns with the same flag."""
+    kind = "k string, a string, b string, c string, d string, has_a boolean, has_c boolean, n int"
+    rows = [("x", "a1", "b1", "c1", "d1", True, True, 1), ("x", "a2", None, "c2", None, False, True, 2), ("x", "a3", "b3", "c3", "d3", True, False, None),
+            ("y", "a4", "b4", "c4", "d4", False, None, 1), (None, "z", "z", "z", "z", True, True, 9)]
+    red = I.reduce_batch(spark.createDataFrame(rows, kind), "k", ["a", "b", "c", "d"], ["n"], {"a": "has_a", "c": "has_c"})
+    assert red.columns == ["k", "a", "b", "c", "d", "_has_a", "_has_b", "_has_c", "_has_d"]
+    text = red._jdf.queryExecution().executedPlan().toString()
+    assert text.count("partial_max_by(") == 3  # one for each flag, one for the columns without
+    assert sorted(map(tuple, red.collect())) == [("x", "a1", None, "c2", None, True, True, True, True), ("y", None, "b4", None, "d4", False, True, False, True)]
